@@ -3,9 +3,10 @@
 ``scd2_merge_changes`` classifies every row of a batch against the current
 dimension with **one** join instead of three:
 
-* the dimension is first reduced to the keys of the batch (semi-join; AQE
-  broadcasts the batch keys when they are small, so the large dimension is
-  streamed once and not shuffled),
+* the dimension is first reduced to the keys of the batch (semi-join; the
+  batch keys are broadcast when a row count shows they are small, so the large
+  dimension is streamed once and never shuffled; beyond the bound both sides
+  are shuffled),
 * each touched key is summarised to its latest row (``max`` of a struct whose
   first field is the version, deterministic even on a broken dimension),
 * the batch is left-joined to that summary and each row emits zero, one or two
@@ -13,7 +14,10 @@ dimension with **one** join instead of three:
   ``t2 expire`` (old latest row closed one microsecond before the new one).
 
 ``merge_upsert`` applies changes keyed on ``(key, __rec_version)``: matched
-rows are replaced, the rest inserted (anti-join + union). It is idempotent:
+rows are replaced, the rest inserted (anti-join + union; the change keys are
+broadcast under the same size check). ``scd2_merge`` materialises the change
+set once (it is bounded by twice the batch) so it is not recomputed for the
+anti-join and the union. It is idempotent:
 merging the same batch twice changes nothing, because the hashes then match.
 As in the source MERGE, only the newest batch is read; keys absent from the
 batch are never closed, and a skipped batch is never merged.
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimsmith.functions.hashing import diff_hash, null_hash
+from dimsmith.functions.joins import BROADCAST_MAX_ROWS, broadcast_if_small
 from dimsmith.functions.temporal import high_date, minus_tick
 
 UPDATE_TYPE = "__tmp_update_type"
@@ -71,13 +76,15 @@ def empty_dimension(feed: DataFrame, key: str, payload: Sequence[str], order: st
 
 def scd2_merge_changes(dim: DataFrame, batch: DataFrame, key: str, payload: Sequence[str],
                        order: str = "__ldts", hashed: Sequence[str] | None = None,
-                       batch_ts: Column | None = None) -> DataFrame:
+                       batch_ts: Column | None = None,
+                       broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """Change rows (dimension columns + ``__tmp_update_type``) for one batch."""
     staged = stage_batch(batch, key, payload, order, hashed, batch_ts)
     cols = staged.columns
     rest = [c for c in cols if c != key]
 
-    touched = dim.join(staged.select(key), key, "left_semi")
+    batch_keys = broadcast_if_small(staged.select(key), broadcast_rows)
+    touched = dim.join(batch_keys, key, "left_semi")
     cur = F.max(F.when(F.col("__is_latest"),
                        F.struct(*[F.col(c) for c in ["__rec_version", *[c for c in rest if c != "__rec_version"]]])))
     state = touched.groupBy(key).agg(cur.alias("__cur")).withColumn("__known", F.lit(True))
@@ -102,19 +109,27 @@ def scd2_merge_changes(dim: DataFrame, batch: DataFrame, key: str, payload: Sequ
     return j.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
 
 
-def merge_upsert(dim: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """MERGE ... WHEN MATCHED UPDATE ALL WHEN NOT MATCHED INSERT ALL, on ``keys``."""
+def merge_upsert(dim: DataFrame, changes: DataFrame, keys: Sequence[str],
+                 broadcast_rows: int | None = None) -> DataFrame:
+    """MERGE ... WHEN MATCHED UPDATE ALL WHEN NOT MATCHED INSERT ALL, on ``keys``.
+
+    Pass ``broadcast_rows`` only for a materialised (cheap to count) change set."""
     upd = changes.drop(UPDATE_TYPE) if UPDATE_TYPE in changes.columns else changes
     upd = upd.select(*dim.columns)
-    return dim.join(upd.select(*keys), list(keys), "left_anti").unionByName(upd)
+    change_keys = broadcast_if_small(upd.select(*keys), broadcast_rows)
+    return dim.join(change_keys, list(keys), "left_anti").unionByName(upd)
 
 
 def scd2_merge(dim: DataFrame, feed: DataFrame, key: str, payload: Sequence[str],
                order: str = "__ldts", hashed: Sequence[str] | None = None,
                batch_ts: Column | None = None) -> DataFrame:
-    """One MERGE run: the newest batch of ``feed`` applied to ``dim``."""
+    """One MERGE run: the newest batch of ``feed`` applied to ``dim``.
+
+    The change set is checkpointed (shared checkpoint folder) before it is
+    applied: it is read twice and is at most twice the batch."""
     changes = scd2_merge_changes(dim, newest_batch(feed, order), key, payload, order, hashed, batch_ts)
-    return merge_upsert(dim, changes, [key, "__rec_version"])
+    changes = changes.checkpoint(eager=True)
+    return merge_upsert(dim, changes, [key, "__rec_version"], broadcast_rows=BROADCAST_MAX_ROWS)
 
 
 def _ts_literal(value) -> Column:
@@ -137,8 +152,8 @@ def scd2_merge_replay(feed: DataFrame, key: str, payload: Sequence[str], order:
     state = dim if dim is not None else empty_dimension(feed, key, payload, order)
     for ts in loads:
         batch = feed.where(F.col(order) == _ts_literal(ts))
-        changes = scd2_merge_changes(state, batch, key, payload, order, hashed)
-        state = merge_upsert(state, changes, [key, "__rec_version"])
+        changes = scd2_merge_changes(state, batch, key, payload, order, hashed).checkpoint(eager=True)
+        state = merge_upsert(state, changes, [key, "__rec_version"], broadcast_rows=BROADCAST_MAX_ROWS)
         if checkpoint:
             state = state.checkpoint(eager=True)
     return state

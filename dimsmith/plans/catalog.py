@@ -139,19 +139,26 @@ def _dim_after_base(feed):
     return merge.merge_upsert(empty, changes, ["customer_id", "__rec_version"])
 
 
-def _merge_changes(feed):
-    return merge.scd2_merge_changes(_dim_after_base(feed), merge.newest_batch(feed),
-                                    "customer_id", CUSTOMER_PAYLOAD)
+def _stored(df):
+    """Stand-in for a table written to the shared folder: a reliable checkpoint
+    (the feed and the dimension are tables in practice, not recomputed plans)."""
+    return df.checkpoint(eager=True)
+
+
+def _merge_inputs(spark, sf):
+    feed = _stored(_feed(spark, sf))
+    return feed, _stored(_dim_after_base(feed))
 
 
 def scd2_merge_changes(spark, sf):
-    return hashes_to_hex(_merge_changes(_feed(spark, sf)))
+    feed, dim = _merge_inputs(spark, sf)
+    return hashes_to_hex(merge.scd2_merge_changes(dim, merge.newest_batch(feed), "customer_id",
+                                                  CUSTOMER_PAYLOAD))
 
 
 def scd2_merge_upsert(spark, sf):
-    feed = _feed(spark, sf)
-    return hashes_to_hex(merge.merge_upsert(_dim_after_base(feed), _merge_changes(feed),
-                                            ["customer_id", "__rec_version"]))
+    feed, dim = _merge_inputs(spark, sf)
+    return hashes_to_hex(merge.scd2_merge(dim, feed, "customer_id", CUSTOMER_PAYLOAD))
 
 
 def scd2_merge_replay(spark, sf):
