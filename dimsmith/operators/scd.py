@@ -20,25 +20,43 @@ gaps, validity has holes, and a key whose newest row is unchanged has no
 latest row. ``compact=True`` drops unchanged rows first and computes the
 system columns over the survivors (gap-free, one latest row per key).
 
-Skew: a key's whole history is one window group. For dimensions that is a
-handful of versions per key; ``history_profile`` reports the largest groups
-so an abnormal key is caught before it becomes a straggler.
+Hot keys. A window group is one task, so a key holding a large share of the
+feed would become one straggler. With ``max_key_rows`` set (the default), keys
+with more rows than that are split off (a partially aggregated count per key
+finds them; their number is at most rows / ``max_key_rows``) and processed in
+*chunks*: the hot rows are range-partitioned on ``(key, order)`` into pieces of
+about ``max_key_rows`` rows, pinned by a checkpoint, and every window runs per
+``(key, chunk)``. What a chunk cannot see is carried over from small per-chunk
+summaries (one row per key and chunk): the previous chunk's last hash (lag),
+the next chunk's first timestamp (lead), row offsets (row_number) and the key's
+first/last timestamps. Whole-key "last value" of Type-1 columns is an
+aggregate (``max_by``), partially combined before its shuffle. Other keys take
+the plain window plan above.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimsmith.functions.hashing import diff_hash, null_hash
+from dimsmith.functions.joins import BROADCAST_MAX_ROWS
 from dimsmith.functions.temporal import high_date, minus_tick, ts_text
 from dimsmith.functions.windows import full_frame, key_window
 
 T2_HASH = "__t2diff_hash"
 PREV_HASH = "__prev_t2diff_hash"
 T1_HASH = "__t1diff_hash"
+CHUNK = "__chunk"
+
+# Keys with more feed rows than this take the chunked path; also the target
+# chunk size. A few million rows per task is comfortable for a window sort.
+DEFAULT_MAX_KEY_ROWS = 2_000_000
+
+_SYS = ("__nxt", "__rn", "__first", "__last")
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -52,52 +70,171 @@ def surrogate_key(keys: Sequence[str], order: str) -> Column:
     return F.concat(*parts, ts_text(order))
 
 
-def _interval_columns(w, order: str) -> dict[str, Column]:
-    nxt = F.lead(order).over(w)
-    to = F.when(nxt.isNull(), high_date()).otherwise(minus_tick(nxt))
-    return {
-        "__to_dts": to,
-        "__rec_version": F.row_number().over(w).cast("bigint"),
-        "__is_latest": to == high_date(),
-        "__create_dts": F.first(order).over(full_frame(w)),
-        "__last_update_dts": F.last(order).over(full_frame(w)),
-    }
+# -- plain window plan ---------------------------------------------------------
 
+def _windowed_lag(df: DataFrame, keys, order) -> DataFrame:
+    w = key_window(keys, [order])
+    return df.withColumn(PREV_HASH, F.coalesce(F.lag(T2_HASH).over(w), null_hash()))
 
-def scd2_history(feed: DataFrame, key: str | Sequence[str], order: str,
-                 tracked: Sequence[str], *, compact: bool = True) -> DataFrame:
-    """Type-2 history of ``feed``; a new version starts when the hash of
-    ``tracked`` differs from the previous row's."""
-    keys = _keys(key)
-    payload = [c for c in feed.columns if c not in keys and c != order]
+
+def _windowed_system(df: DataFrame, keys, order) -> DataFrame:
     w = key_window(keys, [order])
+    return df.withColumns({
+        "__nxt": F.lead(order).over(w),
+        "__rn": F.row_number().over(w),
+        "__first": F.first(order).over(full_frame(w)),
+        "__last": F.last(order).over(full_frame(w)),
+    })
+
+
+def _windowed_type1(df: DataFrame, keys, order, type1) -> DataFrame:
+    whole = full_frame(key_window(keys, [order]))
+    return df.withColumns({c: F.last(c).over(whole) for c in type1})
 
-    staged = (feed.withColumn(T2_HASH, diff_hash(tracked))
-              .withColumn(PREV_HASH, F.coalesce(F.lag(T2_HASH).over(w), null_hash())))
-    changed = F.col(T2_HASH) != F.col(PREV_HASH)
-    if compact:
-        staged = staged.where(changed)
 
-    sys = _interval_columns(w, order)
-    out = staged.select(
+# -- chunked plan for hot keys -------------------------------------------------
+
+class _Hot:
+    """Hot-key split of a feed: cold rows, chunked hot rows, and size bounds."""
+
+    def __init__(self, feed: DataFrame, keys, order, max_key_rows: int):
+        counts = feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        hot = counts.where(F.col("__n") > max_key_rows).select(*keys)
+        hot = hot.checkpoint(eager=True)             # tiny: <= rows / max_key_rows keys
+        stats = hot.join(counts, keys).agg(F.count(F.lit(1)).alias("k"),
+                                           F.sum("__n").alias("rows")).first()
+        self.keys, self.order = keys, order
+        self.n_keys = stats["k"]
+        if not self.n_keys:
+            self.cold, self.hot = feed, None
+            return
+        hot_keys = F.broadcast(hot) if self.n_keys <= BROADCAST_MAX_ROWS else hot
+        self.cold = feed.join(hot_keys, keys, "left_anti")
+        self.n_chunks = max(2, math.ceil(stats["rows"] / max_key_rows) + 1)
+        self.hot = (feed.join(hot_keys, keys, "left_semi")
+                    .repartitionByRange(self.n_chunks, *keys, order)
+                    .withColumn(CHUNK, F.spark_partition_id())
+                    .checkpoint(eager=True))        # pins chunk ids, cuts lineage
+
+    def small(self, df: DataFrame) -> DataFrame:
+        """Per-(key, chunk) summaries: at most hot keys + chunks rows."""
+        return F.broadcast(df) if self.n_keys + self.n_chunks <= BROADCAST_MAX_ROWS else df
+
+    def lag(self, df: DataFrame) -> DataFrame:
+        keys, order = self.keys, self.order
+        wc = Window.partitionBy(*keys, CHUNK).orderBy(order)
+        loc = df.withColumns({"__lag_c": F.lag(T2_HASH).over(wc), "__rn_l": F.row_number().over(wc)})
+        s = df.groupBy(*keys, CHUNK).agg(F.max_by(T2_HASH, order).alias("__last_h"))
+        s = s.select(*keys, CHUNK, F.lag("__last_h").over(
+            Window.partitionBy(*keys).orderBy(CHUNK)).alias("__carry_h"))
+        j = loc.join(self.small(s), [*keys, CHUNK], "left")
+        prev = F.when(F.col("__rn_l") == 1, F.col("__carry_h")).otherwise(F.col("__lag_c"))
+        return (j.withColumn(PREV_HASH, F.coalesce(prev, null_hash()))
+                .drop("__lag_c", "__rn_l", "__carry_h"))
+
+    def system(self, df: DataFrame) -> DataFrame:
+        keys, order = self.keys, self.order
+        wc = Window.partitionBy(*keys, CHUNK).orderBy(order)
+        loc = df.withColumns({"__rn_c": F.row_number().over(wc), "__lead_c": F.lead(order).over(wc)})
+        s = df.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("__n"), F.min(order).alias("__min"),
+                                         F.max(order).alias("__max"))
+        wk = Window.partitionBy(*keys).orderBy(CHUNK)
+        s = s.select(*keys, CHUNK,
+                     F.coalesce(F.sum("__n").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
+                                F.lit(0)).alias("__off"),
+                     F.lead("__min").over(wk).alias("__next_min"),
+                     F.first("__min").over(full_frame(wk)).alias("__first"),
+                     F.last("__max").over(full_frame(wk)).alias("__last"))
+        j = loc.join(self.small(s), [*keys, CHUNK], "left")
+        return (j.withColumns({"__rn": F.col("__rn_c") + F.col("__off"),
+                               "__nxt": F.coalesce(F.col("__lead_c"), F.col("__next_min"))})
+                .drop("__rn_c", "__lead_c", "__off", "__next_min"))
+
+    def type1(self, df: DataFrame, type1) -> DataFrame:
+        keys, order = self.keys, self.order
+        last = df.groupBy(*keys).agg(F.max_by(F.struct(*type1), order).alias("__t1"))
+        small = F.broadcast(last) if self.n_keys <= BROADCAST_MAX_ROWS else last
+        j = df.join(small, keys, "left")
+        return j.withColumns({c: F.col("__t1")[c] for c in type1}).drop("__t1")
+
+
+# -- public operators ----------------------------------------------------------
+
+def _finish_t2(df: DataFrame, keys, order, payload) -> DataFrame:
+    to = F.when(F.col("__nxt").isNull(), high_date()).otherwise(minus_tick(F.col("__nxt")))
+    return df.select(
         surrogate_key(keys, order).alias("dim_skey"),
         *keys,
         F.col(order).alias("__from_dts"),
-        sys["__to_dts"].alias("__to_dts"),
+        to.alias("__to_dts"),
         *payload,
         order,
-        sys["__rec_version"].alias("__rec_version"),
-        sys["__is_latest"].alias("__is_latest"),
-        sys["__create_dts"].alias("__create_dts"),
+        F.col("__rn").cast("bigint").alias("__rec_version"),
+        (to == high_date()).alias("__is_latest"),
+        F.col("__first").alias("__create_dts"),
         F.col(order).alias("__update_dts"),
-        sys["__last_update_dts"].alias("__last_update_dts"),
+        F.col("__last").alias("__last_update_dts"),
         T2_HASH, PREV_HASH,
     )
+
+
+def _t2(feed, keys, order, tracked, compact, payload, lag, system) -> DataFrame:
+    staged = lag(feed.withColumn(T2_HASH, diff_hash(tracked)))
+    changed = F.col(T2_HASH) != F.col(PREV_HASH)
+    if compact:
+        staged = staged.where(changed)
+    out = _finish_t2(system(staged), keys, order, payload)
     return out if compact else out.where(changed)
 
 
+def scd2_history(feed: DataFrame, key: str | Sequence[str], order: str,
+                 tracked: Sequence[str], *, compact: bool = True,
+                 max_key_rows: int | None = DEFAULT_MAX_KEY_ROWS) -> DataFrame:
+    """Type-2 history of ``feed``; a new version starts when the hash of
+    ``tracked`` differs from the previous row's."""
+    keys = _keys(key)
+    payload = [c for c in feed.columns if c not in keys and c != order]
+
+    def plain(df):
+        return _t2(df, keys, order, tracked, compact, payload,
+                   lambda d: _windowed_lag(d, keys, order), lambda d: _windowed_system(d, keys, order))
+
+    if max_key_rows is None:
+        return plain(feed)
+    split = _Hot(feed, keys, order, max_key_rows)
+    out = plain(split.cold)
+    if split.hot is None:
+        return out
+    hot = _t2(split.hot, keys, order, tracked, compact, payload, split.lag, split.system)
+    return out.unionByName(hot)
+
+
+def _finish_t2n1(df: DataFrame, keys, order, payload) -> DataFrame:
+    to = F.when(F.col("__nxt").isNull(), high_date()).otherwise(minus_tick(F.col("__nxt")))
+    return df.select(
+        surrogate_key(keys, order).alias("dim_skey"),
+        *keys, *payload, order,
+        F.col(order).alias("__update_dts"),
+        T2_HASH, PREV_HASH, T1_HASH,
+        F.col(order).alias("__from_dts"),
+        to.alias("__to_dts"),
+        F.col("__rn").cast("bigint").alias("__rec_version"),
+        F.col("__first").alias("__create_dts"),
+        F.col("__last").alias("__last_update_dts"),
+        (to == high_date()).alias("__is_latest"),
+    )
+
+
+def _t2n1(feed, keys, order, type2, type1, payload, lag, system, last1) -> DataFrame:
+    staged = feed.withColumns({T2_HASH: diff_hash(type2), T1_HASH: diff_hash(type1)})
+    staged = last1(lag(staged))          # Type-1 values overwritten after their hash
+    staged = staged.where(F.col(T2_HASH) != F.col(PREV_HASH))
+    return _finish_t2n1(system(staged), keys, order, payload)
+
+
 def scd2n1_history(feed: DataFrame, key: str | Sequence[str], order: str,
-                   type2: Sequence[str], type1: Sequence[str]) -> DataFrame:
+                   type2: Sequence[str], type1: Sequence[str], *,
+                   max_key_rows: int | None = DEFAULT_MAX_KEY_ROWS) -> DataFrame:
     """Type-2 history on ``type2`` columns with ``type1`` columns overwritten.
 
     Type-1 columns take the key's last value over *all* feed rows (whole-key
@@ -108,28 +245,21 @@ def scd2n1_history(feed: DataFrame, key: str | Sequence[str], order: str,
     """
     keys = _keys(key)
     payload = [c for c in feed.columns if c not in keys and c != order]
-    w = key_window(keys, [order])
-    whole = full_frame(w)
 
-    staged = (feed
-              .withColumns({T2_HASH: diff_hash(type2), T1_HASH: diff_hash(type1)})
-              .withColumn(PREV_HASH, F.coalesce(F.lag(T2_HASH).over(w), null_hash()))
-              .withColumns({c: F.last(c).over(whole) for c in type1})
-              .where(F.col(T2_HASH) != F.col(PREV_HASH)))
+    def plain(df):
+        return _t2n1(df, keys, order, type2, type1, payload,
+                     lambda d: _windowed_lag(d, keys, order), lambda d: _windowed_system(d, keys, order),
+                     lambda d: _windowed_type1(d, keys, order, type1))
 
-    sys = _interval_columns(w, order)
-    return staged.select(
-        surrogate_key(keys, order).alias("dim_skey"),
-        *keys, *payload, order,
-        F.col(order).alias("__update_dts"),
-        T2_HASH, PREV_HASH, T1_HASH,
-        F.col(order).alias("__from_dts"),
-        sys["__to_dts"].alias("__to_dts"),
-        sys["__rec_version"].alias("__rec_version"),
-        sys["__create_dts"].alias("__create_dts"),
-        sys["__last_update_dts"].alias("__last_update_dts"),
-        sys["__is_latest"].alias("__is_latest"),
-    )
+    if max_key_rows is None:
+        return plain(feed)
+    split = _Hot(feed, keys, order, max_key_rows)
+    out = plain(split.cold)
+    if split.hot is None:
+        return out
+    hot = _t2n1(split.hot, keys, order, type2, type1, payload, split.lag, split.system,
+                lambda d: split.type1(d, type1))
+    return out.unionByName(hot)
 
 
 def as_of(history: DataFrame, at: Column | str, from_col: str = "__from_dts",
@@ -160,7 +290,7 @@ def as_of_join(facts: DataFrame, history: DataFrame, key: str | Sequence[str], a
 
 
 def history_profile(feed: DataFrame, key: str | Sequence[str], top: int = 20) -> DataFrame:
-    """Largest per-key histories (rows per key), for skew audits."""
+    """Largest per-key histories (rows per key): a top-k report for skew audits."""
     keys = _keys(key)
     return (feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
             .orderBy(F.desc("rows"), *keys).limit(top))
