@@ -99,15 +99,15 @@ class _Hot:
 
     def __init__(self, feed: DataFrame, keys, order, max_key_rows: int):
         counts = feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        hot = counts.where(F.col("__n") > max_key_rows).select(*keys)
-        hot = hot.checkpoint(eager=True)             # tiny: <= rows / max_key_rows keys
-        stats = hot.join(counts, keys).agg(F.count(F.lit(1)).alias("k"),
-                                           F.sum("__n").alias("rows")).first()
+        over = counts.where(F.col("__n") > max_key_rows)
+        # One small job in the common case (no hot key): two numbers come back.
+        stats = over.agg(F.count(F.lit(1)).alias("k"), F.sum("__n").alias("rows")).first()
         self.keys, self.order = keys, order
         self.n_keys = stats["k"]
         if not self.n_keys:
             self.cold, self.hot = feed, None
             return
+        hot = over.select(*keys).checkpoint(eager=True)  # <= rows / max_key_rows keys
         hot_keys = F.broadcast(hot) if self.n_keys <= BROADCAST_MAX_ROWS else hot
         self.cold = feed.join(hot_keys, keys, "left_anti")
         self.n_chunks = max(2, math.ceil(stats["rows"] / max_key_rows) + 1)

@@ -31,6 +31,31 @@ from dimsmith.sources.sinks import path_exists, publish_version, read_current, v
 BATCH_COL = "__batch_id"
 
 
+def refresh_batch(spark: SparkSession, table_base: str, batch: DataFrame, batch_id: int, key: str,
+                  history: Callable[[DataFrame], DataFrame]) -> str:
+    """Apply one feed batch to the maintained table; returns the new version path.
+
+    Version ``batch_id + 1`` is built from version ``batch_id`` (if any), so a
+    retried batch rebuilds the same state and a completed version is kept."""
+    store = os.path.join(table_base, "feed_store")
+    target = version_path(table_base, batch_id + 1)
+    if path_exists(spark, os.path.join(target, "_SUCCESS")):
+        return publish_version(spark.read.parquet(target), table_base, batch_id + 1)
+    (batch.withColumn(BATCH_COL, F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BATCH_COL).parquet(store))
+    keys = batch.select(key).distinct()
+    feed = (spark.read.parquet(store).where(F.col(BATCH_COL) <= batch_id)
+            .drop(BATCH_COL).join(keys, key, "left_semi"))
+    fresh = history(feed)
+    prev = version_path(table_base, batch_id)
+    if batch_id > 0 and path_exists(spark, os.path.join(prev, "_SUCCESS")):
+        state = spark.read.parquet(prev).join(keys, key, "left_anti").unionByName(fresh)
+    else:
+        state = fresh
+    return publish_version(state, table_base, batch_id + 1)
+
+
 def maintain(spark: SparkSession, feed_dir: str, table_base: str, key: str,
              history: Callable[[DataFrame], DataFrame], *, schema=None,
              checkpoint_dir: str | None = None, max_files_per_trigger: int = 1,
@@ -42,28 +67,10 @@ def maintain(spark: SparkSession, feed_dir: str, table_base: str, key: str,
     files present at start are processed.
     """
     schema = schema or spark.read.parquet(feed_dir).schema
-    store = os.path.join(table_base, "feed_store")
     checkpoint_dir = checkpoint_dir or os.path.join(table_base, "stream_checkpoint")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        target = version_path(table_base, batch_id + 1)
-        if path_exists(spark, os.path.join(target, "_SUCCESS")):
-            publish_version(spark.read.parquet(target), table_base, batch_id + 1)
-            return
-        (batch.withColumn(BATCH_COL, F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COL).parquet(store))
-        keys = batch.select(key).distinct()
-        feed = (spark.read.parquet(store).where(F.col(BATCH_COL) <= batch_id)
-                .drop(BATCH_COL).join(keys, key, "left_semi"))
-        fresh = history(feed)
-        prev = version_path(table_base, batch_id)
-        if batch_id > 0 and path_exists(spark, os.path.join(prev, "_SUCCESS")):
-            state = (spark.read.parquet(prev).join(keys, key, "left_anti")
-                     .unionByName(fresh))
-        else:
-            state = fresh
-        publish_version(state, table_base, batch_id + 1)
+        refresh_batch(spark, table_base, batch, batch_id, key, history)
 
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     writer = (reader.parquet(feed_dir).writeStream.foreachBatch(apply)
