@@ -126,6 +126,11 @@ def scd2_as_of(spark, sf):
     return hashes_to_hex(scd.as_of(_customer_t2(spark, sf, True), AS_OF))
 
 
+def history_skew_profile(spark, sf):
+    """Largest per-key histories of the change feed (top 20): the skew report."""
+    return scd.history_profile(_feed(spark, sf), "customer_id", top=20)
+
+
 def scd2_incremental(spark, sf):
     return hashes_to_hex(incremental_history(_feed(spark, sf), "customer_id", _customer_t2n1))
 
@@ -300,6 +305,7 @@ def catalog() -> dict[str, Entry]:
         "scd2n1_events": Entry(scd2n1_events, oracle.events_t2n1(), "K5"),
         "scd2_as_of": Entry(scd2_as_of, oracle.as_of_sql(AS_OF), "interval lookup over K4c"),
         "scd2_incremental": Entry(scd2_incremental, oracle.customer_t2n1(), "S10 K8"),
+        "history_skew_profile": Entry(history_skew_profile, oracle.skew_profile_sql(20), "skew audit (top-k)"),
         "scd2_merge_changes": Entry(scd2_merge_changes, oracle.merge_changes_sql(), "F7 A4 J1 J4 J5 U1 K6"),
         "scd2_merge_upsert": Entry(scd2_merge_upsert, oracle.merge_upsert_sql(), "S3 S4 S11 K6"),
         "scd2_merge_replay": Entry(scd2_merge_replay, oracle.merge_replay_sql(), "K6 x5"),

@@ -131,6 +131,11 @@ def events_t2n1() -> str:
     return history_t2n1_sql(events_ctes(), "user_id", "ts", EVENT_PAYLOAD, ("event_type",), ("value",))
 
 
+def skew_profile_sql(top: int) -> str:
+    return with_(feed_ctes(), f"SELECT customer_id, count(*) AS rows FROM feed GROUP BY customer_id "
+                              f"ORDER BY rows DESC, customer_id LIMIT {top}")
+
+
 def as_of_sql(at: str) -> str:
     inner = customer_t2(True)
     return f"SELECT * FROM ({inner}) x WHERE __from_dts <= TIMESTAMP '{at}' AND TIMESTAMP '{at}' <= __to_dts"

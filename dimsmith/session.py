@@ -43,6 +43,24 @@ def build_session(master: str | None = None, app: str = "dimsmith",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the data, for a cluster run (pass as ``extra``).
+
+    Shuffle partitions follow the input size (about ``partition_bytes`` each,
+    at least two waves of tasks) so a partition fits executor memory without
+    spilling; AQE coalesces small ones and splits skewed ones at run time.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; set a local one only if unset."""
     sc = spark.sparkContext

@@ -82,12 +82,17 @@ def maintain(spark: SparkSession, feed_dir: str, table_base: str, key: str,
     return writer.start()
 
 
-def write_feed_files(feed: DataFrame, feed_dir: str, order: str = "__ldts") -> int:
-    """Write one parquet file per load (in load order) — a file-based feed."""
-    loads = [r[0] for r in feed.select(order).distinct().orderBy(order).collect()]
-    for ts in loads:
+def write_feed_files(feed: DataFrame, feed_dir: str, order: str = "__ldts",
+                     rows_per_file: int = 5_000_000) -> int:
+    """Write the feed as files in load order, at most ``rows_per_file`` rows each
+    (a load is spread over as many tasks as its size needs, never funnelled
+    through one). A micro-batch may hold part of a load; maintenance does not
+    depend on how the feed is split."""
+    loads = feed.groupBy(order).agg(F.count(F.lit(1)).alias("n")).orderBy(order).collect()
+    for ts, n in loads:
         lit = F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz") if hasattr(ts, "isoformat") else F.lit(ts)
-        feed.where(F.col(order) == lit).coalesce(1).write.mode("append").parquet(feed_dir)
+        files = max(1, -(-n // rows_per_file))
+        feed.where(F.col(order) == lit).repartition(files).write.mode("append").parquet(feed_dir)
     return len(loads)
 
 

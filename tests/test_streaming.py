@@ -36,3 +36,24 @@ def test_incremental_equals_batch_in_any_arrival_order(spark):
     q2 = maintain(spark, feed_dir, table, "customer_id", catalog._customer_t2n1, schema=feed.schema)
     q2.awaitTermination()
     assert _rows(read_current(spark, table)) == _rows(got)
+
+
+def test_change_task_appends_numbered_batches(spark):
+    import time
+    from dimsmith.sources import feeds
+    from dimsmith.streaming.change_task import start_change_task
+    src = catalog._ssc(spark, SF01)
+    path = scratch_path(spark, "test-change-task")
+    q = start_change_task(src, path, interval="1 second", n=50)
+    try:
+        deadline = time.time() + 120
+        while time.time() < deadline:
+            if q.lastProgress and q.lastProgress.get("batchId", -1) >= 0 and os.path.exists(
+                    path.replace("file:", "") + "/_SUCCESS"):
+                break
+            time.sleep(1)
+    finally:
+        q.stop()
+    got = spark.read.parquet(path).where("__batch = 1").drop("__batch")
+    want = feeds.change_batch(src, 1, n=50)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
