@@ -51,8 +51,7 @@ def incremental_refresh(spark, sf_dir, runs):
     import os
     from pyspark.sql import functions as F
     from dimsmith.session import scratch_path
-    from dimsmith.sources.sinks import read_current
-    from dimsmith.streaming.incremental import refresh_batch
+    from dimsmith.streaming.incremental import read_table, refresh_batch
     feed = catalog._feed(spark, sf_dir).checkpoint(eager=True)
     loads = [r[0] for r in feed.select("__ldts").distinct().orderBy("__ldts").collect()]
     batches = [feed.where(F.col("__ldts") == F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")) for t in loads]
@@ -64,7 +63,7 @@ def incremental_refresh(spark, sf_dir, runs):
         t0 = time.perf_counter()
         refresh_batch(spark, base, batches[-1], len(batches) - 1, "customer_id", catalog._customer_t2n1)
         samples.append(time.perf_counter() - t0)
-    rows_out = read_current(spark, base).count()
+    rows_out = read_table(spark, base).count()
     return round(statistics.median(samples), 3), rows_in, rows_out
 
 

@@ -2,19 +2,28 @@
 
 The maintained table must always equal the defining query over *all* feed
 rows seen so far. A Type-1 change rewrites every version of its key, and a
-late row can re-order a key's history, so the unit of work is the whole key:
-
-for each micro-batch (``foreachBatch``):
-1. the batch's rows are added to the feed store (one partition per batch id,
-   overwritten on retry, so a replayed batch is stored once);
-2. the affected keys are the distinct keys of the batch;
-3. their full history is recomputed from the store (semi-join on the keys);
-4. the new table state = old state without those keys + recomputed rows,
-   published as a fresh version folder (never overwriting what is read).
-
-Version ``v`` is always built from version ``v - 1``, so a retried batch
-recomputes the same state, and a completed version is not rewritten. The
-result equals the batch computation for any split or order of the feed.
+late row can re-order a key's history, so the unit of work is the whole key.
+
+Layout under ``base``: ``feed_store/`` holds every feed row seen, partitioned
+by (key bucket, batch id); ``table/`` holds the history, partitioned by key
+bucket; ``COMMITTED`` names the last applied batch.
+
+For each micro-batch (``foreachBatch``):
+1. its rows go to the store (partition overwrite of that batch id: a retried
+   batch is stored once);
+2. the affected keys are the batch's distinct keys, and their buckets the
+   only partitions touched (a bounded list: at most ``buckets`` ids);
+3. the keys' full history is recomputed from the store, reading only those
+   buckets (partition pruning) and semi-joining the keys;
+4. each touched bucket is rewritten as (old rows of other keys) + recomputed
+   rows, with dynamic partition overwrite: untouched buckets are not read or
+   written, so the cost follows the change, not the table.
+
+Every step is idempotent per key, so a batch retried after a failure — even
+after a partial commit of some buckets — converges to the same table. Readers
+see each bucket swap at once; the whole table is not a single snapshot while
+a refresh commits. Size ``buckets`` so a bucket is a comfortable task (about
+table bytes / 256 MB).
 """
 
 from __future__ import annotations
@@ -22,42 +31,66 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimsmith.session import scratch_path
-from dimsmith.sources.sinks import path_exists, publish_version, read_current, version_path
+from dimsmith.sources.sinks import path_exists, read_text, write_text
 
 BATCH_COL = "__batch_id"
+BUCKET_COL = "__bucket"
+DEFAULT_BUCKETS = 32
 
 
-def refresh_batch(spark: SparkSession, table_base: str, batch: DataFrame, batch_id: int, key: str,
-                  history: Callable[[DataFrame], DataFrame]) -> str:
-    """Apply one feed batch to the maintained table; returns the new version path.
+def key_bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
+
+
+def _paths(base: str) -> tuple[str, str, str]:
+    return (os.path.join(base, "feed_store"), os.path.join(base, "table"),
+            os.path.join(base, "COMMITTED"))
+
+
+def committed_batch(spark: SparkSession, base: str) -> int | None:
+    txt = read_text(spark, _paths(base)[2])
+    return int(txt.strip()) if txt else None
+
+
+def read_table(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.parquet(_paths(base)[1]).drop(BUCKET_COL)
+
+
+def refresh_batch(spark: SparkSession, base: str, batch: DataFrame, batch_id: int, key: str,
+                  history: Callable[[DataFrame], DataFrame], buckets: int = DEFAULT_BUCKETS) -> None:
+    """Apply one feed batch to the maintained table under ``base``."""
+    store, table, marker = _paths(base)
+    done = committed_batch(spark, base)
+    if done is not None and done >= batch_id:
+        return
+    dyn = {"partitionOverwriteMode": "dynamic"}
+    staged = batch.withColumns({BUCKET_COL: key_bucket(key, buckets), BATCH_COL: F.lit(batch_id)})
+    (staged.repartition(BUCKET_COL).write.mode("overwrite").options(**dyn)
+     .partitionBy(BUCKET_COL, BATCH_COL).parquet(store))
 
-    Version ``batch_id + 1`` is built from version ``batch_id`` (if any), so a
-    retried batch rebuilds the same state and a completed version is kept."""
-    store = os.path.join(table_base, "feed_store")
-    target = version_path(table_base, batch_id + 1)
-    if path_exists(spark, os.path.join(target, "_SUCCESS")):
-        return publish_version(spark.read.parquet(target), table_base, batch_id + 1)
-    (batch.withColumn(BATCH_COL, F.lit(batch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH_COL).parquet(store))
     keys = batch.select(key).distinct()
-    feed = (spark.read.parquet(store).where(F.col(BATCH_COL) <= batch_id)
-            .drop(BATCH_COL).join(keys, key, "left_semi"))
-    fresh = history(feed)
-    prev = version_path(table_base, batch_id)
-    if batch_id > 0 and path_exists(spark, os.path.join(prev, "_SUCCESS")):
-        state = spark.read.parquet(prev).join(keys, key, "left_anti").unionByName(fresh)
+    touched = [r[0] for r in batch.select(key_bucket(key, buckets)).distinct().collect()]
+    feed = (spark.read.parquet(store)
+            .where(F.col(BUCKET_COL).isin(touched) & (F.col(BATCH_COL) <= batch_id))
+            .drop(BUCKET_COL, BATCH_COL)
+            .join(keys, key, "left_semi"))
+    fresh = history(feed).withColumn(BUCKET_COL, key_bucket(key, buckets))
+    if path_exists(spark, table):
+        old = spark.read.parquet(table).where(F.col(BUCKET_COL).isin(touched))
+        state = old.join(keys, key, "left_anti").unionByName(fresh)
     else:
         state = fresh
-    return publish_version(state, table_base, batch_id + 1)
+    (state.repartition(BUCKET_COL).write.mode("overwrite").options(**dyn)
+     .partitionBy(BUCKET_COL).parquet(table))
+    write_text(spark, marker, str(batch_id))
 
 
-def maintain(spark: SparkSession, feed_dir: str, table_base: str, key: str,
-             history: Callable[[DataFrame], DataFrame], *, schema=None,
+def maintain(spark: SparkSession, feed_dir: str, base: str, key: str,
+             history: Callable[[DataFrame], DataFrame], *, schema=None, buckets: int = DEFAULT_BUCKETS,
              checkpoint_dir: str | None = None, max_files_per_trigger: int = 1,
              available_now: bool = True, processing_time: str | None = None):
     """Start the maintenance stream over parquet files in ``feed_dir``.
@@ -67,10 +100,10 @@ def maintain(spark: SparkSession, feed_dir: str, table_base: str, key: str,
     files present at start are processed.
     """
     schema = schema or spark.read.parquet(feed_dir).schema
-    checkpoint_dir = checkpoint_dir or os.path.join(table_base, "stream_checkpoint")
+    checkpoint_dir = checkpoint_dir or os.path.join(base, "stream_checkpoint")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        refresh_batch(spark, table_base, batch, batch_id, key, history)
+        refresh_batch(spark, base, batch, batch_id, key, history, buckets)
 
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     writer = (reader.parquet(feed_dir).writeStream.foreachBatch(apply)
@@ -97,15 +130,16 @@ def write_feed_files(feed: DataFrame, feed_dir: str, order: str = "__ldts",
 
 
 def incremental_history(feed: DataFrame, key: str, history: Callable[[DataFrame], DataFrame],
-                        order: str = "__ldts", work: str | None = None) -> DataFrame:
+                        order: str = "__ldts", work: str | None = None,
+                        buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Run the whole file-fed maintenance on ``feed`` and return the final table."""
     spark = feed.sparkSession
     work = work or scratch_path(spark, "incremental")
     feed_dir = os.path.join(work, "feed")
-    table = os.path.join(work, "table")
+    base = os.path.join(work, "maintained")
     write_feed_files(feed, feed_dir, order)
-    q = maintain(spark, feed_dir, table, key, history, schema=feed.schema)
+    q = maintain(spark, feed_dir, base, key, history, schema=feed.schema, buckets=buckets)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return read_current(spark, table)
+    return read_table(spark, base)

@@ -4,8 +4,7 @@ from pyspark.sql import functions as F
 
 from dimsmith.plans import catalog
 from dimsmith.session import scratch_path
-from dimsmith.sources.sinks import read_current
-from dimsmith.streaming.incremental import maintain
+from dimsmith.streaming.incremental import maintain, read_table
 
 from conftest import SF01
 
@@ -30,12 +29,31 @@ def test_incremental_equals_batch_in_any_arrival_order(spark):
     table = os.path.join(work, "table")
     q = maintain(spark, feed_dir, table, "customer_id", catalog._customer_t2n1, schema=feed.schema)
     q.awaitTermination()
-    got = read_current(spark, table)
+    got = read_table(spark, table)
     assert _rows(got) == _rows(catalog._customer_t2n1(feed))
     # a restart from the same checkpoint finds nothing new and keeps the table
     q2 = maintain(spark, feed_dir, table, "customer_id", catalog._customer_t2n1, schema=feed.schema)
     q2.awaitTermination()
-    assert _rows(read_current(spark, table)) == _rows(got)
+    assert _rows(read_table(spark, table)) == _rows(got)
+
+
+def test_refresh_touches_only_affected_buckets(spark):
+    import glob
+    from dimsmith.streaming.incremental import refresh_batch
+    feed = catalog._feed(spark, SF01).checkpoint(eager=True)
+    base = scratch_path(spark, "test-buckets")
+    t0 = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    refresh_batch(spark, base, feed.where(F.col("__ldts") == t0), 0, "customer_id",
+                  catalog._customer_t2n1, buckets=8)
+    table = base.replace("file:", "") + "/table"
+    before = {d: sorted(os.listdir(os.path.join(table, d))) for d in os.listdir(table) if d.startswith("__bucket")}
+    one = feed.where((F.col("__ldts") != t0) & (F.col("customer_id") == 4))     # a single key
+    refresh_batch(spark, base, one, 1, "customer_id", catalog._customer_t2n1, buckets=8)
+    after = {d: sorted(os.listdir(os.path.join(table, d))) for d in os.listdir(table) if d.startswith("__bucket")}
+    changed = [d for d in after if after[d] != before.get(d)]
+    assert len(changed) == 1
+    want = catalog._customer_t2n1(feed.where((F.col("__ldts") == t0) | (F.col("customer_id") == 4)))
+    assert _rows(read_table(spark, base)) == _rows(want)
 
 
 def test_change_task_appends_numbered_batches(spark):
