@@ -65,10 +65,8 @@ def test_change_task_appends_numbered_batches(spark):
     q = start_change_task(src, path, interval="1 second", n=50)
     try:
         deadline = time.time() + 120
-        while time.time() < deadline:
-            if q.lastProgress and q.lastProgress.get("batchId", -1) >= 0 and os.path.exists(
-                    path.replace("file:", "") + "/_SUCCESS"):
-                break
+        local = path.replace("file:", "")
+        while time.time() < deadline and not os.path.exists(os.path.join(local, "__batch=1")):
             time.sleep(1)
     finally:
         q.stop()
