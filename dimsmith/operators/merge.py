@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from dimsmith.functions.hashing import diff_hash, null_hash
 from dimsmith.functions.joins import BROADCAST_MAX_ROWS, broadcast_if_small
 from dimsmith.functions.temporal import high_date, minus_tick
+from dimsmith.sources.sinks import path_exists
 
 UPDATE_TYPE = "__tmp_update_type"
 # Fixed labels of the three change kinds.
@@ -157,3 +158,45 @@ def scd2_merge_replay(feed: DataFrame, key: str, payload: Sequence[str], order:
         if checkpoint:
             state = state.checkpoint(eager=True)
     return state
+
+
+# -- stored dimension ------------------------------------------------------------
+
+BUCKET_COL = "__bucket"
+DEFAULT_BUCKETS = 32
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
+
+
+def merge_into_table(feed: DataFrame, table_path: str, key: str, payload: Sequence[str],
+                     order: str = "__ldts", hashed: Sequence[str] | None = None,
+                     buckets: int = DEFAULT_BUCKETS, batch: DataFrame | None = None) -> None:
+    """MERGE the newest batch of ``feed`` (or ``batch``) into the dimension
+    stored at ``table_path``, partitioned by key bucket.
+
+    Only the buckets holding the batch's keys are read (partition pruning) and
+    rewritten (dynamic partition overwrite); the rest of the dimension is not
+    touched, so a MERGE costs about the batch's share of buckets, not the whole
+    table. Re-running a batch yields no changes (hashes match) and rewrites the
+    same content, so a retry after a failure is safe.
+    """
+    spark = feed.sparkSession
+    batch = newest_batch(feed, order) if batch is None else batch
+    touched = [r[0] for r in batch.select(_bucket(key, buckets)).distinct().collect()]  # <= buckets ids
+    empty = empty_dimension(feed, key, payload, order)
+    if path_exists(spark, table_path):
+        current = (spark.read.parquet(table_path).where(F.col(BUCKET_COL).isin(touched))
+                   .drop(BUCKET_COL).select(*empty.columns))
+    else:
+        current = empty
+    changes = scd2_merge_changes(current, batch, key, payload, order, hashed).checkpoint(eager=True)
+    merged = merge_upsert(current, changes, [key, "__rec_version"], broadcast_rows=BROADCAST_MAX_ROWS)
+    (merged.withColumn(BUCKET_COL, _bucket(key, buckets)).repartition(BUCKET_COL)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET_COL).parquet(table_path))
+
+
+def read_dimension(spark, table_path: str) -> DataFrame:
+    return spark.read.parquet(table_path).drop(BUCKET_COL)

@@ -166,6 +166,17 @@ def scd2_merge_upsert(spark, sf):
     return hashes_to_hex(merge.scd2_merge(dim, feed, "customer_id", CUSTOMER_PAYLOAD))
 
 
+def scd2_merge_table(spark, sf):
+    """Every load MERGEd in order into a stored, bucket-partitioned dimension."""
+    feed = _stored(_feed(spark, sf))
+    path = scratch_path(spark, "dim_customer")
+    loads = [r[0] for r in feed.select("__ldts").distinct().orderBy("__ldts").collect()]
+    for ts in loads:
+        batch = feed.where(F.col("__ldts") == F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz"))
+        merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=batch)
+    return hashes_to_hex(merge.read_dimension(spark, path))
+
+
 def scd2_merge_replay(spark, sf):
     return hashes_to_hex(merge.scd2_merge_replay(_feed(spark, sf), "customer_id", CUSTOMER_PAYLOAD))
 
@@ -309,6 +320,7 @@ def catalog() -> dict[str, Entry]:
         "scd2_merge_changes": Entry(scd2_merge_changes, oracle.merge_changes_sql(), "F7 A4 J1 J4 J5 U1 K6"),
         "scd2_merge_upsert": Entry(scd2_merge_upsert, oracle.merge_upsert_sql(), "S3 S4 S11 K6"),
         "scd2_merge_replay": Entry(scd2_merge_replay, oracle.merge_replay_sql(), "K6 x5"),
+        "scd2_merge_table": Entry(scd2_merge_table, oracle.merge_replay_sql(), "S11 stored, bucketed"),
         "loyalty_customer": Entry(loyalty_customer, oracle.loyalty_sql(e), "K7 A1 W6 X3 F3 F4 F6 S8 U1"),
         "main_reporting": Entry(main_reporting, oracle.main_reporting_sql(e, False), "K9 J2 J6 P2-P5 X2 F5"),
         "main_reporting_trusted": Entry(main_reporting_trusted, oracle.main_reporting_sql(e, True), "K9 J7"),

@@ -60,3 +60,25 @@ def test_merge_reads_only_newest_batch(spark, feed):
     newest = feed.agg(F.max("__ldts")).first()[0]
     loads = {r[0] for r in changes.where("__tmp_update_type <> 't2 expire'").select("__load_dts").distinct().collect()}
     assert loads == {newest}
+
+
+def test_stored_merge_rewrites_only_touched_buckets(spark, feed):
+    import os
+    from dimsmith.session import scratch_path
+    path = scratch_path(spark, "test-dim")
+    loads = [r[0] for r in feed.select("__ldts").distinct().orderBy("__ldts").collect()]
+    lit = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+    merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=feed.where(F.col("__ldts") == lit(loads[0])),
+                           buckets=8)
+    local = path.replace("file:", "")
+    listing = lambda: {d: sorted(os.listdir(os.path.join(local, d))) for d in os.listdir(local) if d.startswith("__bucket")}
+    before = listing()
+    one = feed.where((F.col("__ldts") == lit(loads[1])) & (F.col("customer_id") == 7))
+    merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=one, buckets=8)
+    after = listing()
+    assert len([d for d in after if after[d] != before.get(d)]) == 1
+    for t in loads[1:]:
+        merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=feed.where(F.col("__ldts") == lit(t)),
+                               buckets=8)
+    replay = merge.scd2_merge_replay(feed, "customer_id", CUSTOMER_PAYLOAD)
+    assert _rows(merge.read_dimension(spark, path)) == _rows(replay)
