@@ -1,22 +1,17 @@
-"""Sinks: snapshot copies (S5), appends (S6) and versioned publishing.
-
-A path that is being read is never overwritten. A new table state goes to a
-fresh version folder, and a small pointer file names the current version, so
-a reader sees either the old or the new state and a failed writer leaves the
-old state intact. Writing the same version twice is a no-op once it has
-completed (``_SUCCESS`` marker), which makes retried micro-batches idempotent.
+"""Sinks: snapshot copies (S5), appends (S6) and small marker files.
+
+Stored tables that change (the MERGE-maintained dimension, the incrementally
+maintained history) are partitioned by key bucket and rewritten bucket by
+bucket with dynamic partition overwrite; see ``operators.merge`` and
+``streaming.incremental``. Marker files (e.g. the last committed batch) are
+written through the Hadoop file system of the target path, so they live in
+the same shared storage as the data.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
-# Spark skips paths starting with "_" or "." when listing, so neither the
-# pointer nor side folders may use those prefixes.
-POINTER = "CURRENT"
-
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -58,30 +53,3 @@ def snapshot_copy(df: DataFrame, path: str) -> DataFrame:
 
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
-
-
-def version_path(base: str, version: int) -> str:
-    return os.path.join(base, f"v{version:08d}")
-
-
-def publish_version(df: DataFrame, base: str, version: int, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as version ``version`` of table ``base`` and point readers to it."""
-    spark = df.sparkSession
-    target = version_path(base, version)
-    if not path_exists(spark, os.path.join(target, "_SUCCESS")):
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(target)
-    write_text(spark, os.path.join(base, POINTER), str(version))
-    return target
-
-
-def current_version(spark: SparkSession, base: str) -> int | None:
-    txt = read_text(spark, os.path.join(base, POINTER))
-    return int(txt.strip()) if txt else None
-
-
-def read_current(spark: SparkSession, base: str) -> DataFrame | None:
-    v = current_version(spark, base)
-    return None if v is None else spark.read.parquet(version_path(base, v))
