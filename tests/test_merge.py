@@ -82,3 +82,27 @@ def test_stored_merge_rewrites_only_touched_buckets(spark, feed):
                                buckets=8)
     replay = merge.scd2_merge_replay(feed, "customer_id", CUSTOMER_PAYLOAD)
     assert _rows(merge.read_dimension(spark, path)) == _rows(replay)
+
+
+def test_upsert_streams_the_dimension(spark, feed):
+    from dimsmith.plans.inspect import exchanges, physical_plan
+    dim = catalog._dim_after_base(feed).checkpoint(eager=True)
+    out = merge.scd2_merge(dim, feed, "customer_id", CUSTOMER_PAYLOAD)
+    plan = physical_plan(out)
+    assert exchanges(out) == 0
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_broadcast_only_under_the_bound(spark):
+    from dimsmith.functions.joins import broadcast_if_small
+    from dimsmith.plans.inspect import physical_plan
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        yes = big.join(broadcast_if_small(small, max_rows=100), "k")
+        no = big.join(broadcast_if_small(small, max_rows=5), "k")
+        assert "BroadcastHashJoin" in physical_plan(yes)
+        assert "BroadcastHashJoin" not in physical_plan(no)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
