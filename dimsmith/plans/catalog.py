@@ -21,8 +21,9 @@ from dimsmith.plans import oracle
 from dimsmith.session import scratch_path
 from dimsmith.sources import feeds, sinks, testdata
 from dimsmith.sources.model import (CUSTOMER_MERGE_HASHED, CUSTOMER_PAYLOAD, CUSTOMER_T2_TRACKED,
-                                    CUSTOMER_T2N1_TYPE1, CUSTOMER_T2N1_TYPE2, LOYALTY_CUSTOMER,
-                                    SOURCE_SYSTEM_CUSTOMER, SRC_CUSTOMER, STAR_SPECS)
+                                    CUSTOMER_T2N1_TYPE1, CUSTOMER_T2N1_TYPE2, DIM_CUSTOMER,
+                                    LOYALTY_CUSTOMER, SOURCE_SYSTEM_CUSTOMER, SRC_CUSTOMER, STAR_SPECS,
+                                    empty_table)
 from dimsmith.streaming.incremental import incremental_history
 
 # Parameters of the catalogue queries (the source scripts' fixed ids do not
@@ -138,7 +139,8 @@ def scd2_incremental(spark, sf):
 # -- MERGE -----------------------------------------------------------------------
 
 def _dim_after_base(feed):
-    empty = merge.empty_dimension(feed, "customer_id", CUSTOMER_PAYLOAD)
+    # S3: the declared, empty Type-2 dimension (names, types, NOT NULLs, comments)
+    empty = empty_table(feed.sparkSession, DIM_CUSTOMER)
     base = feed.where(F.col("__ldts") == F.lit(FEED_EPOCH).cast("timestamp_ntz"))
     changes = merge.scd2_merge_changes(empty, base, "customer_id", CUSTOMER_PAYLOAD)
     return merge.merge_upsert(empty, changes, ["customer_id", "__rec_version"])

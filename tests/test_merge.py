@@ -106,3 +106,12 @@ def test_broadcast_only_under_the_bound(spark):
         assert "BroadcastHashJoin" not in physical_plan(no)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_declared_empty_dimension_matches_staged_shape(spark, feed):
+    from dimsmith.sources.model import DIM_CUSTOMER, empty_table
+    empty = empty_table(spark, DIM_CUSTOMER)
+    staged = merge.stage_batch(feed, "customer_id", CUSTOMER_PAYLOAD)
+    assert empty.count() == 0
+    assert [(f.name, f.dataType) for f in empty.schema] == [(f.name, f.dataType) for f in staged.schema]
+    assert empty.schema["__is_latest"].metadata["comment"].startswith("true only on the latest")
