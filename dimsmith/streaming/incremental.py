@@ -46,6 +46,13 @@ def key_bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
 
 
+def _by_bucket(df: DataFrame, key: str) -> DataFrame:
+    """Cluster rows by bucket for the write (few files per bucket) without
+    sending a bucket to one task: range bounds on (bucket, key, row hash) split
+    a large bucket, even one hot key, across several tasks."""
+    return df.repartitionByRange(F.col(BUCKET_COL), F.col(key), F.xxhash64(*df.columns))
+
+
 def _paths(base: str) -> tuple[str, str, str]:
     return (os.path.join(base, "feed_store"), os.path.join(base, "table"),
             os.path.join(base, "COMMITTED"))
@@ -69,7 +76,7 @@ def refresh_batch(spark: SparkSession, base: str, batch: DataFrame, batch_id: in
         return
     dyn = {"partitionOverwriteMode": "dynamic"}
     staged = batch.withColumns({BUCKET_COL: key_bucket(key, buckets), BATCH_COL: F.lit(batch_id)})
-    (staged.repartition(BUCKET_COL).write.mode("overwrite").options(**dyn)
+    (_by_bucket(staged, key).write.mode("overwrite").options(**dyn)
      .partitionBy(BUCKET_COL, BATCH_COL).parquet(store))
 
     keys = batch.select(key).distinct()
@@ -84,7 +91,7 @@ def refresh_batch(spark: SparkSession, base: str, batch: DataFrame, batch_id: in
         state = old.join(keys, key, "left_anti").unionByName(fresh)
     else:
         state = fresh
-    (state.repartition(BUCKET_COL).write.mode("overwrite").options(**dyn)
+    (_by_bucket(state, key).write.mode("overwrite").options(**dyn)
      .partitionBy(BUCKET_COL).parquet(table))
     write_text(spark, marker, str(batch_id))
 
