@@ -193,10 +193,10 @@ def merge_into_table(feed: DataFrame, table_path: str, key: str, payload: Sequen
         current = empty
     changes = scd2_merge_changes(current, batch, key, payload, order, hashed).checkpoint(eager=True)
     merged = merge_upsert(current, changes, [key, "__rec_version"], broadcast_rows=BROADCAST_MAX_ROWS)
-    # Range bounds on (bucket, key, version) keep files per bucket few while a
-    # large bucket (or a key with a long history) is split across tasks.
+    # REBALANCE: hash by bucket (few files per bucket); AQE splits a skewed
+    # bucket across tasks and merges small ones.
     (merged.withColumn(BUCKET_COL, _bucket(key, buckets))
-     .repartitionByRange(BUCKET_COL, key, "__rec_version")
+     .hint("rebalance", BUCKET_COL)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(table_path))
 

@@ -46,11 +46,12 @@ def key_bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
 
 
-def _by_bucket(df: DataFrame, key: str) -> DataFrame:
+def _by_bucket(df: DataFrame) -> DataFrame:
     """Cluster rows by bucket for the write (few files per bucket) without
-    sending a bucket to one task: range bounds on (bucket, key, row hash) split
-    a large bucket, even one hot key, across several tasks."""
-    return df.repartitionByRange(F.col(BUCKET_COL), F.col(key), F.xxhash64(*df.columns))
+    sending a bucket to one task: the REBALANCE hint hash-partitions by bucket
+    and lets AQE split a skewed bucket (even one hot key) across tasks and
+    merge small ones."""
+    return df.hint("rebalance", BUCKET_COL)
 
 
 def _paths(base: str) -> tuple[str, str, str]:
@@ -76,7 +77,7 @@ def refresh_batch(spark: SparkSession, base: str, batch: DataFrame, batch_id: in
         return
     dyn = {"partitionOverwriteMode": "dynamic"}
     staged = batch.withColumns({BUCKET_COL: key_bucket(key, buckets), BATCH_COL: F.lit(batch_id)})
-    (_by_bucket(staged, key).write.mode("overwrite").options(**dyn)
+    (_by_bucket(staged).write.mode("overwrite").options(**dyn)
      .partitionBy(BUCKET_COL, BATCH_COL).parquet(store))
 
     keys = batch.select(key).distinct()
@@ -91,7 +92,7 @@ def refresh_batch(spark: SparkSession, base: str, batch: DataFrame, batch_id: in
         state = old.join(keys, key, "left_anti").unionByName(fresh)
     else:
         state = fresh
-    (_by_bucket(state, key).write.mode("overwrite").options(**dyn)
+    (_by_bucket(state).write.mode("overwrite").options(**dyn)
      .partitionBy(BUCKET_COL).parquet(table))
     write_text(spark, marker, str(batch_id))
 
