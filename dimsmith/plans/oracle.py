@@ -424,8 +424,8 @@ def change_batch_sql(batch: int, n: int, seed: int) -> str:
     bal = (f"CASE WHEN customer_id % 3 = 0 THEN CAST(account_balance_usd + CAST(((customer_id * 31 + {batch} * 17) "
            f"% 18447 - 9223) / 100.0 AS DECIMAL(12,2)) AS DECIMAL(12,2)) ELSE account_balance_usd END")
     return with_([ssc_cte(),
-                  f"picked AS (SELECT * FROM ssc ORDER BY (customer_id * 2654435761 + {seed} * 40503) % 4294967296, "
-                  f"customer_id LIMIT {n})"],
+                  f"picked AS (SELECT * FROM ssc ORDER BY (((customer_id % 2147483647) * 48271 % 2147483647 "
+                  f"+ {seed} * 40503) * 48271) % 2147483647, customer_id LIMIT {n})"],
                  f"SELECT customer_id, name, address, location_id, phone, {bal} AS account_balance_usd, "
                  f"market_segment, comment, {EPOCH} + INTERVAL {10 * batch} MINUTE AS __ldts FROM picked")
 

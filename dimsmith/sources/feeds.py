@@ -27,7 +27,9 @@ BASE_MODULUS = 4
 SELECT_MULT, SELECT_BATCH_MULT, SELECT_MOD, SELECT_BELOW = 7919, 104729, 10, 3
 PERTURB_EVERY = 3
 DELTA_MULT, DELTA_BATCH_MULT, DELTA_MOD, DELTA_OFFSET = 31, 17, 18447, 9223
-SAMPLE_MULT, SAMPLE_SEED_MULT, SAMPLE_MOD = 2654435761, 40503, 4294967296
+# Sampler: Lehmer (Park-Miller) steps modulo the prime 2^31 - 1; every product
+# stays below 2^47, so no key size can overflow a 64-bit integer.
+SAMPLE_MULT, SAMPLE_SEED_MULT, SAMPLE_MOD = 48271, 40503, 2147483647
 
 
 def base_load(source: DataFrame, key: str = "customer_id", modulus: int = BASE_MODULUS,
@@ -67,7 +69,9 @@ def feed_batch(source: DataFrame, batch: int, key: str = "customer_id") -> DataF
 
 
 def sample_key(key: Column, seed: int) -> Column:
-    return (key * SAMPLE_MULT + seed * SAMPLE_SEED_MULT) % SAMPLE_MOD
+    """Seeded pseudo-random order of keys, exact integer arithmetic."""
+    h = ((key % SAMPLE_MOD) * SAMPLE_MULT) % SAMPLE_MOD
+    return ((h + seed * SAMPLE_SEED_MULT) * SAMPLE_MULT) % SAMPLE_MOD
 
 
 def change_batch(source: DataFrame, batch: int, n: int = 1000, seed: int = 0,

@@ -38,3 +38,10 @@ def test_decimal_text_keeps_scale(spark):
     df = spark.createDataFrame([(73.0,)], "v double").select(F.col("v").cast("decimal(12,2)").alias("v"))
     import hashlib
     assert df.select(hash_hex(diff_hash(["v"]))).first()[0] == hashlib.sha1(b"73.00").hexdigest()
+
+
+def test_sample_order_never_overflows(spark):
+    from dimsmith.sources.feeds import SAMPLE_MOD, sample_key
+    df = spark.createDataFrame([(9_000_000_000_000_000_000,), (15_000_000_000,), (0,)], "k long")
+    got = [r[0] for r in df.select(sample_key(F.col("k"), 7)).collect()]
+    assert all(0 <= v < SAMPLE_MOD for v in got)
