@@ -41,7 +41,8 @@ def base_load(source: DataFrame, key: str = "customer_id", modulus: int = BASE_M
 
 def balance_delta(key: Column, batch: int) -> Column:
     """A reproducible stand-in for a random amount in about +-92.23."""
-    cents = (key * DELTA_MULT + batch * DELTA_BATCH_MULT) % DELTA_MOD - DELTA_OFFSET
+    # (key mod m) first: same value for non-negative keys, no overflow for any key
+    cents = ((key % DELTA_MOD) * DELTA_MULT + batch * DELTA_BATCH_MULT) % DELTA_MOD - DELTA_OFFSET
     return (cents.cast(MONEY) / F.lit(100)).cast(MONEY)
 
 
@@ -64,7 +65,8 @@ def perturb(df: DataFrame, batch: int, key: str = "customer_id",
 def feed_batch(source: DataFrame, batch: int, key: str = "customer_id") -> DataFrame:
     """Fixture change batch ``batch`` >= 1: three in ten keys, perturbed."""
     k = F.col(key)
-    picked = source.where((k * SELECT_MULT + batch * SELECT_BATCH_MULT) % SELECT_MOD < SELECT_BELOW)
+    picked = source.where(((k % SELECT_MOD) * SELECT_MULT + batch * SELECT_BATCH_MULT) % SELECT_MOD
+                          < SELECT_BELOW)
     return perturb(picked, batch, key).withColumn("__ldts", load_ts(batch))
 
 
