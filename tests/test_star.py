@@ -117,3 +117,10 @@ def test_loyalty_tiers_and_early_cut(spark, tables):
     assert got == {"Gold": (20, "101732459.87"), "Silver": (80, "336341337.16"),
                    "Bronze": (300, "995454152.79")}
     assert "WindowGroupLimit" in optimized_plan(tables["loyalty_customer"])
+
+
+def test_moved_predicate_reaches_the_scan(spark):
+    from dimsmith.plans.inspect import explain_text
+    text = explain_text(catalog.fk_join_pruned(spark, SF01), "formatted")
+    assert "EqualTo(c_nationkey,4)" in text
+    assert "ReadSchema: struct<c_name:string,c_nationkey:int>" in text
