@@ -31,6 +31,14 @@ from pyspark.sql import functions as F
 TRUST_MODES = ("none", "declared", "verified")
 
 
+def trust_of(spec, verify: bool = False) -> str:
+    """Trust mode from a table's declaration: RELY -> ``'declared'`` (or
+    ``'verified'`` when asked to check), no RELY -> ``'none'``."""
+    if not spec.trusted:
+        return "none"
+    return "verified" if verify else "declared"
+
+
 def _check_trust(trust: str) -> None:
     if trust not in TRUST_MODES:
         raise ValueError(f"trust must be one of {TRUST_MODES}, got {trust!r}")

@@ -23,7 +23,7 @@ from dimsmith.sources import feeds, sinks, testdata
 from dimsmith.sources.model import (CUSTOMER_MERGE_HASHED, CUSTOMER_PAYLOAD, CUSTOMER_T2_TRACKED,
                                     CUSTOMER_T2N1_TYPE1, CUSTOMER_T2N1_TYPE2, DIM_CUSTOMER,
                                     LOYALTY_CUSTOMER, SOURCE_SYSTEM_CUSTOMER, SRC_CUSTOMER, STAR_SPECS,
-                                    empty_table)
+                                    empty_table, star_specs)
 from dimsmith.streaming.incremental import incremental_history
 
 # Parameters of the catalogue queries (the source scripts' fixed ids do not
@@ -36,6 +36,9 @@ SAMPLE_BATCH, SAMPLE_ROWS, SAMPLE_SEED = 1, 1000, 0
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The two declared models: with RELY on every key (rely) and without (norely).
+RELY, NORELY = star_specs(trust=True), star_specs(trust=False)
+
 
 @dataclass(frozen=True)
 class Entry:
@@ -190,33 +193,37 @@ def loyalty_customer(spark, sf):
 
 
 def main_reporting(spark, sf):
-    return star.main_reporting(_star(spark, sf), trust="none")
+    return star.main_reporting(_star(spark, sf), trust=star.trust_of(NORELY["lineitem"]))
 
 
 def main_reporting_trusted(spark, sf):
-    return star.main_reporting(_star(spark, sf), trust="declared")
+    return star.main_reporting(_star(spark, sf), trust=star.trust_of(RELY["lineitem"]))
 
 
 def ship_mode_report(spark, sf):
-    return star.ship_mode_report(star.main_reporting(_star(spark, sf), trust="declared"), REPORT_DATE)
+    return star.ship_mode_report(star.main_reporting(_star(spark, sf), trust=star.trust_of(RELY["lineitem"])),
+                                 REPORT_DATE)
 
 
 def ship_mode_report_norely(spark, sf):
-    return star.ship_mode_report(star.main_reporting(_star(spark, sf), trust="none"), REPORT_DATE)
+    return star.ship_mode_report(star.main_reporting(_star(spark, sf), trust=star.trust_of(NORELY["lineitem"])),
+                                 REPORT_DATE)
 
 
 def reporting_by_customer_region(spark, sf):
-    return star.report_by_customer_region(star.main_reporting(_star(spark, sf), trust="declared"))
+    return star.report_by_customer_region(
+        star.main_reporting(_star(spark, sf), trust=star.trust_of(RELY["lineitem"])))
 
 
 def reporting_by_customer_region_columns(spark, sf):
-    view = star.main_reporting(_star(spark, sf), trust="declared",
+    view = star.main_reporting(_star(spark, sf), trust=star.trust_of(RELY["lineitem"]),
                                columns=["customer_region_id", "quantity", "extended_price_usd"])
     return star.report_by_customer_region(view)
 
 
 def reporting_by_customer_region_norely(spark, sf):
-    return star.report_by_customer_region(star.main_reporting(_star(spark, sf), trust="none"))
+    return star.report_by_customer_region(
+        star.main_reporting(_star(spark, sf), trust=star.trust_of(NORELY["lineitem"])))
 
 
 def _location_4(k):
@@ -225,27 +232,33 @@ def _location_4(k):
 
 def fk_join_pruned(spark, sf):
     t = testdata.star_tables(spark, sf)
+    spec = RELY["customer"]
     joined = star.fk_join(t["customer"], t["location"], "location_id", "location_id",
-                          key_filter=_location_4, trust="declared")
+                          key_filter=_location_4, trust=star.trust_of(spec),
+                          fk_declared=any(fk.parent == "location" for fk in spec.foreign_keys))
     return joined.select(F.col("name").alias("customer_name")).orderBy("customer_name").limit(100)
 
 
 def join_methods(spark, sf):
     t = testdata.star_tables(spark, sf)
-    return star.join_method_counts(t["location"], t["region_main"], "region_id", trust="declared",
-                                   fk_declared=bool(STAR_SPECS["location"].foreign_keys))
+    spec = RELY["location"]
+    return star.join_method_counts(t["location"], t["region_main"], "region_id", trust=star.trust_of(spec),
+                                   fk_declared=any(fk.parent == "region_main" for fk in spec.foreign_keys))
 
 
 def join_methods_bad_fk(spark, sf):
     t = testdata.star_tables(spark, sf)
-    return star.join_method_counts(t["location_bad_fk"], t["region_main"], "region_id", trust="declared",
-                                   fk_declared=True)
+    spec = RELY["location_bad_fk"]
+    return star.join_method_counts(t["location_bad_fk"], t["region_main"], "region_id", trust=star.trust_of(spec),
+                                   fk_declared=any(fk.parent == "region_main" for fk in spec.foreign_keys))
 
 
 def join_methods_bad_fk_verified(spark, sf):
     t = testdata.star_tables(spark, sf)
-    return star.join_method_counts(t["location_bad_fk"], t["region_main"], "region_id", trust="verified",
-                                   fk_declared=True)
+    spec = RELY["location_bad_fk"]
+    return star.join_method_counts(t["location_bad_fk"], t["region_main"], "region_id",
+                                   trust=star.trust_of(spec, verify=True),
+                                   fk_declared=any(fk.parent == "region_main" for fk in spec.foreign_keys))
 
 
 def typed_lineitem(spark, sf):
