@@ -124,3 +124,12 @@ def test_moved_predicate_reaches_the_scan(spark):
     text = explain_text(catalog.fk_join_pruned(spark, SF01), "formatted")
     assert "EqualTo(c_nationkey,4)" in text
     assert "ReadSchema: struct<c_name:string,c_nationkey:int>" in text
+
+
+def test_left_join_to_trusted_key_vanishes_without_fk(spark):
+    t = testdata.star_tables(spark, SF01)
+    loc, rm = t["location"].select("region_id"), t["region_main"]
+    assert logical_joins(star.left_join_keep(loc, rm, "region_id", "declared")) == 0
+    assert logical_joins(star.left_join_keep(loc, rm, "region_id", "none")) == 1
+    # an inner join cannot go without a declared foreign key
+    assert logical_joins(star.fk_join(loc, rm, "region_id", "region_id", fk_declared=False)) == 1
