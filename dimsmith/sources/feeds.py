@@ -13,12 +13,10 @@ Two samplers exist, both distributed:
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimsmith.functions.temporal import load_ts
+from dimsmith.functions.temporal import BATCH_MINUTES, FEED_EPOCH, load_ts
 from dimsmith.sources.model import MONEY
 
 # Fixed values of the fixture feed: base-load modulus, selector and
@@ -39,37 +37,57 @@ def base_load(source: DataFrame, key: str = "customer_id", modulus: int = BASE_M
             .withColumn("__ldts", load_ts(batch)))
 
 
-def balance_delta(key: Column, batch: int) -> Column:
+def balance_delta(key: Column, batch: Column | int) -> Column:
     """A reproducible stand-in for a random amount in about +-92.23."""
     # (key mod m) first: same value for non-negative keys, no overflow for any key
-    cents = ((key % DELTA_MOD) * DELTA_MULT + batch * DELTA_BATCH_MULT) % DELTA_MOD - DELTA_OFFSET
+    cents = ((key % DELTA_MOD) * DELTA_MULT + F.lit(batch) * DELTA_BATCH_MULT) % DELTA_MOD - DELTA_OFFSET
     return (cents.cast(MONEY) / F.lit(100)).cast(MONEY)
 
 
+def _changes(batch: Column, key: Column, alternate: bool, phone_on_odd: bool) -> dict[str, Column]:
+    hit = key % PERTURB_EVERY == 0
+    if alternate:
+        hit = hit & ((key + batch) % 2 == 0)
+    cols = {"account_balance_usd": F.when(
+        hit, (F.col("account_balance_usd") + balance_delta(key, batch)).cast(MONEY)
+    ).otherwise(F.col("account_balance_usd"))}
+    if phone_on_odd:
+        cols["phone"] = F.when(batch % 2 == 1, F.concat(F.lit("20-"), key.cast("string"), F.lit("-"),
+                                                        batch.cast("string"))).otherwise(F.col("phone"))
+    return cols
+
+
 def perturb(df: DataFrame, batch: int, key: str = "customer_id",
             alternate: bool = True, phone_on_odd: bool = True) -> DataFrame:
     """Change every third key's balance (on alternating visits if ``alternate``),
     and the phone in odd batches (a Type-1 change)."""
-    k = F.col(key)
-    hit = k % PERTURB_EVERY == 0
-    if alternate:
-        hit = hit & ((k + batch) % 2 == 0)
-    cols = {"account_balance_usd": F.when(
-        hit, (F.col("account_balance_usd") + balance_delta(k, batch)).cast(MONEY)
-    ).otherwise(F.col("account_balance_usd"))}
-    if phone_on_odd and batch % 2 == 1:
-        cols["phone"] = F.concat(F.lit("20-"), k.cast("string"), F.lit(f"-{batch}"))
-    return df.withColumns(cols)
+    return df.withColumns(_changes(F.lit(batch), F.col(key), alternate, phone_on_odd))
+
+
+def _selected(key: Column, batch: Column) -> Column:
+    return ((key % SELECT_MOD) * SELECT_MULT + batch * SELECT_BATCH_MULT) % SELECT_MOD < SELECT_BELOW
 
 
 def feed_batch(source: DataFrame, batch: int, key: str = "customer_id") -> DataFrame:
     """Fixture change batch ``batch`` >= 1: three in ten keys, perturbed."""
-    k = F.col(key)
-    picked = source.where(((k % SELECT_MOD) * SELECT_MULT + batch * SELECT_BATCH_MULT) % SELECT_MOD
-                          < SELECT_BELOW)
+    picked = source.where(_selected(F.col(key), F.lit(batch)))
     return perturb(picked, batch, key).withColumn("__ldts", load_ts(batch))
 
 
+def change_feed(source: DataFrame, batches: int = 4, key: str = "customer_id") -> DataFrame:
+    """Base load plus ``batches`` change batches (the appended feed, S6/U1).
+
+    One scan of the source: each row fans out over the batch numbers, keeps
+    the batches that select it, and takes that batch's changes (no shuffle)."""
+    b, k = F.col("__b"), F.col(key)
+    fanned = source.select("*", F.explode(F.sequence(F.lit(0), F.lit(batches))).alias("__b"))
+    picked = fanned.where(F.when(b == 0, k % BASE_MODULUS == 0).otherwise(_selected(k, b)))
+    changed = picked.withColumns({
+        c: F.when(b == 0, F.col(c)).otherwise(v) for c, v in _changes(b, k, True, True).items()})
+    stamp = F.lit(FEED_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(mins=b * BATCH_MINUTES)
+    return changed.withColumn("__ldts", stamp).drop("__b")
+
+
 def sample_key(key: Column, seed: int) -> Column:
     """Seeded pseudo-random order of keys, exact integer arithmetic."""
     h = ((key % SAMPLE_MOD) * SAMPLE_MULT) % SAMPLE_MOD
@@ -87,9 +105,3 @@ def change_batch(source: DataFrame, batch: int, n: int = 1000, seed: int = 0,
     picked = source.orderBy(sample_key(k, seed), k).limit(n)
     return (perturb(picked, batch, key, alternate=False, phone_on_odd=False)
             .withColumn("__ldts", load_ts(batch)))
-
-
-def change_feed(source: DataFrame, batches: int = 4, key: str = "customer_id") -> DataFrame:
-    """Base load plus ``batches`` change batches (append = ``unionByName``)."""
-    parts = [base_load(source, key)] + [feed_batch(source, b, key) for b in range(1, batches + 1)]
-    return reduce(DataFrame.unionByName, parts)
