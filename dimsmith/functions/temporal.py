@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The surrogate high date of open intervals (as in the source
+# scripts), and the fixture feed's first load time and load interval.
 HIGH_DATE = "9999-12-31 00:00:00"
 FEED_EPOCH = "2024-01-01 00:00:00"
 BATCH_MINUTES = 10

@@ -75,6 +75,8 @@ def orphan_free(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> bool:
 # ----------------------------------------------------------------------------
 # Wide reporting mart: lineitem with seven left joins (two roles of location).
 
+# Output column names of the reporting view, in view order
+# (16 line columns, then supplier, orders, customer, part and loyalty ones).
 LINE_COLUMNS = ("line_number", "sales_order_id", "part_id", "supplier_id", "quantity",
                 "extended_price_usd", "discount_percent", "tax_percent", "return_flag",
                 "line_status", "ship_date", "commit_date", "receipt_date",
