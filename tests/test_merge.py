@@ -115,3 +115,12 @@ def test_declared_empty_dimension_matches_staged_shape(spark, feed):
     assert empty.count() == 0
     assert [(f.name, f.dataType) for f in empty.schema] == [(f.name, f.dataType) for f in staged.schema]
     assert empty.schema["__is_latest"].metadata["comment"].startswith("true only on the latest")
+
+
+def test_stored_merge_retry_is_a_no_op(spark, feed):
+    from dimsmith.session import scratch_path
+    path = scratch_path(spark, "test-dim-retry")
+    merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, buckets=4)
+    once = _rows(merge.read_dimension(spark, path))
+    merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, buckets=4)   # same newest batch
+    assert _rows(merge.read_dimension(spark, path)) == once
