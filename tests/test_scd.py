@@ -150,3 +150,14 @@ def test_hot_keys_are_found_and_chunked(spark):
     # every chunk holds a bounded, contiguous slice of (key, ts)
     sizes = [r[1] for r in split.hot.groupBy(scd.CHUNK).count().collect()]
     assert max(sizes) <= 2 * 40 * 1.5 + 40 and len(sizes) > 100
+
+
+def test_composite_key_hot_path_equals_plain(spark):
+    ev = catalog._events(spark, SF01)
+    keys = ["user_id", "event_type"]
+    plain = scd.scd2_history(ev, keys, "ts", ["value"], max_key_rows=None)
+    hot = scd.scd2_history(ev, keys, "ts", ["value"], max_key_rows=10)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(hot) == rows(plain)
+    r = plain.select("dim_skey", "user_id", "event_type").first()
+    assert r.dim_skey.startswith(f"{r.user_id}|{r.event_type}|")
