@@ -135,6 +135,16 @@ def history_skew_profile(spark, sf):
     return scd.history_profile(_feed(spark, sf), "customer_id", top=20)
 
 
+def scd2_point_in_time_join(spark, sf):
+    """Every event joined to the customer version valid at the event's time."""
+    hist = _customer_t2(spark, sf, True).select("customer_id", "__from_dts", "__to_dts",
+                                                "__rec_version", "account_balance_usd")
+    events = testdata.raw(spark, sf, "events").select("event_id", F.col("user_id").alias("customer_id"),
+                                                      F.col("ts").cast("timestamp_ntz").alias("ts"))
+    return (scd.as_of_join(events, hist, "customer_id", "ts")
+            .select("event_id", "customer_id", "ts", "__rec_version", "account_balance_usd"))
+
+
 def scd2_incremental(spark, sf):
     return hashes_to_hex(incremental_history(_feed(spark, sf), "customer_id", _customer_t2n1))
 
@@ -334,6 +344,8 @@ def catalog() -> dict[str, Entry]:
         "scd2n1_events": Entry(scd2n1_events, oracle.events_t2n1(), "K5"),
         "scd2_as_of": Entry(scd2_as_of, oracle.as_of_sql(AS_OF), "interval lookup over K4c"),
         "scd2_incremental": Entry(scd2_incremental, oracle.customer_t2n1(), "S10 K8"),
+        "scd2_point_in_time_join": Entry(scd2_point_in_time_join, oracle.point_in_time_sql(),
+                                         "interval join over K4c"),
         "history_skew_profile": Entry(history_skew_profile, oracle.skew_profile_sql(20), "skew audit (top-k)"),
         "scd2_merge_changes": Entry(scd2_merge_changes, oracle.merge_changes_sql(), "F7 A4 J1 J4 J5 U1 K6"),
         "scd2_merge_upsert": Entry(scd2_merge_upsert, oracle.merge_upsert_sql(), "S3 S4 S11 K6"),

@@ -131,6 +131,13 @@ def events_t2n1() -> str:
     return history_t2n1_sql(events_ctes(), "user_id", "ts", EVENT_PAYLOAD, ("event_type",), ("value",))
 
 
+def point_in_time_sql() -> str:
+    hist = customer_t2(True)
+    return (f"SELECT e.event_id, e.user_id AS customer_id, e.ts, h.__rec_version, h.account_balance_usd "
+            f"FROM events e LEFT JOIN ({hist}) h ON h.customer_id = e.user_id "
+            f"AND e.ts BETWEEN h.__from_dts AND h.__to_dts")
+
+
 def skew_profile_sql(top: int) -> str:
     return with_(feed_ctes(), f"SELECT customer_id, count(*) AS rows FROM feed GROUP BY customer_id "
                               f"ORDER BY rows DESC, customer_id LIMIT {top}")
