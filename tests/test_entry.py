@@ -2,7 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as ent
-from scripts.verify_oracle import TABLES, digest
+from scripts.verify_oracle import TABLES, digest, duck_type_of
 
 from conftest import SF001
 
@@ -29,6 +29,9 @@ def duck():
 def test_query_matches_oracle(spark, duck, name):
     df = ent.queries()[name](spark, SF001)
     rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(ent.oracle_sql()[name])
+    assert {f.name: duck_type_of(f.dataType.simpleString()) for f in df.schema} == \
+        dict(zip(rel.columns, [str(t) for t in rel.types]))
     cur = duck.execute(ent.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
