@@ -133,3 +133,9 @@ def test_left_join_to_trusted_key_vanishes_without_fk(spark):
     assert logical_joins(star.left_join_keep(loc, rm, "region_id", "none")) == 1
     # an inner join cannot go without a declared foreign key
     assert logical_joins(star.fk_join(loc, rm, "region_id", "region_id", fk_declared=False)) == 1
+
+
+def test_quantity_by_return_flag_matches_fixture(spark):
+    li = testdata.star_tables(spark, SF01)["lineitem"]
+    got = {r.return_flag: int(r.q) for r in li.groupBy("return_flag").agg(F.sum("quantity").alias("q")).collect()}
+    assert got == {"A": 506627, "N": 508966, "R": 508542}
