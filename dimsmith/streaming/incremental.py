@@ -125,7 +125,8 @@ def maintain(spark: SparkSession, feed_dir: str, base: str, key: str,
 
 def write_feed_files(feed: DataFrame, feed_dir: str, order: str = "__ldts",
                      rows_per_file: int = 5_000_000) -> int:
-    """Write the feed as files in load order, at most ``rows_per_file`` rows each
+    """Write the feed as files in load order (returns the row count), at most
+    ``rows_per_file`` rows each
     (a load is spread over as many tasks as its size needs, never funnelled
     through one). A micro-batch may hold part of a load; maintenance does not
     depend on how the feed is split."""
@@ -134,18 +135,25 @@ def write_feed_files(feed: DataFrame, feed_dir: str, order: str = "__ldts",
         lit = F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz") if hasattr(ts, "isoformat") else F.lit(ts)
         files = max(1, -(-n // rows_per_file))
         feed.where(F.col(order) == lit).repartition(files).write.mode("append").parquet(feed_dir)
-    return len(loads)
+    return sum(n for _, n in loads)
+
+
+def buckets_for(rows: int, rows_per_bucket: int = 2_000_000, most: int = 4096) -> int:
+    """Key buckets for a maintained table of about ``rows`` rows."""
+    return max(1, min(most, -(-rows // rows_per_bucket)))
 
 
 def incremental_history(feed: DataFrame, key: str, history: Callable[[DataFrame], DataFrame],
                         order: str = "__ldts", work: str | None = None,
-                        buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Run the whole file-fed maintenance on ``feed`` and return the final table."""
+                        buckets: int | None = None) -> DataFrame:
+    """Run the whole file-fed maintenance on ``feed`` and return the final table
+    (``buckets`` defaults to one per ~2M feed rows)."""
     spark = feed.sparkSession
     work = work or scratch_path(spark, "incremental")
     feed_dir = os.path.join(work, "feed")
     base = os.path.join(work, "maintained")
-    write_feed_files(feed, feed_dir, order)
+    rows = write_feed_files(feed, feed_dir, order)
+    buckets = buckets or buckets_for(rows)
     q = maintain(spark, feed_dir, base, key, history, schema=feed.schema, buckets=buckets)
     q.awaitTermination()
     if q.exception() is not None:
