@@ -12,12 +12,13 @@ from __future__ import annotations
 import os
 import posixpath
 import re
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that pin small tables)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,8 +50,25 @@ def space_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_LOWER_TABLE).split() if text else []
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, unless their PYTHONPATH has it already."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    sc = spark.sparkContext
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_dimsmith_shipped", False):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="dimsmith-py-"), "dimsmith_py.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "dimsmith")):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), root))
+    sc.addPyFile(archive)
+    sc._dimsmith_shipped = True
+
+
 def tune(spark: SparkSession) -> None:
-    """Bound the Arrow batches that reach Python workers, by bytes and rows."""
+    """Prepare the session: ship the package, bound the Arrow batches by bytes and rows."""
+    ship(spark)
     for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH_BYTES),
                       ("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_BATCH_ROWS)):
         have = spark.conf.get(key, None)

@@ -6,20 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_cascade, ring_sharding
+from . import quality_cascade, ring_sharding, simhash_neardup, suffix_decontamination
 from .common import documents, tune
 
 
+def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_neardup.neardups(documents(spark, sf_dir))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.quality(documents(spark, sf_dir))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_decontamination.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring_sharding.shard(documents(spark, sf_dir), shards=16)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op5_quality_rules, op10_sharding)
+    found = (op4_simhash_neardup, op5_quality_rules, op9_decontamination, op10_sharding)
 
     def tuned(query):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
