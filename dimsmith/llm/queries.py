@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_cascade, ring_sharding, simhash_neardup, suffix_decontamination
+from . import (aho_viterbi, license_templates, quality_cascade, ring_sharding, simhash_neardup,
+               suffix_decontamination, token_store)
 from .common import documents, tune
 
 
+def op1_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_templates.report(documents(spark, sf_dir))
+
+
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.report(documents(spark, sf_dir))
+
+
 def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_neardup.neardups(documents(spark, sf_dir))
 
@@ -18,6 +27,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.quality(documents(spark, sf_dir))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aho_viterbi.report(documents(spark, sf_dir))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_decontamination.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -27,7 +40,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op4_simhash_neardup, op5_quality_rules, op9_decontamination, op10_sharding)
+    found = (op1_license_templates, op3_token_store, op4_simhash_neardup, op5_quality_rules, op7_sentencepiece,
+             op9_decontamination, op10_sharding)
 
     def tuned(query):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
