@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (aho_viterbi, license_templates, quality_cascade, ring_sharding, simhash_neardup,
-               suffix_decontamination, token_store)
+from . import (aho_viterbi, license_templates, pii_disclosure, quality_cascade, ring_sharding, simhash_neardup,
+               suffix_decontamination, token_store, toxicity_grammar)
 from .common import documents, tune
 
 
@@ -15,6 +15,10 @@ def op1_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_templates.report(documents(spark, sf_dir))
 
 
+def op2_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_grammar.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.report(documents(spark, sf_dir))
 
@@ -31,6 +35,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aho_viterbi.report(documents(spark, sf_dir))
 
 
+def op8_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_disclosure.report(documents(spark, sf_dir))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_decontamination.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -40,8 +48,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_license_templates, op3_token_store, op4_simhash_neardup, op5_quality_rules, op7_sentencepiece,
-             op9_decontamination, op10_sharding)
+    found = (op1_license_templates, op2_toxicity_grammar, op3_token_store, op4_simhash_neardup, op5_quality_rules,
+             op7_sentencepiece, op8_pii_disclosure, op9_decontamination, op10_sharding)
 
     def tuned(query):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
