@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (aho_viterbi, license_templates, pii_disclosure, quality_cascade, ring_sharding, simhash_neardup,
-               suffix_decontamination, token_store, toxicity_grammar)
+from . import (aho_viterbi, elias_fano_lm, license_templates, pii_disclosure, quality_cascade, ring_sharding,
+               simhash_neardup, suffix_decontamination, token_store, toxicity_grammar)
 from .common import documents, tune
 
 
@@ -31,6 +31,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.quality(documents(spark, sf_dir))
 
 
+def op6_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return elias_fano_lm.score(documents(spark, sf_dir))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aho_viterbi.report(documents(spark, sf_dir))
 
@@ -49,7 +53,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_license_templates, op2_toxicity_grammar, op3_token_store, op4_simhash_neardup, op5_quality_rules,
-             op7_sentencepiece, op8_pii_disclosure, op9_decontamination, op10_sharding)
+             op6_elias_fano_lm, op7_sentencepiece, op8_pii_disclosure, op9_decontamination, op10_sharding)
 
     def tuned(query):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
