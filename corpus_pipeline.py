@@ -29,13 +29,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without benchmark spans; mostly contaminated documents go."""
     tune(spark)
-    return suffix_decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _measured(suffix_decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data generalised or removed."""
     tune(spark)
-    return pii_disclosure.sanitise(docs)
+    return _measured(pii_disclosure.sanitise(docs))
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """n_chars of the text as it is now."""
+    return docs.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
