@@ -13,8 +13,8 @@ emits (an insult's weight grows with the evidence of its lexicon entry), and a
 document's score is the logistic of its matched clauses' scores and a bias.
 
 The lexicon and the weights are learned from labelled rows only. Entries are
-words and word stems (prefixes of ``STEMS`` letters) that occur significantly
-more often in toxic documents, counted on at most ``LEARN_ROWS`` labelled rows
+words and word stems (prefixes of ``STEMS`` letters) that occur, neither negated
+nor reported, significantly more often in toxic documents, counted on at most ``LEARN_ROWS`` labelled rows
 (the documented bound); an entry needs several distinct contexts, so that copies
 of one document prove nothing. Weights start at prior values and are fitted by
 regularised logistic regression on the same rows. Without labels the prior
@@ -60,10 +60,11 @@ MIN_CONTEXTS = 3
 MIN_EVIDENCE = 18.0
 MIN_LIFT = 2.5
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
+_NEGATING, _REPORTING = frozenset(NEGATIONS), frozenset(REPORTS)
 # Final symbols that weigh, with prior weights: plain insult, at a target,
 # negated, reported, plain threat, threat at a target.
 EMITTED = "ITnrHK"
-PRIOR = np.array([3.0, 1.0, 0.5, 0.3, 0.5, 2.0])
+PRIOR = np.array([3.0, 4.0, 0.5, 0.3, 0.5, 3.0])
 PRIOR_BIAS = -2.5
 
 
@@ -153,6 +154,23 @@ def target(symbols: str) -> str:
     return "".join(out)
 
 
+def plain(words: list[str]) -> set[str]:
+    """Words that are neither negated nor reported in their clause."""
+    out, left, told = set(), 0, False
+    for w in words:
+        if not w[0].isalpha():
+            left, told = 0, False
+        elif w in _NEGATING:
+            left = NEGATION_REACH
+        elif w in _REPORTING:
+            told = True
+        elif left:
+            left -= 1
+        elif not told:
+            out.add(w)
+    return out
+
+
 def _entries(word: str) -> Iterator[str]:
     yield word
     for n in STEMS:
@@ -191,7 +209,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) -> Grammar
         for batch in it:
             counts = (Counter(), Counter())
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[toxic].update({e for w in set(_TOKEN.findall(text.lower())) if w[0].isalpha() for e in _entries(w)})
+                counts[toxic].update({e for w in plain(_TOKEN.findall(text.lower())) for e in _entries(w)})
             clean, toxic = counts
             yield from batches(((e, toxic[e], clean[e]) for e in toxic.keys() | clean.keys()), _COUNTS)
 
