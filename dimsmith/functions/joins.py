@@ -1,20 +1,39 @@
-"""Join helpers: broadcast only behind a checked size bound."""
+"""Join helpers: broadcast only behind a checked size in bytes."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Bound for broadcast sides: comfortable for every executor.
+BROADCAST_MAX_BYTES = 64 << 20
+
+
+def row_bytes(df: DataFrame):
+    """Bytes of a row as a column: fixed-size values as they are, strings and binaries by length.
 
-# Default bound for broadcasting key sets: 1M keys of a few longs is a few
-# tens of MB per executor, well inside a broadcast's comfort zone.
-BROADCAST_MAX_ROWS = 1_000_000
+    None if a column's size can't be told (nested types)."""
+    parts = []
+    for f in df.schema:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 16)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return None
+        else:
+            parts.append(F.lit(16))
+    return reduce(lambda a, b: a + b, parts, F.lit(16))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged
-    (the planner then shuffles both sides). Counting costs one pass over ``df``,
-    so use it on small or materialised inputs. ``max_rows=None`` skips the check
-    and leaves the choice to the planner/AQE."""
-    if max_rows is None:
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` if its rows take at most ``max_bytes``, else ``df`` unchanged
+    (the planner then shuffles both sides). Measuring costs one partially
+    aggregated pass over ``df``, so use it on small or materialised inputs.
+    ``max_bytes=None`` skips the check and leaves the choice to the planner/AQE."""
+    size = None if max_bytes is None else row_bytes(df)
+    if size is None:
         return df
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    total = df.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if total <= max_bytes else df

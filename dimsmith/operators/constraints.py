@@ -17,6 +17,7 @@ Inputs are ``{name: (spec, DataFrame)}``; ``name`` is the table name reported.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,23 @@ from dimsmith.sources.model import TableSpec
 Tables = dict[str, tuple[TableSpec, DataFrame]]
 
 
+class NotNullViolation(ValueError):
+    """Rows that break a NOT NULL declaration; ``counts`` has them by column."""
+
+    def __init__(self, counts: dict[str, int]):
+        super().__init__("NULL in NOT NULL columns: " + ", ".join(f"{c}: {n} rows" for c, n in counts.items()))
+        self.counts = counts
+
+
+def enforce_not_null(df: DataFrame, columns: Sequence[str]) -> None:
+    """Refuse rows with NULL in ``columns``, with a count for each (one aggregate)."""
+    if columns:
+        row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+        bad = {c: row[c] for c in columns if row[c]}
+        if bad:
+            raise NotNullViolation(bad)
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -82,11 +100,18 @@ def audit_unique(tables: Tables) -> DataFrame:
 
 
 def audit_foreign_key(tables: Tables) -> DataFrame:
-    """(table_name, fk_columns, parent_table, orphan_keys, orphan_rows)."""
+    """(table_name, fk_columns, parent_table, orphan_keys, orphan_rows).
+
+    A reference to a table that isn't among ``tables`` has NULL counts."""
     parts = []
     for name, (spec, df) in tables.items():
         for fk in spec.foreign_keys:
             if fk.parent not in tables:
+                # A reference that nobody can check is reported, not passed over.
+                parts.append(df.limit(0).agg(
+                    F.lit(name).alias("table_name"), F.lit(",".join(fk.columns)).alias("fk_columns"),
+                    F.lit(fk.parent).alias("parent_table"), F.lit(None).cast("bigint").alias("orphan_keys"),
+                    F.lit(None).cast("bigint").alias("orphan_rows")))
                 continue
             parent = tables[fk.parent][1]
             alias = [f"__k{i}" for i in range(len(fk.columns))]
@@ -116,7 +141,9 @@ def type_checks(spec: TableSpec, source: DataFrame) -> dict[str, Column]:
             checks[f"{c.name}|precision"] = F.count_if(v.isNotNull() & v.try_cast(f"decimal({p},{s})").isNull())
             # A plain cast rounds silently; a value that changes under the
             # round trip through decimal(38, s) has more than s decimals.
-            checks[f"{c.name}|scale"] = F.count_if(v.cast(f"decimal(38,{s})").cast("double") != v)
+            # What does not fit decimal(38, s) at all (NaN, overflow) is a violation too.
+            held = v.try_cast(f"decimal(38,{s})")
+            checks[f"{c.name}|scale"] = F.count_if(v.isNotNull() & (held.isNull() | (held.cast("double") != v)))
     return checks
 
 

@@ -9,9 +9,9 @@ primary key; ``audit_primary_key`` reports it.
 
 Scale: orders are pre-aggregated per customer before the join (map-side
 partial sums, so a customer with a third of all orders costs one row per task),
-and the global rank never gathers all customers: Catalyst inserts a partial
-``WindowGroupLimit`` so each task forwards only its top ranks to the single
-ranking partition.
+and the global rank is taken over the distinct totals, which the customers then
+join: Catalyst inserts a partial ``WindowGroupLimit``, so each task forwards at
+most as many totals as there are ranks to the single ranking partition.
 """
 
 from __future__ import annotations
@@ -50,13 +50,16 @@ def loyalty_customers(customer: DataFrame, sales_order: DataFrame, early_ids: Se
                       min_balance: float = MIN_BALANCE) -> DataFrame:
     totals = customer_order_totals(customer, sales_order, exclude_location, min_balance)
     last_rank = max(hi for _, hi, _ in tiers)
-    rank = F.dense_rank().over(Window.orderBy(F.desc_nulls_first("total_price_usd")))
+    # Rank the distinct totals, not the customers: a total shared by any number
+    # of customers (or missing) is one row in the ranking task.
+    rank = F.dense_rank().over(Window.orderBy(F.desc_nulls_first("__t")))
+    best = (totals.select(F.col("total_price_usd").alias("__t")).distinct()
+            .withColumn("cust_level", rank).where(F.col("cust_level") <= last_rank))
     level = None
     for lo, hi, name in tiers:
         cond = F.col("cust_level").between(lo, hi)
         level = F.when(cond, name) if level is None else level.when(cond, name)
-    ranked = (totals.withColumn("cust_level", rank)
-              .where(F.col("cust_level") <= last_rank)
+    ranked = (totals.join(F.broadcast(best), F.col("total_price_usd").eqNullSafe(F.col("__t")))  # last_rank rows
               .select("customer_id", level.alias("level"), F.lit(TOP_TYPE).alias("type")))
     spark = customer.sparkSession
     early = (spark.createDataFrame([(int(i),) for i in early_ids], "customer_id bigint")

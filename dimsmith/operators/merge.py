@@ -4,7 +4,7 @@
 dimension with **one** join instead of three:
 
 * the dimension is first reduced to the keys of the batch (semi-join; the
-  batch keys are broadcast when a row count shows they are small, so the large
+  batch keys are broadcast when their measured bytes are small, so the large
   dimension is streamed once and never shuffled; beyond the bound both sides
   are shuffled),
 * each touched key is summarised to its latest row (``max`` of a struct whose
@@ -28,14 +28,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dimsmith.functions.hashing import diff_hash, null_hash
-from dimsmith.functions.joins import BROADCAST_MAX_ROWS, broadcast_if_small
+from dimsmith.functions.joins import BROADCAST_MAX_BYTES, broadcast_if_small
 from dimsmith.functions.temporal import high_date, minus_tick
-from dimsmith.sources.sinks import path_exists
+from dimsmith.operators.constraints import enforce_not_null
+from dimsmith.sources.versioned import VersionedTable
 
 UPDATE_TYPE = "__tmp_update_type"
 # Fixed labels of the three change kinds.
@@ -78,13 +78,13 @@ def empty_dimension(feed: DataFrame, key: str, payload: Sequence[str], order: st
 def scd2_merge_changes(dim: DataFrame, batch: DataFrame, key: str, payload: Sequence[str],
                        order: str = "__ldts", hashed: Sequence[str] | None = None,
                        batch_ts: Column | None = None,
-                       broadcast_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+                       broadcast_bytes: int | None = BROADCAST_MAX_BYTES) -> DataFrame:
     """Change rows (dimension columns + ``__tmp_update_type``) for one batch."""
     staged = stage_batch(batch, key, payload, order, hashed, batch_ts)
     cols = staged.columns
     rest = [c for c in cols if c != key]
 
-    batch_keys = broadcast_if_small(staged.select(key), broadcast_rows)
+    batch_keys = broadcast_if_small(staged.select(key), broadcast_bytes)
     touched = dim.join(batch_keys, key, "left_semi")
     cur = F.max(F.when(F.col("__is_latest"),
                        F.struct(*[F.col(c) for c in ["__rec_version", *[c for c in rest if c != "__rec_version"]]])))
@@ -111,13 +111,13 @@ def scd2_merge_changes(dim: DataFrame, batch: DataFrame, key: str, payload: Sequ
 
 
 def merge_upsert(dim: DataFrame, changes: DataFrame, keys: Sequence[str],
-                 broadcast_rows: int | None = None) -> DataFrame:
+                 broadcast_bytes: int | None = None) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE ALL WHEN NOT MATCHED INSERT ALL, on ``keys``.
 
-    Pass ``broadcast_rows`` only for a materialised (cheap to count) change set."""
+    Pass ``broadcast_bytes`` only for a materialised (cheap to count) change set."""
     upd = changes.drop(UPDATE_TYPE) if UPDATE_TYPE in changes.columns else changes
     upd = upd.select(*dim.columns)
-    change_keys = broadcast_if_small(upd.select(*keys), broadcast_rows)
+    change_keys = broadcast_if_small(upd.select(*keys), broadcast_bytes)
     return dim.join(change_keys, list(keys), "left_anti").unionByName(upd)
 
 
@@ -130,7 +130,7 @@ def scd2_merge(dim: DataFrame, feed: DataFrame, key: str, payload: Sequence[str]
     applied: it is read twice and is at most twice the batch."""
     changes = scd2_merge_changes(dim, newest_batch(feed, order), key, payload, order, hashed, batch_ts)
     changes = changes.checkpoint(eager=True)
-    return merge_upsert(dim, changes, [key, "__rec_version"], broadcast_rows=BROADCAST_MAX_ROWS)
+    return merge_upsert(dim, changes, [key, "__rec_version"], broadcast_bytes=BROADCAST_MAX_BYTES)
 
 
 def _ts_literal(value) -> Column:
@@ -154,7 +154,7 @@ def scd2_merge_replay(feed: DataFrame, key: str, payload: Sequence[str], order:
     for ts in loads:
         batch = feed.where(F.col(order) == _ts_literal(ts))
         changes = scd2_merge_changes(state, batch, key, payload, order, hashed).checkpoint(eager=True)
-        state = merge_upsert(state, changes, [key, "__rec_version"], broadcast_rows=BROADCAST_MAX_ROWS)
+        state = merge_upsert(state, changes, [key, "__rec_version"], broadcast_bytes=BROADCAST_MAX_BYTES)
         if checkpoint:
             state = state.checkpoint(eager=True)
     return state
@@ -162,44 +162,41 @@ def scd2_merge_replay(feed: DataFrame, key: str, payload: Sequence[str], order:
 
 # -- stored dimension ------------------------------------------------------------
 
-BUCKET_COL = "__bucket"
-DEFAULT_BUCKETS = 32
-
-
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
+CURRENT, CLOSED = "current", "closed"
 
 
 def merge_into_table(feed: DataFrame, table_path: str, key: str, payload: Sequence[str],
                      order: str = "__ldts", hashed: Sequence[str] | None = None,
-                     buckets: int = DEFAULT_BUCKETS, batch: DataFrame | None = None) -> None:
+                     buckets: int | None = None, batch: DataFrame | None = None) -> None:
     """MERGE the newest batch of ``feed`` (or ``batch``) into the dimension
-    stored at ``table_path``, partitioned by key bucket.
-
-    Only the buckets holding the batch's keys are read (partition pruning) and
-    rewritten (dynamic partition overwrite); the rest of the dimension is not
-    touched, so a MERGE costs about the batch's share of buckets, not the whole
-    table. Re-running a batch yields no changes (hashes match) and rewrites the
-    same content, so a retry after a failure is safe.
+    stored at ``table_path``.
+
+    The table is a ``VersionedTable`` of two parts: ``current`` holds the latest
+    row of each key, ``closed`` the expired ones. A MERGE reads the current rows
+    of the batch's keys (touched buckets of the base, and the deltas), writes
+    new latest rows as a delta and appends what it closed; closed rows are never
+    read or written again. So its writes follow the batch. One manifest
+    publishes both; a writer that dies before that changes nothing, and a
+    repeated batch finds no changes (hashes match). NULL keys or load times are
+    refused with their counts, as the dimension declares them NOT NULL.
     """
     spark = feed.sparkSession
     batch = newest_batch(feed, order) if batch is None else batch
-    touched = [r[0] for r in batch.select(_bucket(key, buckets)).distinct().collect()]  # <= buckets ids
+    enforce_not_null(batch, [key, order])
+    table = VersionedTable(spark, table_path, key, buckets)
     empty = empty_dimension(feed, key, payload, order)
-    if path_exists(spark, table_path):
-        current = (spark.read.parquet(table_path).where(F.col(BUCKET_COL).isin(touched))
-                   .drop(BUCKET_COL).select(*empty.columns))
-    else:
-        current = empty
+    current = table.keyed(CURRENT, table.touched(batch))
+    current = empty if current is None else current.select(*empty.columns)
     changes = scd2_merge_changes(current, batch, key, payload, order, hashed).checkpoint(eager=True)
-    merged = merge_upsert(current, changes, [key, "__rec_version"], broadcast_rows=BROADCAST_MAX_ROWS)
-    # REBALANCE: hash by bucket (few files per bucket); AQE splits a skewed
-    # bucket across tasks and merges small ones.
-    (merged.withColumn(BUCKET_COL, _bucket(key, buckets))
-     .hint("rebalance", BUCKET_COL)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL).parquet(table_path))
-
-
-def read_dimension(spark, table_path: str) -> DataFrame:
-    return spark.read.parquet(table_path).drop(BUCKET_COL)
+    expired = F.col(UPDATE_TYPE) == T2_EXPIRE
+    commit = table.begin()
+    commit.replace_keys(CURRENT, changes.where(~expired).drop(UPDATE_TYPE))
+    commit.append(CLOSED, changes.where(expired).drop(UPDATE_TYPE))
+    commit.compact(keyed=[CURRENT], appended=[CLOSED]).publish()
+
+
+def read_dimension(spark: SparkSession, table_path: str, key: str) -> DataFrame:
+    """Latest and closed rows of the stored dimension (a snapshot)."""
+    table = VersionedTable(spark, table_path, key)
+    current, closed = table.keyed(CURRENT), table.appended(CLOSED)
+    return current if closed is None else current.unionByName(closed)

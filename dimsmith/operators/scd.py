@@ -38,12 +38,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimsmith.functions.hashing import diff_hash, null_hash
-from dimsmith.functions.joins import BROADCAST_MAX_ROWS
+from dimsmith.functions.joins import broadcast_if_small
+from dimsmith.sources.versioned import _same_keys
 from dimsmith.functions.temporal import high_date, minus_tick, ts_text
 from dimsmith.functions.windows import full_frame, key_window
 
@@ -108,18 +111,15 @@ class _Hot:
             self.cold, self.hot = feed, None
             return
         hot = over.select(*keys).checkpoint(eager=True)  # <= rows / max_key_rows keys
-        hot_keys = F.broadcast(hot) if self.n_keys <= BROADCAST_MAX_ROWS else hot
-        self.cold = feed.join(hot_keys, keys, "left_anti")
+        hot_keys = broadcast_if_small(hot)
+        # Null keys are keys like any other: nulls meet nulls in these joins.
+        self.cold = _same_keys(feed, hot_keys, keys, "left_anti")
         self.n_chunks = max(2, math.ceil(stats["rows"] / max_key_rows) + 1)
-        self.hot = (feed.join(hot_keys, keys, "left_semi")
+        self.hot = (_same_keys(feed, hot_keys, keys, "left_semi")
                     .repartitionByRange(self.n_chunks, *keys, order)
                     .withColumn(CHUNK, F.spark_partition_id())
                     .checkpoint(eager=True))        # pins chunk ids, cuts lineage
 
-    def small(self, df: DataFrame) -> DataFrame:
-        """Per-(key, chunk) summaries: at most hot keys + chunks rows."""
-        return F.broadcast(df) if self.n_keys + self.n_chunks <= BROADCAST_MAX_ROWS else df
-
     def lag(self, df: DataFrame) -> DataFrame:
         keys, order = self.keys, self.order
         wc = Window.partitionBy(*keys, CHUNK).orderBy(order)
@@ -127,7 +127,7 @@ class _Hot:
         s = df.groupBy(*keys, CHUNK).agg(F.max_by(T2_HASH, order).alias("__last_h"))
         s = s.select(*keys, CHUNK, F.lag("__last_h").over(
             Window.partitionBy(*keys).orderBy(CHUNK)).alias("__carry_h"))
-        j = loc.join(self.small(s), [*keys, CHUNK], "left")
+        j = _same_keys(loc, s, [*keys, CHUNK], "left")
         prev = F.when(F.col("__rn_l") == 1, F.col("__carry_h")).otherwise(F.col("__lag_c"))
         return (j.withColumn(PREV_HASH, F.coalesce(prev, null_hash()))
                 .drop("__lag_c", "__rn_l", "__carry_h"))
@@ -145,7 +145,7 @@ class _Hot:
                      F.lead("__min").over(wk).alias("__next_min"),
                      F.first("__min").over(full_frame(wk)).alias("__first"),
                      F.last("__max").over(full_frame(wk)).alias("__last"))
-        j = loc.join(self.small(s), [*keys, CHUNK], "left")
+        j = _same_keys(loc, s, [*keys, CHUNK], "left")
         return (j.withColumns({"__rn": F.col("__rn_c") + F.col("__off"),
                                "__nxt": F.coalesce(F.col("__lead_c"), F.col("__next_min"))})
                 .drop("__rn_c", "__lead_c", "__off", "__next_min"))
@@ -153,8 +153,7 @@ class _Hot:
     def type1(self, df: DataFrame, type1) -> DataFrame:
         keys, order = self.keys, self.order
         last = df.groupBy(*keys).agg(F.max_by(F.struct(*type1), order).alias("__t1"))
-        small = F.broadcast(last) if self.n_keys <= BROADCAST_MAX_ROWS else last
-        j = df.join(small, keys, "left")
+        j = _same_keys(df, last, keys, "left")
         return j.withColumns({c: F.col("__t1")[c] for c in type1}).drop("__t1")
 
 
@@ -189,9 +188,10 @@ def _t2(feed, keys, order, tracked, compact, payload, lag, system) -> DataFrame:
 
 def scd2_history(feed: DataFrame, key: str | Sequence[str], order: str,
                  tracked: Sequence[str], *, compact: bool = True,
-                 max_key_rows: int | None = DEFAULT_MAX_KEY_ROWS) -> DataFrame:
+                 max_key_rows: int | None = DEFAULT_MAX_KEY_ROWS, rows: int | None = None) -> DataFrame:
     """Type-2 history of ``feed``; a new version starts when the hash of
-    ``tracked`` differs from the previous row's."""
+    ``tracked`` differs from the previous row's. ``rows``, if known, bounds the
+    feed's rows: where no key can be hot, none is looked for."""
     keys = _keys(key)
     payload = [c for c in feed.columns if c not in keys and c != order]
 
@@ -199,7 +199,7 @@ def scd2_history(feed: DataFrame, key: str | Sequence[str], order: str,
         return _t2(df, keys, order, tracked, compact, payload,
                    lambda d: _windowed_lag(d, keys, order), lambda d: _windowed_system(d, keys, order))
 
-    if max_key_rows is None:
+    if max_key_rows is None or (rows is not None and rows <= max_key_rows):
         return plain(feed)
     split = _Hot(feed, keys, order, max_key_rows)
     out = plain(split.cold)
@@ -234,7 +234,7 @@ def _t2n1(feed, keys, order, type2, type1, payload, lag, system, last1) -> DataF
 
 def scd2n1_history(feed: DataFrame, key: str | Sequence[str], order: str,
                    type2: Sequence[str], type1: Sequence[str], *,
-                   max_key_rows: int | None = DEFAULT_MAX_KEY_ROWS) -> DataFrame:
+                   max_key_rows: int | None = DEFAULT_MAX_KEY_ROWS, rows: int | None = None) -> DataFrame:
     """Type-2 history on ``type2`` columns with ``type1`` columns overwritten.
 
     Type-1 columns take the key's last value over *all* feed rows (whole-key
@@ -251,7 +251,7 @@ def scd2n1_history(feed: DataFrame, key: str | Sequence[str], order: str,
                      lambda d: _windowed_lag(d, keys, order), lambda d: _windowed_system(d, keys, order),
                      lambda d: _windowed_type1(d, keys, order, type1))
 
-    if max_key_rows is None:
+    if max_key_rows is None or (rows is not None and rows <= max_key_rows):
         return plain(feed)
     split = _Hot(feed, keys, order, max_key_rows)
     out = plain(split.cold)
@@ -272,21 +272,51 @@ def as_of(history: DataFrame, at: Column | str, from_col: str = "__from_dts",
 
 def as_of_join(facts: DataFrame, history: DataFrame, key: str | Sequence[str], at: str,
                from_col: str = "__from_dts", to_col: str = "__to_dts",
-               how: str = "left") -> DataFrame:
+               how: str = "left", span: str = "1 day") -> DataFrame:
     """Attach to each fact row the version valid at its time ``at``.
 
-    An equi-join on the business key plus a range condition on the interval:
-    sort-merge (or broadcast) on the key, the interval test as a join filter.
-    Intervals of one key do not overlap, so each fact matches at most one
-    version; a hot key is split by AQE's skew-join handling on the fact side.
+    No pairs are formed: versions and facts are put in one stream by key and
+    time, and each fact takes the last version before it, if that is still
+    valid. The stream is cut into spans of time, so that a key with any number
+    of facts or versions is worked on span by span; a span starts with the
+    version carried over from the spans before (one summary row a key and
+    span). Facts with a null key or time match nothing. Intervals of one key
+    must not overlap. ``how`` is left or inner.
     """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be left or inner")
     keys = _keys(key)
-    h = history.select(*[F.col(k).alias(f"__h_{k}") for k in keys],
-                       *[c for c in history.columns if c not in keys])
-    cond = [F.col(k) == F.col(f"__h_{k}") for k in keys]
-    cond.append(F.col(at).between(F.col(from_col), F.col(to_col)))
-    joined = facts.join(h, cond, how)
-    return joined.drop(*[f"__h_{k}" for k in keys])
+    held = [c for c in history.columns if c not in keys]
+    width = F.expr(f"unix_micros(timestamp '1970-01-01 00:00:00' + interval {span}) - unix_micros(timestamp '1970-01-01 00:00:00')")
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    usable = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, at]])
+    none = F.lit(None)
+    fact_type = T.StructType(facts.schema.fields)
+    version = F.struct(*[F.col(c) for c in held])
+    v = (history.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, from_col]]))
+         .select(*keys, micros(from_col).alias("__t"), F.lit(0).alias("__kind"), version.alias("__v"),
+                 none.cast(fact_type).alias("__fact")))
+    f = facts.where(usable).select(*keys, micros(at).alias("__t"), F.lit(1).alias("__kind"),
+                                   none.cast(v.schema["__v"].dataType).alias("__v"),
+                                   F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("__fact"))
+    stream = v.unionByName(f).withColumn("__span", F.floor(F.col("__t") / width))
+    summary = stream.groupBy(*keys, "__span").agg(
+        F.max_by("__v", F.when(F.col("__kind") == 0, F.col("__t"))).alias("__last"))
+    earlier = Window.partitionBy(*keys).orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = summary.select(*keys, "__span", F.last("__last", ignorenulls=True).over(earlier).alias("__v"))
+    opening = carried.where(F.col("__v").isNotNull()).select(
+        *keys, (F.col("__span") * width).cast("long").alias("__t"), F.lit(-1).alias("__kind"), "__v",
+        none.cast(fact_type).alias("__fact"), "__span")
+    upto = Window.partitionBy(*keys, "__span").orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = (stream.unionByName(opening).withColumn("__v", F.last("__v", ignorenulls=True).over(upto))
+             .where(F.col("__kind") == 1))
+    valid = F.col(f"__v.{to_col}") >= F.col(f"__fact.{at}")
+    rows = found.select("__fact.*", *[F.when(valid, F.col(f"__v.{c}")).alias(c) for c in held])
+    if how == "inner":
+        return rows.where(F.col(from_col).isNotNull())
+    types = dict(history.dtypes)
+    return rows.unionByName(facts.where(F.coalesce(~usable, F.lit(True))).select(
+        "*", *[none.cast(types[c]).alias(c) for c in held]))
 
 
 def history_profile(feed: DataFrame, key: str | Sequence[str], top: int = 20) -> DataFrame:

@@ -17,8 +17,10 @@ Two ways to get left-join pruning:
   the key is distinct and removes an outer join whose columns are never read,
   including the dedup itself. Duplicate keys collapse to one deterministic row
   (the smallest by the remaining columns). Best for a view queried later.
-* ``columns=[...]`` joins only the dimensions the requested columns need, with
-  plain joins. Unread dimensions are never joined; read ones join as written.
+* ``columns=[...]`` joins only the dimensions the requested columns need. Under
+  ``declared`` those are wrapped too, so the answer is that of the whole view;
+  under ``verified`` every dimension's key is checked first, one that fails is
+  joined as it is whether read or not, and the others join without dedup.
 """
 
 from __future__ import annotations
@@ -120,8 +122,8 @@ def _dimensions(star: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, str, s
     }
 
 
-JOIN_ORDER = ("supplier", "sales_order", "part", "supplier_location", "customer",
-              "customer_location", "loyalty")    # the view's declared join order
+ALL_DIMENSIONS = ("supplier", "sales_order", "part", "supplier_location", "customer",
+                  "customer_location", "loyalty")
 
 VIEW_COLUMNS = (LINE_COLUMNS + ("lineitem_comment", "supplier_name", "supplier_address",
                 "supplier_location_id", "supplier_phone", "supplier_comment",
@@ -141,8 +143,13 @@ def _needed_dimensions(columns: Sequence[str], dims) -> set[str]:
             if c != key:
                 owner[c] = name
     owner["is_loyalty_customer"] = "loyalty"
+    return _with_needs({owner[c] for c in columns if c in owner}, dims)
+
+
+def _with_needs(names: set[str], dims) -> set[str]:
+    """The dimensions and those that their join columns come from."""
     need: set[str] = set()
-    stack = [owner[c] for c in columns if c in owner]
+    stack = list(names)
     while stack:
         d = stack.pop()
         if d not in need:
@@ -158,8 +165,9 @@ def main_reporting(star: dict[str, DataFrame], trust: str = "none",
     ``star`` holds the conformed tables (``lineitem``, ``supplier``,
     ``sales_order``, ``part``, ``location``, ``customer``, ``loyalty_customer``).
     With ``columns`` given and trust not ``'none'``, only the dimensions those
-    columns need are joined (plain joins). Otherwise all seven are joined; under
-    trust they are wrapped in ``trusted_dim`` so Catalyst drops unread ones.
+    columns need are joined, and those whose key proves false. Otherwise all
+    seven are joined; under trust they are wrapped in ``trusted_dim`` so
+    Catalyst drops unread ones.
     """
     _check_trust(trust)
     dims = _dimensions(star)
@@ -169,11 +177,15 @@ def main_reporting(star: dict[str, DataFrame], trust: str = "none",
     if unknown:
         raise ValueError(f"not columns of the reporting view: {unknown}")
 
-    if columns is not None and trust != "none":
+    if columns is not None and trust == "declared":
         use = _needed_dimensions(wanted, dims)
+        wrap = {d: True for d in use}
+    elif columns is not None and trust == "verified":
+        false = {d for d in dims if not key_is_unique(dims[d][0], dims[d][1])}
+        use = _with_needs(_needed_dimensions(wanted, dims) | false, dims)
         wrap = {d: False for d in use}
     else:
-        use = set(JOIN_ORDER)
+        use = set(ALL_DIMENSIONS)
         if trust == "declared":
             wrap = {d: True for d in use}
         elif trust == "verified":

@@ -2,7 +2,8 @@
 test tables, with its DuckDB oracle SQL (``None`` = rows-only check).
 
 Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole tables. Hash columns are returned as lowercase hex text so the two
+whole tables; those that keep state (streams, MERGEs, stored feeds) run it while
+they are built. Hash columns are returned as lowercase hex text so the two
 engines can be compared value by value.
 """
 
@@ -33,6 +34,8 @@ EARLY_IDS = (1, 2, 3)
 AS_OF = "2024-01-01 00:25:00"
 REPORT_DATE = "2024-01-01"
 SAMPLE_BATCH, SAMPLE_ROWS, SAMPLE_SEED = 1, 1000, 0
+PERIODIC_BATCHES, PERIODIC_ROWS = 3, 1000
+REPORT_YEAR, REPORT_TODAY = 2024, "2024-06-30"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,8 +101,12 @@ def _customer_t2(spark, sf, compact):
     return scd.scd2_history(_feed(spark, sf), "customer_id", "__ldts", CUSTOMER_T2_TRACKED, compact=compact)
 
 
-def _customer_t2n1(feed):
-    return scd.scd2n1_history(feed, "customer_id", "__ldts", CUSTOMER_T2N1_TYPE2, CUSTOMER_T2N1_TYPE1)
+def _customer_t2n1(feed, rows=None):
+    return scd.scd2n1_history(feed, "customer_id", "__ldts", CUSTOMER_T2N1_TYPE2, CUSTOMER_T2N1_TYPE1, rows=rows)
+
+
+def _customer_t2_of(feed, rows=None):
+    return scd.scd2_history(feed, "customer_id", "__ldts", CUSTOMER_T2_TRACKED, rows=rows)
 
 
 def scd2_customer_faithful(spark, sf):
@@ -149,6 +156,11 @@ def scd2_incremental(spark, sf):
     return hashes_to_hex(incremental_history(_feed(spark, sf), "customer_id", _customer_t2n1))
 
 
+def scd2_incremental_type2(spark, sf):
+    """The plain Type-2 table, maintained batch by batch."""
+    return hashes_to_hex(incremental_history(_feed(spark, sf), "customer_id", _customer_t2_of))
+
+
 # -- MERGE -----------------------------------------------------------------------
 
 def _dim_after_base(feed):
@@ -189,7 +201,22 @@ def scd2_merge_table(spark, sf):
     for ts in loads:
         batch = feed.where(F.col("__ldts") == F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz"))
         merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=batch)
-    return hashes_to_hex(merge.read_dimension(spark, path))
+    return hashes_to_hex(merge.read_dimension(spark, path, "customer_id"))
+
+
+def _appended_feed(spark, sf):
+    """The stored feed: the base load and three periodic batches, each appended."""
+    source, path = _ssc(spark, sf), scratch_path(spark, "src_customer")
+    sinks.append(feeds.base_load(source), path)
+    for b in range(1, PERIODIC_BATCHES + 1):
+        sinks.append(feeds.periodic_batch(source, b, PERIODIC_ROWS), path)
+    return spark.read.parquet(path)
+
+
+def change_feed_appended(spark, sf):
+    """The newest appended batch MERGEd into the dimension of the base load."""
+    feed = _appended_feed(spark, sf)
+    return hashes_to_hex(merge.scd2_merge(_stored(_dim_after_base(feed)), feed, "customer_id", CUSTOMER_PAYLOAD))
 
 
 def scd2_merge_replay(spark, sf):
@@ -210,6 +237,24 @@ def main_reporting_trusted(spark, sf):
     return star.main_reporting(_star(spark, sf), trust=star.trust_of(RELY["lineitem"]))
 
 
+def main_reporting_verified(spark, sf):
+    return star.main_reporting(_star(spark, sf), trust=star.trust_of(RELY["lineitem"], verify=True))
+
+
+def region_report_verified_columns(spark, sf):
+    """Column-driven report on verified keys; the loyalty table's key is false."""
+    view = star.main_reporting(_star(spark, sf), trust=star.trust_of(RELY["lineitem"], verify=True),
+                               columns=["customer_region_id", "quantity", "extended_price_usd"])
+    return star.report_by_customer_region(view)
+
+
+def ship_mode_view_sql(spark, sf):
+    """The reporting view under a name, queried by SQL text (declared keys)."""
+    main_reporting_trusted(spark, sf).createOrReplaceTempView("main_reporting_v")
+    return spark.sql(f"SELECT CAST('{REPORT_DATE}' AS DATE) AS as_of_date, ship_mode, "
+                     "CAST(sum(quantity) AS DECIMAL(38,2)) AS quantity FROM main_reporting_v GROUP BY 1, 2")
+
+
 def ship_mode_report(spark, sf):
     return star.ship_mode_report(star.main_reporting(_star(spark, sf), trust=star.trust_of(RELY["lineitem"])),
                                  REPORT_DATE)
@@ -271,6 +316,17 @@ def join_methods_bad_fk_verified(spark, sf):
                                    fk_declared=any(fk.parent == "region_main" for fk in spec.foreign_keys))
 
 
+def join_methods_year(spark, sf):
+    """The join methods with the year guard, in its year and in another."""
+    t = testdata.star_tables(spark, sf)
+    out = None
+    for year in (REPORT_YEAR, REPORT_YEAR + 1):
+        one = star.join_method_counts(t["location"], t["region_main"], "region_id", as_of_year=year,
+                                      today=REPORT_TODAY).withColumn("guard_year", F.lit(year).cast("bigint"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def typed_lineitem(spark, sf):
     return testdata.star_tables(spark, sf)["lineitem"]
 
@@ -282,8 +338,11 @@ def typed_inventory(spark, sf):
 # -- audits ------------------------------------------------------------------------
 
 AUDIT_SPECS = dict(STAR_SPECS, loyalty_customer=LOYALTY_CUSTOMER,
-                   source_system_customer=SOURCE_SYSTEM_CUSTOMER, src_customer=SRC_CUSTOMER)
+                   source_system_customer=SOURCE_SYSTEM_CUSTOMER, src_customer=SRC_CUSTOMER,
+                   dim_customer=DIM_CUSTOMER)
 TYPE_SPECS = dict(STAR_SPECS, source_system_customer=SOURCE_SYSTEM_CUSTOMER)
+# Derived tables, whose declared lengths and scales are checked on the table itself.
+DERIVED_SPECS = {s.name: s for s in (LOYALTY_CUSTOMER, SRC_CUSTOMER, DIM_CUSTOMER)}
 
 
 def audit_tables(spark, sf):
@@ -293,12 +352,15 @@ def audit_tables(spark, sf):
     t["loyalty_customer"] = _stored(t["loyalty_customer"])
     t["source_system_customer"] = _ssc(spark, sf)
     t["src_customer"] = _stored(_feed(spark, sf))
+    t["dim_customer"] = _stored(merge.scd2_merge_replay(t["src_customer"], "customer_id", CUSTOMER_PAYLOAD))
+    t["inventory"] = _stored(t["inventory"])
     return {n: (AUDIT_SPECS[n], t[n]) for n in AUDIT_SPECS}
 
 
-def type_sources(spark, sf):
-    return {n: (s, constraints.source_projection(s, testdata.raw(spark, sf, s.source)))
-            for n, s in TYPE_SPECS.items()}
+def type_sources(spark, sf, tables=None):
+    found = {n: (s, constraints.source_projection(s, testdata.raw(spark, sf, s.source)))
+             for n, s in TYPE_SPECS.items()}
+    return found | {n: (tables or audit_tables(spark, sf))[n] for n in DERIVED_SPECS}
 
 
 def audit_not_null(spark, sf):
@@ -322,7 +384,8 @@ def audit_types(spark, sf):
 
 
 def constraint_report(spark, sf):
-    return constraints.constraint_report(audit_tables(spark, sf), type_sources(spark, sf))
+    tables = audit_tables(spark, sf)
+    return constraints.constraint_report(tables, type_sources(spark, sf, tables))
 
 
 # -- registry ----------------------------------------------------------------------
@@ -344,6 +407,7 @@ def catalog() -> dict[str, Entry]:
         "scd2n1_events": Entry(scd2n1_events, oracle.events_t2n1(), "K5"),
         "scd2_as_of": Entry(scd2_as_of, oracle.as_of_sql(AS_OF), "interval lookup over K4c"),
         "scd2_incremental": Entry(scd2_incremental, oracle.customer_t2n1(), "S10 K8"),
+        "scd2_incremental_type2": Entry(scd2_incremental_type2, oracle.customer_t2(True), "S10 K8 over K4c"),
         "scd2_point_in_time_join": Entry(scd2_point_in_time_join, oracle.point_in_time_sql(),
                                          "interval join over K4c"),
         "history_skew_profile": Entry(history_skew_profile, oracle.skew_profile_sql(20), "skew audit (top-k)"),
@@ -351,9 +415,18 @@ def catalog() -> dict[str, Entry]:
         "scd2_merge_upsert": Entry(scd2_merge_upsert, oracle.merge_upsert_sql(), "S3 S4 S11 K6"),
         "scd2_merge_replay": Entry(scd2_merge_replay, oracle.merge_replay_sql(), "K6 x5"),
         "scd2_merge_table": Entry(scd2_merge_table, oracle.merge_replay_sql(), "S11 stored, bucketed"),
+        "change_feed_appended": Entry(change_feed_appended,
+                                      oracle.appended_merge_sql(PERIODIC_BATCHES, PERIODIC_ROWS), "S6 S7 S11 F7"),
         "loyalty_customer": Entry(loyalty_customer, oracle.loyalty_sql(e), "K7 A1 W6 X3 F3 F4 F6 S8 U1"),
         "main_reporting": Entry(main_reporting, oracle.main_reporting_sql(e, False), "K9 J2 J6 P2-P5 X2 F5"),
         "main_reporting_trusted": Entry(main_reporting_trusted, oracle.main_reporting_sql(e, True), "K9 J7"),
+        "main_reporting_verified": Entry(main_reporting_verified, oracle.main_reporting_sql(e, False),
+                                         "K9 J7 verified"),
+        "region_report_verified_columns": Entry(region_report_verified_columns, oracle.region_report_sql(e, False),
+                                                "K9 J7 verified, column-driven"),
+        "ship_mode_view_sql": Entry(ship_mode_view_sql, oracle.ship_mode_sql(e, True), "S9 K10"),
+        "join_methods_year": Entry(join_methods_year, oracle.join_methods_year_sql(REPORT_YEAR, REPORT_TODAY),
+                                   "F10 X14 J10"),
         "ship_mode_report": Entry(ship_mode_report, oracle.ship_mode_sql(e, True), "K10 J7 A2"),
         "ship_mode_report_norely": Entry(ship_mode_report_norely, oracle.ship_mode_sql(e, False), "K10 control"),
         "reporting_by_customer_region": Entry(reporting_by_customer_region, oracle.region_report_sql(e, True),
@@ -373,7 +446,7 @@ def catalog() -> dict[str, Entry]:
         "audit_primary_key": Entry(audit_primary_key, oracle.primary_key_sql(AUDIT_SPECS, e), "C2 C3"),
         "audit_unique": Entry(audit_unique, oracle.unique_sql(AUDIT_SPECS, e), "C4"),
         "audit_foreign_key": Entry(audit_foreign_key, oracle.foreign_key_sql(AUDIT_SPECS, e), "C5"),
-        "audit_types": Entry(audit_types, oracle.types_sql(TYPE_SPECS), "C7 C8"),
+        "audit_types": Entry(audit_types, oracle.types_sql(TYPE_SPECS, DERIVED_SPECS, e), "C7 C8"),
         "constraint_report": Entry(constraint_report,
-                                   oracle.constraint_report_sql(AUDIT_SPECS, TYPE_SPECS, e), "K12"),
+                                   oracle.constraint_report_sql(AUDIT_SPECS, TYPE_SPECS, e, DERIVED_SPECS), "K12"),
     }

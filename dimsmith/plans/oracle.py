@@ -163,7 +163,7 @@ def staged_sql(where: str) -> str:
             f"{NULL_HASH} AS __t1diff_hash FROM feed WHERE {where}")
 
 
-def merge_changes_ctes() -> list[str]:
+def merge_changes_ctes(feed: list[str] | None = None) -> list[str]:
     """dim0 = the dimension after merging batch 0 into an empty table;
     chg = changes of the newest batch against dim0."""
     n = ", ".join(f"n.{c}" for c in DIM_COLS)
@@ -171,7 +171,7 @@ def merge_changes_ctes() -> list[str]:
                      "__create_dts": "d.__create_dts AS __create_dts"}.get(c, f"n.{c}") for c in DIM_COLS)
     exp = ", ".join({"__to_dts": "n.__from_dts - INTERVAL 1 MICROSECOND AS __to_dts",
                      "__is_latest": "FALSE AS __is_latest"}.get(c, f"d.{c}") for c in DIM_COLS)
-    return feed_ctes() + [
+    return (feed or feed_ctes()) + [
         f"dim0 AS ({staged_sql(f'__ldts = {EPOCH}')})",
         f"newest AS ({staged_sql('__ldts = (SELECT max(__ldts) FROM feed)')})",
         "chg AS (\n"
@@ -196,6 +196,25 @@ def merge_upsert_sql() -> str:
                  f"UNION ALL SELECT {cols} FROM chg")
 
 
+def appended_merge_sql(batches: int, n: int) -> str:
+    """The base load and the periodic batches as the feed; its newest batch merged."""
+    cols = ", ".join(CUSTOMER_COLS)
+    parts = [f"SELECT {cols}, {EPOCH} AS __ldts FROM ssc WHERE customer_id % 4 = 0"]
+    for b in range(1, batches + 1):
+        mult = 48271 ** (2 * b + 1) % 2147483647
+        bal = (f"CASE WHEN customer_id % 3 = 0 THEN CAST(account_balance_usd + CAST(((customer_id * 31 + {b} * 17) "
+               f"% 18447 - 9223) / 100.0 AS DECIMAL(12,2)) AS DECIMAL(12,2)) ELSE account_balance_usd END")
+        parts.append(f"SELECT customer_id, name, address, location_id, phone, {bal} AS account_balance_usd, "
+                     f"market_segment, comment, {EPOCH} + INTERVAL {10 * b} MINUTE AS __ldts FROM (SELECT * FROM ssc "
+                     f"ORDER BY ((customer_id % 2147483647) * {mult}) % 2147483647, customer_id LIMIT {n}) p{b}")
+    feed = [ssc_cte(), "feed AS (\n  " + "\n  UNION ALL\n  ".join(parts) + "\n)"]
+    out = ", ".join(DIM_COLS)
+    return with_(merge_changes_ctes(feed),
+                 f"SELECT {out} FROM dim0 d WHERE NOT EXISTS (SELECT 1 FROM chg c WHERE "
+                 f"c.customer_id = d.customer_id AND c.__rec_version = d.__rec_version)\n"
+                 f"UNION ALL SELECT {out} FROM chg")
+
+
 def merge_replay_sql() -> str:
     """Replaying every batch through MERGE = the gap-free history over the MERGE hash."""
     w = "PARTITION BY customer_id ORDER BY __ldts"
@@ -316,12 +335,30 @@ def join_methods_sql(child: str, trusted_fk: bool) -> str:
     return with_(ctes, body)
 
 
+def join_methods_year_sql(year: int, today: str) -> str:
+    parts = []
+    for y in (year, year + 1):
+        parts.append(
+            f"SELECT 'inner join' AS method, count(*) AS cnt, CAST({y} AS BIGINT) AS guard_year "
+            f"FROM m_location JOIN m_region_main USING (region_id)\n"
+            f"UNION ALL SELECT 'left join no filter', count(*), {y} FROM m_location LEFT JOIN m_region_main "
+            f"USING (region_id)\n"
+            f"UNION ALL SELECT 'left join filter', count(*), {y} FROM m_location c LEFT JOIN m_region_main rm "
+            f"ON c.region_id = rm.region_id WHERE rm.region_id IS NOT NULL AND year(DATE '{today}') = {y}")
+    return with_(star_ctes(["location", "region_main"]), "\nUNION ALL ".join(parts))
+
+
 # ----------------------------------------------------------------------------
 # Audits.
 
 def audit_ctes(early_ids: Sequence[int]) -> list[str]:
     return (star_ctes() + loyalty_ctes(early_ids) + feed_ctes()
-            + ["m_source_system_customer AS (SELECT * FROM ssc)", "m_src_customer AS (SELECT * FROM feed)"])
+            + ["m_source_system_customer AS (SELECT * FROM ssc)", "m_src_customer AS (SELECT * FROM feed)",
+               f"m_dim_customer AS (SELECT * FROM ({_one_line(merge_replay_sql())}) dc)"])
+
+
+def _one_line(sql: str) -> str:
+    return " ".join(sql.split("\n"))
 
 
 def _cols(key: Sequence[str]) -> str:
@@ -381,9 +418,9 @@ def _count(cond: str) -> str:
     return f"CAST(coalesce(sum(CASE WHEN {cond} THEN 1 ELSE 0 END), 0) AS BIGINT)"
 
 
-def types_sql(sources: dict[str, TableSpec]) -> str:
+def types_sql(sources: dict[str, TableSpec], derived: dict[str, TableSpec], early_ids) -> str:
     parts = []
-    for n, s in sources.items():
+    for n, s in [*sources.items(), *derived.items()]:
         for c in s.columns:
             if c.max_length is not None:
                 parts.append(f"SELECT '{n}' AS table_name, '{c.name}' AS column_name, 'length' AS rule, "
@@ -395,22 +432,25 @@ def types_sql(sources: dict[str, TableSpec]) -> str:
                              f"{_count(f'{c.name} IS NOT NULL AND TRY_CAST({c.name} AS DECIMAL({p},{sc})) IS NULL')} "
                              f"FROM src_{n}")
                 parts.append(f"SELECT '{n}', '{c.name}', 'scale', "
-                             f"{_count(f'CAST(CAST({c.name} AS DECIMAL(38,{sc})) AS DOUBLE) <> {c.name}')} "
+                             f"{_count(f'{c.name} IS NOT NULL AND (TRY_CAST({c.name} AS DECIMAL(38,{sc})) IS NULL OR CAST(TRY_CAST({c.name} AS DECIMAL(38,{sc})) AS DOUBLE) <> {c.name})')} "
                              f"FROM src_{n}")
-    return with_([_source_cte(n, s) for n, s in sources.items()], "\nUNION ALL ".join(parts))
+    return with_(audit_ctes(early_ids) + _type_ctes(sources, derived), "\nUNION ALL ".join(parts))
+
+
+def _type_ctes(sources, derived) -> list[str]:
+    return [*(_source_cte(n, s) for n, s in sources.items()),
+            *(f"src_{n} AS (SELECT * FROM m_{n})" for n in derived)]
 
 
-def constraint_report_sql(tables, sources, early_ids) -> str:
+def constraint_report_sql(tables, sources, early_ids, derived) -> str:
     def body(sql: str) -> str:
         return sql[sql.index("\nSELECT") + 1:] if sql.startswith("WITH") else sql
     nn = body(not_null_sql(tables, early_ids))
     pk = body(primary_key_sql(tables, early_ids))
     uq = body(unique_sql(tables, early_ids))
     fk = body(foreign_key_sql(tables, early_ids))
-    ty = types_sql(sources)
-    ty_ctes = ty[len("WITH "):ty.index("\nSELECT")]
-    ty_body = ty[ty.index("\nSELECT") + 1:]
-    ctes = audit_ctes(early_ids) + [ty_ctes]
+    ty_body = body(types_sql(sources, derived, early_ids))
+    ctes = audit_ctes(early_ids) + _type_ctes(sources, derived)
     return with_(ctes, (
         f"SELECT table_name, 'not_null' AS rule, column_name AS columns, violations FROM ({nn}) a\n"
         f"UNION ALL SELECT table_name, 'primary_key', key_columns, duplicate_rows + null_keys FROM ({pk}) b\n"

@@ -94,14 +94,32 @@ def sample_key(key: Column, seed: int) -> Column:
     return ((h + seed * SAMPLE_SEED_MULT) * SAMPLE_MULT) % SAMPLE_MOD
 
 
+def periodic_order(key: Column, batch: int, seed: int = 0) -> Column:
+    """Another pseudo-random order of keys for each batch: a multiplier of its own.
+
+    A run of the periodic load so samples anew, yet the same run repeated
+    samples the same keys. Exact integer arithmetic, no overflow."""
+    return ((key % SAMPLE_MOD) * F.lit(periodic_multiplier(batch, seed))) % SAMPLE_MOD
+
+
+def periodic_multiplier(batch: int, seed: int = 0) -> int:
+    return pow(SAMPLE_MULT, 2 * batch + 1 + 7 * seed, SAMPLE_MOD)
+
+
+def periodic_batch(source: DataFrame, batch: int, n: int = 1000, seed: int = 0,
+                   key: str = "customer_id") -> DataFrame:
+    """Change batch number ``batch`` of the periodic load: a fresh sample of ``n`` rows."""
+    return change_batch(source, batch, n, seed, key, order=periodic_order(F.col(key), batch, seed))
+
+
 def change_batch(source: DataFrame, batch: int, n: int = 1000, seed: int = 0,
-                 key: str = "customer_id") -> DataFrame:
+                 key: str = "customer_id", order: Column | None = None) -> DataFrame:
     """Fixed-size sample (top ``n`` by seeded hash) with every third key's
     balance changed, stamped with the load time of ``batch``.
 
     ``n`` is the sampler's size, so the limit is the feature; the ordering is a
     distributed top-k (each task keeps ``n`` rows, one final merge)."""
     k = F.col(key)
-    picked = source.orderBy(sample_key(k, seed), k).limit(n)
+    picked = source.orderBy(sample_key(k, seed) if order is None else order, k).limit(n)
     return (perturb(picked, batch, key, alternate=False, phone_on_odd=False)
             .withColumn("__ldts", load_ts(batch)))

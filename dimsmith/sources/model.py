@@ -136,7 +136,7 @@ REGION = TableSpec(
     (col("region_id", "bigint", "r_regionkey", False),
      col("name", "string", "r_name", max_length=25),
      col("comment", "string", "'region ' || r_regionkey", max_length=152)),
-    source="region", primary_key=("region_id",), comment="Country business groupings")
+    source="region", primary_key=("region_id",), comment="Groups of countries")
 
 REGION_MAIN = replace(REGION, name="region_main", where="r_regionkey < 4")
 
@@ -147,7 +147,7 @@ LOCATION = TableSpec(
      col("region_id", "bigint", "n_regionkey", False),
      col("comment", "string", "'location ' || n_nationkey", max_length=152)),
     source="nation", primary_key=("location_id",), unique=(("name",),),
-    comment="location assigned to customer or supplier")
+    comment="Countries of customers and suppliers")
 
 # Same rows as LOCATION, with a reference to region_main that is false by design.
 LOCATION_BAD_FK = replace(
@@ -165,7 +165,7 @@ PART = TableSpec(
      col("container", "string", "'BOX ' || (p_partkey % 4)", False),
      col("retail_price_usd", MONEY, "p_retailprice", False),
      col("comment", "string", "NULL")),
-    source="part", primary_key=("part_id",), comment="Parts we distribute")
+    source="part", primary_key=("part_id",), comment="Catalogue of parts")
 
 SUPPLIER = TableSpec(
     "supplier",
@@ -178,7 +178,7 @@ SUPPLIER = TableSpec(
      col("comment", "string", "NULL")),
     source="supplier", primary_key=("supplier_id",),
     foreign_keys=(ForeignKey(("location_id",), "location", ("location_id",)),),
-    comment="Suppliers who we buy from")
+    comment="Parties that parts are bought from")
 
 _CUSTOMER_COLUMNS = (
     col("customer_id", "bigint", "c_custkey", False),
@@ -189,13 +189,13 @@ _CUSTOMER_COLUMNS = (
     col("account_balance_usd", MONEY, "c_acctbal", False),
     col("market_segment", "string", "c_mktsegment", False, 10),
     col("comment", "string", "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE 'note ' || (c_custkey % 7) END",
-        comment="user comments"),
+        comment="free text about the customer"),
 )
 
 CUSTOMER = TableSpec(
     "customer", _CUSTOMER_COLUMNS, source="customer", primary_key=("customer_id",),
     foreign_keys=(ForeignKey(("location_id",), "location", ("location_id",)),),
-    comment="Registered customers")
+    comment="One row a customer")
 
 SALES_ORDER = TableSpec(
     "sales_order",
@@ -210,7 +210,7 @@ SALES_ORDER = TableSpec(
      col("comment", "string", "NULL", max_length=79)),
     source="orders", primary_key=("sales_order_id",),
     foreign_keys=(ForeignKey(("customer_id",), "customer", ("customer_id",)),),
-    comment="single order per customer")
+    comment="One row an order")
 
 INVENTORY = TableSpec(
     "inventory",
@@ -222,7 +222,7 @@ INVENTORY = TableSpec(
     source="lineitem", distinct=True, primary_key=("part_id", "supplier_id"),
     foreign_keys=(ForeignKey(("part_id",), "part", ("part_id",)),
                   ForeignKey(("supplier_id",), "supplier", ("supplier_id",))),
-    comment="Warehouse Inventory")
+    comment="Stock by part and supplier")
 
 LINEITEM = TableSpec(
     "lineitem",
@@ -246,19 +246,19 @@ LINEITEM = TableSpec(
     foreign_keys=(ForeignKey(("sales_order_id",), "sales_order", ("sales_order_id",)),
                   ForeignKey(("part_id",), "part", ("part_id",)),
                   ForeignKey(("supplier_id",), "supplier", ("supplier_id",))),
-    comment="various line items per order")
+    comment="Order lines")
 
 LOYALTY_CUSTOMER = TableSpec(
     "loyalty_customer",
     (col("customer_id", "bigint", "customer_id", False),
      col("level", "string", "level", False),
-     col("type", "string", "type", False, comment="loyalty tier: bronze, silver, or gold"),
+     col("type", "string", "type", False, comment="how the customer got its level"),
      col("points_amount", "bigint", "points_amount", False),
      col("comment", "string", "comment",
-         comment="customer loyalty status calculated from sales order volume")),
+         comment="free text about the status")),
     primary_key=("customer_id",),
     foreign_keys=(ForeignKey(("customer_id",), "customer", ("customer_id",)),),
-    comment="client loyalty program with gold, silver, bronze status")
+    comment="Levels of customers by order volume")
 
 STAR_SPECS: dict[str, TableSpec] = {s.name: s for s in (
     REGION, REGION_MAIN, PART, LOCATION, SUPPLIER, CUSTOMER, SALES_ORDER,
@@ -270,14 +270,14 @@ STAR_SPECS: dict[str, TableSpec] = {s.name: s for s in (
 
 SOURCE_SYSTEM_CUSTOMER = replace(
     CUSTOMER, name="source_system_customer", foreign_keys=(), trusted=False,
-    comment="loaded from the customer table")
+    comment="Customers as the operational system has them")
 
 SRC_CUSTOMER = TableSpec(
     "src_customer",
     tuple(replace(c, source=c.name) for c in _CUSTOMER_COLUMNS)
     + (col("__ldts", "timestamp_ntz", "__ldts", False),),
     primary_key=("customer_id", "__ldts"), trusted=False,
-    comment="source customers for loading changes")
+    comment="Stamped batches of customer rows")
 
 # Hash column lists (order is significant: it is the order of the hashed text).
 # Type-2 history: every payload column.
@@ -296,9 +296,9 @@ DIM_CUSTOMER = TableSpec(
     "dim_customer",
     (col("customer_id", "bigint", "customer_id", False),
      col("__from_dts", "timestamp_ntz", "__from_dts", False,
-         comment="when record was loaded into the warehouse"),
+         comment="start of validity"),
      col("__to_dts", "timestamp_ntz", "__to_dts", False,
-         comment="effective date or surrogate high date (9999-12-31)"),
+         comment="end of validity; the high date while open"),
      col("name", "string", "name", False),
      col("address", "string", "address", False),
      col("location_id", "bigint", "location_id", False),
@@ -308,17 +308,17 @@ DIM_CUSTOMER = TableSpec(
      col("comment", "string", "comment"),
      col("__load_dts", "timestamp_ntz", "__load_dts"),
      col("__rec_version", "bigint", "__rec_version", False,
-         comment="incremental change version counter for the record"),
+         comment="version number of the key, from 1"),
      col("__is_latest", "boolean", "__is_latest", False,
-         comment="true only on the latest effective dated record"),
+         comment="whether this version is open"),
      col("__create_dts", "timestamp_ntz", "__create_dts", False,
-         comment="date when record was first created"),
+         comment="time of the key's first version"),
      col("__update_dts", "timestamp_ntz", "__update_dts", False,
-         comment="date when record was last updated"),
+         comment="time this version was written"),
      col("__t2diff_hash", "binary", "__t2diff_hash", False,
-         comment="hash of all columns used for quick compare"),
+         comment="hash of the columns whose change makes a version"),
      col("__t1diff_hash", "binary", "__t1diff_hash", False,
-         comment="hash of all columns used for quick compare")),
+         comment="hash of the overwritten columns; none here")),
     primary_key=("customer_id", "__from_dts"))
 
 EVENTS_FEED = TableSpec(

@@ -1,15 +1,15 @@
 """Sinks: snapshot copies (S5), appends (S6) and small marker files.
 
 Stored tables that change (the MERGE-maintained dimension, the incrementally
-maintained history) are partitioned by key bucket and rewritten bucket by
-bucket with dynamic partition overwrite; see ``operators.merge`` and
-``streaming.incremental``. Marker files (e.g. the last committed batch) are
-written through the Hadoop file system of the target path, so they live in
-the same shared storage as the data.
+maintained histories) are made of immutable segments that a manifest publishes;
+see ``sources.versioned``. Small files are written through the Hadoop file
+system of the target path, so they live in the same shared storage as the data.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,6 +45,25 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path``; none if it doesn't exist."""
+    fs, p, _ = _fs(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a file whole under another name and rename it to ``path``.
+
+    False, and nothing written, if ``path`` exists already."""
+    fs, p, jvm = _fs(spark, path)
+    part = f"{path}.{uuid.uuid4().hex[:8]}.tmp"
+    write_text(spark, part, text)
+    moved = not fs.exists(p) and fs.rename(jvm.org.apache.hadoop.fs.Path(part), p)
+    if not moved:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(part), False)
+    return bool(moved)
+
+
 def snapshot_copy(df: DataFrame, path: str) -> DataFrame:
     """Materialise ``df`` at ``path`` and return the copy (a clone by value)."""
     df.write.mode("errorifexists").parquet(path)

@@ -1,0 +1,259 @@
+"""Versioned tables: immutable segments, published by one small manifest.
+
+A table folder holds segments (Parquet folders that are written once and never
+changed) and manifests. A manifest names the segments that make up the table
+now, the key, the bucket count, the schema and the last batch of each stream.
+A commit writes its segments under names of their own and then renames one new
+manifest into place: readers see the state before or after, never between, and
+a writer that dies leaves only unlisted segments. Two writers that start from
+the same version can't both commit; the later one gets ``Conflict``.
+
+A *keyed part* holds rows by key. Its base segments are partitioned by key
+bucket; later commits add small delta segments that hold all current rows of
+the keys they touch. A key's rows are those of the newest segment that has the
+key. When the deltas outgrow a share of the base, a commit writes them into a
+new base. An *append part* is the union of its segments.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dimsmith.sources import sinks
+
+BUCKET_COL = "__bucket"
+VERSION_COL = "__segment"
+# Bytes of stored rows a bucket should hold, and rows assumed when unknown.
+BUCKET_BYTES = 256 << 20
+COMPACT_SHARE = 0.5
+COMPACT_SEGMENTS = 24
+
+
+class Conflict(RuntimeError):
+    """Another writer published this version first."""
+
+
+class Mismatch(ValueError):
+    """A table is used with another key, bucket count or schema than it was made with."""
+
+
+class NullKeys(ValueError):
+    """Rows without a key or load time were offered to a table that declares them NOT NULL."""
+
+
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
+
+
+def buckets_for(table_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Key buckets for a table expected to reach ``table_bytes`` (stored with the table)."""
+    return max(1, -(-table_bytes // bucket_bytes))
+
+
+@dataclass
+class Segment:
+    path: str
+    number: int
+    rows: int
+    bucketed: bool
+
+
+@dataclass
+class Part:
+    base: list[Segment] = field(default_factory=list)
+    delta: list[Segment] = field(default_factory=list)
+
+    @property
+    def segments(self) -> list[Segment]:
+        return [*self.base, *self.delta]
+
+
+@dataclass
+class Manifest:
+    version: int
+    keys: list[str]
+    buckets: int
+    parts: dict[str, Part] = field(default_factory=dict)
+    schemas: dict[str, str] = field(default_factory=dict)
+    streams: dict[str, int] = field(default_factory=dict)
+
+    def to_json(self) -> str:
+        return json.dumps(self, default=lambda x: x.__dict__, indent=1)
+
+    @classmethod
+    def from_json(cls, text: str) -> Manifest:
+        raw = json.loads(text)
+        parts = {n: Part([Segment(**s) for s in p["base"]], [Segment(**s) for s in p["delta"]])
+                 for n, p in raw.pop("parts").items()}
+        return cls(parts=parts, **raw)
+
+
+class VersionedTable:
+    """One table folder; ``manifest`` is the snapshot that reads and commits start from."""
+
+    def __init__(self, spark: SparkSession, base: str, keys: Sequence[str] | str, buckets: int | None = None):
+        self.spark, self.base = spark, base
+        keys = [keys] if isinstance(keys, str) else list(keys)
+        found = self._latest()
+        if found is None:
+            self.manifest = Manifest(0, keys, buckets or 1)
+            return
+        if found.keys != keys:
+            raise Mismatch(f"{base} is keyed by {found.keys}, not {keys}")
+        if buckets is not None and buckets != found.buckets:
+            raise Mismatch(f"{base} was made with {found.buckets} buckets, not {buckets}")
+        self.manifest = found
+
+    # -- manifests ----------------------------------------------------------------
+
+    def _folder(self) -> str:
+        return os.path.join(self.base, "_manifests")
+
+    def _latest(self) -> Manifest | None:
+        names = [n for n in sinks.list_names(self.spark, self._folder()) if n.endswith(".json")]
+        if not names:
+            return None
+        return Manifest.from_json(sinks.read_text(self.spark, os.path.join(self._folder(), max(names))))
+
+    def _publish(self, new: Manifest) -> None:
+        new.version = self.manifest.version + 1
+        path = os.path.join(self._folder(), f"{new.version:012d}.json")
+        if not sinks.write_once(self.spark, path, new.to_json()):
+            raise Conflict(f"version {new.version} of {self.base} exists already")
+        self.manifest = new
+
+    def _copy(self) -> Manifest:
+        return Manifest.from_json(self.manifest.to_json())
+
+    # -- reading --------------------------------------------------------------------
+
+    def _schema(self, part: str) -> T.StructType | None:
+        held = self.manifest.schemas.get(part)
+        return T.StructType.fromJson(json.loads(held)) if held else None
+
+    def _read(self, segments: list[Segment], schema: T.StructType, touched: list[int] | None) -> DataFrame | None:
+        out = None
+        for s in segments:
+            full = T.StructType([*schema.fields, T.StructField(BUCKET_COL, T.LongType())]) if s.bucketed else schema
+            df = self.spark.read.schema(full).parquet(s.path)
+            if s.bucketed:
+                df = (df.where(F.col(BUCKET_COL).isin(touched)) if touched is not None else df).drop(BUCKET_COL)
+            df = df.withColumn(VERSION_COL, F.lit(s.number))
+            out = df if out is None else out.unionByName(df)
+        return out
+
+    def appended(self, part: str, touched: list[int] | None = None) -> DataFrame | None:
+        """All rows of an append part (of the touched buckets, where it is bucketed)."""
+        if part not in self.manifest.parts:
+            return None
+        df = self._read(self.manifest.parts[part].segments, self._schema(part), touched)
+        return None if df is None else df.drop(VERSION_COL)
+
+    def keyed(self, part: str, touched: list[int] | None = None) -> DataFrame | None:
+        """Rows of a keyed part: of each key, those of the newest segment that has it."""
+        held = self.manifest.parts.get(part)
+        if held is None or not held.segments:
+            return None
+        schema, keys = self._schema(part), self.manifest.keys
+        base = self._read(held.base, schema, touched)
+        if not held.delta:
+            return base.drop(VERSION_COL)
+        delta = self._read(held.delta, schema, None)
+        newest = delta.groupBy(*keys).agg(F.max(VERSION_COL).alias("__newest"))
+        fresh = _same_keys(delta, newest, keys, "inner").where(F.col(VERSION_COL) == F.col("__newest")).select(*schema.names)
+        if base is None:
+            return fresh
+        return _same_keys(base, newest, keys, "left_anti").select(*schema.names).unionByName(fresh)
+
+    def touched(self, keys: DataFrame) -> list[int] | None:
+        """Buckets of ``keys`` (at most the bucket count); None where nothing could be pruned."""
+        if self.manifest.buckets == 1:
+            return None
+        rows = keys.select(key_bucket(self.manifest.keys, self.manifest.buckets).alias("b")).distinct().collect()
+        return None if len(rows) >= self.manifest.buckets else [r["b"] for r in rows]
+
+    # -- writing ----------------------------------------------------------------------
+
+    def begin(self) -> Commit:
+        return Commit(self)
+
+
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on the keys, nulls equal to nulls; the right side keeps its other columns."""
+    other = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    joined = left.join(other, on, how)
+    return joined.drop(*[f"__r_{k}" for k in keys])
+
+
+class Commit:
+    """Segments written for the next version; nothing is visible before ``publish``."""
+
+    def __init__(self, table: VersionedTable):
+        self.table, self.new = table, table._copy()
+
+    def _write(self, part: str, df: DataFrame, bucketed: bool) -> Segment:
+        table = self.table
+        schema = T.StructType.fromJson(json.loads(df.schema.json().replace('"nullable":false', '"nullable":true')))
+        held = table._schema(part)
+        if held is not None and [(f.name, f.dataType) for f in held] != [(f.name, f.dataType) for f in schema]:
+            raise Mismatch(f"rows of {part} have columns {schema.simpleString()}, the table {held.simpleString()}")
+        self.new.schemas.setdefault(part, schema.json())
+        number = table.manifest.version + 1
+        path = os.path.join(table.base, part, f"{number:012d}-{uuid.uuid4().hex[:8]}")
+        out = df
+        if bucketed:
+            # REBALANCE gathers a bucket's rows in few files and lets AQE split a skewed one.
+            out = df.withColumn(BUCKET_COL, key_bucket(self.new.keys, self.new.buckets)).hint("rebalance", BUCKET_COL)
+        writer = out.write
+        (writer.partitionBy(BUCKET_COL) if bucketed else writer).parquet(path)
+        rows = table.spark.read.schema(schema).parquet(path).count()  # from the file footers
+        return Segment(path, number, rows, bucketed)
+
+    def append(self, part: str, df: DataFrame) -> Commit:
+        """Add rows to an append part."""
+        return self._add(part, df)
+
+    def replace_keys(self, part: str, df: DataFrame) -> Commit:
+        """All rows that the keys in ``df`` have from now on; other keys keep theirs."""
+        return self._add(part, df)
+
+    def _add(self, part: str, df: DataFrame) -> Commit:
+        """A delta segment; the first one is the part's base."""
+        held = self.new.parts.setdefault(part, Part())
+        first = not held.segments
+        segment = self._write(part, df, bucketed=first and self.new.buckets > 1)
+        if segment.rows:
+            (held.base if first else held.delta).append(segment)
+        return self
+
+    def compact(self, keyed: Sequence[str] = (), appended: Sequence[str] = ()) -> Commit:
+        """Write parts whose deltas have outgrown the base into one bucketed base each."""
+        for part in (*keyed, *appended):
+            held = self.new.parts.get(part)
+            if held is None:
+                continue
+            base, delta = sum(s.rows for s in held.base), sum(s.rows for s in held.delta)
+            if len(held.delta) < 2 or (delta <= COMPACT_SHARE * base and len(held.delta) < COMPACT_SEGMENTS):
+                continue
+            view = VersionedTable.__new__(VersionedTable)
+            view.spark, view.base, view.manifest = self.table.spark, self.table.base, self.new
+            rows = view.keyed(part) if part in keyed else view.appended(part)
+            segment = self._write(part, rows, bucketed=self.new.buckets > 1)
+            self.new.parts[part] = Part(base=[segment])
+        return self
+
+    def stream(self, name: str, batch: int) -> Commit:
+        self.new.streams[name] = batch
+        return self
+
+    def publish(self) -> None:
+        self.table._publish(self.new)

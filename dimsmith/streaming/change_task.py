@@ -3,7 +3,8 @@
 A ``rate`` source is the clock; each micro-batch appends one change batch,
 numbered by the micro-batch id, to the feed path. Restarting from the same
 checkpoint continues the numbering, and a retried micro-batch overwrites its
-own batch partition, so every batch lands exactly once.
+own batch partition, so every batch lands exactly once. Each batch samples the
+source anew.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimsmith.sources.feeds import change_batch
+from dimsmith.sources.feeds import periodic_batch
 
 
 def start_change_task(source: DataFrame, feed_path: str, interval: str = "10 minutes",
@@ -23,7 +24,7 @@ def start_change_task(source: DataFrame, feed_path: str, interval: str = "10 min
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
 
     def load(_: DataFrame, batch_id: int) -> None:
-        batch = change_batch(source, batch_id + 1, n=n, seed=seed, key=key)
+        batch = periodic_batch(source, batch_id + 1, n=n, seed=seed, key=key)
         (batch.withColumn("__batch", F.lit(batch_id + 1))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("__batch").parquet(feed_path))

@@ -4,114 +4,102 @@ The maintained table must always equal the defining query over *all* feed
 rows seen so far. A Type-1 change rewrites every version of its key, and a
 late row can re-order a key's history, so the unit of work is the whole key.
 
-Layout under ``base``: ``feed_store/`` holds every feed row seen, partitioned
-by (key bucket, batch id); ``table/`` holds the history, partitioned by key
-bucket; ``COMMITTED`` names the last applied batch.
-
-For each micro-batch (``foreachBatch``):
-1. its rows go to the store (partition overwrite of that batch id: a retried
-   batch is stored once);
-2. the affected keys are the batch's distinct keys, and their buckets the
-   only partitions touched (a bounded list: at most ``buckets`` ids);
-3. the keys' full history is recomputed from the store, reading only those
-   buckets (partition pruning) and semi-joining the keys;
-4. each touched bucket is rewritten as (old rows of other keys) + recomputed
-   rows, with dynamic partition overwrite: untouched buckets are not read or
-   written, so the cost follows the change, not the table.
-
-Every step is idempotent per key, so a batch retried after a failure — even
-after a partial commit of some buckets — converges to the same table. Readers
-see each bucket swap at once; the whole table is not a single snapshot while
-a refresh commits. Size ``buckets`` so a bucket is a comfortable task (about
-table bytes / 256 MB).
+A maintained table is a ``VersionedTable`` with two parts: ``feed`` (every feed
+row seen, appended) and ``table`` (the history, keyed). For each micro-batch
+(``foreachBatch``):
+
+1. its rows are written as a new feed segment;
+2. the affected keys are the batch's distinct keys; their whole history is
+   recomputed from their feed rows, read from the touched buckets of the base
+   and from the small deltas, and written as a delta segment of the table;
+3. one manifest publishes both, with the stream's batch number.
+
+So a batch writes about the rows of its own keys, whatever the table's size;
+parts whose deltas have outgrown the base are compacted in the same commit. A
+writer that dies before the manifest leaves the table as it was, and the retry
+starts afresh. Batches are numbered per stream: a new stream (another name) on
+an existing table starts at its own number. Rows with a null key or load time
+are kept, as in the full rebuild; ``not_null`` columns reject a batch instead.
 """
 
 from __future__ import annotations
 
+import inspect
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimsmith.operators.constraints import enforce_not_null
 from dimsmith.session import scratch_path
-from dimsmith.sources.sinks import path_exists, read_text, write_text
+from dimsmith.sources.versioned import VersionedTable, _same_keys, buckets_for
 
-BATCH_COL = "__batch_id"
-BUCKET_COL = "__bucket"
-DEFAULT_BUCKETS = 32
+FEED, TABLE = "feed", "table"
 
 
-def key_bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
+def read_table(spark: SparkSession, base: str, key: str | Sequence[str]) -> DataFrame:
+    """The published state of the maintained table (a snapshot)."""
+    return VersionedTable(spark, base, key).keyed(TABLE)
 
 
-def _by_bucket(df: DataFrame) -> DataFrame:
-    """Cluster rows by bucket for the write (few files per bucket) without
-    sending a bucket to one task: the REBALANCE hint hash-partitions by bucket
-    and lets AQE split a skewed bucket (even one hot key) across tasks and
-    merge small ones."""
-    return df.hint("rebalance", BUCKET_COL)
+def committed_batch(spark: SparkSession, base: str, key: str | Sequence[str], stream: str = "default") -> int | None:
+    return VersionedTable(spark, base, key).manifest.streams.get(stream)
 
 
-def _paths(base: str) -> tuple[str, str, str]:
-    return (os.path.join(base, "feed_store"), os.path.join(base, "table"),
-            os.path.join(base, "COMMITTED"))
+def _history(history: Callable[..., DataFrame], feed: DataFrame, rows: int) -> DataFrame:
+    """``history(feed)``, told the number of feed rows if it asks for it."""
+    asks = "rows" in inspect.signature(history).parameters
+    return history(feed, rows=rows) if asks else history(feed)
 
 
-def committed_batch(spark: SparkSession, base: str) -> int | None:
-    txt = read_text(spark, _paths(base)[2])
-    return int(txt.strip()) if txt else None
+def refresh_batch(spark: SparkSession, base: str, batch: DataFrame, batch_id: int, key: str | Sequence[str],
+                  history: Callable[..., DataFrame], buckets: int | None = None, stream: str = "default",
+                  not_null: Sequence[str] = ()) -> None:
+    """Apply one feed batch to the maintained table under ``base``.
 
-
-def read_table(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(_paths(base)[1]).drop(BUCKET_COL)
-
-
-def refresh_batch(spark: SparkSession, base: str, batch: DataFrame, batch_id: int, key: str,
-                  history: Callable[[DataFrame], DataFrame], buckets: int = DEFAULT_BUCKETS) -> None:
-    """Apply one feed batch to the maintained table under ``base``."""
-    store, table, marker = _paths(base)
-    done = committed_batch(spark, base)
+    ``buckets`` is stored when the table is made; a later call with another
+    count (or key) is refused. A batch at or below the stream's last published
+    one has been applied already and is left out.
+    """
+    table = VersionedTable(spark, base, key, buckets)
+    done = table.manifest.streams.get(stream)
     if done is not None and done >= batch_id:
         return
-    dyn = {"partitionOverwriteMode": "dynamic"}
-    staged = batch.withColumns({BUCKET_COL: key_bucket(key, buckets), BATCH_COL: F.lit(batch_id)})
-    (_by_bucket(staged).write.mode("overwrite").options(**dyn)
-     .partitionBy(BUCKET_COL, BATCH_COL).parquet(store))
-
-    keys = batch.select(key).distinct()
-    touched = [r[0] for r in batch.select(key_bucket(key, buckets)).distinct().collect()]
-    feed = (spark.read.parquet(store)
-            .where(F.col(BUCKET_COL).isin(touched) & (F.col(BATCH_COL) <= batch_id))
-            .drop(BUCKET_COL, BATCH_COL)
-            .join(keys, key, "left_semi"))
-    fresh = history(feed).withColumn(BUCKET_COL, key_bucket(key, buckets))
-    if path_exists(spark, table):
-        old = spark.read.parquet(table).where(F.col(BUCKET_COL).isin(touched))
-        state = old.join(keys, key, "left_anti").unionByName(fresh)
-    else:
-        state = fresh
-    (_by_bucket(state).write.mode("overwrite").options(**dyn)
-     .partitionBy(BUCKET_COL).parquet(table))
-    write_text(spark, marker, str(batch_id))
+    enforce_not_null(batch, not_null)
+    commit = table.begin().append(FEED, batch)
+    new = [s for s in commit.new.parts[FEED].segments if s.number == table.manifest.version + 1]
+    if new:
+        keys = table.manifest.keys
+        rows = spark.read.schema(batch.schema).parquet(new[-1].path)
+        affected = rows.select(*keys).distinct()
+        known = table.appended(FEED, table.touched(rows))
+        if known is not None:
+            rows = _same_keys(known, affected, keys, "left_semi").unionByName(rows)
+        total = sum(s.rows for s in commit.new.parts[FEED].segments)
+        commit.replace_keys(TABLE, _history(history, rows, total))
+        commit.compact(keyed=[TABLE], appended=[FEED])
+    commit.stream(stream, batch_id).publish()
 
 
 def maintain(spark: SparkSession, feed_dir: str, base: str, key: str,
-             history: Callable[[DataFrame], DataFrame], *, schema=None, buckets: int = DEFAULT_BUCKETS,
+             history: Callable[..., DataFrame], *, schema=None, buckets: int | None = None,
              checkpoint_dir: str | None = None, max_files_per_trigger: int = 1,
-             available_now: bool = True, processing_time: str | None = None):
+             available_now: bool = True, processing_time: str | None = None, stream: str = "default",
+             not_null: Sequence[str] = ()):
     """Start the maintenance stream over parquet files in ``feed_dir``.
 
-    ``history`` maps feed rows (all rows of some keys) to table rows.
+    ``history`` maps feed rows (all rows of some keys) to table rows. ``stream``
+    names the stream's checkpoint: batch numbers belong to it, so another
+    checkpoint needs another name.
     Returns the ``StreamingQuery``; with ``available_now`` it stops once the
     files present at start are processed.
     """
     schema = schema or spark.read.parquet(feed_dir).schema
-    checkpoint_dir = checkpoint_dir or os.path.join(base, "stream_checkpoint")
+    checkpoint_dir = checkpoint_dir or os.path.join(base, f"stream_checkpoint_{stream}")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        refresh_batch(spark, base, batch, batch_id, key, history, buckets)
+        refresh_batch(spark, base, batch, batch_id, key, history, buckets, stream, not_null)
 
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     writer = (reader.parquet(feed_dir).writeStream.foreachBatch(apply)
@@ -123,39 +111,33 @@ def maintain(spark: SparkSession, feed_dir: str, base: str, key: str,
     return writer.start()
 
 
-def write_feed_files(feed: DataFrame, feed_dir: str, order: str = "__ldts",
-                     rows_per_file: int = 5_000_000) -> int:
-    """Write the feed as files in load order (returns the row count), at most
-    ``rows_per_file`` rows each
-    (a load is spread over as many tasks as its size needs, never funnelled
-    through one). A micro-batch may hold part of a load; maintenance does not
-    depend on how the feed is split."""
-    loads = feed.groupBy(order).agg(F.count(F.lit(1)).alias("n")).orderBy(order).collect()
-    for ts, n in loads:
-        lit = F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz") if hasattr(ts, "isoformat") else F.lit(ts)
-        files = max(1, -(-n // rows_per_file))
-        feed.where(F.col(order) == lit).repartition(files).write.mode("append").parquet(feed_dir)
-    return sum(n for _, n in loads)
-
+def write_feed_files(feed: DataFrame, feed_dir: str, order: str = "__ldts", loads: int = 1) -> None:
+    """Write the feed as files in load order, in one job.
 
-def buckets_for(rows: int, rows_per_bucket: int = 2_000_000, most: int = 4096) -> int:
-    """Key buckets for a maintained table of about ``rows`` rows."""
-    return max(1, min(most, -(-rows // rows_per_bucket)))
+    Rows are range-partitioned by load time into ``loads`` ranges or more; large
+    loads are split further by the writer. A micro-batch may hold part of a load
+    or several; maintenance does not depend on how the feed is split. Rows with
+    a null load time come first."""
+    (feed.repartitionByRange(max(1, loads), F.col(order).asc_nulls_first(), F.xxhash64(*feed.columns))
+     .write.option("maxRecordsPerFile", 5_000_000).mode("append").parquet(feed_dir))
 
 
-def incremental_history(feed: DataFrame, key: str, history: Callable[[DataFrame], DataFrame],
+def incremental_history(feed: DataFrame, key: str, history: Callable[..., DataFrame],
                         order: str = "__ldts", work: str | None = None,
-                        buckets: int | None = None) -> DataFrame:
-    """Run the whole file-fed maintenance on ``feed`` and return the final table
-    (``buckets`` defaults to one per ~2M feed rows)."""
+                        buckets: int | None = None, loads: int = 5, table_bytes: int | None = None) -> DataFrame:
+    """Run the whole file-fed maintenance on ``feed`` and return the final table.
+
+    The feed is delivered in ``loads`` files. The bucket count follows the
+    bytes the table is expected to reach (by default the planner's estimate of
+    the feed) and is stored with the table."""
     spark = feed.sparkSession
     work = work or scratch_path(spark, "incremental")
-    feed_dir = os.path.join(work, "feed")
-    base = os.path.join(work, "maintained")
-    rows = write_feed_files(feed, feed_dir, order)
-    buckets = buckets or buckets_for(rows)
-    q = maintain(spark, feed_dir, base, key, history, schema=feed.schema, buckets=buckets)
+    feed_dir, base = os.path.join(work, "feed"), os.path.join(work, "maintained")
+    write_feed_files(feed, feed_dir, order, loads)
+    if table_bytes is None:
+        table_bytes = int(str(spark.read.parquet(feed_dir)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    q = maintain(spark, feed_dir, base, key, history, schema=feed.schema, buckets=buckets or buckets_for(table_bytes))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return read_table(spark, base)
+    return read_table(spark, base, key)

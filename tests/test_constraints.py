@@ -29,3 +29,25 @@ def test_type_checks_catch_overflow_length_scale(spark):
     df = spark.createDataFrame([(123.456, "abcd"), (1.5, "ab"), (12.34, None)], "a double, s string")
     out = {(r.column_name, r.rule): r.violations for r in constraints.audit_types({"t": (spec, df)}).collect()}
     assert out == {("a", "precision"): 1, ("a", "scale"): 1, ("s", "length"): 1}
+
+
+def test_type_checks_survive_what_no_decimal_holds(spark):
+    from dimsmith.sources.model import TableSpec, col
+    spec = TableSpec("t", (col("a", "decimal(12,2)", "a"),))
+    df = spark.createDataFrame([(1e300,), (float("nan"),), (float("inf"),), (1.25,), (None,)], "a double")
+    out = {(r.column_name, r.rule): r.violations for r in constraints.audit_types({"t": (spec, df)}).collect()}
+    assert out == {("a", "precision"): 3, ("a", "scale"): 3}
+
+
+def test_reference_without_a_parent_is_reported(spark):
+    from dimsmith.sources.model import ForeignKey, TableSpec, col
+    spec = TableSpec("t", (col("a", "bigint", "a"),), foreign_keys=(ForeignKey(("a",), "nowhere", ("b",)),))
+    rows = constraints.audit_foreign_key({"t": (spec, spark.range(5).toDF("a"))}).collect()
+    assert [(r.table_name, r.parent_table, r.orphan_keys, r.orphan_rows) for r in rows] == [("t", "nowhere", None, None)]
+
+
+def test_dim_customer_is_audited(spark):
+    pk = {r.table_name: r for r in catalog.audit_primary_key(spark, SF01).collect()}["dim_customer"]
+    assert (pk.key_columns, pk.duplicate_keys, pk.null_keys) == ("customer_id,__from_dts", 0, 0)
+    checked = {(r.table_name, r.column_name) for r in catalog.audit_types(spark, SF01).collect()}
+    assert ("dim_customer", "phone") in checked and ("src_customer", "market_segment") in checked

@@ -62,26 +62,62 @@ def test_merge_reads_only_newest_batch(spark, feed):
     assert loads == {newest}
 
 
-def test_stored_merge_rewrites_only_touched_buckets(spark, feed):
-    import os
+def _load_batches(feed):
+    loads = [r[0] for r in feed.select("__ldts").distinct().orderBy("__ldts").collect()]
+    return [feed.where(F.col("__ldts") == F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")) for t in loads]
+
+
+def test_stored_merge_writes_only_rows_of_its_keys(spark, feed):
     from dimsmith.session import scratch_path
+    from dimsmith.sources.versioned import VersionedTable
     path = scratch_path(spark, "test-dim")
-    loads = [r[0] for r in feed.select("__ldts").distinct().orderBy("__ldts").collect()]
-    lit = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
-    merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=feed.where(F.col("__ldts") == lit(loads[0])),
-                           buckets=8)
-    local = path.replace("file:", "")
-    listing = lambda: {d: sorted(os.listdir(os.path.join(local, d))) for d in os.listdir(local) if d.startswith("__bucket")}
-    before = listing()
-    one = feed.where((F.col("__ldts") == lit(loads[1])) & (F.col("customer_id") == 7))
-    merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=one, buckets=8)
-    after = listing()
-    assert len([d for d in after if after[d] != before.get(d)]) == 1
-    for t in loads[1:]:
-        merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=feed.where(F.col("__ldts") == lit(t)),
-                               buckets=8)
+    loads = _load_batches(feed)
+    merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=loads[0], buckets=8)
+    before = VersionedTable(spark, path, "customer_id").manifest
+    some = loads[1].where("customer_id % 4 = 0").limit(20).checkpoint()
+    merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=some)
+    after = VersionedTable(spark, path, "customer_id").manifest
+    assert after.parts["current"].base == before.parts["current"].base          # nothing rewritten
+    written = [s for p in after.parts.values() for s in p.segments if s.number == after.version]
+    assert 0 < sum(s.rows for s in written) <= 2 * some.count()
+    for batch in loads[1:]:
+        merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=batch)
     replay = merge.scd2_merge_replay(feed, "customer_id", CUSTOMER_PAYLOAD)
-    assert _rows(merge.read_dimension(spark, path)) == _rows(replay)
+    assert _rows(merge.read_dimension(spark, path, "customer_id")) == _rows(replay)
+
+
+def test_stored_merge_survives_a_writer_that_dies(spark, feed, monkeypatch):
+    from dimsmith.session import scratch_path
+    from dimsmith.sources.versioned import Commit
+    path = scratch_path(spark, "test-dim-crash")
+    loads = _load_batches(feed)
+    merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=loads[0], buckets=4)
+    done = _rows(merge.read_dimension(spark, path, "customer_id"))
+    for step in ("append", "publish"):
+        with monkeypatch.context() as m:
+            m.setattr(Commit, step, lambda *_, **__: (_ for _ in ()).throw(RuntimeError("died")))
+            with pytest.raises(RuntimeError):
+                merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=loads[1])
+        assert _rows(merge.read_dimension(spark, path, "customer_id")) == done
+    for batch in loads[1:]:
+        merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=batch)
+    replay = merge.scd2_merge_replay(feed, "customer_id", CUSTOMER_PAYLOAD)
+    assert _rows(merge.read_dimension(spark, path, "customer_id")) == _rows(replay)
+
+
+def test_stored_merge_refuses_other_buckets_and_null_keys(spark, feed):
+    from dimsmith.operators.constraints import NotNullViolation
+    from dimsmith.session import scratch_path
+    from dimsmith.sources.versioned import Mismatch
+    path = scratch_path(spark, "test-dim-refuse")
+    batch = _load_batches(feed)[0]
+    merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=batch, buckets=4)
+    with pytest.raises(Mismatch):
+        merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=batch, buckets=8)
+    bad = batch.withColumn("customer_id", F.when(F.col("customer_id") > 8, F.col("customer_id")))
+    with pytest.raises(NotNullViolation) as e:
+        merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=bad)
+    assert e.value.counts == {"customer_id": 3}
 
 
 def test_upsert_streams_the_dimension(spark, feed):
@@ -100,8 +136,8 @@ def test_broadcast_only_under_the_bound(spark):
     small = spark.range(10).withColumnRenamed("id", "k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        yes = big.join(broadcast_if_small(small, max_rows=100), "k")
-        no = big.join(broadcast_if_small(small, max_rows=5), "k")
+        yes = big.join(broadcast_if_small(small, max_bytes=100 * 32), "k")
+        no = big.join(broadcast_if_small(small, max_bytes=5 * 32), "k")
         assert "BroadcastHashJoin" in physical_plan(yes)
         assert "BroadcastHashJoin" not in physical_plan(no)
     finally:
@@ -114,13 +150,13 @@ def test_declared_empty_dimension_matches_staged_shape(spark, feed):
     staged = merge.stage_batch(feed, "customer_id", CUSTOMER_PAYLOAD)
     assert empty.count() == 0
     assert [(f.name, f.dataType) for f in empty.schema] == [(f.name, f.dataType) for f in staged.schema]
-    assert empty.schema["__is_latest"].metadata["comment"].startswith("true only on the latest")
+    assert empty.schema["__is_latest"].metadata["comment"] == "whether this version is open"
 
 
 def test_stored_merge_retry_is_a_no_op(spark, feed):
     from dimsmith.session import scratch_path
     path = scratch_path(spark, "test-dim-retry")
     merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, buckets=4)
-    once = _rows(merge.read_dimension(spark, path))
+    once = _rows(merge.read_dimension(spark, path, "customer_id"))
     merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, buckets=4)   # same newest batch
-    assert _rows(merge.read_dimension(spark, path)) == once
+    assert _rows(merge.read_dimension(spark, path, "customer_id")) == once

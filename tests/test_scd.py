@@ -161,3 +161,61 @@ def test_composite_key_hot_path_equals_plain(spark):
     assert rows(hot) == rows(plain)
     r = plain.select("dim_skey", "user_id", "event_type").first()
     assert r.dim_skey.startswith(f"{r.user_id}|{r.event_type}|")
+
+
+def _versions(spark, n=40, keys=(1, 2, None)):
+    rows = [(k, i * 50_000, f"v{k}-{i}") for k in keys for i in range(1, n)]
+    df = spark.createDataFrame(rows, "k long, sec long, v string")
+    feed = df.select("k", F.expr("timestamp_ntz '2024-01-01 00:00:00'").alias("t0"), "sec", "v").select(
+        "k", (F.col("t0") + F.make_dt_interval(secs=F.col("sec").cast("decimal(18,6)"))).alias("ts"), "v")
+    return scd.scd2_history(feed, "k", "ts", ["v"]).select("k", "__from_dts", "__to_dts", "__rec_version")
+
+
+def _facts(spark, n=500):
+    df = spark.range(n).selectExpr("id", "case when id % 7 = 6 then null else id % 4 end as k", "id * 4973 as sec")
+    stamp = F.expr("timestamp_ntz '2024-01-01 00:00:00'") + F.make_dt_interval(secs=F.col("sec").cast("decimal(18,6)"))
+    return df.select("id", "k", F.when(F.col("id") % 11 != 3, stamp).alias("at"))
+
+
+@pytest.mark.parametrize("span", ["1 hour", "1 day", "365 days"])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_as_of_join_equals_the_interval_join(spark, span, how):
+    hist, facts = _versions(spark), _facts(spark)
+    gaps = hist.where("__rec_version % 5 <> 0")          # holes: nothing is valid there
+    for h in (hist, gaps, hist.limit(0)):
+        got = scd.as_of_join(facts, h, "k", "at", how=how, span=span)
+        other = h.withColumnRenamed("k", "hk")
+        want = facts.join(other, (facts.k == other.hk) & facts["at"].between(
+            other["__from_dts"], other["__to_dts"]), how).drop("hk")
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_as_of_join_forms_no_pairs(spark):
+    """One key with 3000 versions and 3000 facts: no join, no task over a span's rows."""
+    from dimsmith.plans.inspect import physical_plan
+    rows = spark.range(3000)
+    hist = rows.selectExpr("1L as k", "timestamp_ntz '2024-01-01' + make_dt_interval(0, id) as __from_dts",
+                           "timestamp_ntz '2024-01-01' + make_dt_interval(0, id, 59, 59) as __to_dts", "id as v")
+    facts = rows.selectExpr("1L as k", "timestamp_ntz '2024-01-01' + make_dt_interval(0, id, 30) as at", "id")
+    out = scd.as_of_join(facts, hist, "k", "at")
+    plan = physical_plan(out)
+    assert "Join" not in plan and "CartesianProduct" not in plan
+    assert out.where("v = id").count() == 3000
+
+
+def test_null_key_takes_the_hot_path(spark):
+    """A null key with most rows is chunked like any other and loses nothing."""
+    rows = [(None if i % 4 else i, i, f"x{i // 3}") for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, n long, v string").select(
+        "k", (F.expr("timestamp_ntz '2024-01-01'") + F.make_dt_interval(mins=F.col("n"))).alias("ts"), "v")
+    plain = scd.scd2_history(df, "k", "ts", ["v"], max_key_rows=None)
+    hot = scd.scd2_history(df, "k", "ts", ["v"], max_key_rows=50)
+    assert sorted(map(str, hot.collect())) == sorted(map(str, plain.collect()))
+    assert plain.where("k IS NULL").count() > 50
+
+
+def test_known_rows_skip_the_search_for_hot_keys(spark, monkeypatch):
+    df = _golden(spark)
+    monkeypatch.setattr(scd, "_Hot", lambda *_: pytest.fail("searched"))
+    assert scd.scd2_history(df, "k", "ts", ["v"], rows=5).count() == 3

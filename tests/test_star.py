@@ -139,3 +139,31 @@ def test_quantity_by_return_flag_matches_fixture(spark):
     li = testdata.star_tables(spark, SF01)["lineitem"]
     got = {r.return_flag: int(r.q) for r in li.groupBy("return_flag").agg(F.sum("quantity").alias("q")).collect()}
     assert got == {"A": 506627, "N": 508966, "R": 508542}
+
+
+@pytest.mark.parametrize("trust", ["declared", "verified"])
+def test_one_answer_with_and_without_columns(tables, trust):
+    """On the loyalty table whose key repeats: any columns, the same rows."""
+    for columns in (["quantity", "ship_mode"], ["quantity", "loyalty_level"]):
+        whole = star.main_reporting(tables, trust=trust).select(*columns)
+        part = star.main_reporting(tables, trust=trust, columns=columns)
+        assert whole.count() == part.count()
+        total = lambda df: df.agg({"quantity": "sum"}).first()[0]
+        assert total(whole) == total(part)
+
+
+def test_verified_columns_join_what_fails_its_check(tables):
+    columns = ["quantity", "ship_mode"]
+    truth = star.main_reporting(tables, trust="none").count()
+    assert star.main_reporting(tables, trust="verified", columns=columns).count() == truth
+    assert truth > star.main_reporting(tables, trust="declared", columns=columns).count()
+
+
+def test_loyalty_ranks_one_total_shared_by_all(spark):
+    """Thousands of customers without a total share rank 1, then the others follow."""
+    customers = spark.range(3000).selectExpr("id as customer_id", "cast(1 as decimal(12,2)) as account_balance_usd",
+                                             "1L as location_id")
+    orders = spark.range(3000).selectExpr(
+        "id as customer_id", "cast(if(id < 2000, null, id) as decimal(12,2)) as total_price_usd")
+    got = loyalty.loyalty_customers(customers, orders).groupBy("level").count().collect()
+    assert {r.level: r["count"] for r in got} == {"Gold": 2000 + 19, "Silver": 80, "Bronze": 300}

@@ -1,10 +1,14 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from dimsmith.operators.constraints import NotNullViolation
 from dimsmith.plans import catalog
 from dimsmith.session import scratch_path
-from dimsmith.streaming.incremental import maintain, read_table
+from dimsmith.sources import feeds, versioned
+from dimsmith.sources.versioned import Commit, Conflict, Mismatch, VersionedTable
+from dimsmith.streaming.incremental import committed_batch, maintain, read_table, refresh_batch
 
 from conftest import SF01
 
@@ -29,36 +33,155 @@ def test_incremental_equals_batch_in_any_arrival_order(spark):
     table = os.path.join(work, "table")
     q = maintain(spark, feed_dir, table, "customer_id", catalog._customer_t2n1, schema=feed.schema)
     q.awaitTermination()
-    got = read_table(spark, table)
+    got = read_table(spark, table, "customer_id")
     assert _rows(got) == _rows(catalog._customer_t2n1(feed))
     # a restart from the same checkpoint finds nothing new and keeps the table
     q2 = maintain(spark, feed_dir, table, "customer_id", catalog._customer_t2n1, schema=feed.schema)
     q2.awaitTermination()
-    assert _rows(read_table(spark, table)) == _rows(got)
-
-
-def test_refresh_touches_only_affected_buckets(spark):
-    import glob
-    from dimsmith.streaming.incremental import refresh_batch
-    feed = catalog._feed(spark, SF01).checkpoint(eager=True)
-    base = scratch_path(spark, "test-buckets")
-    t0 = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    refresh_batch(spark, base, feed.where(F.col("__ldts") == t0), 0, "customer_id",
-                  catalog._customer_t2n1, buckets=8)
-    table = base.replace("file:", "") + "/table"
-    before = {d: sorted(os.listdir(os.path.join(table, d))) for d in os.listdir(table) if d.startswith("__bucket")}
-    one = feed.where((F.col("__ldts") != t0) & (F.col("customer_id") == 4))     # a single key
-    refresh_batch(spark, base, one, 1, "customer_id", catalog._customer_t2n1, buckets=8)
-    after = {d: sorted(os.listdir(os.path.join(table, d))) for d in os.listdir(table) if d.startswith("__bucket")}
-    changed = [d for d in after if after[d] != before.get(d)]
-    assert len(changed) == 1
-    want = catalog._customer_t2n1(feed.where((F.col("__ldts") == t0) | (F.col("customer_id") == 4)))
-    assert _rows(read_table(spark, base)) == _rows(want)
+    assert _rows(read_table(spark, table, "customer_id")) == _rows(got)
+
+
+def _loads(feed):
+    times = [r[0] for r in feed.select("__ldts").distinct().orderBy("__ldts").collect()]
+    return [feed.where(F.col("__ldts") == F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")) for t in times]
+
+
+def _refresh(spark, base, batch, number, **options):
+    refresh_batch(spark, base, batch, number, "customer_id", catalog._customer_t2n1, **options)
+
+
+@pytest.fixture(scope="module")
+def feed(spark):
+    return catalog._feed(spark, SF01).checkpoint(eager=True)
+
+
+def test_refresh_writes_only_rows_of_its_keys(spark, feed):
+    base = scratch_path(spark, "test-small-batch")
+    loads = _loads(feed)
+    _refresh(spark, base, loads[0], 0, buckets=8)
+    before = VersionedTable(spark, base, "customer_id").manifest
+    one = feed.where((F.col("__ldts") != F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")) & (F.col("customer_id") == 4))
+    _refresh(spark, base, one, 1)
+    after = VersionedTable(spark, base, "customer_id").manifest
+    new = [s for p in after.parts.values() for s in p.segments if s.number == after.version]
+    assert [s.path for s in before.parts["table"].base] == [s.path for s in after.parts["table"].base]
+    want = catalog._customer_t2n1(loads[0].unionByName(one))
+    assert sum(s.rows for s in new) == one.count() + want.where("customer_id = 4").count()
+    assert _rows(read_table(spark, base, "customer_id")) == _rows(want)
+
+
+@pytest.mark.parametrize("died_after", ["feed", "table", "tmp manifest"])
+def test_writer_that_dies_before_the_manifest_changes_nothing(spark, feed, died_after, monkeypatch):
+    base = scratch_path(spark, "test-crash")
+    loads = _loads(feed)
+    _refresh(spark, base, loads[0], 0, buckets=4)
+    done = _rows(read_table(spark, base, "customer_id"))
+
+    def die(*_, **__):
+        raise RuntimeError("writer died")
+
+    with monkeypatch.context() as m:
+        if died_after == "feed":
+            m.setattr(Commit, "replace_keys", die)
+        elif died_after == "table":
+            m.setattr(Commit, "publish", die)
+        else:
+            m.setattr(versioned.sinks, "write_once", die)
+        with pytest.raises(RuntimeError):
+            _refresh(spark, base, loads[1], 1)
+    assert _rows(read_table(spark, base, "customer_id")) == done
+    for k, load in enumerate(loads[1:], 1):
+        _refresh(spark, base, load, k)
+    assert _rows(read_table(spark, base, "customer_id")) == _rows(catalog._customer_t2n1(feed))
+
+
+def test_half_written_segment_of_a_dead_writer_is_never_read(spark, feed):
+    base = scratch_path(spark, "test-half")
+    loads = _loads(feed)
+    _refresh(spark, base, loads[0], 0, buckets=4)
+    commit = VersionedTable(spark, base, "customer_id").begin()
+    commit.append("feed", loads[1])                      # written, never published
+    commit.replace_keys("table", catalog._customer_t2n1(loads[1]).limit(3))
+    for k, load in enumerate(loads[1:], 1):
+        _refresh(spark, base, load, k)
+    assert _rows(read_table(spark, base, "customer_id")) == _rows(catalog._customer_t2n1(feed))
+
+
+def test_second_stream_continues_the_table(spark, feed):
+    """Batch numbers belong to a stream: another one starts at 0 and nothing is left out."""
+    base = scratch_path(spark, "test-two-streams")
+    loads = _loads(feed)
+    for k, load in enumerate(loads[:3]):
+        _refresh(spark, base, load, k, stream="one")
+    for k, load in enumerate(loads[3:]):
+        _refresh(spark, base, load, k, stream="two")
+    assert _rows(read_table(spark, base, "customer_id")) == _rows(catalog._customer_t2n1(feed))
+    version = VersionedTable(spark, base, "customer_id").manifest.version
+    _refresh(spark, base, loads[0], 0, stream="two")     # a repeated batch of a stream
+    assert VersionedTable(spark, base, "customer_id").manifest.version == version
+    assert committed_batch(spark, base, "customer_id", "two") == len(loads) - 4
+
+
+def test_other_bucket_count_or_key_is_refused(spark, feed):
+    base = scratch_path(spark, "test-mismatch")
+    load = _loads(feed)[0]
+    _refresh(spark, base, load, 0, buckets=4)
+    with pytest.raises(Mismatch):
+        _refresh(spark, base, load, 1, buckets=8)
+    with pytest.raises(Mismatch):
+        refresh_batch(spark, base, load, 1, "name", catalog._customer_t2n1)
+    with pytest.raises(Mismatch):
+        _refresh(spark, base, load.withColumn("extra", F.lit(1)), 1)
+
+
+def test_conflicting_writers(spark, feed):
+    base = scratch_path(spark, "test-conflict")
+    load = _loads(feed)[0]
+    _refresh(spark, base, load, 0)
+    a, b = (VersionedTable(spark, base, "customer_id").begin() for _ in range(2))
+    a.append("feed", load).publish()
+    with pytest.raises(Conflict):
+        b.append("feed", load).publish()
+
+
+def test_null_keys_and_load_times_as_in_the_full_rebuild(spark, feed):
+    some = feed.where("customer_id < 40")
+    odd = some.limit(3).withColumn("customer_id", F.lit(None).cast("bigint")).unionByName(
+        some.where("customer_id = 8").limit(1).withColumn("__ldts", F.lit(None).cast("timestamp_ntz")))
+    whole = some.unionByName(odd).checkpoint(eager=True)
+    base = scratch_path(spark, "test-nulls")
+    _refresh(spark, base, some, 0, buckets=4)
+    _refresh(spark, base, odd, 1)
+    got, want = read_table(spark, base, "customer_id"), catalog._customer_t2n1(whole)
+    assert got.count() == want.count()
+    assert got.where("customer_id IS NULL").count() == want.where("customer_id IS NULL").count() > 0
+    with pytest.raises(NotNullViolation) as e:
+        _refresh(spark, base, odd, 2, not_null=["customer_id", "__ldts"])
+    assert e.value.counts == {"customer_id": 3, "__ldts": 1}
+
+
+def test_empty_batches(spark, feed):
+    base = scratch_path(spark, "test-empty")
+    _refresh(spark, base, feed.limit(0), 0, buckets=4)
+    for k, load in enumerate(_loads(feed), 1):
+        _refresh(spark, base, load, k)
+    _refresh(spark, base, feed.limit(0), 10)
+    assert _rows(read_table(spark, base, "customer_id")) == _rows(catalog._customer_t2n1(feed))
+    assert committed_batch(spark, base, "customer_id") == 10
+
+
+def test_compaction_keeps_the_table(spark, feed, monkeypatch):
+    monkeypatch.setattr(versioned, "COMPACT_SHARE", 0.05)
+    base = scratch_path(spark, "test-compact")
+    for k, load in enumerate(_loads(feed)):
+        _refresh(spark, base, load, k, buckets=3)
+    table = VersionedTable(spark, base, "customer_id")
+    assert any(s.bucketed and s.number > 1 for s in table.manifest.parts["table"].base)
+    assert _rows(read_table(spark, base, "customer_id")) == _rows(catalog._customer_t2n1(feed))
 
 
 def test_change_task_appends_numbered_batches(spark):
     import time
-    from dimsmith.sources import feeds
     from dimsmith.streaming.change_task import start_change_task
     src = catalog._ssc(spark, SF01)
     path = scratch_path(spark, "test-change-task")
@@ -71,26 +194,14 @@ def test_change_task_appends_numbered_batches(spark):
     finally:
         q.stop()
     got = spark.read.parquet(path).where("__batch = 1").drop("__batch")
-    want = feeds.change_batch(src, 1, n=50)
+    want = feeds.periodic_batch(src, 1, n=50)
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
 
 
-def test_retried_batch_after_partial_commit_converges(spark):
-    """A batch whose table write landed but whose marker did not is applied
-    again on retry; the table must come out the same."""
-    from dimsmith.sources.sinks import write_text
-    from dimsmith.streaming.incremental import committed_batch, refresh_batch
-    feed = catalog._feed(spark, SF01).checkpoint(eager=True)
-    base = scratch_path(spark, "test-retry")
-    loads = [r[0] for r in feed.select("__ldts").distinct().orderBy("__ldts").collect()]
-    lit = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
-    for i, t in enumerate(loads):
-        refresh_batch(spark, base, feed.where(F.col("__ldts") == lit(t)), i, "customer_id",
-                      catalog._customer_t2n1, buckets=8)
-    done = _rows(read_table(spark, base))
-    last = len(loads) - 1
-    assert committed_batch(spark, base) == last
-    write_text(spark, os.path.join(base, "COMMITTED"), str(last - 1))      # marker lost
-    refresh_batch(spark, base, feed.where(F.col("__ldts") == lit(loads[-1])), last, "customer_id",
-                  catalog._customer_t2n1, buckets=8)
-    assert _rows(read_table(spark, base)) == done == _rows(catalog._customer_t2n1(feed))
+def test_periodic_batches_sample_anew(spark):
+    """Two runs share about n * n / N keys; a repeated run shares all."""
+    src = catalog._ssc(spark, SF01)
+    total, n = src.count(), 400
+    one, two, again = ({r[0] for r in feeds.periodic_batch(src, b, n).select("customer_id").collect()} for b in (1, 2, 1))
+    assert len(one) == n and one == again
+    assert 0.6 * n * n / total < len(one & two) < 1.5 * n * n / total
