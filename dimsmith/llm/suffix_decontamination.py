@@ -30,7 +30,8 @@ from .common import alnum_words, fresh, reliable
 WINDOW = 10
 MAX_COVERAGE = 0.5
 BLOCK_WORDS = 200_000
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+# Words of a text as it is, before A-Z are lower-cased.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 class ItemAutomaton:
@@ -184,9 +185,13 @@ def scan(docs: DataFrame, items: DataFrame, column: str, text_col: str = "text",
     Blocks after the first read the rows of the block before from a checkpoint,
     so one automaton at a time is in a worker's memory.
     """
+    return _scan(docs, [*blocks(items, item_id, item_text, block_words)] or [[]], column, text_col, window)
+
+
+def _scan(docs: DataFrame, listed: list, column: str, text_col: str, window: int = WINDOW) -> DataFrame:
     none = F.lit(None)
     out = None
-    for block in [*blocks(items, item_id, item_text, block_words)] or [[]]:
+    for block in listed:
         found = _search_udf(docs.sparkSession.sparkContext.broadcast(ItemAutomaton(block, window)))
         if out is None:
             out = docs.withColumn(column, found(F.col(text_col), none.cast("binary"), none.cast("array<string>")))
@@ -222,13 +227,31 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", max
 
     All columns stay; only the text changes, and only where words are hit.
     """
+    found = [*blocks(items, options.pop("item_id", "item_id"), options.pop("item_text", "text"),
+                     options.pop("block_words", BLOCK_WORDS))] or [[]]
+    column = fresh(docs, "found")
+    if len(found) == 1:  # one pass of one function
+        shared = docs.sparkSession.sparkContext.broadcast(ItemAutomaton(found[0], options.pop("window", WINDOW)))
+
+        @F.pandas_udf("n_words long, n_hit long, text string")
+        def cleaned(texts: pd.Series) -> pd.DataFrame:
+            out = []
+            for text in texts:
+                hit, _ = shared.value.search(alnum_words(text))
+                n = int(hit.sum())
+                out.append((len(hit), n, cut(text, hit) if n else text))
+            return pd.DataFrame(out, columns=["n_words", "n_hit", "text"])
+
+        marked = docs.withColumn(column, cleaned.asNondeterministic()(F.col(text_col)))
+        left = marked.where(F.col(f"{column}.n_hit") <= max_coverage * F.col(f"{column}.n_words"))
+        return left.withColumn(text_col, F.col(f"{column}.text")).select(*[F.col(f"`{c}`") for c in docs.columns])
+
     @F.pandas_udf("string")
     def without(texts: pd.Series, packed: pd.Series) -> pd.Series:
         return pd.Series([t if p is None else cut(t, unpack(p, len(alnum_words(t)))) for t, p in zip(texts, packed)],
                          dtype=object)
 
-    column = fresh(docs, "found")
-    marked = scan(docs, items, column, text_col, **options)
+    marked = _scan(docs, found, column, text_col, **options)
     left = marked.where(F.col(f"{column}.n_hit") <= max_coverage * F.col(f"{column}.n_words"))
     return left.withColumn(text_col, without(F.col(text_col), F.col(f"{column}.hits"))).select(
         *[F.col(f"`{c}`") for c in docs.columns])

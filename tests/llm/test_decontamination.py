@@ -55,7 +55,7 @@ def test_empty_tables(hard, none, items):
 
 def test_spans_are_cut_and_covered_documents_go(session, items):
     other = " ".join(f"word{i}" for i in range(60))
-    rows = [(1, ENGLISH.upper() + "!"), (2, f"{other}. {ENGLISH}; {other}"), (3, other), (4, None)]
+    rows = [(1, ENGLISH.upper() + "!"), (2, f"{other}. {ENGLISH.title()}; {other}"), (3, other), (4, None)]
     got = {r.doc_id: r.text for r in op.decontaminate(
         session.createDataFrame(rows, "doc_id long, text string"), items.where("item_id = 1")).collect()}
     assert got == {2: f"{other}. ; {other}", 3: other, 4: None}
@@ -63,9 +63,16 @@ def test_spans_are_cut_and_covered_documents_go(session, items):
 
 def test_cut():
     flags = np.array([0, 1, 1, 0, 1], bool)
-    assert op.cut("one, two-three four  five!", flags) == "one,  four  !"
+    assert op.cut("One, TWO-three Four  fiVe!", flags) == "One,  Four  !"
 
 
 def test_decontaminate_leaves_other_columns(hard, items):
     got = op.decontaminate(hard, items)
     assert got.columns == hard.columns
+
+
+@pytest.mark.parametrize("block_words", [1, 30])
+def test_blocks_cut_the_same(hard, items, block_words):
+    one = op.decontaminate(hard, items).select("doc_id", "text").collect()
+    many = op.decontaminate(hard, items, block_words=block_words).select("doc_id", "text").collect()
+    assert bag(one) == bag(many)
