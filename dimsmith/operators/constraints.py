@@ -102,32 +102,53 @@ def audit_unique(tables: Tables) -> DataFrame:
 def audit_foreign_key(tables: Tables) -> DataFrame:
     """(table_name, fk_columns, parent_table, orphan_keys, orphan_rows).
 
-    A reference to a table that isn't among ``tables`` has NULL counts."""
+    All references of a table with keys of the same types take one pass over it:
+    each row fans out into its keys, which are pre-aggregated before the
+    anti-join with the parents' keys. A reference to a table that isn't among
+    ``tables`` has NULL counts."""
     parts = []
     for name, (spec, df) in tables.items():
+        together: dict[tuple, list] = {}
         for fk in spec.foreign_keys:
-            if fk.parent not in tables:
-                # A reference that nobody can check is reported, not passed over.
-                parts.append(df.limit(0).agg(
-                    F.lit(name).alias("table_name"), F.lit(",".join(fk.columns)).alias("fk_columns"),
-                    F.lit(fk.parent).alias("parent_table"), F.lit(None).cast("bigint").alias("orphan_keys"),
-                    F.lit(None).cast("bigint").alias("orphan_rows")))
-                continue
-            parent = tables[fk.parent][1]
-            alias = [f"__k{i}" for i in range(len(fk.columns))]
-            child_keys = (df.where(~_any_null(fk.columns))
-                          .groupBy(*[F.col(c).alias(a) for c, a in zip(fk.columns, alias)])
-                          .agg(F.count(F.lit(1)).alias("__n")))
-            parent_keys = parent.select(*[F.col(c).alias(a) for c, a in zip(fk.parent_columns, alias)]).distinct()
-            orphans = child_keys.join(parent_keys, alias, "left_anti")
-            parts.append(orphans.agg(
-                F.count(F.lit(1)).alias("orphan_keys"),
-                F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("orphan_rows"))
-                .select(F.lit(name).alias("table_name"), F.lit(",".join(fk.columns)).alias("fk_columns"),
-                        F.lit(fk.parent).alias("parent_table"), "orphan_keys", "orphan_rows"))
+            kinds = tuple(df.schema[c].dataType.simpleString() for c in fk.columns) if fk.parent in tables else None
+            together.setdefault(kinds, []).append(fk)
+        for kinds, fks in together.items():
+            parts.append(_unchecked(df, name, fks) if kinds is None else _orphans(df, name, fks, tables))
     return _union(parts)
 
 
+def _named(df: DataFrame, table: str, fks, counts: list[tuple[Column, Column]]) -> DataFrame:
+    """One row a reference from a one-row frame."""
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(table).alias("table_name"), F.lit(",".join(fk.columns)).alias("fk_columns"),
+                 F.lit(fk.parent).alias("parent_table"), a.cast("bigint").alias("orphan_keys"),
+                 b.cast("bigint").alias("orphan_rows")) for fk, (a, b) in zip(fks, counts)]))
+    return df.select(rows.alias("r")).select("r.*")
+
+
+def _unchecked(df: DataFrame, table: str, fks) -> DataFrame:
+    """References that nobody can check are reported, not passed over."""
+    none = F.lit(None)
+    return _named(df.sparkSession.range(1), table, fks, [(none, none)] * len(fks))
+
+
+def _orphans(df: DataFrame, table: str, fks, tables: Tables) -> DataFrame:
+    alias = [f"__k{i}" for i in range(len(fks[0].columns))]
+
+    def keyed(number: int, columns) -> Column:
+        return F.struct(F.lit(number).alias("__fk"), *[F.col(c).alias(a) for c, a in zip(columns, alias)])
+
+    child = (df.select(F.explode(F.array(*[keyed(i, fk.columns) for i, fk in enumerate(fks)])).alias("k")).select("k.*")
+             .where(~_any_null(alias)).groupBy("__fk", *alias).agg(F.count(F.lit(1)).alias("__n")))
+    parents = _union([tables[fk.parent][1].select(keyed(i, fk.parent_columns).alias("k")).select("k.*")
+                      for i, fk in enumerate(fks)]).distinct()
+    orphans = child.join(parents, ["__fk", *alias], "left_anti")
+    own = [F.col("__fk") == i for i in range(len(fks))]
+    summary = orphans.agg(*[F.count_if(c).alias(f"k{i}") for i, c in enumerate(own)],
+                          *[F.coalesce(F.sum(F.when(c, F.col("__n"))), F.lit(0)).alias(f"r{i}") for i, c in enumerate(own)])
+    return _named(summary, table, fks, [(F.col(f"k{i}"), F.col(f"r{i}")) for i in range(len(fks))])
+
+
 def type_checks(spec: TableSpec, source: DataFrame) -> dict[str, Column]:
     """Checks of declared lengths and decimal precision/scale on *source* values
     (before the cast, which would round or fail silently)."""
@@ -167,10 +188,30 @@ def audit_types(sources: Tables) -> DataFrame:
     return _union(parts)
 
 
+def not_null_checks(spec: TableSpec) -> dict[str, Column]:
+    """Checks of NOT NULL on source values: NULL after the cast to the declared type."""
+    return {f"{c.name}|not_null": F.count_if(F.col(c.name).try_cast(c.dtype).isNull())
+            for c in spec.columns if not c.nullable}
+
+
+def audit_columns(sources: Tables) -> DataFrame:
+    """(table_name, column_name, rule, violations) of NOT NULL, length, precision and
+    scale: one aggregate and one pass a table."""
+    parts = []
+    for name, (spec, src) in sources.items():
+        checks = {**not_null_checks(spec), **type_checks(spec, src)}
+        if checks:
+            parts.append(_long_rows(src, name, checks, "item").select(
+                "table_name", F.split("item", r"\|")[0].alias("column_name"),
+                F.split("item", r"\|")[1].alias("rule"), "violations"))
+    return _union(parts)
+
+
 def constraint_report(tables: Tables, sources: Tables) -> DataFrame:
-    """Every audit in one table: (table_name, rule, columns, violations)."""
-    nn = audit_not_null(tables).select("table_name", F.lit("not_null").alias("rule"),
-                                       F.col("column_name").alias("columns"), "violations")
+    """Every audit in one table: (table_name, rule, columns, violations).
+
+    ``sources`` has the source values of every table of ``tables``."""
+    columns = audit_columns(sources).select("table_name", "rule", F.col("column_name").alias("columns"), "violations")
     pk = audit_primary_key(tables).select("table_name", F.lit("primary_key").alias("rule"),
                                           F.col("key_columns").alias("columns"),
                                           (F.col("duplicate_rows") + F.col("null_keys")).alias("violations"))
@@ -180,6 +221,4 @@ def constraint_report(tables: Tables, sources: Tables) -> DataFrame:
     fk = audit_foreign_key(tables).select("table_name", F.lit("foreign_key").alias("rule"),
                                           F.concat_ws("->", "fk_columns", "parent_table").alias("columns"),
                                           F.col("orphan_rows").alias("violations"))
-    ty = audit_types(sources).select("table_name", "rule", F.col("column_name").alias("columns"),
-                                     "violations")
-    return _union([nn, pk, uq, fk, ty])
+    return _union([columns, pk, uq, fk])

@@ -13,17 +13,9 @@ RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
               "lineitem", "events")
 
 
-_READERS: dict[tuple[str, str], DataFrame] = {}
-
-
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Reader of one raw table, reused per session (the test tables are
-    read-only, so the listed files and footer schema stay valid)."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _READERS:
-        _READERS[key] = spark.read.parquet(path)
-    return _READERS[key]
+    """Reader of one raw table."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def conformed(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:

@@ -51,3 +51,12 @@ def test_dim_customer_is_audited(spark):
     assert (pk.key_columns, pk.duplicate_keys, pk.null_keys) == ("customer_id,__from_dts", 0, 0)
     checked = {(r.table_name, r.column_name) for r in catalog.audit_types(spark, SF01).collect()}
     assert ("dim_customer", "phone") in checked and ("src_customer", "market_segment") in checked
+
+
+def test_report_scans_lineitem_at_most_four_times(spark):
+    """Three passes over the lines in the report's plan, one when the inventory is stored."""
+    report = catalog.constraint_report(spark, SF01)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.split("FileScan parquet") if "lineitem.parquet" in x[:4000].split("\n")[0]]
+    assert len(scans) <= 3
+    assert report.count() == len({(r.table_name, r.rule, r["columns"]) for r in report.collect()})
