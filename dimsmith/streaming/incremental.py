@@ -71,7 +71,7 @@ def refresh_batch(spark: SparkSession, base: str, batch: DataFrame, batch_id: in
     new = [s for s in commit.new.parts[FEED].segments if s.number == table.manifest.version + 1]
     if new:
         keys = table.manifest.keys
-        rows = spark.read.schema(batch.schema).parquet(new[-1].path)
+        rows = spark.read.schema(batch.schema).parquet(new[-1].path).select(*batch.columns)
         affected = rows.select(*keys).distinct()
         known = table.appended(FEED, table.touched(rows))
         if known is not None:
