@@ -24,11 +24,12 @@ slot (their texts in hash order). An empty table writes no file.
 
 from __future__ import annotations
 
+import os
 import posixpath
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from .common import partitions, read_input, shared_folder, write_bytes
 
 MAGIC = 0x444D534944583031
 END_ID = 1
-WORDS_KEPT = 500_000
+WORDS_KEPT = 400_000
 _RECORD = np.dtype([("key", "<i8"), ("has", "u1"), ("first", "<i8"), ("count", "<i8")])
 _SLOT = np.dtype([("print", "<u4"), ("record", "<i8"), ("count", "<i8")])
 _FOOTER = struct.Struct("<6q")
@@ -52,35 +53,88 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# Marks that end a word; after an ASCII letter they are pre-tokens of their own.
+_TAIL = b".,;:!?*$%&#|"
+# Put between words that are encoded together. A digit is a pre-token of its
+# own, so no word without it gives its id.
+_CUT = b"0"
+
+
 class WordEncoder:
-    """A tokenizers file, applied word by word.
+    """The lower-casing tokenizers file with word ends, applied word by word.
 
     ASCII white space never becomes part of a token and bounds its words, so the
-    ids of a text are those of the words between, one after the other. Ids of
-    the last distinct words are kept.
+    ids of a text are those of the words between, one after the other. Words are
+    looked up without regard to ASCII case, and without the marks that end them;
+    the library encodes those not met before, a text's worth in one call. At
+    most twice ``kept`` distinct words are remembered, those met last.
     """
 
     def __init__(self, path: str, kept: int = WORDS_KEPT):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task a core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.limit = kept
         self.kept: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        (self.cut,) = self._ids(_CUT)
+
+    def _ids(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)[0].ids
+
+    def _learn(self, words: Iterable[bytes]) -> None:
+        kept, older = self.kept, self.older
+        split: list[tuple[bytes, bytes, bytes]] = []
+        same: list[tuple[bytes, bytes]] = []
+        together: dict[bytes, None] = {}
+        alone: dict[bytes, None] = {}
+        for w in words:
+            if w in older:
+                kept[w] = older[w]
+                continue
+            low = w if b"<|" in w else w.lower()  # special tokens are matched before lower-casing
+            core = low.rstrip(_TAIL)
+            if len(core) < len(low) and core and 97 <= core[-1] <= 122:
+                parts = (core, low[len(core):])
+                split.append((w, *parts))
+            else:
+                parts = (low,)
+                if low is not w and low != w:
+                    same.append((w, low))
+            for p in parts:
+                if p not in kept:
+                    if p in older:
+                        kept[p] = older[p]
+                    elif _CUT in p or b"<|" in p:
+                        alone[p] = None
+                    else:
+                        together[p] = None
+        if together:
+            ids = np.array(self._ids((b" " + _CUT + b" ").join(together)), f"<u{self.width}")
+            cuts = np.flatnonzero(ids == self.cut) * self.width
+            data, at = ids.tobytes(), 0
+            for p, end in zip(together, [*cuts.tolist(), len(data)]):
+                kept[p] = data[at:end]
+                at = end + self.width
+        for p in alone:
+            kept[p] = np.array(self._ids(p), f"<u{self.width}").tobytes()
+        for w, core, tail in split:
+            kept[w] = kept[core] + kept[tail]
+        for w, low in same:
+            kept[w] = kept[low]
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the text, packed."""
         if not text:
             return b""
         kept, words = self.kept, text.encode("utf-8", "surrogatepass").split()
-        new = [w for w in set(words) if w not in kept]
+        new = set(words).difference(kept)
         if new:
-            if len(kept) + len(new) > self.limit:
-                kept.clear()
-                new = list(set(words))
-            kind = f"<u{self.width}"
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(
-                    [w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
-                kept[w] = np.array(e.ids, kind).tobytes()
+            if len(kept) + 2 * len(new) > self.limit:  # words not met since the last time are forgotten
+                self.older, self.kept = kept, {}
+                kept, new = self.kept, set(words)
+            self._learn(new)
         return b"".join(map(kept.__getitem__, words))
 
 

@@ -71,8 +71,8 @@ def test_word_by_word_is_exact(tokenizer):
     encoder = op.WordEncoder(op.tokenizer_path(), kept=50)
     rnd = random.Random(4)
     parts = ["a", "B", "é", "é", "́", " ", "\n", "\t", " ", " ", "\x1c", "\x85", "'s", "12", "<|endoftext|>",
-             "Σ", "ẞ", "日", "😀", "-", "_", "\x00", "don't"]
-    for _ in range(400):
+             "Σ", "ẞ", "日", "😀", "-", "_", "\x00", "don't", "word,", "Word.***", "!?", "0", "<|", "|>", "\u0338", "<|ENDOFTEXT|>", "%%%", "'"]
+    for _ in range(3000):
         text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25)))
         got = np.frombuffer(encoder.encode(text), "<u2").tolist()
         assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
