@@ -204,30 +204,40 @@ _SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 def find(docs: DataFrame, column: str, text_col: str = "text", terms: DataFrame | None = None) -> DataFrame:
     """``docs`` with an array of spans: the base kinds in order, then ``term`` and ``term-removed``."""
+    shares = _shares(docs, text_col, terms)
+    first, text = shares[0], F.col(text_col)
+
     @F.pandas_udf(_SPANS)
-    def base(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"kind": k, "start": a, "end": b} for k, a, b in base_spans(t)] for t in texts], dtype=object)
+    def spans(texts: pd.Series) -> pd.Series:
+        return pd.Series([all_spans(t, first.value) for t in texts], dtype=object)
+
+    out = docs.withColumn(column, spans.asNondeterministic()(text))
+    for more in shares[1:]:
+        @F.pandas_udf(_SPANS)
+        def others(texts: pd.Series, more=more) -> pd.Series:
+            return pd.Series([term_spans(t, more.value, base_spans(t)) for t in texts], dtype=object)
+        out = out.withColumn(column, F.concat(F.col(column), others.asNondeterministic()(text)))
+    return out
+
 
-    out = docs.withColumn(column, base.asNondeterministic()(F.col(text_col)))
+def _shares(docs: DataFrame, text_col: str, terms: DataFrame | None) -> list[Broadcast]:
+    """P(e | t) of the disclosing terms, in blocks (at least one, maybe empty)."""
     terms = disclosing_terms(docs, text_col) if terms is None else terms
-    for block in _blocks(terms.select("term", "share")):
-        out = out.withColumn(column, F.concat(F.col(column), _term_udf(
-            docs.sparkSession.sparkContext.broadcast(dict(block)))(F.col(text_col))))
-    return out
+    return [docs.sparkSession.sparkContext.broadcast(dict(b)) for b in [*_blocks(terms.select("term", "share"))] or [[]]]
 
 
-def _term_udf(shares: Broadcast):
-    @F.pandas_udf(_SPANS)
-    def more(texts: pd.Series) -> pd.Series:
-        share, out = shares.value, []
-        for text in texts:
-            found = [] if not text else [
-                {"kind": "term-removed" if share[w] >= REMOVE_SHARE else "term", "start": a, "end": b}
-                for w, a, b in _terms(text) if w in share]
-            inside = [(a, b) for _, a, b in base_spans(text)] if found else []
-            out.append([s for s in found if not any(a < s["end"] and s["start"] < b for a, b in inside)])
-        return pd.Series(out, dtype=object)
-    return more.asNondeterministic()
+def term_spans(text: str | None, share: dict[str, float], base: list[tuple[str, int, int]]) -> list[dict]:
+    """Spans of the disclosing terms, outside the base spans."""
+    if not text or not share:
+        return []
+    found = [{"kind": "term-removed" if share[w] >= REMOVE_SHARE else "term", "start": a, "end": b}
+             for w, a, b in _terms(text) if w in share]
+    return [s for s in found if not any(a < s["end"] and s["start"] < b for _, a, b in base)]
+
+
+def all_spans(text: str | None, share: dict[str, float]) -> list[dict]:
+    base = base_spans(text)
+    return [{"kind": k, "start": a, "end": b} for k, a, b in base] + term_spans(text, share, base)
 
 
 def joined(spans: Iterable[dict]) -> str:
@@ -236,19 +246,26 @@ def joined(spans: Iterable[dict]) -> str:
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, counts of the base kinds, base_sha256 and spans of every document."""
-    rows = find(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "found")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    shares = _shares(rows, "text", None)
+    one = shares[0] if len(shares) == 1 else None
+    source = rows.withColumn("found", F.lit(None)) if one else find(
+        rows, "found", terms=rows.sparkSession.createDataFrame(
+            [x for b in shares for x in b.value.items()], "term string, share double"))
 
     @F.pandas_udf("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
-    def digest(found: pd.Series) -> pd.DataFrame:
+    def digest(given: pd.Series) -> pd.DataFrame:
         out = []
-        for spans in found:
+        for item in given:
+            spans = all_spans(item, one.value) if one else item
             order = {k: i for i, k in enumerate((*KINDS, "term", "term-removed"))}
             spans = sorted(spans, key=lambda s: (order[s["kind"]], s["start"]))
             own = [s for s in spans if s["kind"] in KINDS]
             out.append((*(sum(s["kind"] == k for s in own) for k in KINDS),
                         hashlib.sha256(joined(own).encode()).hexdigest(), joined(spans)))
         return pd.DataFrame(out, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
-    return rows.select("doc_id", digest.asNondeterministic()(F.col("found")).alias("x")).select("doc_id", "x.*")
+    return source.select("doc_id", digest.asNondeterministic()(F.col("text" if one else "found")).alias("x")).select(
+        "doc_id", "x.*")
 
 
 def replaced(text: str, spans: Iterable[dict]) -> str:
@@ -263,10 +280,22 @@ def replaced(text: str, spans: Iterable[dict]) -> str:
 
 def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All rows and columns, with the spans of the text generalised or removed."""
+    terms = disclosing_terms(docs, text_col)
+    shares = _shares(docs, text_col, terms)
+    if len(shares) == 1:  # one pass of one function
+        @F.pandas_udf("string")
+        def clean(texts: pd.Series) -> pd.Series:
+            return pd.Series([_cleaned(t, all_spans(t, shares[0].value)) for t in texts], dtype=object)
+        return docs.withColumn(text_col, clean(F.col(text_col)))
+
     @F.pandas_udf("string")
-    def clean(texts: pd.Series, found: pd.Series) -> pd.Series:
-        return pd.Series([t if t is None or not len(s) else replaced(t, s) for t, s in zip(texts, found)], dtype=object)
+    def clean_found(texts: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([_cleaned(t, s) for t, s in zip(texts, found)], dtype=object)
 
     column = fresh(docs, "found")
-    return find(docs, column, text_col).withColumn(text_col, clean(F.col(text_col), F.col(column))).select(
+    return find(docs, column, text_col, terms).withColumn(text_col, clean_found(F.col(text_col), F.col(column))).select(
         *[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _cleaned(text: str | None, spans) -> str | None:
+    return text if text is None or not len(spans) else replaced(text, spans)

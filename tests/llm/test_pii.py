@@ -77,6 +77,10 @@ def test_term_blocks_give_the_same(session, monkeypatch):
     want = bag(map(tuple, op.report(df).collect()))
     monkeypatch.setattr(op, "BLOCK_TERMS", 1)
     assert bag(map(tuple, op.report(df).collect())) == want
+    monkeypatch.setattr(op, "BLOCK_TERMS", 50_000)
+    clean = bag(map(tuple, op.sanitise(df).collect()))
+    monkeypatch.setattr(op, "BLOCK_TERMS", 1)
+    assert bag(map(tuple, op.sanitise(df).collect())) == clean
 
 
 def test_replacing_overlaps():
