@@ -52,12 +52,12 @@ REPORTS = ("said says say wrote writes called calls claimed claims quoted quotes
 
 NEGATION_REACH = 3
 TARGET_REACH = 4
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 LEARN_ROWS = 20_000
 LEXICON_ROWS = 4000
 MIN_ROWS = 4
 MIN_CONTEXTS = 3
-MIN_EVIDENCE = 18.0
+MIN_EVIDENCE = 14.0
 MIN_LIFT = 2.5
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 _NEGATING, _REPORTING = frozenset(NEGATIONS), frozenset(REPORTS)
