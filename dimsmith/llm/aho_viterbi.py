@@ -10,7 +10,7 @@ where the file has byte pieces, else as the unknown piece.
 
 No piece has the space mark after another character, so no piece crosses into
 the next word: the best path of a text is that of its words, one after the
-other, and a worker keeps the encodings of the last distinct words.
+other, and a worker remembers the encodings of the words met last.
 
 Texts are normalised as the library does without a character map: spaces
 become the mark, one is put in front, runs of spaces stay or shrink as the
@@ -23,7 +23,8 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
@@ -35,7 +36,7 @@ from .common import fresh
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000
 MODEL_ENV = "DIMSMITH_SENTENCEPIECE_MODEL"
 # Piece types of the model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -103,8 +104,13 @@ class PieceModel:
         for p, k in usable:
             self.automaton.add_word(p, (len(p), k, scores[k]))
         self.automaton.make_automaton()
+        #: What each id stands for in a text; unknown and control ids give nothing.
+        self.text_of = [self.byte_of.get(k) or (p.encode() if t in (NORMAL, USER) else b"")
+                        for k, (p, t) in enumerate(zip(self.pieces, kinds))]
         self.words_kept = words_kept
-        self.kept: dict[str, tuple[int, ...]] = {}
+        #: Ids of words (less the space mark that opens them) met last, and before.
+        self.kept: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def normalise(self, text: str) -> str:
         if self.shrink:
@@ -152,29 +158,45 @@ class PieceModel:
             n = start
         return tuple(reversed(path))
 
-    def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
+    def packed(self, text: str | None) -> bytes:
+        """Ids of the text, four bytes each; the words met last are remembered."""
         if not text:
-            return out
-        kept = self.kept
-        for word in _words(self.normalise(text)):
-            ids = kept.get(word)
+            return b""
+        first = b""
+        if self.dummy_prefix and not text.startswith(" ") and "  " not in text and MARK not in text:
+            words = text.encode("utf-8", "surrogatepass").split(b" ")  # each opens with one mark
+        else:
+            units = _words(self.normalise(text))
+            if units and not units[0].startswith(MARK):
+                first = array("i", self.viterbi(units.pop(0))).tobytes()
+            words = [w[1:].encode("utf-8", "surrogatepass") for w in units]
+        step = self.words_kept
+        return first + b"".join(self._packed(words[at:at + step]) for at in range(0, len(words), step))
+
+    def _packed(self, words: list[bytes]) -> bytes:
+        new = set(words).difference(self.kept)
+        if new and len(self.kept) + len(new) > self.words_kept:
+            self.older, self.kept = self.kept, {}
+            new = set(words)
+        kept, older = self.kept, self.older
+        for word in new:
+            ids = older.get(word)
             if ids is None:
-                ids = self.viterbi(word)
-                if len(word) <= 64:  # a long word is hardly met again
-                    if len(kept) >= self.words_kept:
-                        kept.clear()
-                    kept[word] = ids
-            out += ids
-        return out
-
-    def decode_normalised(self, ids: list[int]) -> str:
-        """The normalised text of ids; unknown pieces give nothing."""
-        pieces, byte_of = self.pieces, self.byte_of
-        data = [byte_of.get(k) or (pieces[k].encode() if self.kinds[k] in (NORMAL, USER) else b"") for k in ids]
-        return b"".join(data).decode("utf-8", "surrogatepass")
-
-    def decode(self, ids: list[int]) -> str:
+                ids = array("i", self.viterbi(MARK + word.decode("utf-8", "surrogatepass"))).tobytes()
+            kept[word] = ids
+        return b"".join(map(kept.__getitem__, words))
+
+    def ids(self, text: str | None) -> np.ndarray:
+        return np.frombuffer(self.packed(text), np.int32)
+
+    def encode(self, text: str | None) -> list[int]:
+        return self.ids(text).tolist()
+
+    def decode_normalised(self, ids: Sequence[int]) -> str:
+        """The normalised text of ids; bytes that form no character give the replacement character."""
+        return b"".join(map(self.text_of.__getitem__, ids)).decode("utf-8", "replace")
+
+    def decode(self, ids: Sequence[int]) -> str:
         text = self.decode_normalised(ids).replace(MARK, " ")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
@@ -187,25 +209,28 @@ def _words(text: str) -> list[str]:
     return ([first] if first else []) + [MARK + w for w in rest]
 
 
-_MODELS: dict[str, PieceModel] = {}
+_MODELS: dict[tuple[str, int], PieceModel] = {}
 
 
-def _model(path: str) -> PieceModel:
+def _model(path: str, words_kept: int = WORDS_KEPT) -> PieceModel:
     """One model a worker process."""
-    if path not in _MODELS:
+    if (path, words_kept) not in _MODELS:
         with open(path, "rb") as f:
-            _MODELS[path] = PieceModel(f.read())
-    return _MODELS[path]
+            _MODELS[path, words_kept] = PieceModel(f.read(), words_kept)
+    return _MODELS[path, words_kept]
 
 
-def encode(docs: DataFrame, column: str = "ids", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """``docs`` with an array of piece ids; a null text has none (an empty array)."""
+def encode(docs: DataFrame, column: str = "ids", text_col: str = "text", path: str | None = None,
+           words_kept: int = WORDS_KEPT) -> DataFrame:
+    """``docs`` with an array of piece ids; a null text has none (an empty array).
+
+    ``words_kept`` words a worker remembers trade memory for work; the ids are the same."""
     path = path or model_path()
 
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
-        model = _model(path)
-        return pd.Series([np.array(model.encode(t), np.int32) for t in texts], dtype=object)
+        model = _model(path, words_kept)
+        return pd.Series([model.ids(t) for t in texts], dtype=object)
     return docs.withColumn(column, ids(F.col(text_col)))
 
 
@@ -232,10 +257,10 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
         model, out = _model(path), []
         first, last = (min(model.byte_of), max(model.byte_of)) if model.byte_of else (1, 0)
         for t in texts:
-            ids = model.encode(t)
-            packed = np.array(ids, "<u4")
-            out.append((len(ids), int(((packed >= first) & (packed <= last)).sum()), zlib.crc32(packed.tobytes()),
-                        model.decode_normalised(ids) == model.normalise(t or "")))
+            packed = model.packed(t)
+            ids = np.frombuffer(packed, "<u4")
+            out.append((len(ids), int(((ids >= first) & (ids <= last)).sum()), zlib.crc32(packed),
+                        model.decode_normalised(ids.tolist()) == model.normalise(t or "")))
         return pd.DataFrame(out, columns=["n_pieces", "n_byte_pieces", "ids_crc32", "round_trip"])
     x = fresh(docs, "x")
     return docs.select(F.col(id_col).alias("doc_id"), digest.asNondeterministic()(F.col(text_col)).alias(x)).select(

@@ -27,7 +27,7 @@ from dimsmith.session import ensure_checkpoint_dir
 # Fixed value: the white space that separates words of most contracts.
 SPACE_CLASS = r"[ \t\n\x0B\f\r]"
 # Arrow batches to Python workers hold at most this many bytes of rows.
-ARROW_BATCH_BYTES = 32 << 20
+ARROW_BATCH_BYTES = 8 << 20
 ARROW_BATCH_ROWS = 4000
 
 _ALNUM_TABLE = bytes(
@@ -66,11 +66,11 @@ def ship(spark: SparkSession) -> None:
     sc._dimsmith_shipped = True
 
 
-def tune(spark: SparkSession) -> None:
+def tune(spark: SparkSession, batch_bytes: int = ARROW_BATCH_BYTES, batch_rows: int = ARROW_BATCH_ROWS) -> None:
     """Prepare the session: ship the package, bound the Arrow batches by bytes and rows."""
     ship(spark)
-    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH_BYTES),
-                      ("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_BATCH_ROWS)):
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", batch_bytes),
+                      ("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)):
         have = spark.conf.get(key, None)
         value = int(re.sub(r"\D", "", have) or 0) if have else 0
         if not 0 < value <= most:
