@@ -12,8 +12,9 @@ A shard's trie has two levels, the words and, below each, its contexts. The
 level keys and the pointers between them are monotone sequences in Elias-Fano
 form; the leaves hold quantised logarithms of the smoothed probabilities. A
 lookup finds the word, then the context by successor search inside the word's
-own range. Levels are one flat buffer each; with ``folder`` they are written to
-files there and queried through memory maps.
+own range. A shard's levels are one file in the shared folder, queried through a
+memory map (through ranged reads where the store is not a local one); it is
+removed once the shard's documents are scored, unless ``folder`` asks to keep it.
 
 Passes over the documents: (1) word counts, which give N, V and the words with
 at least 1 / ``HOT`` of all tokens (so at most ``HOT``); (2) counts of pairs of
@@ -34,6 +35,7 @@ import struct
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, fold, partitions, read_input, reliable, space_words, write_bytes
+from .common import (batches, fold, open_fs, partitions, read_input, reliable, shared_folder, space_words,
+                     write_bytes)
 
 MU = 200.0
 HOT = 2000
@@ -196,15 +199,18 @@ class Trie:
         return out
 
 
-def mapped(levels: list[bytes], folder: str | None, name: str) -> list:
-    """The levels as they are, or written below ``folder`` and memory-mapped from there."""
-    if folder is None:
-        return levels
+@contextmanager
+def mapped(levels: list[bytes], folder: str, name: str, keep: bool) -> Iterator[list]:
+    """The levels in a file below ``folder``, memory-mapped; the file goes in the end unless kept."""
     uri = posixpath.join(folder, f"{name}-{uuid.uuid4().hex[:8]}.trie")
     write_bytes(uri, levels)
-    file = read_input(uri)
-    ends = np.cumsum([len(x) for x in levels]).tolist()
-    return [file.read_at(len(x), e - len(x)) for x, e in zip(levels, ends)]
+    sizes = [len(x) for x in levels]
+    levels.clear()
+    with read_input(uri) as file:
+        yield [file.read_at(n, end - n) for n, end in zip(sizes, np.cumsum(sizes).tolist())]
+    if not keep:
+        fs, path = open_fs(uri)
+        fs.delete_file(path)
 
 
 def word_hashes(words) -> np.ndarray:
@@ -258,7 +264,6 @@ class Totals:
     """Corpus totals and the hot words and pairs (each at most ``HOT``)."""
 
     def __init__(self, train: DataFrame, mu: float):
-        spark = train.sparkSession
         words = reliable(train.mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
                          .where("n > 0"))
         row = words.agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n")).first()
@@ -276,7 +281,6 @@ class Totals:
                      .agg(F.sum("n").alias("n")).where(F.col("n") >= least).orderBy(F.desc("n"), "key").limit(HOT))
             size = len(listed)
             self.hot_pairs = {(listed[r["key"] // size], listed[r["key"] % size]): r["n"] for r in pairs.collect()}
-        del spark
 
     def values(self, word_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """MU * p0 of words, and log10(c + MU) as contexts (quantised)."""
@@ -438,7 +442,7 @@ def _batch_messages(batch: pa.RecordBatch, t: Totals, hot: np.ndarray, hot_count
 
 
 def _score_shard(messages: list[tuple[int, bytes]], t: Totals, hot: np.ndarray, hot_counts: np.ndarray,
-                 sums: dict[int, _Sums], folder: str | None, name: str) -> None:
+                 sums: dict[int, _Sums], folder: str, name: str, keep: bool) -> None:
     parts = [_unpack(m) for _, m in messages]
     w, u = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     c = np.concatenate([np.add.reduceat(np.where(p[5][p[3]], p[4], 0).astype(np.int64), np.cumsum(p[2], dtype=np.int64) - p[2])
@@ -461,8 +465,21 @@ def _score_shard(messages: list[tuple[int, bytes]], t: Totals, hot: np.ndarray,
         word_counts = np.where(hot[spot] == words, hot_counts[spot], word_counts)
     ranges = np.append(word_at, len(kw))
     prior, _ = t.values(np.repeat(word_counts, np.diff(ranges)))
-    trie = Trie(mapped(Trie.build(words, word_counts, ranges, ku, quantise(np.log10(kc + prior))), folder, name))
-    # Each distinct pair is looked up once.
+    levels = Trie.build(words, word_counts, ranges, ku, quantise(np.log10(kc + prior)))
+    with mapped(levels, folder, name, keep) as views:
+        wc, gain, cost = _lookup(Trie(views), t, hot, hot_counts, w, u)
+    first = 0
+    for (batch, _), (_, _, per_pair, doc, n, train) in zip(messages, parts):
+        pair = np.repeat(pair_of[first:first + len(per_pair)], per_pair)
+        first += len(per_pair)
+        if batch not in sums:
+            sums[batch] = _Sums(len(train))
+        sums[batch].add(doc, n, wc[pair], gain[pair], cost[pair])
+
+
+def _lookup(trie: Trie, t: Totals, hot: np.ndarray, hot_counts: np.ndarray, w: np.ndarray,
+            u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word count, log10 numerator and log10 cost as a context of each distinct (word, context), sorted."""
     distinct = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
     of = np.repeat(np.arange(len(distinct)), np.diff(np.append(distinct, len(w))))
     ranks = trie.word(w[distinct])
@@ -475,13 +492,7 @@ def _score_shard(messages: list[tuple[int, bytes]], t: Totals, hot: np.ndarray,
     leaf = trie.context(ranks[of], u)
     unseen = restored(quantise(np.log10(prior)))[of]
     gain = np.where(leaf >= 0, restored(trie.codes[np.maximum(leaf, 0)]) if len(trie.codes) else 0.0, unseen)
-    wc, cost, first = wc[of], cost[of], 0
-    for (batch, _), (_, _, per_pair, doc, n, train) in zip(messages, parts):
-        pair = np.repeat(pair_of[first:first + len(per_pair)], per_pair)
-        first += len(per_pair)
-        if batch not in sums:
-            sums[batch] = _Sums(len(train))
-        sums[batch].add(doc, n, wc[pair], gain[pair], cost[pair])
+    return wc[of], gain, cost[of]
 
 
 _PART_SQL = "batch long, kind int, payload binary"
@@ -489,7 +500,7 @@ _PART = pa.schema([("batch", pa.int64()), ("kind", pa.int32()), ("payload", pa.b
 HELD_DOCS = 2_000_000
 
 
-def _scores(totals, folder: str | None):
+def _scores(totals, folder: str, keep: bool):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = totals.value
         hot = np.array(sorted(t.hot), np.uint64)
@@ -508,7 +519,7 @@ def _scores(totals, folder: str | None):
                     yield from rows([(key, kind, payload)])
                     continue
                 if number != shard and held:
-                    _score_shard(held, t, hot, hot_counts, sums, folder, f"shard-{shard}")
+                    _score_shard(held, t, hot, hot_counts, sums, folder, f"shard-{shard}", keep)
                     held = []
                     if sum(len(x.base) for x in sums.values()) > HELD_DOCS:
                         yield from rows((k, 1, x.pack()) for k, x in sums.items())
@@ -516,7 +527,7 @@ def _scores(totals, folder: str | None):
                 shard = number
                 held.append((key, payload))
         if held:
-            _score_shard(held, t, hot, hot_counts, sums, folder, f"shard-{shard}")
+            _score_shard(held, t, hot, hot_counts, sums, folder, f"shard-{shard}", keep)
         yield from rows((k, 1, x.pack()) for k, x in sums.items())
     return run
 
@@ -559,9 +570,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modul
     """Train on the rows outside the held-out fold and score every row.
 
     doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score
-    (log10 probability of the text under the model).
+    (log10 probability of the text under the model). With ``folder`` the shards'
+    tries stay there.
     """
     spark = docs.sparkSession
+    keep, folder = folder is not None, folder or shared_folder(spark, "trie")
     doc_id = F.col(id_col)
     rows = docs.select(doc_id.cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        (fold(doc_id, modulus) != held).alias("train"))
@@ -570,7 +583,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modul
     shards = SHARDS_PER_TASK * tasks
     dealt = rows.mapInArrow(_messages(shared, shards), _MSG_SQL)
     parts = (dealt.repartition(tasks, "shard").sortWithinPartitions("shard", "batch")
-             .mapInArrow(_scores(shared, folder), _PART_SQL))
+             .mapInArrow(_scores(shared, folder, keep), _PART_SQL))
     return (parts.repartition(tasks, "batch").sortWithinPartitions("batch", "kind")
             .mapInArrow(_results(shared), "doc_id long, held_out boolean, n_tokens long, n_known long, "
                                           "train_tokens long, base_score double, score double"))
