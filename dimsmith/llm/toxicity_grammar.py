@@ -16,8 +16,10 @@ The lexicon and the weights are learned from labelled rows only. Entries are
 words and word stems (prefixes of ``STEMS`` letters) that occur, neither negated
 nor reported, significantly more often in toxic documents, counted on at most ``LEARN_ROWS`` labelled rows
 (the documented bound); an entry needs several distinct contexts, so that copies
-of one document prove nothing. Weights start at prior values and are fitted by
-regularised logistic regression on the same rows. Without labels the prior
+of one document prove nothing. Each class is sampled up to half of the bound, so a
+sampled clean row counts as many times as makes the classes stand as in all training
+labels: in the shares, the evidence and the fit. Weights start at prior values and
+are fitted by regularised logistic regression on the same rows. Without labels the prior
 weights and seed words alone decide. Labels, ids, sources and languages are
 never inputs of a score.
 
@@ -178,19 +180,23 @@ def _entries(word: str) -> Iterator[str]:
             yield word[:n] + "*"
 
 
-def _learn_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+def _learn_rows(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[DataFrame, float]:
     """(doc_id, text, toxic) of at most ``rows`` labelled rows outside the held-out fold, in hash order.
 
-    Both classes get half of the bound.
+    Both classes get half of the bound. With it, how many rows a sampled clean
+    one stands for, where a sampled toxic one stands for one: 1.0 below the bound.
     """
     own = labels.where((fold(F.col("doc_id"), 5) != 0) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     one = own.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    sizes = {r["toxic"]: r["n"] for r in one.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    toxic, clean = (max(1.0, sizes.get(value, 0) / max(1, rows // 2)) for value in (1, 0))
     chosen = None
     for value in (0, 1):
         part = one.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows // 2)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col("doc_id"), F.col("text")).where(F.col("text").isNotNull())
-    return reliable(texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic"))
+    learned = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic")
+    return reliable(learned), clean / toxic
 
 
 _COUNTS = pa.schema([("entry", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
@@ -199,7 +205,7 @@ _CONTEXTS = pa.schema([("entry", pa.string()), ("context", pa.int64())])
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) -> Grammar:
     """Lexicon and weights from the labelled training rows."""
-    learned = _learn_rows(docs, labels, rows)
+    learned, stands = _learn_rows(docs, labels, rows)
     by = {r["toxic"]: r["n"] for r in learned.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = by.get(1, 0), by.get(0, 0)
     if not n_toxic or not n_clean:
@@ -213,12 +219,15 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) -> Grammar
             clean, toxic = counts
             yield from batches(((e, toxic[e], clean[e]) for e in toxic.keys() | clean.keys()), _COUNTS)
 
-    t, c = F.col("t"), F.col("c")
-    base = n_toxic / (n_toxic + n_clean)
+    # Clean rows at their number in all training labels; of those not sampled,
+    # half a row more than the sample shows, as none there doesn't mean none.
+    t, seen = F.col("t"), F.col("c")
+    c = seen * F.lit(stands) + 0.5 * max(0.0, stands - 1)
+    base = n_toxic / (n_toxic + n_clean * stands)
     share = t / (t + c)
     # Log-likelihood gain of the entry's own toxic share over the base share, in nats.
     gain = t * F.log(share / base) + F.when(c > 0, c * F.log((1 - share) / (1 - base))).otherwise(0.0)
-    lift = F.log((t + 0.5) / (n_toxic + 1) / ((c + 0.5) / (n_clean + 1)))
+    lift = F.log((t + 0.5) / (n_toxic + 1) / ((seen + 0.5) / (n_clean + 1)))
     least = min(MIN_EVIDENCE, 0.35 * n_toxic * -math.log(base))
     strong = (learned.select("text", "toxic").mapInArrow(tally, "entry string, toxic long, clean long")
               .groupBy("entry").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
@@ -251,7 +260,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) -> Grammar
     # At most ``rows`` rows of a few numbers each.
     got = learned.select(features.asNondeterministic()("text").alias("x"), "toxic").collect()
     x = np.array([r["x"] for r in got])
-    grammar.weights, grammar.bias = fit(saturated(x), np.array([r["toxic"] for r in got], float))
+    grammar.weights, grammar.bias = fit(saturated(x), np.array([r["toxic"] for r in got], float), stands)
     grammar.kept = {}
     return grammar
 
@@ -272,16 +281,21 @@ def _reduced(shares: dict[str, float]) -> dict[str, float]:
     return out
 
 
-def fit(x: np.ndarray, y: np.ndarray, strength: float = 1.0, rounds: int = 50) -> tuple[np.ndarray, float]:
-    """Logistic regression by Newton steps, drawn to the prior weights by ``strength``."""
+def fit(x: np.ndarray, y: np.ndarray, stands: float = 1.0, strength: float = 1.0,
+        rounds: int = 50) -> tuple[np.ndarray, float]:
+    """Logistic regression by Newton steps, drawn to the prior weights by ``strength``.
+
+    A row of class 0 counts ``stands`` times.
+    """
     z = np.column_stack([x, np.ones(len(x))])
     prior = np.append(PRIOR, PRIOR_BIAS)
     w = prior.copy()
     pull = np.append(np.full(len(PRIOR), strength), 0.1)
+    count = np.where(y > 0, 1.0, stands)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -60, 60)))
-        slope = z.T @ (p - y) + pull * (w - prior)
-        curve = (z * (p * (1 - p))[:, None]).T @ z + np.diag(pull)
+        slope = z.T @ (count * (p - y)) + pull * (w - prior)
+        curve = (z * (count * p * (1 - p))[:, None]).T @ z + np.diag(pull)
         step = np.linalg.solve(curve, slope)
         w = w - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:

@@ -74,6 +74,19 @@ def test_copies_prove_nothing(session):
     assert not any(e.startswith(("quai", "unus", "rare")) for e in g.lexicon)
 
 
+def test_verdicts_above_the_bound_are_those_below(session):
+    """A threat word of every toxic and of some clean documents: one class in ten is toxic, whatever the sample's ratio."""
+    rnd = random.Random(4)
+    filler = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    some = lambda n: " ".join(rnd.choice(filler) for _ in range(n))
+    rows = [(d, f"{some(6)} {'kill' if d % 10 == 0 or d % 4 == 1 else 'word'} {some(6)}") for d in range(2400)]
+    docs = session.createDataFrame(rows, "doc_id long, text string")
+    labels = session.createDataFrame([(d, int(d % 10 == 0)) for d, _ in rows], "doc_id long, toxic int")
+    below, above = ({r.doc_id: r.score for r in op.report(docs, labels, rows=n).collect()} for n in (op.LEARN_ROWS, 240))
+    assert sum((below[d] >= 0.5) != (above[d] >= 0.5) for d in below) == 0
+    assert max(abs(below[d] - above[d]) for d in below) < 0.15
+
+
 def test_hard_rows(hard, hard_rows, none, session):
     labels = session.createDataFrame([(1, 1, 1), (1, 0, 0), (None, 1, 1), (2, None, None)],
                                      "doc_id long, quality int, toxic int")
