@@ -16,7 +16,9 @@ The lexicon and the weights are learned from labelled rows only. Entries are
 words and word stems (prefixes of ``STEMS`` letters) that occur, neither negated
 nor reported, significantly more often in toxic documents, counted on at most ``LEARN_ROWS`` labelled rows
 (the documented bound); an entry needs several distinct contexts, so that copies
-of one document prove nothing. Each class is sampled up to half of the bound, so a
+of one document prove nothing. Seed insults stay beside the learned entries: each
+counts as ``SEED_ROWS`` toxic rows before any label, and goes only where the labels
+bring its toxic share down to that of any row. Each class is sampled up to half of the bound, so a
 sampled clean row counts as many times as makes the classes stand as in all training
 labels: in the shares, the evidence and the fit. Weights start at prior values and
 are fitted by regularised logistic regression on the same rows. Without labels the prior
@@ -58,6 +60,7 @@ STEMS = (4, 5, 6, 7, 8)
 LEARN_ROWS = 20_000
 LEXICON_ROWS = 4000
 MIN_ROWS = 4
+SEED_ROWS = 4
 MIN_CONTEXTS = 3
 MIN_EVIDENCE = 14.0
 MIN_LIFT = 2.5
@@ -229,9 +232,10 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) -> Grammar
     gain = t * F.log(share / base) + F.when(c > 0, c * F.log((1 - share) / (1 - base))).otherwise(0.0)
     lift = F.log((t + 0.5) / (n_toxic + 1) / ((seen + 0.5) / (n_clean + 1)))
     least = min(MIN_EVIDENCE, 0.35 * n_toxic * -math.log(base))
-    strong = (learned.select("text", "toxic").mapInArrow(tally, "entry string, toxic long, clean long")
-              .groupBy("entry").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-              .where((t >= MIN_ROWS) & (lift >= MIN_LIFT)).select("entry", gain.alias("gain"), share.alias("share"))
+    counts = reliable(learned.select("text", "toxic").mapInArrow(tally, "entry string, toxic long, clean long")
+                      .groupBy("entry").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
+                      .where((t >= MIN_ROWS) | F.col("entry").isin(INSULTS)))
+    strong = (counts.where((t >= MIN_ROWS) & (lift >= MIN_LIFT)).select("entry", gain.alias("gain"), share.alias("share"))
               .where(F.col("gain") >= least).orderBy(F.desc("gain"), "entry").limit(LEXICON_ROWS))
     found = {r["entry"]: (r["gain"], r["share"]) for r in strong.collect()}
 
@@ -251,7 +255,12 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) -> Grammar
                   .distinct().groupBy("entry").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_CONTEXTS))
         proven = {r["entry"] for r in proven.collect()}
         found = {e: v for e, v in found.items() if e in proven}
-    grammar = Grammar(lexicon=_reduced({e: share for e, (_, share) in found.items()}) or dict.fromkeys(INSULTS, 1.0))
+    seeds = dict.fromkeys(INSULTS, 1.0)
+    for r in counts.where(F.col("entry").isin(INSULTS)).collect():
+        seeds[r["entry"]] = (r["t"] + SEED_ROWS) / (r["t"] + SEED_ROWS + r["c"] * stands)
+    shares = {e: share for e, share in seeds.items() if share > base}
+    shares |= {e: max(share, shares.get(e, 0.0)) for e, (_, share) in found.items()}
+    grammar = Grammar(lexicon=_reduced(shares))
 
     @F.pandas_udf("array<double>")
     def features(texts: pd.Series) -> pd.Series:

@@ -87,6 +87,19 @@ def test_verdicts_above_the_bound_are_those_below(session):
     assert max(abs(below[d] - above[d]) for d in below) < 0.15
 
 
+def test_seed_insults_stay_beside_learned_ones(made, session):
+    docs, labels, _ = made
+    g = op.learn(docs, labels)
+    assert any(e.startswith("zork") for e in g.lexicon) and g.lexicon["idiot"] == 1.0
+    assert g.score("you are a worthless idiot") >= 0.5 > g.score("you are a gentle person")
+    # Labels that speak against one seed remove that seed only.
+    harmless = [(10_000 + d, f"a dumb terminal number {'abcdefghij'[d % 10]}") for d in range(150)]
+    more = docs.unionByName(session.createDataFrame(harmless, "doc_id long, text string"))
+    said = labels.unionByName(session.createDataFrame([(d, 1, 0) for d, _ in harmless], labels.schema))
+    g = op.learn(more, said)
+    assert "dumb" not in g.lexicon and g.lexicon["idiot"] == 1.0
+
+
 def test_hard_rows(hard, hard_rows, none, session):
     labels = session.createDataFrame([(1, 1, 1), (1, 0, 0), (None, 1, 1), (2, None, None)],
                                      "doc_id long, quality int, toxic int")
