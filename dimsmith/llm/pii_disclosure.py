@@ -1,15 +1,16 @@
 """Personal data: exact patterns, and terms that reveal a protected entity by co-occurrence.
 
 Protected entities are the values that the patterns find (e-mail and IP
-addresses, card and phone numbers). For a word t near mentions of an entity e,
-the corpus gives P(e | t): of the distinct contexts (the word with its
-neighbours) in which t occurs anywhere, the share that lies within ``REACH``
-words of a mention of e. Copies of a passage share their contexts, so they count
-once. The disclosure of t is log2(P(e | t) / P(e)), with P(e) the entity's share
-of all contexts near a mention. A word with at least ``MIN_CONTEXTS`` contexts
-near e, P(e | t) of ``MIN_SHARE`` and ``MIN_BITS`` of disclosure is a span
-wherever it occurs: generalised, or removed where P(e | t) reaches
-``REMOVE_SHARE``. All counts are over all documents.
+addresses, card and phone numbers). A word t supports an entity e in every
+document that holds both, however far apart; words inside a mention don't count.
+The corpus gives P(e | t): of the distinct documents that hold t, the share that
+hold e. Documents with the same text are one. The disclosure of t is
+log2(P(e | t) / P(e)), with P(e) the share of all distinct documents that hold e.
+A word with at least ``MIN_DOCS`` documents that hold e, P(e | t) of ``MIN_SHARE``
+and ``MIN_BITS`` of disclosure is a span wherever it occurs: generalised, or
+removed where P(e | t) reaches ``REMOVE_SHARE``. Those documents must be of as many
+sketches (the least hash of a document's ``SHINGLE`` words in a row), so that a few
+near copies prove nothing. All counts are over all documents.
 
 A null or empty text has no spans. Repeated rows are rows of their own in the
 result and count once in the statistics.
@@ -19,7 +20,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from .common import batches, fresh, reliable
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 8
-MIN_CONTEXTS = 3
+MIN_DOCS = 3
+SHINGLE = 5
 MIN_SHARE = 0.8
 REMOVE_SHARE = 0.95
 MIN_BITS = 3.0
@@ -100,68 +100,86 @@ def _terms(text: str) -> list[tuple[str, int, int]]:
     return [(m[0].lower(), m.start(), m.end()) for m in _TERM.finditer(text)]
 
 
-def _context(words: list[str], k: int) -> int:
-    near = "\x1f".join((words[k - 1] if k else "", words[k], words[k + 1] if k + 1 < len(words) else ""))
-    return xxhash.xxh64_intdigest(near) - (1 << 63)
+def _outside(terms: list[tuple[str, int, int]], spans: list[tuple[str, int, int]]) -> Iterator[str]:
+    """The words that begin in no span."""
+    covered = sorted((a, b) for _, a, b in spans)
+    k, end = 0, 0
+    for word, a, _ in terms:
+        while k < len(covered) and covered[k][0] <= a:
+            end = max(end, covered[k][1])
+            k += 1
+        if end <= a:
+            yield word
+
+
+def _document(text: str) -> int:
+    """Copies of a text are one document."""
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
 
+def _sketch(words: list[str]) -> int:
+    """Near copies mostly share it; documents with one line in common mostly don't."""
+    return min(xxhash.xxh64_intdigest("\x1f".join(words[i:i + SHINGLE]))
+               for i in range(max(1, len(words) - SHINGLE + 1))) - (1 << 63)
 
-def evidence(text: str | None) -> set[tuple[int, str, int]]:
-    """(entity, term, context) of the words within reach of a mention, mentions' own words left out."""
+
+def evidence(text: str | None) -> tuple[int, int, list[int], list[str]] | None:
+    """(document, sketch, its entities, its words outside mentions); None without a mention."""
     spans = base_spans(text)
     if not spans:
-        return set()
+        return None
     terms = _terms(text)
-    words, starts = [t[0] for t in terms], [t[1] for t in terms]
-    covered = sorted((a, b) for _, a, b in spans)
-    outside = []
-    k = 0
-    for _, a, _ in terms:
-        while k < len(covered) and covered[k][1] <= a:
-            k += 1
-        outside.append(not (k < len(covered) and covered[k][0] <= a))
-    out = set()
-    for kind, a, b in spans:
-        entity = _entity(kind, text[a:b])
-        left, right = bisect_left(starts, a), bisect_left(starts, b)
-        for i in (*range(max(0, left - REACH), left), *range(right, min(len(words), right + REACH))):
-            if outside[i]:
-                out.add((entity, words[i], _context(words, i)))
-    return out
+    return (_document(text), _sketch([t[0] for t in terms]), sorted({_entity(kind, text[a:b]) for kind, a, b in spans}),
+            sorted(set(_outside(terms, spans))))
 
 
-_EVIDENCE = pa.schema([("entity", pa.int64()), ("term", pa.string()), ("context", pa.int64())])
-_SEEN = pa.schema([("term", pa.string()), ("context", pa.int64())])
+_EVIDENCE = pa.schema([("doc", pa.int64()), ("sketch", pa.int64()), ("entities", pa.list_(pa.int64())), ("terms", pa.list_(pa.string()))])
+_SEEN = pa.schema([("term", pa.string()), ("doc", pa.int64())])
 
 
 def disclosing_terms(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(term, share, bits) of the words that reveal an entity, from all documents."""
     text = docs.select(F.col(text_col).alias("text"))
+    nothing = docs.sparkSession.createDataFrame([], "term string, share double, bits double")
 
     def gather(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            rows: set[tuple[int, str, int]] = set()
+            rows = {}
             for t in batch.column(0):
-                rows |= evidence(t.as_py())
-            yield from batches(rows, _EVIDENCE)
-
-    near = reliable(text.mapInArrow(gather, "entity long, term string, context long").distinct()
-                    .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n")))
-    total = near.agg(F.sum("n")).first()[0] or 0
-    candidates = reliable(near.where(F.col("n") >= MIN_CONTEXTS).groupBy("term").agg(F.max("n").alias("most")))
-    # P(e | t) >= MIN_SHARE needs no more contexts than this anywhere, so each
+                found = evidence(t.as_py())
+                if found:
+                    rows[found[0]] = found
+            yield from batches(rows.values(), _EVIDENCE, 500)
+
+    held = reliable(text.mapInArrow(gather, "doc long, sketch long, entities array<long>, terms array<string>")
+                    .dropDuplicates(["doc"]))
+    mentions = held.select("doc", F.explode("entities").alias("entity"))
+    # No word can have more documents with an entity than the entity has.
+    entity = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= MIN_DOCS)
+    pairs = mentions.join(entity, "entity").join(held.drop("entities"), "doc")
+    near = reliable(pairs.select("entity", "n_entity", "sketch", F.explode("terms").alias("term"))
+                    .groupBy("entity", "n_entity", "term", "sketch").agg(F.count(F.lit(1)).alias("n"))
+                    .groupBy("entity", "n_entity", "term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("sketches"))
+                    .where(F.col("sketches") >= MIN_DOCS).drop("sketches"))
+    if near.isEmpty():
+        return nothing
+    # The documents with mentions are a part of all: a word that misses the share there misses it everywhere.
+    part = held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_part"))
+    near = reliable(near.join(part, "term").where(F.col("n") / F.col("n_part") >= MIN_SHARE).drop("n_part"))
+    candidates = reliable(near.groupBy("term").agg(F.max("n").alias("most")))
+    # P(e | t) >= MIN_SHARE needs no more documents than this anywhere, so each
     # batch gives up to one more of the smallest: enough to decide exactly.
     found = None
     for block in _blocks(candidates.selectExpr("term", f"cast(most / {MIN_SHARE} as long) + 1 as enough")):
-        part = text.mapInArrow(_seen(docs.sparkSession.sparkContext.broadcast(dict(block))), "term string, context long")
+        part = text.mapInArrow(_seen(docs.sparkSession.sparkContext.broadcast(dict(block))), "term string, doc long")
         found = part if found is None else found.unionByName(part)
     if found is None:
-        return docs.sparkSession.createDataFrame([], "term string, share double, bits double")
+        return nothing
+    total = text.where("text is not null").select(F.xxhash64("text").alias("doc")).distinct().count()
     everywhere = found.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    entity = near.groupBy("entity").agg(F.sum("n").alias("n_entity"))
     share = F.col("n") / F.col("n_term")
     bits = F.log2(share * F.lit(float(total)) / F.col("n_entity"))
-    scored = (near.where(F.col("n") >= MIN_CONTEXTS).join(everywhere, "term").join(entity, "entity")
-              .select("term", share.alias("share"), bits.alias("bits")))
+    scored = near.join(everywhere, "term").select("term", share.alias("share"), bits.alias("bits"))
     return reliable(scored.where((F.col("share") >= MIN_SHARE) & (F.col("bits") >= MIN_BITS))
                     .groupBy("term").agg(F.max("share").alias("share"), F.max("bits").alias("bits")))
 
@@ -184,18 +202,17 @@ def _seen(enough: Broadcast):
         for batch in it:
             seen: dict[str, set[int]] = {}
             for t in batch.column(0):
-                if not t.is_valid:
-                    continue
-                words = [w.lower() for w in _TERM.findall(t.as_py())]
-                if need.keys().isdisjoint(words):
+                text = t.as_py()
+                terms = [x for x in _terms(text) if x[0] in need] if text else ()
+                if not terms:
                     continue
-                for k, w in enumerate(words):
-                    if w in need:
-                        contexts = seen.setdefault(w, set())
-                        contexts.add(_context(words, k))
-                        if len(contexts) > 4 * need[w] + 64:
-                            seen[w] = set(sorted(contexts)[:need[w]])
-            yield from batches(((w, c) for w, cs in seen.items() for c in sorted(cs)[:need[w]]), _SEEN)
+                doc = _document(text)
+                for w in set(_outside(terms, base_spans(text))):
+                    documents = seen.setdefault(w, set())
+                    documents.add(doc)
+                    if len(documents) > 4 * need[w] + 64:
+                        seen[w] = set(sorted(documents)[:need[w]])
+            yield from batches(((w, d) for w, ds in seen.items() for d in sorted(ds)[:need[w]]), _SEEN)
     return run
 
 

@@ -72,6 +72,23 @@ def test_disclosing_terms(session):
     assert "<EMAIL>" in clean[0] and "zorbo" not in clean[0] and clean[len(rows) - 2] == rows[-2]
 
 
+def test_fixed_line_in_many_documents(session):
+    """The words beside the name are always the same; the documents differ."""
+    rnd = random.Random(5)
+    words = [f"wo{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(200)]
+    some = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    rows = [f"{some(20)}\nJane Doe <jane.doe@x.org>" for _ in range(30)] + [some(30) for _ in range(300)]
+    rows += [f"{some(5)} Max Muster <max.muster@x.org>"] * 30
+    near = some(400)
+    rows += [f"{near} closing {end} Eva Beispiel <eva.b@x.org>" for end in ("one", "two", "three")]
+    rows += ["a note about Doe"]
+    df = session.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    terms = {r.term: r.share for r in op.disclosing_terms(df).collect()}
+    assert terms == {"jane": 1.0, "doe": pytest.approx(30 / 31)}  # copies and near copies prove nothing
+    clean = {r.doc_id: r.text for r in op.sanitise(df).collect()}
+    assert clean[len(rows) - 1] == "a note about " and clean[0].endswith("  <<EMAIL>>")
+
+
 def test_term_blocks_give_the_same(session, monkeypatch):
     df = session.createDataFrame(list(enumerate(_corpus())), "doc_id long, text string")
     want = bag(map(tuple, op.report(df).collect()))
