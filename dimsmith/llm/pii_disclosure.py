@@ -3,6 +3,7 @@
 Protected entities are the values that the patterns find (e-mail and IP
 addresses, card and phone numbers). A word t supports an entity e in every
 document that holds both, however far apart; words inside a mention don't count.
+Words are runs of letters and digits of any length: the shares reject common ones.
 The corpus gives P(e | t): of the distinct documents that hold t, the share that
 hold e. Documents with the same text are one. The disclosure of t is
 log2(P(e | t) / P(e)), with P(e) the share of all distinct documents that hold e.
@@ -46,7 +47,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TERM = re.compile(r"[^\W\d_]{3,}")
+_TERM = re.compile(r"[^\W_]+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 

@@ -89,6 +89,18 @@ def test_fixed_line_in_many_documents(session):
     assert clean[len(rows) - 1] == "a note about " and clean[0].endswith("  <<EMAIL>>")
 
 
+def test_short_and_alphanumeric_terms_at_any_distance(session):
+    """A letter's head has a two-letter name and an account number, its end the address."""
+    rnd = random.Random(6)
+    words = [f"wo{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(200)]
+    some = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    rows = [f"To Li, account 77x15 7, {some(60)} li@x.org" for _ in range(12)]
+    rows += [f"To whom it concerns, 7, {some(60)}" for _ in range(200)] + ["Li owes 77x15 a visit"]
+    df = session.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert {r.term for r in op.disclosing_terms(df).collect()} == {"li", "77x15", "account"}
+    assert {r.doc_id: r.text for r in op.sanitise(df).collect()}[len(rows) - 1] == "<TERM> owes <TERM> a visit"
+
+
 def test_term_blocks_give_the_same(session, monkeypatch):
     df = session.createDataFrame(list(enumerate(_corpus())), "doc_id long, text string")
     want = bag(map(tuple, op.report(df).collect()))
