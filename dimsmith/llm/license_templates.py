@@ -33,18 +33,55 @@ BASE = (
     ("cc-by-nc", "cc by nc"),
 )
 
-# Further templates (label, kind, wording). The wording is that of the public licenses.
+# Wording that several BSD-style texts share; clause marks (1, a) are replaceable.
+_BSD_OPEN = ("redistribution and use in source and binary forms with or without modification are permitted <<var 10>> "
+             "provided that the following conditions are met")
+_BSD_TWO = (" <<var 1>> redistributions of source code must retain the above copyright notice <<var 4>> this list of conditions and "
+            "the following disclaimer <<var 12>> <<var 1>> redistributions in binary form must reproduce the above copyright "
+            "notice this list of conditions and the following disclaimer in the documentation and or other materials "
+            "provided with the distribution")
+_BSD_NAMES = (" <<var 1>> <<opt>>neither the name<</opt>> <<opt>>neither the names<</opt>> <<opt>>the name<</opt>> "
+              "<<opt>>the names<</opt>> <<var 20>> may <<opt>>not<</opt>> be used to endorse or promote products derived "
+              "from this software without specific prior written permission")
+_BSD_ADVERT = (" <<var 1>> all advertising materials mentioning features or use of this software must display the following "
+               "acknowledgement <<var 30>>")
+_BSD_END = (" this software is provided <<var 10>> as is and any express or implied warranties including but not limited to "
+            "the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event "
+            "shall <<var 12>> be liable for any direct indirect incidental special exemplary or consequential damages "
+            "including but not limited to procurement of substitute goods or services loss of use data or profits or "
+            "business interruption however caused and on any theory of liability whether in contract strict liability or "
+            "tort including negligence or otherwise arising in any way out of the use of this software even if advised of "
+            "the possibility of such damage")
+_MIT_OPEN = ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+             "documentation files <<var 4>> to deal in <<var 2>> software without restriction including without "
+             "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of")
+_ISC_OPEN = ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+             "granted provided that the above copyright notice and this permission notice appear in all copies")
+_UNLICENSE_OPEN = "this is free and unencumbered software released into the public domain"
+
+# Further templates (label, kind, wording). The wording is that of the public licenses: a text has
+# all its mandatory wording, an excerpt only its opening.
 TEMPLATES = (
-    ("mit", "text",
-     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-     "documentation files <<var 4>> to deal in <<var 2>> software without restriction including without limitation "
-     "the rights to use copy modify merge publish distribute sublicense and or sell copies of"),
-    ("isc", "text",
-     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
-     "granted provided that the above copyright notice and this permission notice appear in all copies"),
-    ("bsd", "text",
-     "redistribution and use in source and binary forms with or without modification are permitted <<var 10>> "
-     "provided that the following conditions are met"),
+    ("mit", "excerpt", _MIT_OPEN),
+    ("mit", "text", _MIT_OPEN +
+     " the software and to permit persons to whom the software is furnished to do so subject to the following "
+     "conditions the above copyright notice and this permission notice <<var 4>> shall be included in all copies or "
+     "substantial portions of the software the software is provided as is without warranty of any kind express or "
+     "implied including but not limited to the warranties of merchantability fitness for a particular purpose and "
+     "noninfringement in no event shall <<var 12>> be liable for any claim damages or other liability whether in an "
+     "action of contract tort or otherwise arising from out of or in connection with the software or the use or other "
+     "dealings in the software"),
+    ("isc", "excerpt", _ISC_OPEN),
+    ("isc", "text", _ISC_OPEN +
+     " the software is provided as is and <<var 12>> all warranties with regard to this software including all implied "
+     "warranties of merchantability and fitness in no event shall <<var 12>> be liable for any special direct indirect "
+     "or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action "
+     "of contract negligence or other tortious action arising out of or in connection with the use or performance of "
+     "this software"),
+    ("bsd", "excerpt", _BSD_OPEN),
+    ("bsd-2", "text", _BSD_OPEN + _BSD_TWO + _BSD_END),
+    ("bsd-3", "text", _BSD_OPEN + _BSD_TWO + _BSD_NAMES + _BSD_END),
+    ("bsd-4", "text", _BSD_OPEN + _BSD_TWO + _BSD_ADVERT + _BSD_NAMES + _BSD_END),
     ("apache-2", "notice",
      "licensed under the apache license <<opt>>version<</opt>> 2 0 the license you may not use this file except in "
      "compliance with the license"),
@@ -55,14 +92,28 @@ TEMPLATES = (
     ("lgpl", "notice", "gnu lesser general public license"),
     ("agpl", "notice", "gnu affero general public license"),
     ("mpl-2", "notice", "mozilla public license <<opt>>v<</opt>> <<opt>>version<</opt>> 2 0"),
-    ("unlicense", "text", "this is free and unencumbered software released into the public domain"),
-    ("cc0", "notice", "cc0 1 0 <<opt>>universal<</opt>> public domain dedication"),
-    ("cc-by-sa", "notice", "creative commons attribution sharealike <<var 2>> license"),
-    ("cc-by-nc", "notice", "creative commons attribution noncommercial <<var 3>> license"),
-    ("cc-by", "notice", "creative commons attribution <<opt>>4 0<</opt>> <<opt>>international<</opt>> license"),
+    ("unlicense", "excerpt", _UNLICENSE_OPEN),
+    ("unlicense", "text", _UNLICENSE_OPEN +
+     " anyone is free to copy modify publish use compile sell or distribute this software either in source code form or "
+     "as a compiled binary for any purpose commercial or non commercial and by any means in jurisdictions that recognize "
+     "copyright laws the author or authors of this software dedicate any and all copyright interest in the software to "
+     "the public domain we make this dedication for the benefit of the public at large and to the detriment of our heirs "
+     "and successors we intend this dedication to be an overt act of relinquishment in perpetuity of all present and "
+     "future rights to this software under copyright law the software is provided as is without warranty of any kind "
+     "express or implied including but not limited to the warranties of merchantability fitness for a particular purpose "
+     "and noninfringement in no event shall the authors be liable for any claim damages or other liability whether in an "
+     "action of contract tort or otherwise arising from out of or in connection with the software or the use or other "
+     "dealings in the software"),
+    ("cc0", "notice", "cc0 1 0 <<opt>>universal<</opt>> <<opt>>cc0 1 0<</opt>> public domain dedication"),
+    ("cc0", "notice", "cc0 1 0 universal"),
+    ("cc-by-sa", "notice", "creative commons attribution sharealike <<var 5>> license"),
+    ("cc-by-nc", "notice", "creative commons attribution noncommercial <<var 6>> license"),
+    ("cc-by", "notice", "creative commons attribution <<opt>>1 0<</opt>> <<opt>>2 0<</opt>> <<opt>>2 5<</opt>> "
+                        "<<opt>>3 0<</opt>> <<opt>>4 0<</opt>> <<opt>>generic<</opt>> <<opt>>unported<</opt>> "
+                        "<<opt>>international<</opt>> <<opt>>public<</opt>> license"),
     ("cc-by-sa", "phrase", "cc by sa"),
 )
-WEIGHT = {"text": 1.0, "notice": 0.8, "phrase": 0.5}
+WEIGHT = {"text": 1.0, "notice": 0.8, "excerpt": 0.6, "phrase": 0.5}
 _REGION = re.compile(rb"<<\s*(/?opt|var\s+\d+)\s*>>|([^\s<>]+)")
 
 
@@ -168,7 +219,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=B
     n_base counts all places of base phrases; first_word and last_word are
     their smallest and largest first words. labels also has those of the
     templates, spans all accepted places. score is the weight of the strongest
-    kind accepted: 1 for a license text, 0.8 for a notice, 0.5 for a phrase.
+    kind accepted: 1 for a license text, 0.8 for a notice, 0.6 for an
+    excerpt of a text, 0.5 for a phrase.
     """
     compiled = compile_all(base, templates)
 
