@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (aho_viterbi, elias_fano_lm, license_templates, pii_disclosure, quality_cascade, ring_sharding,
+from . import (aho_viterbi, conversation_repair, elias_fano_lm, license_templates, pii_disclosure, quality_cascade, ring_sharding,
                simhash_neardup, suffix_decontamination, token_store, toxicity_grammar)
 from .common import documents, tune
 
@@ -51,9 +51,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring_sharding.shard(documents(spark, sf_dir), shards=16)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_license_templates, op2_toxicity_grammar, op3_token_store, op4_simhash_neardup, op5_quality_rules,
-             op6_elias_fano_lm, op7_sentencepiece, op8_pii_disclosure, op9_decontamination, op10_sharding)
+             op6_elias_fano_lm, op7_sentencepiece, op8_pii_disclosure, op9_decontamination, op10_sharding,
+             op13_conversation_repair)
 
     def tuned(query):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
