@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,13 +20,13 @@ def salted_join(many: DataFrame, one: DataFrame, key: str, spread: str) -> DataF
     return salted.join(copies, [key, "__salt"]).drop("__salt")
 
 
-def connected(edges: DataFrame) -> DataFrame:
+def connected(edges: DataFrame, cut: Callable[[DataFrame], DataFrame] = reliable) -> DataFrame:
     """(node, root) of every node of ``edges`` (columns a, b); root is the smallest node reached.
 
-    Each round ends in a checkpoint; the loop ends when a round leaves the edge
+    Each round ends in ``cut`` (a checkpoint); the loop ends when a round leaves the edge
     set as it was. An empty edge table gives an empty result.
     """
-    now = reliable(edges.where("a <> b").select(
+    now = cut(edges.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     state = _state(now)
     while state[0]:
@@ -34,7 +36,7 @@ def connected(edges: DataFrame) -> DataFrame:
         large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = salted_join(large, least, "u", "v").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = reliable(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        now = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         before, state = state, _state(now)
         if state == before:
             break
