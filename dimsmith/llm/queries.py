@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (aho_viterbi, conversation_repair, elias_fano_lm, license_templates, odd_sketch_neardup, pii_disclosure,
-               quality_cascade, ring_sharding, simhash_neardup, suffix_decontamination, token_store, toxicity_grammar)
+from . import (aho_viterbi, conversation_repair, cross_alignment, elias_fano_lm, license_templates, odd_sketch_neardup,
+               pii_disclosure, quality_cascade, ring_sharding, simhash_neardup, suffix_decontamination, token_store, toxicity_grammar)
 from .common import documents, tune
 
 
@@ -51,6 +51,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring_sharding.shard(documents(spark, sf_dir), shards=16)
 
 
+def op11_cross_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_alignment.report(documents(spark, sf_dir))
+
+
 def op12_odd_sketch_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch_neardup.neardups(documents(spark, sf_dir))
 
@@ -62,7 +66,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_license_templates, op2_toxicity_grammar, op3_token_store, op4_simhash_neardup, op5_quality_rules,
              op6_elias_fano_lm, op7_sentencepiece, op8_pii_disclosure, op9_decontamination, op10_sharding,
-             op12_odd_sketch_neardup, op13_conversation_repair)
+             op11_cross_alignment, op12_odd_sketch_neardup, op13_conversation_repair)
 
     def tuned(query):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
