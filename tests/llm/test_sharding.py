@@ -49,9 +49,24 @@ def test_bounded_loads_move_few_rows(session):
         home[place] = next((s for p, s in nodes if p >= place), nodes[0][1])
     stayed = sum(n for place, parts in first.items() for s, n in parts if s == home[place])
     assert stayed >= 0.8 * 10 * op.SLOTS
-    # A ninth shard: most rows that move go where there is new room.
-    grown = op.ring(session, 9)
-    assert [x for x in grown if x[1] < 8] != [] and len(grown) == 9 * op.VNODES
+
+
+def test_a_further_shard_moves_little(session):
+    """A 17th shard takes about its share; old shards keep their nodes and hardly exchange rows."""
+    assert [x for x in op.ring(session, 17) if x[1] < 16] == op.ring(session, 16)
+    docs = session.range(20_000, numPartitions=4).selectExpr("id doc_id", "'text ' || id text")
+    old, new = ({r.doc_id: r.shard for r in op.shard(docs, n).collect()} for n in (16, 17))
+    moved = [(old[d], new[d]) for d in old if old[d] != new[d]]
+    assert 1 / 17 <= len(moved) / len(old) <= 0.15
+    assert sum(b < 16 for _, b in moved) / len(old) <= 0.05
+
+
+def test_partitions_of_the_input_do_not_matter(session):
+    docs = session.range(5000, numPartitions=4).selectExpr("nullif(id % 4000, 7) doc_id", "'text ' || (id % 3) text")
+    docs = docs.unionAll(session.range(2000).selectExpr("cast(null as long) doc_id", "'same' text"))
+    one, many = (Counter((r.doc_id, r.text_crc32, r.shard, r.slot) for r in op.shard(d, 16).collect())
+                 for d in (docs.coalesce(1), docs.repartition(9)))
+    assert one == many
 
 
 def test_fill_places_every_row_once(session):
