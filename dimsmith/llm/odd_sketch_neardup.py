@@ -5,20 +5,25 @@ set serve twice. The first ``BANDS * BAND_ROWS`` form bands; sets that agree on
 a whole band share a cell (two sets of similarity 0.8 share none with a chance
 of 1.4e-7). All samples are folded into an odd sketch: each flips one of
 ``BITS`` bits, so the bits in which two sketches differ count the samples that
-differ, most precisely where few do. Pairs whose sketches differ in more than
-``MOST_DIFFERENT`` bits are ruled out: that is 0.65 estimated, more than five
-deviations below 0.8. All others are compared on their full sets, and only
-that comparison makes a link.
-
-Cells give no pairs of their members outright. In each of ``STARS`` rounds, one
-member of a cell is held against the others, and components are formed of the
-links; a cell that lies in one component is done. What is left is compared
-fully, but only across components: the members outside the cell's largest
-component against all, in chunks.
-
-Equal sets are one node, whatever the number of copies. Links come in blocks of
-one text and up to a share of its partners, so a text with any number of
-partners is verified in many tasks, one partner in memory at a time.
+differ, most precisely where few do.
+
+1. Forest. In the cells of the first ``FOREST_BANDS`` bands, members are walked
+   through by their sketches: a pair that differs in at most ``LIKELY`` bits
+   (0.81 estimated) is probably a link. A cell gives the edges of that walk,
+   one a member at most, and full sets confirm them. Components are formed of
+   the confirmed links.
+2. Rest. In the cells of all bands that still hold more than one component, the
+   members outside the cell's largest component meet all its members. Pairs of
+   different components whose sketches differ in at most ``MOST_DIFFERENT`` bits
+   (0.65 estimated, more than five deviations below 0.8) are compared on their
+   full sets where they meet; a cell gives the links that join components.
+
+Only full sets make a link. Cells give no pairs of their members outright; a
+large cell is dealt out in chunks. Links of the forest are confirmed in blocks
+of one text and a share of its partners, so that a text with any number of
+partners is worked on in many tasks.
+
+Equal sets are one node, whatever the number of copies.
 
 Texts without words have the empty set and are linked with nothing; their
 component is their own id. Null ids are kept; a component of null ids alone has
@@ -48,10 +53,11 @@ SIMILARITY_PERCENT = 80
 SAMPLES = 512
 BANDS, BAND_ROWS = 30, 4
 BITS = 1024
-MOST_DIFFERENT = BITS // 4
-STARS = 2
+LIKELY, MOST_DIFFERENT = 160, BITS // 4
+FOREST_BANDS = 10
 SLOTS = 256
-CHUNK = 2048
+CHUNK = 8192                   # members of a cell that meet in one task
+REST_CHUNK, REST_SHINGLES = 2048, 1 << 20
 _STEP = 128
 
 _rng = np.random.default_rng(42)
@@ -186,13 +192,7 @@ def _confirm(it: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int,
               percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets reach the similarity."""
-    near = (salted_join(salted_join(pairs, nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sb"),
-                                                        F.col("n").alias("nb")), "b", "a"),
-                        nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na")), "a", "b")
-            .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-            .where(f"aggregate(zip_with(sa, sb, (x, y) -> bit_count(x ^ y)), 0, (x, y) -> x + y) <= {MOST_DIFFERENT}")
-            .select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SLOTS)).alias("slot")))
-    near = stored(near)
+    near = stored(pairs.withColumn("slot", F.pmod(F.xxhash64("b"), F.lit(SLOTS))))
     members = near.select("a", "slot", F.lit(False).alias("lead"), F.col("b").alias("node")).unionByName(
         near.select("a", "slot").distinct().select("a", "slot", F.lit(True).alias("lead"), F.col("a").alias("node")))
     texts = _texts(docs, nodes, members.select("node").distinct(), id_col, text_col)
@@ -201,61 +201,160 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
     return stored(dealt.mapInArrow(lambda it: _confirm(it, size, percent), "a binary, b binary"))
 
 
-def _rooted(cells: DataFrame, roots: DataFrame) -> DataFrame:
-    """Cells (cell, node) that lie in more than one component, with the root of each member."""
+def _runs(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
+    """(rows, where groups start and end) of whole groups: rows that are equal in the first three columns."""
+    held = None
+    for batch in it:
+        held = batch if held is None else pa.concat_batches([held, batch])
+        if not held.num_rows:
+            continue
+        new = np.zeros(held.num_rows, bool)
+        for c in held.columns[:3]:
+            x = c.to_numpy(zero_copy_only=False)
+            new[1:] |= x[1:] != x[:-1]
+        starts = [0, *np.flatnonzero(new).tolist()]
+        if len(starts) > 1:
+            yield held.slice(0, starts[-1]), starts  # the last group may go on in the next batch
+            held = held.slice(starts[-1])
+    if held is not None and held.num_rows:
+        yield held, [0, held.num_rows]
+
+
+def _sketches(column: pa.ListArray) -> np.ndarray:
+    return column.flatten().to_numpy().view(np.uint64).reshape(-1, BITS // 64)
+
+
+def _pairs_of(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    a, b = zip(*((min(p), max(p)) for p in found))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+
+def _fit(sizes: np.ndarray, n: int, percent: int) -> np.ndarray:
+    return 100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)
+
+
+def _walk(it: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Edges of a walk through each group along sketches that differ little."""
+    for rows, cuts in _runs(it):
+        nodes = rows.column(3).to_pylist()
+        sizes, sketches = rows.column(4).to_numpy(), _sketches(rows.column(5))
+        found = []
+        for start, end in zip(cuts, cuts[1:]):
+            left = np.arange(start, end)
+            while len(left):
+                queue, left = [left[0]], left[1:]
+                while queue and len(left):
+                    at = queue.pop()
+                    near = np.bitwise_count(sketches[left] ^ sketches[at]).sum(axis=1, dtype=np.int32) <= LIKELY
+                    near &= _fit(sizes[left], sizes[at], percent)
+                    if near.any():
+                        reached = left[near].tolist()
+                        found += [(nodes[at], nodes[k]) for k in reached if nodes[k] != nodes[at]]
+                        queue += reached
+                        left = left[~near]
+        if found:
+            yield _pairs_of(found)
+
+
+def _forest(cells: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Likely links of the members of each cell (cell, node, n members), as a forest."""
+    slot = F.pmod(F.xxhash64(F.lit("chunk"), "node"), F.col("k"))
+    dealt = (cells.withColumn("k", F.ceil(F.col("members") / CHUNK)).withColumn("slot", slot)
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+             .select("cell", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "node"))
+    keys = ["cell", "i", "j"]
+    rows = dealt.join(nodes.select("node", "n", "sketch"), "node").select(*keys, "node", "n", "sketch")
+    spread = rows.repartition(partitions(cells.sparkSession), *keys).sortWithinPartitions(*keys)
+    return spread.mapInArrow(lambda it: _walk(it, percent), "a binary, b binary").distinct()
+
+
+def _split(cells: DataFrame, roots: DataFrame) -> DataFrame:
+    """(cell, node, root) of the cells that lie in more than one component."""
     known = cells.join(roots, "node", "left").select("cell", "node", F.coalesce("root", "node").alias("root"))
     many = known.groupBy("cell").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("cell")
     return stored(salted_join(known, many, "cell", "node"))
 
 
-def _across(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of each group's outsiders with its other members whose roots differ and whose sketches are close."""
-    key, outside, rest = None, [], []
-
-    def close() -> Iterator[pa.RecordBatch]:
-        if not outside:
-            return
-        words = BITS // 64
-        names, roots = ([r[k] for r in rest] for k in (0, 1))
-        sketches = np.array([r[2] for r in rest], np.uint64).reshape(-1, words)
-        number = {r: k for k, r in enumerate(dict.fromkeys([*roots, *(r[1] for r in outside)]))}
-        of = np.array([number[r] for r in roots])
-        for name, root, sketch in outside:
-            at = np.flatnonzero(of != number[root])
-            x = np.bitwise_count(sketches[at] ^ np.array(sketch, np.uint64)).sum(axis=1)
-            found = [names[k] for k in at[x <= MOST_DIFFERENT]]
-            if found:
-                ends = [(min(name, f), max(name, f)) for f in found]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*ends)], names=["a", "b"])
-    for batch in it:
-        for cell, i, j, side, node, root, sketch in zip(*(c.to_pylist() for c in batch.columns)):
-            if (cell, i, j) != key:
-                yield from close()
-                key, outside, rest = (cell, i, j), [], []
-            (outside if side == 0 else rest).append((node, root, [x & 0xFFFFFFFFFFFFFFFF for x in sketch]))
-    yield from close()
-
-
-def _left_over(cells: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Distinct pairs across components of the cells (cell, node, root) whose sketches are close.
-
-    The members outside a cell's largest component meet all its members.
-    """
-    sizes = cells.groupBy("cell", "root").agg(F.count(F.lit(1)).alias("n"))
-    biggest = sizes.groupBy("cell").agg(F.max(F.struct("n", "root")).alias("big"), F.sum("n").alias("all"))
-    about = biggest.select("cell", F.col("big.root").alias("big"), F.ceil((F.col("all") - F.col("big.n")) / CHUNK).alias("ni"),
-                           F.ceil(F.col("all") / CHUNK).alias("nj"))
-    rows = salted_join(cells, about, "cell", "node").join(nodes.select("node", "sketch"), "node")
+def _touching(it: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The rows of each group that may have a link: outsiders and members of other components, by their sketches."""
+    for rows, cuts in _runs(it):
+        outside = rows.column(3).to_numpy(zero_copy_only=False)
+        roots = np.unique(rows.column(5).to_numpy(zero_copy_only=False), return_inverse=True)[1]
+        sizes, sketches = rows.column(6).to_numpy(), _sketches(rows.column(7))
+        keep = np.zeros(rows.num_rows, bool)
+        for start, end in zip(cuts, cuts[1:]):
+            side = outside[start:end]
+            rest = start + np.flatnonzero(~side)
+            for at in (start + np.flatnonzero(side)).tolist():
+                other = rest[(roots[rest] != roots[at]) & _fit(sizes[rest], sizes[at], percent)]
+                near = np.bitwise_count(sketches[other] ^ sketches[at]).sum(axis=1, dtype=np.int32) <= MOST_DIFFERENT
+                keep[at] = near.any()
+                keep[other[near]] = True
+        if keep.any():
+            yield rows.filter(pa.array(keep))
+
+
+def _joining(it: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links by full sets that join components, of each group's outsiders with its other members."""
+    for rows, cuts in _runs(it):
+        outside = rows.column(3).to_numpy(zero_copy_only=False)
+        nodes, texts = rows.column(4).to_pylist(), rows.column(8)
+        label = np.unique(rows.column(5).to_numpy(zero_copy_only=False), return_inverse=True)[1]
+        sketches, found = _sketches(rows.column(7)), []
+        for start, end in zip(cuts, cuts[1:]):
+            rest = start + np.flatnonzero(~outside[start:end])
+            mine = (start + np.flatnonzero(outside[start:end])).tolist()
+            if not len(rest) or not mine:
+                continue
+            sets = [shingles(texts[k].as_py(), size) for k in rest.tolist()]
+            sizes = np.array([*map(len, sets)])
+            every, ids = np.unique(np.concatenate(sets), return_inverse=True)
+            begin = np.cumsum(sizes) - sizes
+            for at in mine:
+                open_to = label[rest] != label[at]
+                open_to &= np.bitwise_count(sketches[rest] ^ sketches[at]).sum(axis=1, dtype=np.int32) <= MOST_DIFFERENT
+                if not open_to.any():
+                    continue
+                own = shingles(texts[at].as_py(), size)
+                place = np.minimum(np.searchsorted(every, own), len(every) - 1)
+                marked = np.zeros(len(every), np.int32)
+                marked[place[every[place] == own]] = 1
+                common = np.add.reduceat(marked[ids], begin)
+                linked = rest[open_to & (100 * common >= percent * (sizes + len(own) - common))]
+                for k in linked.tolist():
+                    if label[k] != label[at]:
+                        found.append((nodes[at], nodes[k]))
+                        label[label == label[k]] = label[at]
+        if found:
+            yield _pairs_of(found)
+
+
+def _rest(cells: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int,
+          percent: int) -> DataFrame:
+    """Links across components of the cells (cell, node, root)."""
+    spark = cells.sparkSession
+    rows = cells.join(nodes.select("node", "n", "sketch"), "node")
+    sizes = rows.groupBy("cell", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    whole = sizes.groupBy("cell").agg(F.max(F.struct("c", "s", "root")).alias("big"), F.sum("c").alias("c"), F.sum("s").alias("s"))
+    chunks = lambda c, s: F.greatest(F.ceil(c / REST_CHUNK), F.ceil(s / REST_SHINGLES))
+    about = whole.select("cell", F.col("big.root").alias("big"), chunks(F.col("c"), F.col("s")).alias("nj"),
+                         chunks(F.col("c") - F.col("big.c"), F.col("s") - F.col("big.s")).alias("ni"))
+    rows = salted_join(rows, about, "cell", "node")
     slots = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     mine = lambda n: F.pmod(F.xxhash64(F.lit("chunk"), "node"), F.col(n))
-    tail = ["node", "root", "sketch"]
+    tail = ["node", "root", "n", "sketch"]
     first = rows.where("root <> big").withColumn("j", F.explode(slots("nj"))).select(
-        "cell", mine("ni").alias("i"), "j", F.lit(0).alias("side"), *tail)
+        "cell", mine("ni").alias("i"), "j", F.lit(True).alias("outside"), *tail)
     second = rows.withColumn("i", F.explode(slots("ni"))).select(
-        "cell", "i", mine("nj").alias("j"), F.lit(1).alias("side"), *tail)
-    keys = ["cell", "i", "j"]
-    dealt = first.unionByName(second).repartition(partitions(cells.sparkSession), *keys).sortWithinPartitions(*keys, "side")
-    return dealt.mapInArrow(_across, "a binary, b binary").distinct()
+        "cell", "i", mine("nj").alias("j"), F.lit(False).alias("outside"), *tail)
+    keys, n = ["cell", "i", "j"], partitions(spark)
+    meet = first.unionByName(second).select(*keys, "outside", *tail)
+    dealt = meet.repartition(n, *keys).sortWithinPartitions(*keys)
+    left = stored(dealt.mapInArrow(lambda it: _touching(it, percent), meet.schema))
+    texts = _texts(docs, nodes, left.select("node").distinct(), id_col, text_col)
+    full = left.join(texts, "node").select(*keys, "outside", *tail, "text")
+    dealt = full.repartition(n, *keys).sortWithinPartitions(*keys, "node")
+    return stored(dealt.mapInArrow(lambda it: _joining(it, size, percent), "a binary, b binary"))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
@@ -268,25 +367,23 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     nodes = stored(rows.where("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_hash")).alias("rep"),
         F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
-    spread = nodes.select("node", F.explode("bands").alias("cell")).distinct()
-    shared = spread.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cell")
-    links = docs.sparkSession.createDataFrame([], "a binary, b binary")
-    roots = docs.sparkSession.createDataFrame([], "node binary, root binary")
-    cells = _rooted(salted_join(spread, shared, "cell", "node"), roots)
-    for star in range(STARS + 1):
-        if cells.isEmpty():
-            break
-        if star < STARS:
-            order = F.struct(F.xxhash64(F.lit(star), "node").alias("h"), F.col("node"), F.col("root"))
-            middle = cells.groupBy("cell").agg(F.min(order).alias("m")).select(
-                "cell", F.col("m.node").alias("a"), F.col("m.root").alias("of"))
-            pairs = salted_join(cells, middle, "cell", "node").where("root <> of").select("a", F.col("node").alias("b")).distinct()
-        else:
-            pairs = _left_over(cells, nodes)
-        new = confirmed(pairs, nodes, docs, id_col, text_col, size, percent)
-        links = links.unionByName(new)
-        roots = stored(connected(links, stored))
-        cells = _rooted(cells.select("cell", "node"), roots)
+    spread = nodes.select("node", F.posexplode("bands").alias("band", "cell"))
+    shared = spread.groupBy("cell").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    cells = stored(salted_join(spread, shared, "cell", "node"))
+    args = (nodes, docs, id_col, text_col, size, percent)
+    links = confirmed(_forest(cells.where(F.col("band") < FOREST_BANDS), nodes, percent), *args)
+    roots = stored(connected(links, stored))
+    left = _split(cells, roots)
+    if not left.isEmpty():
+        more = _rest(left, *args)
+        if not more.isEmpty():
+            # Joining a component's root to another's is joining the components.
+            across = more.join(roots.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left").join(
+                roots.withColumnsRenamed({"node": "b", "root": "rb"}), "b", "left").select(
+                F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct()
+            tops = connected(across, stored).select(F.col("node").alias("root"), F.col("root").alias("top"))
+            known = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+            roots = stored(known.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root")))
     rooted = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of = stored(salted_join(rooted, ids, "root", "node").select("node", "component_id"))

@@ -50,16 +50,35 @@ def _families(seed, families=3, size=60, words=60, most=4):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("stars, chunk", [(2, 2048), (0, 16), (1, 7)])
-def test_families_near_the_limit(session, monkeypatch, stars, chunk):
-    """Stars, chunks and what is left over give the components of all links."""
-    monkeypatch.setattr(op, "STARS", stars)
-    monkeypatch.setattr(op, "CHUNK", chunk)
-    rows = _families(stars)
+@pytest.mark.parametrize("seed, forest, chunk, rest", [(1, 10, 8192, 2048), (2, 0, 8192, 2048), (3, 10, 9, 7), (4, 1, 9, 16)])
+def test_families_near_the_limit(session, monkeypatch, seed, forest, chunk, rest):
+    """Forest, chunks and the rest give the components of all links, whatever each of them finds."""
+    for name, value in (("FOREST_BANDS", forest), ("CHUNK", chunk), ("REST_CHUNK", rest)):
+        monkeypatch.setattr(op, name, value)
+    rows = _families(seed)
     got = op.neardups(session.createDataFrame(rows, "doc_id long, text string").repartition(4))
     assert bag(map(tuple, got.collect())) == bag(expected(rows))
 
 
+def test_walk_and_rest_give_few_edges(session):
+    """Members linked through one text only: edges grow with the members, not with their pairs."""
+    base = [f"w{k}" for k in range(100)]
+    rnd = random.Random(3)
+    rows = [" ".join(base)]
+    for k in range(300):
+        copy = list(base)
+        for at in rnd.sample(range(100), 2):
+            copy[at] = f"x{k}y{at}"
+        rows.append(" ".join(copy))
+    docs = session.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = op.neardups(docs).collect()
+    assert bag(map(tuple, got)) == bag(expected(list(enumerate(rows))))
+    nodes = op.signatures(docs, "doc_id", "text", 4).withColumnRenamed("n_shingles", "n").checkpoint()
+    cells = nodes.select("node", F.explode("bands").alias("cell")).join(
+        nodes.select(F.explode("bands").alias("cell")).groupBy("cell").agg(F.count("*").alias("members")), "cell")
+    assert op._forest(cells, nodes, 80).count() <= 5 * 300
+
+
 def test_sketch_estimates_high_similarities():
     rng = np.random.default_rng(7)
     for common, own in ((400, 50), (200, 25), (900, 20), (45, 5)):
