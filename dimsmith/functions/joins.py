@@ -1,7 +1,8 @@
-"""Join helpers: broadcast only behind a checked size in bytes."""
+"""Join helpers: broadcast only behind a checked size in bytes; keys with nulls."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -37,3 +38,11 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = BROADCAST_MAX_BYTE
         return df
     total = df.agg(F.sum(size.cast("long"))).first()[0] or 0
     return F.broadcast(df) if total <= max_bytes else df
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on the keys, nulls equal to nulls; the right side keeps its other columns."""
+    other = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    joined = left.join(other, on, how)
+    return joined.drop(*[f"__r_{k}" for k in keys])

@@ -45,6 +45,22 @@ def enforce_not_null(df: DataFrame, columns: Sequence[str]) -> None:
             raise NotNullViolation(bad)
 
 
+class UniqueViolation(ValueError):
+    """Rows that repeat a key declared unique; ``surplus`` counts those beyond the first."""
+
+    def __init__(self, keys: Sequence[str], surplus: int):
+        super().__init__(f"{surplus} rows repeat ({', '.join(keys)})")
+        self.surplus = surplus
+
+
+def enforce_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Refuse rows that repeat ``keys``, with their count (partial aggregation, one number back)."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    surplus = counts.agg(F.sum(F.col("__n") - 1)).first()[0]
+    if surplus:
+        raise UniqueViolation(keys, surplus)
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

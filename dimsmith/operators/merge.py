@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from dimsmith.functions.hashing import diff_hash, null_hash
 from dimsmith.functions.joins import BROADCAST_MAX_BYTES, broadcast_if_small
 from dimsmith.functions.temporal import high_date, minus_tick
-from dimsmith.operators.constraints import enforce_not_null
-from dimsmith.sources.versioned import VersionedTable
+from dimsmith.operators.constraints import enforce_not_null, enforce_unique
+from dimsmith.sources.bucketed import BucketedTable
 
 UPDATE_TYPE = "__tmp_update_type"
 # Fixed labels of the three change kinds.
@@ -171,32 +171,39 @@ def merge_into_table(feed: DataFrame, table_path: str, key: str, payload: Sequen
     """MERGE the newest batch of ``feed`` (or ``batch``) into the dimension
     stored at ``table_path``.
 
-    The table is a ``VersionedTable`` of two parts: ``current`` holds the latest
-    row of each key, ``closed`` the expired ones. A MERGE reads the current rows
-    of the batch's keys (touched buckets of the base, and the deltas), writes
-    new latest rows as a delta and appends what it closed; closed rows are never
-    read or written again. So its writes follow the batch. One manifest
-    publishes both; a writer that dies before that changes nothing, and a
-    repeated batch finds no changes (hashes match). NULL keys or load times are
-    refused with their counts, as the dimension declares them NOT NULL.
+    The table is a ``BucketedTable`` of two parts: ``current`` holds the latest
+    row of each key, ``closed`` the expired ones. A MERGE reads the buckets of
+    the batch's keys in ``current`` and writes them anew, and appends what it
+    closed; closed rows are never read or written again. So its reads and writes
+    follow the buckets that the batch touches, after any number of batches. One
+    pointer publishes both; a writer that dies before that changes nothing, and
+    a repeated batch finds no changes (hashes match). NULL keys or load times
+    are refused with their counts, as the dimension declares them NOT NULL, and
+    so are rows that repeat a key: their versions would not be told apart.
     """
     spark = feed.sparkSession
     batch = newest_batch(feed, order) if batch is None else batch
     enforce_not_null(batch, [key, order])
-    table = VersionedTable(spark, table_path, key, buckets)
+    enforce_unique(batch, [key])
+    table = BucketedTable(spark, table_path, key, buckets)
     empty = empty_dimension(feed, key, payload, order)
-    current = table.keyed(CURRENT, table.touched(batch))
-    current = empty if current is None else current.select(*empty.columns)
-    changes = scd2_merge_changes(current, batch, key, payload, order, hashed).checkpoint(eager=True)
+    current = table.read(CURRENT, table.buckets_of(batch))
+    changes = scd2_merge_changes(empty if current is None else current, batch, key, payload, order,
+                                 hashed).checkpoint(eager=True)
     expired = F.col(UPDATE_TYPE) == T2_EXPIRE
-    commit = table.begin()
-    commit.replace_keys(CURRENT, changes.where(~expired).drop(UPDATE_TYPE))
-    commit.append(CLOSED, changes.where(expired).drop(UPDATE_TYPE))
-    commit.compact(keyed=[CURRENT], appended=[CLOSED]).publish()
+    latest = changes.where(~expired).drop(UPDATE_TYPE)
+    changed = table.buckets_of(latest)
+    if not changed:
+        return
+    kept = table.read(CURRENT, changed)
+    rows = latest if kept is None else kept.join(
+        broadcast_if_small(latest.select(key)), key, "left_anti").select(*latest.columns).unionByName(latest)
+    commit = table.begin().rewrite(CURRENT, rows, changed)
+    commit.append(CLOSED, changes.where(expired).drop(UPDATE_TYPE)).publish()
 
 
 def read_dimension(spark: SparkSession, table_path: str, key: str) -> DataFrame:
     """Latest and closed rows of the stored dimension (a snapshot)."""
-    table = VersionedTable(spark, table_path, key)
-    current, closed = table.keyed(CURRENT), table.appended(CLOSED)
+    table = BucketedTable(spark, table_path, key)
+    current, closed = table.read(CURRENT), table.read_appended(CLOSED)
     return current if closed is None else current.unionByName(closed)

@@ -45,8 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimsmith.functions.hashing import diff_hash, null_hash
-from dimsmith.functions.joins import broadcast_if_small
-from dimsmith.sources.versioned import _same_keys
+from dimsmith.functions.joins import broadcast_if_small, same_keys
 from dimsmith.functions.temporal import high_date, minus_tick, ts_text
 from dimsmith.functions.windows import full_frame, key_window
 
@@ -113,9 +112,9 @@ class _Hot:
         hot = over.select(*keys).checkpoint(eager=True)  # <= rows / max_key_rows keys
         hot_keys = broadcast_if_small(hot)
         # Null keys are keys like any other: nulls meet nulls in these joins.
-        self.cold = _same_keys(feed, hot_keys, keys, "left_anti")
+        self.cold = same_keys(feed, hot_keys, keys, "left_anti")
         self.n_chunks = max(2, math.ceil(stats["rows"] / max_key_rows) + 1)
-        self.hot = (_same_keys(feed, hot_keys, keys, "left_semi")
+        self.hot = (same_keys(feed, hot_keys, keys, "left_semi")
                     .repartitionByRange(self.n_chunks, *keys, order)
                     .withColumn(CHUNK, F.spark_partition_id())
                     .checkpoint(eager=True))        # pins chunk ids, cuts lineage
@@ -127,7 +126,7 @@ class _Hot:
         s = df.groupBy(*keys, CHUNK).agg(F.max_by(T2_HASH, order).alias("__last_h"))
         s = s.select(*keys, CHUNK, F.lag("__last_h").over(
             Window.partitionBy(*keys).orderBy(CHUNK)).alias("__carry_h"))
-        j = _same_keys(loc, s, [*keys, CHUNK], "left")
+        j = same_keys(loc, s, [*keys, CHUNK], "left")
         prev = F.when(F.col("__rn_l") == 1, F.col("__carry_h")).otherwise(F.col("__lag_c"))
         return (j.withColumn(PREV_HASH, F.coalesce(prev, null_hash()))
                 .drop("__lag_c", "__rn_l", "__carry_h"))
@@ -145,7 +144,7 @@ class _Hot:
                      F.lead("__min").over(wk).alias("__next_min"),
                      F.first("__min").over(full_frame(wk)).alias("__first"),
                      F.last("__max").over(full_frame(wk)).alias("__last"))
-        j = _same_keys(loc, s, [*keys, CHUNK], "left")
+        j = same_keys(loc, s, [*keys, CHUNK], "left")
         return (j.withColumns({"__rn": F.col("__rn_c") + F.col("__off"),
                                "__nxt": F.coalesce(F.col("__lead_c"), F.col("__next_min"))})
                 .drop("__rn_c", "__lead_c", "__off", "__next_min"))
@@ -153,7 +152,7 @@ class _Hot:
     def type1(self, df: DataFrame, type1) -> DataFrame:
         keys, order = self.keys, self.order
         last = df.groupBy(*keys).agg(F.max_by(F.struct(*type1), order).alias("__t1"))
-        j = _same_keys(df, last, keys, "left")
+        j = same_keys(df, last, keys, "left")
         return j.withColumns({c: F.col("__t1")[c] for c in type1}).drop("__t1")
 
 

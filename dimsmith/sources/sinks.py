@@ -1,8 +1,8 @@
 """Sinks: snapshot copies (S5), appends (S6) and small marker files.
 
 Stored tables that change (the MERGE-maintained dimension, the incrementally
-maintained histories) are made of immutable segments that a manifest publishes;
-see ``sources.versioned``. Small files are written through the Hadoop file
+maintained histories) are folders of key buckets that one small pointer file
+names; see ``sources.bucketed``. Small files are written through the Hadoop file
 system of the target path, so they live in the same shared storage as the data.
 """
 
@@ -51,17 +51,22 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def write_once(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a file whole under another name and rename it to ``path``.
-
-    False, and nothing written, if ``path`` exists already."""
-    fs, p, jvm = _fs(spark, path)
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a file whole under another name and rename it over ``path``."""
+    _, p, jvm = _fs(spark, path)
     part = f"{path}.{uuid.uuid4().hex[:8]}.tmp"
     write_text(spark, part, text)
-    moved = not fs.exists(p) and fs.rename(jvm.org.apache.hadoop.fs.Path(part), p)
-    if not moved:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(part), False)
-    return bool(moved)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context.rename(jvm.org.apache.hadoop.fs.Path(part), p, how)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens if it isn't there."""
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def snapshot_copy(df: DataFrame, path: str) -> DataFrame:

@@ -4,22 +4,22 @@ The maintained table must always equal the defining query over *all* feed
 rows seen so far. A Type-1 change rewrites every version of its key, and a
 late row can re-order a key's history, so the unit of work is the whole key.
 
-A maintained table is a ``VersionedTable`` with two parts: ``feed`` (every feed
-row seen, appended) and ``table`` (the history, keyed). For each micro-batch
+A maintained table is a ``BucketedTable`` with two parts by key bucket: ``feed``
+(every feed row seen) and ``table`` (the history). For each micro-batch
 (``foreachBatch``):
 
-1. its rows are written as a new feed segment;
+1. its rows are written with the other feed rows of their buckets;
 2. the affected keys are the batch's distinct keys; their whole history is
-   recomputed from their feed rows, read from the touched buckets of the base
-   and from the small deltas, and written as a delta segment of the table;
-3. one manifest publishes both, with the stream's batch number.
-
-So a batch writes about the rows of its own keys, whatever the table's size;
-parts whose deltas have outgrown the base are compacted in the same commit. A
-writer that dies before the manifest leaves the table as it was, and the retry
-starts afresh. Batches are numbered per stream: a new stream (another name) on
-an existing table starts at its own number. Rows with a null key or load time
-are kept, as in the full rebuild; ``not_null`` columns reject a batch instead.
+   recomputed from their feed rows and written with the history of the other
+   keys of their buckets;
+3. one pointer publishes both, with the stream's batch number.
+
+So a batch reads and writes the buckets of its own keys, after any number of
+batches. A writer that dies before the pointer leaves the table as it was, and
+the retry starts afresh. Batches are numbered per stream: a new stream (another
+name) on an existing table starts at its own number. Rows with a null key or
+load time are kept, as in the full rebuild; ``not_null`` columns reject a batch
+instead.
 """
 
 from __future__ import annotations
@@ -31,20 +31,21 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimsmith.functions.joins import broadcast_if_small, same_keys
 from dimsmith.operators.constraints import enforce_not_null
 from dimsmith.session import scratch_path
-from dimsmith.sources.versioned import VersionedTable, _same_keys, buckets_for
+from dimsmith.sources.bucketed import BucketedTable, buckets_for
 
 FEED, TABLE = "feed", "table"
 
 
 def read_table(spark: SparkSession, base: str, key: str | Sequence[str]) -> DataFrame:
     """The published state of the maintained table (a snapshot)."""
-    return VersionedTable(spark, base, key).keyed(TABLE)
+    return BucketedTable(spark, base, key).read(TABLE)
 
 
 def committed_batch(spark: SparkSession, base: str, key: str | Sequence[str], stream: str = "default") -> int | None:
-    return VersionedTable(spark, base, key).manifest.streams.get(stream)
+    return BucketedTable(spark, base, key).pointer.streams.get(stream)
 
 
 def _history(history: Callable[..., DataFrame], feed: DataFrame, rows: int) -> DataFrame:
@@ -62,23 +63,25 @@ def refresh_batch(spark: SparkSession, base: str, batch: DataFrame, batch_id: in
     count (or key) is refused. A batch at or below the stream's last published
     one has been applied already and is left out.
     """
-    table = VersionedTable(spark, base, key, buckets)
-    done = table.manifest.streams.get(stream)
+    table = BucketedTable(spark, base, key, buckets)
+    done = table.pointer.streams.get(stream)
     if done is not None and done >= batch_id:
         return
     enforce_not_null(batch, not_null)
-    commit = table.begin().append(FEED, batch)
-    new = [s for s in commit.new.parts[FEED].segments if s.number == table.manifest.version + 1]
-    if new:
-        keys = table.manifest.keys
-        rows = spark.read.schema(batch.schema).parquet(new[-1].path).select(*batch.columns)
-        affected = rows.select(*keys).distinct()
-        known = table.appended(FEED, table.touched(rows))
-        if known is not None:
-            rows = _same_keys(known, affected, keys, "left_semi").unionByName(rows)
-        total = sum(s.rows for s in commit.new.parts[FEED].segments)
-        commit.replace_keys(TABLE, _history(history, rows, total))
-        commit.compact(keyed=[TABLE], appended=[FEED])
+    commit, keys = table.begin(), table.pointer.keys
+    commit.check(FEED, batch)
+    touched = table.buckets_of(batch)
+    if touched:
+        seen = table.read(FEED, touched)
+        commit.rewrite(FEED, batch if seen is None else seen.select(*batch.columns).unionByName(batch), touched)
+        affected = broadcast_if_small(batch.select(*keys).distinct())
+        feed = commit.written(FEED)  # all rows of the touched buckets
+        rows = same_keys(feed, affected, keys, "left_semi")
+        renewed = _history(history, rows, feed.count())  # the count comes from the file footers
+        before = table.read(TABLE, touched)
+        if before is not None:
+            renewed = same_keys(before, affected, keys, "left_anti").select(*renewed.columns).unionByName(renewed)
+        commit.rewrite(TABLE, renewed, touched)
     commit.stream(stream, batch_id).publish()
 
 

@@ -67,19 +67,20 @@ def _load_batches(feed):
     return [feed.where(F.col("__ldts") == F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")) for t in loads]
 
 
-def test_stored_merge_writes_only_rows_of_its_keys(spark, feed):
+def test_stored_merge_writes_only_the_buckets_of_its_keys(spark, feed):
     from dimsmith.session import scratch_path
-    from dimsmith.sources.versioned import VersionedTable
+    from dimsmith.sources.bucketed import BucketedTable
     path = scratch_path(spark, "test-dim")
     loads = _load_batches(feed)
     merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=loads[0], buckets=8)
-    before = VersionedTable(spark, path, "customer_id").manifest
-    some = loads[1].where("customer_id % 4 = 0").limit(20).checkpoint()
+    before = BucketedTable(spark, path, "customer_id").pointer
+    some = loads[1].where("customer_id % 4 = 0").limit(3).checkpoint()
     merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=some)
-    after = VersionedTable(spark, path, "customer_id").manifest
-    assert after.parts["current"].base == before.parts["current"].base          # nothing rewritten
-    written = [s for p in after.parts.values() for s in p.segments if s.number == after.version]
-    assert 0 < sum(s.rows for s in written) <= 2 * some.count()
+    table = BucketedTable(spark, path, "customer_id")
+    after = table.pointer
+    new = {b for b, c in after.written["current"].items() if c != before.written["current"][b]}
+    assert new and new <= {str(b) for b in table.buckets_of(some)}
+    assert table.read_appended("closed").count() <= some.count()
     for batch in loads[1:]:
         merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=batch)
     replay = merge.scd2_merge_replay(feed, "customer_id", CUSTOMER_PAYLOAD)
@@ -88,7 +89,7 @@ def test_stored_merge_writes_only_rows_of_its_keys(spark, feed):
 
 def test_stored_merge_survives_a_writer_that_dies(spark, feed, monkeypatch):
     from dimsmith.session import scratch_path
-    from dimsmith.sources.versioned import Commit
+    from dimsmith.sources.bucketed import Commit
     path = scratch_path(spark, "test-dim-crash")
     loads = _load_batches(feed)
     merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=loads[0], buckets=4)
@@ -106,9 +107,9 @@ def test_stored_merge_survives_a_writer_that_dies(spark, feed, monkeypatch):
 
 
 def test_stored_merge_refuses_other_buckets_and_null_keys(spark, feed):
-    from dimsmith.operators.constraints import NotNullViolation
+    from dimsmith.operators.constraints import NotNullViolation, UniqueViolation
     from dimsmith.session import scratch_path
-    from dimsmith.sources.versioned import Mismatch
+    from dimsmith.sources.bucketed import Mismatch
     path = scratch_path(spark, "test-dim-refuse")
     batch = _load_batches(feed)[0]
     merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=batch, buckets=4)
@@ -118,6 +119,9 @@ def test_stored_merge_refuses_other_buckets_and_null_keys(spark, feed):
     with pytest.raises(NotNullViolation) as e:
         merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=bad)
     assert e.value.counts == {"customer_id": 3}
+    with pytest.raises(UniqueViolation) as u:
+        merge.merge_into_table(feed, path, "customer_id", CUSTOMER_PAYLOAD, batch=batch.unionByName(batch.limit(5)))
+    assert u.value.surplus == 5
 
 
 def test_upsert_streams_the_dimension(spark, feed):

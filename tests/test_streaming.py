@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from dimsmith.operators.constraints import NotNullViolation
 from dimsmith.plans import catalog
 from dimsmith.session import scratch_path
-from dimsmith.sources import feeds, versioned
-from dimsmith.sources.versioned import Commit, Conflict, Mismatch, VersionedTable
+from dimsmith.sources import feeds, sinks
+from dimsmith.sources.bucketed import BucketedTable, Commit, Mismatch
 from dimsmith.streaming.incremental import committed_batch, maintain, read_table, refresh_batch
 
 from conftest import SF01
@@ -55,38 +55,61 @@ def feed(spark):
     return catalog._feed(spark, SF01).checkpoint(eager=True)
 
 
-def test_refresh_writes_only_rows_of_its_keys(spark, feed):
+def _folders(base):
+    local = base.replace("file:", "")
+    return {os.path.relpath(d, local) for d, _, _ in os.walk(local) if os.path.basename(d).startswith("bucket=")}
+
+
+def test_refresh_writes_only_the_buckets_of_its_keys(spark, feed):
     base = scratch_path(spark, "test-small-batch")
     loads = _loads(feed)
     _refresh(spark, base, loads[0], 0, buckets=8)
-    before = VersionedTable(spark, base, "customer_id").manifest
+    before, files = BucketedTable(spark, base, "customer_id").pointer, _folders(base)
     one = feed.where((F.col("__ldts") != F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")) & (F.col("customer_id") == 4))
     _refresh(spark, base, one, 1)
-    after = VersionedTable(spark, base, "customer_id").manifest
-    new = [s for p in after.parts.values() for s in p.segments if s.number == after.version]
-    assert [s.path for s in before.parts["table"].base] == [s.path for s in after.parts["table"].base]
-    want = catalog._customer_t2n1(loads[0].unionByName(one))
-    assert sum(s.rows for s in new) == one.count() + want.where("customer_id = 4").count()
-    assert _rows(read_table(spark, base, "customer_id")) == _rows(want)
-
-
-@pytest.mark.parametrize("died_after", ["feed", "table", "tmp manifest"])
-def test_writer_that_dies_before_the_manifest_changes_nothing(spark, feed, died_after, monkeypatch):
+    after = BucketedTable(spark, base, "customer_id").pointer
+    for part in ("feed", "table"):
+        assert sum(after.written[part][b] != before.written[part][b] for b in before.written[part]) == 1
+    assert len(_folders(base) - files) == 2
+    assert _rows(read_table(spark, base, "customer_id")) == _rows(catalog._customer_t2n1(loads[0].unionByName(one)))
+
+
+def test_no_full_rewrite_after_many_batches(spark, feed):
+    """Thirty small batches: each writes its own bucket only, and replaced folders go away."""
+    base = scratch_path(spark, "test-many")
+    some = feed.where("customer_id < 200").checkpoint(eager=True)
+    first = some.where(F.col("__ldts") == F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    plain = lambda feed: feed
+    refresh_batch(spark, base, first, 0, "customer_id", plain, buckets=6)
+    for k in range(1, 31):
+        refresh_batch(spark, base, some.where(f"customer_id = {4 + k % 2}").limit(1), k, "customer_id", plain)
+        written = BucketedTable(spark, base, "customer_id").pointer.written["table"]
+        assert sum(c == k + 1 for c in written.values()) == 1
+    held = BucketedTable(spark, base, "customer_id").pointer.written
+    assert len(_folders(base)) <= sum(map(len, held.values())) + 4  # the last commit's are still there
+    assert read_table(spark, base, "customer_id").count() == first.count() + 30
+
+
+@pytest.mark.parametrize("died_after", ["nothing", "feed", "table", "pointer under another name"])
+def test_writer_that_dies_before_the_pointer_changes_nothing(spark, feed, died_after, monkeypatch):
     base = scratch_path(spark, "test-crash")
     loads = _loads(feed)
     _refresh(spark, base, loads[0], 0, buckets=4)
     done = _rows(read_table(spark, base, "customer_id"))
+    write = Commit.rewrite
 
     def die(*_, **__):
         raise RuntimeError("writer died")
 
     with monkeypatch.context() as m:
-        if died_after == "feed":
-            m.setattr(Commit, "replace_keys", die)
+        if died_after == "nothing":
+            m.setattr(Commit, "rewrite", die)
+        elif died_after == "feed":
+            m.setattr(Commit, "rewrite", lambda c, part, *a: die() if part == "table" else write(c, part, *a))
         elif died_after == "table":
             m.setattr(Commit, "publish", die)
         else:
-            m.setattr(versioned.sinks, "write_once", die)
+            m.setattr(sinks, "replace_text", lambda s, path, text: (sinks.write_text(s, path + ".tmp", text), die()))
         with pytest.raises(RuntimeError):
             _refresh(spark, base, loads[1], 1)
     assert _rows(read_table(spark, base, "customer_id")) == done
@@ -95,14 +118,18 @@ def test_writer_that_dies_before_the_manifest_changes_nothing(spark, feed, died_
     assert _rows(read_table(spark, base, "customer_id")) == _rows(catalog._customer_t2n1(feed))
 
 
-def test_half_written_segment_of_a_dead_writer_is_never_read(spark, feed):
+def test_folders_of_a_dead_writer_are_never_read(spark, feed):
     base = scratch_path(spark, "test-half")
     loads = _loads(feed)
     _refresh(spark, base, loads[0], 0, buckets=4)
-    commit = VersionedTable(spark, base, "customer_id").begin()
-    commit.append("feed", loads[1])                      # written, never published
-    commit.replace_keys("table", catalog._customer_t2n1(loads[1]).limit(3))
-    for k, load in enumerate(loads[1:], 1):
+    table = BucketedTable(spark, base, "customer_id")
+    commit = table.begin()
+    commit.rewrite("feed", loads[1], table.buckets_of(loads[1]))                # written, never published
+    commit.rewrite("table", catalog._customer_t2n1(loads[1]).limit(3), [0, 1, 2, 3])
+    one = loads[1].where("customer_id = 4")
+    _refresh(spark, base, one, 1)                                               # same commit number, other buckets
+    _refresh(spark, base, loads[1].where("customer_id <> 4"), 2)
+    for k, load in enumerate(loads[2:], 3):
         _refresh(spark, base, load, k)
     assert _rows(read_table(spark, base, "customer_id")) == _rows(catalog._customer_t2n1(feed))
 
@@ -116,9 +143,9 @@ def test_second_stream_continues_the_table(spark, feed):
     for k, load in enumerate(loads[3:]):
         _refresh(spark, base, load, k, stream="two")
     assert _rows(read_table(spark, base, "customer_id")) == _rows(catalog._customer_t2n1(feed))
-    version = VersionedTable(spark, base, "customer_id").manifest.version
+    version = BucketedTable(spark, base, "customer_id").pointer.commit
     _refresh(spark, base, loads[0], 0, stream="two")     # a repeated batch of a stream
-    assert VersionedTable(spark, base, "customer_id").manifest.version == version
+    assert BucketedTable(spark, base, "customer_id").pointer.commit == version
     assert committed_batch(spark, base, "customer_id", "two") == len(loads) - 4
 
 
@@ -134,16 +161,6 @@ def test_other_bucket_count_or_key_is_refused(spark, feed):
         _refresh(spark, base, load.withColumn("extra", F.lit(1)), 1)
 
 
-def test_conflicting_writers(spark, feed):
-    base = scratch_path(spark, "test-conflict")
-    load = _loads(feed)[0]
-    _refresh(spark, base, load, 0)
-    a, b = (VersionedTable(spark, base, "customer_id").begin() for _ in range(2))
-    a.append("feed", load).publish()
-    with pytest.raises(Conflict):
-        b.append("feed", load).publish()
-
-
 def test_null_keys_and_load_times_as_in_the_full_rebuild(spark, feed):
     some = feed.where("customer_id < 40")
     odd = some.limit(3).withColumn("customer_id", F.lit(None).cast("bigint")).unionByName(
@@ -170,16 +187,6 @@ def test_empty_batches(spark, feed):
     assert committed_batch(spark, base, "customer_id") == 10
 
 
-def test_compaction_keeps_the_table(spark, feed, monkeypatch):
-    monkeypatch.setattr(versioned, "COMPACT_SHARE", 0.05)
-    base = scratch_path(spark, "test-compact")
-    for k, load in enumerate(_loads(feed)):
-        _refresh(spark, base, load, k, buckets=3)
-    table = VersionedTable(spark, base, "customer_id")
-    assert any(s.bucketed and s.number > 1 for s in table.manifest.parts["table"].base)
-    assert _rows(read_table(spark, base, "customer_id")) == _rows(catalog._customer_t2n1(feed))
-
-
 def test_change_task_appends_numbered_batches(spark):
     import time
     from dimsmith.streaming.change_task import start_change_task
