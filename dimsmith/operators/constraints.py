@@ -10,7 +10,8 @@ DataFrame of violation counts (never the violating rows themselves):
 * PRIMARY KEY / UNIQUE: ``groupBy(key).count()`` — map-side partial counts, so
   a key holding a third of all rows costs one row per task — then one summary;
 * FOREIGN KEY: child keys are pre-aggregated (key, rows) before the anti-join
-  with the distinct parent keys, so the shuffle carries distinct keys only.
+  with the distinct parent keys, so the shuffle carries distinct keys only; where
+  keys are whole numbers that lie close together, bitmaps carry a bit a key.
 
 Inputs are ``{name: (spec, DataFrame)}``; ``name`` is the table name reported.
 """
@@ -18,11 +19,14 @@ Inputs are ``{name: (spec, DataFrame)}``; ``name`` is the table name reported.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimsmith.functions.joins import broadcast_if_small
+from dimsmith.functions.keysets import BITMAP_BYTES, bitmaps
 from dimsmith.sources.model import TableSpec
 
 Tables = dict[str, tuple[TableSpec, DataFrame]]
@@ -115,21 +119,21 @@ def audit_unique(tables: Tables) -> DataFrame:
                    for name, (spec, df) in tables.items() for u in spec.unique])
 
 
-def audit_foreign_key(tables: Tables) -> DataFrame:
+def audit_foreign_key(tables: Tables, parents: Tables | None = None) -> DataFrame:
     """(table_name, fk_columns, parent_table, orphan_keys, orphan_rows).
 
     All references of a table with keys of the same types take one pass over it:
     each row fans out into its keys, which are pre-aggregated before the
     anti-join with the parents' keys. A reference to a table that isn't among
-    ``tables`` has NULL counts."""
-    parts = []
+    ``parents`` (by default ``tables``) has NULL counts."""
+    parts, parents = [], tables if parents is None else parents
     for name, (spec, df) in tables.items():
         together: dict[tuple, list] = {}
         for fk in spec.foreign_keys:
-            kinds = tuple(df.schema[c].dataType.simpleString() for c in fk.columns) if fk.parent in tables else None
+            kinds = tuple(df.schema[c].dataType.simpleString() for c in fk.columns) if fk.parent in parents else None
             together.setdefault(kinds, []).append(fk)
         for kinds, fks in together.items():
-            parts.append(_unchecked(df, name, fks) if kinds is None else _orphans(df, name, fks, tables))
+            parts.append(_unchecked(df, name, fks) if kinds is None else _orphans(df, name, fks, parents))
     return _union(parts)
 
 
@@ -165,6 +169,62 @@ def _orphans(df: DataFrame, table: str, fks, tables: Tables) -> DataFrame:
     return _named(summary, table, fks, [(F.col(f"k{i}"), F.col(f"r{i}")) for i in range(len(fks))])
 
 
+# A bitmap is worth its bytes where it stands for this many keys at least (16 bytes a key).
+DENSE_KEYS = BITMAP_BYTES // 16
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def audit_foreign_key_bitmaps(tables: Tables) -> DataFrame:
+    """The rows of ``audit_foreign_key``, for whole-number keys by bitmaps.
+
+    Child and parent keys become one bit a key; a bitmap's orphans are the bits
+    that uniting it with the parents' bitmap adds. Only where there are some are
+    keys themselves shuffled, to count the orphans' rows. Exact: no bit stands
+    for two keys. References with other keys, or keys that lie too far apart
+    for bitmaps, are audited by the keys themselves."""
+    parts = []
+    for name, (spec, df) in tables.items():
+        packed, other = [], []
+        for fk in spec.foreign_keys:
+            whole = (fk.parent in tables and len(fk.columns) == 1 and df.schema[fk.columns[0]].dataType.simpleString() in _WHOLE
+                     and tables[fk.parent][1].schema[fk.parent_columns[0]].dataType.simpleString() in _WHOLE)
+            (packed if whole else other).append(fk)
+        if packed:
+            parts.append(_packed_orphans(df, name, packed, tables))
+        if other:
+            parts.append(audit_foreign_key({name: (replace(spec, foreign_keys=tuple(other)), df)}, tables))
+    return _union(parts)
+
+
+def _packed_orphans(df: DataFrame, table: str, fks, tables: Tables) -> DataFrame:
+    def keyed(rows: DataFrame, columns) -> DataFrame:
+        pairs = [F.struct(F.lit(i).alias("__fk"), F.col(c).cast("bigint").alias("__k")) for i, c in columns]
+        return rows.select(F.explode(F.array(*pairs)).alias("k")).select("k.*").where("__k IS NOT NULL")
+
+    child = keyed(df, [(i, fk.columns[0]) for i, fk in enumerate(fks)])
+    parents = _union([keyed(tables[fk.parent][1], [(i, fk.parent_columns[0])]) for i, fk in enumerate(fks)])
+    size = child.agg(F.approx_count_distinct(F.struct("__fk", "__k")).alias("keys"),
+                     F.approx_count_distinct(F.struct("__fk", F.bitmap_bucket_number("__k"))).alias("maps")).first()
+    if size["keys"] < DENSE_KEYS * size["maps"]:
+        return _orphans(df, table, fks, tables)
+    side = [bitmaps(d, "__k", ["__fk"]).withColumn("own", F.when(F.lit(own), F.bitmap_count("bits")).otherwise(F.lit(0)))
+            for d, own in ((child, False), (parents, True))]
+    united = _union(side).groupBy("__fk", "bucket").agg(
+        (F.bitmap_count(F.bitmap_or_agg("bits")) - F.sum("own")).alias("orphans")).where("orphans > 0")
+    united = united.checkpoint(eager=True)  # one row a bitmap with orphans; read twice
+    few = broadcast_if_small(united.select("__fk", "bucket"))
+    near = [d.withColumn("bucket", F.bitmap_bucket_number("__k")).join(few, ["__fk", "bucket"], "left_semi")
+            for d in (child, parents)]
+    rows = near[0].groupBy("__fk", "__k").agg(F.count(F.lit(1)).alias("__n")).join(
+        near[1].select("__fk", "__k").distinct(), ["__fk", "__k"], "left_anti")
+    found = united.select("__fk", "orphans", F.lit(0).cast("bigint").alias("__n")).unionByName(
+        rows.select("__fk", F.lit(0).cast("bigint").alias("orphans"), "__n"))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    summary = found.agg(*[zero(F.sum(F.when(F.col("__fk") == i, F.col("orphans")))).alias(f"k{i}") for i in range(len(fks))],
+                        *[zero(F.sum(F.when(F.col("__fk") == i, F.col("__n")))).alias(f"r{i}") for i in range(len(fks))])
+    return _named(summary, table, fks, [(F.col(f"k{i}"), F.col(f"r{i}")) for i in range(len(fks))])
+
+
 def type_checks(spec: TableSpec, source: DataFrame) -> dict[str, Column]:
     """Checks of declared lengths and decimal precision/scale on *source* values
     (before the cast, which would round or fail silently)."""

@@ -5,8 +5,8 @@ dimension with **one** join instead of three:
 
 * the dimension is first reduced to the keys of the batch (semi-join; the
   batch keys are broadcast when their measured bytes are small, so the large
-  dimension is streamed once and never shuffled; beyond the bound both sides
-  are shuffled),
+  dimension is streamed once and never shuffled; beyond the bound a Bloom filter
+  of them is, and only the rows that pass it are shuffled to the exact join),
 * each touched key is summarised to its latest row (``max`` of a struct whose
   first field is the version, deterministic even on a broken dimension),
 * the batch is left-joined to that summary and each row emits zero, one or two
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from dimsmith.functions.hashing import diff_hash, null_hash
 from dimsmith.functions.joins import BROADCAST_MAX_BYTES, broadcast_if_small
+from dimsmith.functions.keysets import semi_join
 from dimsmith.functions.temporal import high_date, minus_tick
 from dimsmith.operators.constraints import enforce_not_null, enforce_unique
 from dimsmith.sources.bucketed import BucketedTable
@@ -84,8 +85,7 @@ def scd2_merge_changes(dim: DataFrame, batch: DataFrame, key: str, payload: Sequ
     cols = staged.columns
     rest = [c for c in cols if c != key]
 
-    batch_keys = broadcast_if_small(staged.select(key), broadcast_bytes)
-    touched = dim.join(batch_keys, key, "left_semi")
+    touched = semi_join(dim, staged, [key], broadcast_bytes)
     cur = F.max(F.when(F.col("__is_latest"),
                        F.struct(*[F.col(c) for c in ["__rec_version", *[c for c in rest if c != "__rec_version"]]])))
     state = touched.groupBy(key).agg(cur.alias("__cur")).withColumn("__known", F.lit(True))

@@ -281,6 +281,16 @@ def reporting_by_customer_region_norely(spark, sf):
         star.main_reporting(_star(spark, sf), trust=star.trust_of(NORELY["lineitem"])))
 
 
+def region_report_eager(spark, sf):
+    """Customer-region report whose sums are taken before the joins (declared keys)."""
+    return star.eager_region_report(_star(spark, sf), trust=star.trust_of(RELY["lineitem"]))
+
+
+def region_report_eager_verified(spark, sf):
+    """The same on verified keys; the loyalty table's false key repeats its customers' sums."""
+    return star.eager_region_report(_star(spark, sf), trust=star.trust_of(RELY["lineitem"], verify=True))
+
+
 def _location_4(k):
     return k.isNotNull() & k.cast("boolean").isNotNull() & (k == 4)
 
@@ -387,6 +397,10 @@ def audit_foreign_key(spark, sf):
     return constraints.audit_foreign_key(audit_tables(spark, sf))
 
 
+def audit_foreign_key_bitmaps(spark, sf):
+    return constraints.audit_foreign_key_bitmaps(audit_tables(spark, sf))
+
+
 def audit_types(spark, sf):
     return constraints.audit_types(type_sources(spark, sf))
 
@@ -444,6 +458,9 @@ def catalog() -> dict[str, Entry]:
                                                       oracle.region_report_sql(e, True), "K9 column-driven"),
         "reporting_by_customer_region_norely": Entry(reporting_by_customer_region_norely,
                                                      oracle.region_report_sql(e, False), "K9 control"),
+        "region_report_eager": Entry(region_report_eager, oracle.region_report_sql(e, True), "K9 A2 sums below the joins"),
+        "region_report_eager_verified": Entry(region_report_eager_verified, oracle.region_report_sql(e, False),
+                                              "K9 J7 verified, sums below the joins"),
         "fk_join_pruned": Entry(fk_join_pruned, oracle.fk_join_sql(), "J8 F5 F9 O2"),
         "join_methods": Entry(join_methods, oracle.join_methods_sql("location", False), "J3 J10 A3 U1"),
         "join_methods_bad_fk": Entry(join_methods_bad_fk, oracle.join_methods_sql("location_bad_fk", True), "J9"),
@@ -455,6 +472,8 @@ def catalog() -> dict[str, Entry]:
         "audit_primary_key": Entry(audit_primary_key, oracle.primary_key_sql(AUDIT_SPECS, e), "C2 C3"),
         "audit_unique": Entry(audit_unique, oracle.unique_sql(AUDIT_SPECS, e), "C4"),
         "audit_foreign_key": Entry(audit_foreign_key, oracle.foreign_key_sql(AUDIT_SPECS, e), "C5"),
+        "audit_foreign_key_bitmaps": Entry(audit_foreign_key_bitmaps, oracle.foreign_key_sql(AUDIT_SPECS, e),
+                                           "C5 by bitmaps of keys"),
         "audit_types": Entry(audit_types, oracle.types_sql(TYPE_SPECS, DERIVED_SPECS, e), "C7 C8"),
         "constraint_report": Entry(constraint_report,
                                    oracle.constraint_report_sql(AUDIT_SPECS, TYPE_SPECS, e, DERIVED_SPECS), "K12"),

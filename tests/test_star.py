@@ -167,3 +167,30 @@ def test_loyalty_ranks_one_total_shared_by_all(spark):
         "id as customer_id", "cast(if(id < 2000, null, id) as decimal(12,2)) as total_price_usd")
     got = loyalty.loyalty_customers(customers, orders).groupBy("level").count().collect()
     assert {r.level: r["count"] for r in got} == {"Gold": 2000 + 19, "Silver": 80, "Bronze": 300}
+
+
+def test_eager_report_sums_before_the_joins(tables):
+    from dimsmith.plans.inspect import exchanges, physical_plan
+    eager = star.eager_region_report(tables)
+    want = star.report_by_customer_region(star.main_reporting(tables, trust="declared", columns=[
+        "customer_region_id", "quantity", "extended_price_usd"]))
+    assert sorted(map(str, eager.collect())) == sorted(map(str, want.select(*eager.columns).collect()))
+    plan = optimized_plan(eager)
+    assert logical_joins(eager) == 3
+    below = plan[plan.rindex("Join LeftOuter"):]                     # the innermost join and what it reads
+    assert "Aggregate [sales_order_id" in below
+    lines = [x for x in physical_plan(eager).splitlines() if "Exchange hashpartitioning" in x]
+    assert len(lines) == exchanges(eager) and all("sales_order_id" in x or "customer_id" in x or "region" in x or "key" in x for x in lines)
+
+
+def test_eager_report_repeats_what_false_keys_repeat(spark, tables):
+    """Repeated part, customer and loyalty keys count as in the view."""
+    some = dict(tables)
+    for name in ("part", "customer"):
+        some[name] = tables[name].unionByName(tables[name].limit(20))
+    view = star.main_reporting(some, trust="verified")
+    got = star.eager_region_report(some, trust="verified")
+    want = star.report_by_customer_region(view).select(*got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    with pytest.raises(ValueError):
+        star.eager_region_report(tables, trust="none")
