@@ -35,7 +35,7 @@ import re
 import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +44,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .aho_viterbi import MARK
-from .common import partitions, read_input, shared_folder, stored, write_bytes
+from .common import byte_letters, partitions, read_input, shared_folder, stored, write_bytes
 
 # File names of the contract.
 FIRST_FILE, SECOND_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-UNITS_KEPT = 120_000
-UNIT_CHARS = 64          # longer units are not remembered
+KEPT_BYTES = 64 << 20    # of the units a worker remembers, twice
 JOINED_CHARS = 1 << 14   # units encoded in one call
 BIG_GROUP = 1 << 16      # pair occurrences of a group that are counted, not spelled out
 SHARD_PAIRS = 1 << 19
@@ -58,7 +57,8 @@ FAN_IN = 8
 BLOCK = 1 << 15
 PARTIAL_PAIRS = 1 << 20
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_CLEAN = re.compile(r" \S(?:.*\S)?", re.S)
+_WIDE = re.compile(r"\s | \s")
+_CLEAN = re.compile(r"\S(?:.*\S)?", re.S)
 
 
 def tokenizer_paths() -> tuple[str, str]:
@@ -66,28 +66,30 @@ def tokenizer_paths() -> tuple[str, str]:
     return public_tokenizers.path(FIRST_FILE), public_tokenizers.path(SECOND_FILE)
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in byte-level vocabularies."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
-
-
 def units(text: str) -> list[str]:
-    """Stretches of space+text, each with the space that opens it."""
-    return [" " + u for u in _CUT.split(text)] if text else []
+    """Stretches of space+text, each without the space that opens it."""
+    if not text:
+        return []
+    if text[0] == " " or text[-1] == " " or _WIDE.search(text):
+        return _CUT.split(text)
+    return text.split(" ")  # no space is next to white space, so every one is a cut
 
 
 @dataclass
-class Unit:
-    """The alignment of one unit: token and group counts, group text, distinct pairs with occurrences."""
+class Chunk:
+    """The alignment of units that were encoded together.
+
+    ``members`` are their numbers; ``tokens`` has a row of first tokens, second
+    tokens and groups each; pairs (distinct in a unit) and how often they occur
+    lie unit by unit, from ``cut[k]`` to ``cut[k + 1]``; ``groups`` are the texts.
+    """
 
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
+    members: list[int]
+    tokens: np.ndarray
     pairs: np.ndarray
     times: np.ndarray
+    cut: np.ndarray
+    groups: list[str]
 
 
 class Aligner:
@@ -115,9 +117,8 @@ class Aligner:
         self.a_len, self.b_len = (np.array([*map(len, x)], np.int64) for x in (self.a_bytes, self.b_bytes))
         self.names = [str(k) for k in range(max(len(self.a_bytes), len(self.b_bytes)))]
 
-    def align(self, held: list[str]) -> list[Unit | None]:
-        """The units' alignments; None where a tokenizer doesn't give the bytes back."""
-        out: list[Unit | None] = [None] * len(held)
+    def chunks(self, held: list[str], texts: bool = True) -> Iterator[Chunk]:
+        """The units' alignments; units whose bytes a tokenizer doesn't give back are left out."""
         run: list[int] = []
         size = 0
         for k, u in enumerate(held):
@@ -125,29 +126,28 @@ class Aligner:
                 run.append(k)
                 size += len(u)
                 if size > JOINED_CHARS:
-                    self._into(out, held, run)
+                    yield from self._encoded(held, run, texts)
                     run, size = [], 0
             else:  # next to another unit its ends might be cut in another way
-                self._into(out, held, [k])
-        self._into(out, held, run)
-        return out
+                yield from self._encoded(held, [k], texts)
+        yield from self._encoded(held, run, texts)
 
-    def _into(self, out: list, held: list[str], run: list[int]) -> None:
+    def _encoded(self, held: list[str], run: list[int], texts: bool) -> Iterator[Chunk]:
         if not run:
             return
-        text = "".join(held[k] for k in run)
-        a = self.first.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        b = self.second.encode(text[1:], num_threads=1)  # it puts the first space itself
-        data = text.encode("utf-8", "surrogatepass")
+        units_ = [held[k] for k in run]
+        text = " ".join(units_)
+        a = self.first.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        b = self.second.encode(text, num_threads=1)  # it puts the first space itself
+        data = (" " + text).encode("utf-8", "surrogatepass")
         if b"".join(map(self.a_bytes.__getitem__, a)) == data == b"".join(map(self.b_bytes.__getitem__, b)):
-            sizes = [len(held[k].encode("utf-8", "surrogatepass")) for k in run]
-            for k, unit in zip(run, self._grouped(a, b, np.cumsum(sizes))):
-                out[k] = unit
+            ends = np.cumsum([len(u.encode("utf-8", "surrogatepass")) + 1 for u in units_])
+            yield self._grouped(run, a, b, ends, texts)
         elif len(run) > 1:
             for k in run:
-                self._into(out, held, [k])
+                yield from self._encoded(held, [k], texts)
 
-    def _grouped(self, a: list[int], b: list[int], unit_ends: np.ndarray) -> Iterator[Unit]:
+    def _grouped(self, run: list[int], a: list[int], b: list[int], unit_ends: np.ndarray, texts: bool) -> Chunk:
         a_ids, b_ids = np.array(a, np.int64), np.array(b, np.int64)
         a_ends, b_ends = np.cumsum(self.a_len[a_ids]), np.cumsum(self.b_len[b_ids])
         common = np.intersect1d(a_ends, b_ends, assume_unique=True)
@@ -174,36 +174,41 @@ class Aligner:
         at = np.flatnonzero(new)
         pair, owner, time = pair[at], owner[at], np.add.reduceat(time, at)
         cut = np.searchsorted(owner, np.arange(len(unit_ends) + 1))
-        names, texts = self.names, [[] for _ in unit_ends]
-        for u, p, n, q, m in zip(unit.tolist(), a_from.tolist(), n_a.tolist(), b_from.tolist(), n_b.tolist()):
-            texts[u].append(",".join([names[x] for x in a[p:p + n]]) + "|" + ",".join([names[x] for x in b[q:q + m]]))
-        tokens = [np.bincount(unit, n, len(unit_ends)).astype(int).tolist() for n in (n_a, n_b)]
-        for u, groups in enumerate(texts):
-            yield Unit(tokens[0][u], tokens[1][u], len(groups), ";".join(groups), pair[cut[u]:cut[u + 1]].copy(),
-                       time[cut[u]:cut[u + 1]].copy())
+        tokens = np.stack([np.bincount(unit, n, len(run)).astype(np.int64) for n in (n_a, n_b, np.ones(len(unit)))], axis=1)
+        names, groups = self.names, []
+        if texts:
+            lists = [[] for _ in run]
+            for u, p, n, q, m in zip(unit.tolist(), a_from.tolist(), n_a.tolist(), b_from.tolist(), n_b.tolist()):
+                lists[u].append((names[a[p]] if n == 1 else ",".join([names[x] for x in a[p:p + n]])) + "|" +
+                                (names[b[q]] if m == 1 else ",".join([names[x] for x in b[q:q + m]])))
+            groups = [";".join(x) for x in lists]
+        return Chunk(run, tokens, pair, time, cut, groups)
 
 
-@dataclass
 class Remembered:
-    """What was worked out of the units met last; at most twice ``limit`` units."""
+    """What was worked out of the units met last; about twice ``limit`` bytes at most, and a text's own."""
 
-    work: object
-    limit: int = UNITS_KEPT
-    kept: dict = field(default_factory=dict)
-    older: dict = field(default_factory=dict)
+    def __init__(self, work, limit: int = KEPT_BYTES):
+        self.work, self.limit, self.size = work, limit, 0
+        self.kept: dict[str, object] = {}
+        self.older: dict[str, object] = {}
 
-    def of(self, wanted: set[str]) -> dict:
-        """The results of all ``wanted`` units; valid until the next call."""
+    def hold(self, wanted: set[str]) -> dict[str, object]:
+        """Results that have all ``wanted`` units; None of a unit without alignment. Valid until the next call."""
         new = wanted.difference(self.kept)
-        if len(self.kept) + len(new) > self.limit:
-            self.older, self.kept = self.kept, {}
+        if new and self.size > self.limit:
+            self.older, self.kept, self.size = self.kept, {}, 0
             new = wanted
-        known = {u: self.older[u] for u in new if u in self.older}
-        fresh = [u for u in new if u not in known]
-        known.update(zip(fresh, self.work(fresh)))
-        long = {u: x for u, x in known.items() if len(u) > UNIT_CHARS}
-        self.kept.update((u, x) for u, x in known.items() if u not in long)
-        return {**{u: self.kept[u] for u in wanted if u not in long and u in self.kept}, **long}
+        if new:
+            kept, older = self.kept, self.older
+            kept.update((u, older[u]) for u in new if u in older)
+            fresh = [u for u in new if u not in older]
+            kept.update(dict.fromkeys(fresh))
+            for k, value, size in self.work(fresh):
+                kept[fresh[k]] = value
+                self.size += size
+            self.size += sum(map(len, new)) + 200 * len(new)
+        return self.kept
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -318,7 +323,13 @@ def _by_shard(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[list[np.
 
 def _first_pass(it: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     """Distinct pairs of each document, added up as long as they fit."""
-    known = Remembered(lambda fresh: [x and x.pairs for x in aligner(paths).align(fresh)])
+    def work(fresh: list[str]) -> Iterator[tuple[int, bytes, int]]:
+        for chunk in aligner(paths).chunks(fresh, texts=False):
+            data, cut = chunk.pairs.tobytes(), (8 * chunk.cut).tolist()
+            for k, start, end in zip(chunk.members, cut, cut[1:]):
+                yield k, data[start:end], end - start
+
+    known = Remembered(work)
     part = TaskContext.get().partitionId()
     held: list[np.ndarray] = []
     size = 0
@@ -338,10 +349,11 @@ def _first_pass(it: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterato
     for batch in it:
         for text in batch.column(0):
             wanted = set(units(text.as_py()))
-            found = known.of(wanted)
-            if not wanted or any(found[u] is None for u in wanted):
+            found = known.hold(wanted)
+            parts = [found[u] for u in wanted]
+            if not parts or None in parts:
                 continue
-            held.append(np.unique(np.concatenate([found[u] for u in wanted])))
+            held.append(np.unique(np.frombuffer(b"".join(parts), np.int64)))
             size += len(held[-1])
             if size > PARTIAL_PAIRS:
                 add_up()
@@ -471,32 +483,31 @@ _OUT = ("n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum
 def _second_pass(it: Iterator[pa.RecordBatch], paths: tuple[str, str], files: list[str]) -> Iterator[pa.RecordBatch]:
     counts = Counts(files, shard_numbers(len(files)))
 
-    def work(fresh: list[str]) -> list[tuple | None]:
-        aligned = aligner(paths).align(fresh)
-        good = [x for x in aligned if x is not None]
-        if not good:
-            return aligned
-        n, best = counts.of(np.concatenate([x.pairs for x in good]))
-        times = np.concatenate([x.times for x in good])
-        at = np.cumsum([0, *(len(x.pairs) for x in good[:-1])])
-        sums = iter(zip(*(np.add.reduceat(x, at).tolist() for x in (times, times * best, times * n, n == 0))))
-        return [x and (x.n_a, x.n_b, x.n_groups, *next(sums), x.groups) for x in aligned]  # seventh: pairs not found
+    def work(fresh: list[str]) -> Iterator[tuple[int, tuple[bytes, str], int]]:
+        for chunk in aligner(paths).chunks(fresh):
+            n, best = counts.of(chunk.pairs)
+            at = chunk.cut[:-1]
+            # Links, links of highest count, counts added up, pairs that aren't in the index.
+            sums = [np.add.reduceat(x, at) for x in (chunk.times, chunk.times * best, chunk.times * n, (n == 0).astype(np.int64))]
+            data = np.column_stack([chunk.tokens, *sums]).tobytes()
+            for place, (k, groups) in enumerate(zip(chunk.members, chunk.groups)):
+                yield k, (data[place * 56:place * 56 + 56], groups), 56 + len(groups)
 
     known = Remembered(work)
     for batch in it:
         rows = []
         for text in batch.column(1):
             wanted = units(text.as_py())
-            found = known.of(set(wanted))
-            if not wanted or any(x is None for x in found.values()):
+            found = known.hold(set(wanted))
+            parts = [found[u] for u in wanted]
+            if not parts or None in parts:
                 rows.append((0, 0, 0, 0, 0, 0, ""))
                 continue
-            of = [found[u] for u in wanted]
-            if any(x[6] for x in of):
+            *sums, unknown = np.frombuffer(b"".join([x for x, _ in parts]), np.int64).reshape(-1, 7).sum(axis=0).tolist()
+            if unknown:
                 raise ValueError("a pair is not in the index")
-            digest = hashlib.sha256()
-            digest.update(";".join([x[7] for x in of]).encode())
-            rows.append((*(sum([x[k] for x in of]) for k in range(6)), digest.hexdigest()))
+            groups = ";".join([x for _, x in parts])
+            rows.append((*sums, hashlib.sha256(groups.encode()).hexdigest()))
         columns = [batch.column(0), *(pa.array(c) for c in zip(*rows))] if rows else [batch.column(0)] + [
             pa.array([], pa.int64())] * 6 + [pa.array([], pa.string())]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *(c.split()[0] for c in _OUT.split(", "))])

@@ -98,18 +98,24 @@ def test_odd_texts_and_many_shards(session, plain):
     assert {(r["first"], r["second"]): r.n_docs for r in found} == dict(want)
 
 
-@pytest.mark.parametrize("limit, big", [(1, 16), (3, 0), (1000, 1 << 16)])
+@pytest.mark.parametrize("limit, big", [(1, 16), (3000, 0), (1 << 20, 1 << 16)])
 def test_units_are_those_of_the_whole_text(plain, monkeypatch, limit, big):
     monkeypatch.setattr(op, "BIG_GROUP", big)
-    known = op.Remembered(lambda fresh: op.aligner(op.tokenizer_paths()).align(fresh), limit)
-    for text in [*ODD, " ".join(ODD[:3] + ODD[4:])]:
-        found = known.of(set(op.units(text)))
+
+    def work(fresh):
+        for chunk in op.aligner(op.tokenizer_paths()).chunks(fresh):
+            for n, k in enumerate(chunk.members):
+                yield k, (chunk.groups[n], int(chunk.times[chunk.cut[n]:chunk.cut[n + 1]].sum())), 10
+
+    known = op.Remembered(work, limit)
+    for text in [*ODD, " ".join(ODD[:3] + ODD[4:]), " ".join(ODD[:1] * 40)]:
+        found = known.hold(set(op.units(text)))
         of = [found[u] for u in op.units(text)]
         want = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in plain.groups(text))
         assert (None in of) == (not want)
         if want:
-            assert ";".join(x.groups for x in of) == want
-            assert sum(int(x.times.sum()) for x in of) == sum(len(a) * len(b) for a, b in plain.groups(text))
+            assert ";".join(g for g, _ in of) == want
+            assert sum(n for _, n in of) == sum(len(a) * len(b) for a, b in plain.groups(text))
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
