@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 import posixpath
+import re
 import struct
 import uuid
 import zlib
@@ -38,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, read_input, shared_folder, write_bytes
+from .common import byte_letters, partitions, read_input, shared_folder, write_bytes
 
 MAGIC = 0x444D534944583031
 END_ID = 1
@@ -53,27 +54,36 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-# Marks that end a word; after an ASCII letter they are pre-tokens of their own.
-_TAIL = b".,;:!?*$%&#|"
+# Marks that end a word after an ASCII or a Latin-1 letter; they are pre-tokens of their own.
+_MARKS = rb"[.,;:!?*$%&#|]"
+_TAIL = re.compile(rb"%b(?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))%b*+(?=\s|\Z)" % (_MARKS, _MARKS))
 # Put between words that are encoded together. A digit is a pre-token of its
 # own, so no word without it gives its id.
 _CUT = b"0"
+# Words that the file's normaliser leaves as they are and that are one pre-token each.
+_PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
 
 
 class WordEncoder:
     """The lower-casing tokenizers file with word ends, applied word by word.
 
     ASCII white space never becomes part of a token and bounds its words, so the
-    ids of a text are those of the words between, one after the other. Words are
-    looked up without regard to ASCII case, and without the marks that end them;
-    the library encodes those not met before, a text's worth in one call. At
-    most twice ``kept`` distinct words are remembered, those met last.
+    ids of a text are those of the words between, one after the other. A text is
+    brought to lower case (ASCII) and the marks that end its words are set apart
+    before it is cut, so only distinct cores are looked up; the library encodes
+    those not met before, a text's worth in one call. Words of lower-case ASCII
+    and Latin-1 letters go to the same model without the file's normaliser and
+    pre-tokenizer, which would leave them as they are. At most twice ``kept``
+    distinct words are remembered, those met last.
     """
 
     def __init__(self, path: str, kept: int = WORDS_KEPT):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task a core
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+        self.tokenizer, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.bare.normalizer, self.bare.pre_tokenizer = None, WhitespaceSplit()
+        self.letters = str.maketrans({chr(b): c for c, b in byte_letters().items() if b != 32})
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.limit = kept
         self.kept: dict[bytes, bytes] = {}
@@ -83,55 +93,42 @@ class WordEncoder:
     def _ids(self, text: bytes) -> list[int]:
         return self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)[0].ids
 
+    def _bare_ids(self, text: bytes) -> list[int]:
+        shown = text.decode("latin-1").translate(self.letters)
+        return self.bare.encode_batch_fast([shown], add_special_tokens=False)[0].ids
+
     def _learn(self, words: Iterable[bytes]) -> None:
         kept, older = self.kept, self.older
-        split: list[tuple[bytes, bytes, bytes]] = []
-        same: list[tuple[bytes, bytes]] = []
-        together: dict[bytes, None] = {}
-        alone: dict[bytes, None] = {}
+        plain, other = [], []
         for w in words:
             if w in older:
                 kept[w] = older[w]
-                continue
-            low = w if b"<|" in w else w.lower()  # special tokens are matched before lower-casing
-            core = low.rstrip(_TAIL)
-            if len(core) < len(low) and core and 97 <= core[-1] <= 122:
-                parts = (core, low[len(core):])
-                split.append((w, *parts))
+            elif _PLAIN.fullmatch(w.decode("utf-8", "replace")):
+                plain.append(w)
+            elif _CUT in w or b"<|" in w:
+                kept[w] = np.array(self._ids(w), f"<u{self.width}").tobytes()
             else:
-                parts = (low,)
-                if low is not w and low != w:
-                    same.append((w, low))
-            for p in parts:
-                if p not in kept:
-                    if p in older:
-                        kept[p] = older[p]
-                    elif _CUT in p or b"<|" in p:
-                        alone[p] = None
-                    else:
-                        together[p] = None
-        if together:
-            ids = np.array(self._ids((b" " + _CUT + b" ").join(together)), f"<u{self.width}")
-            cuts = np.flatnonzero(ids == self.cut) * self.width
-            data, at = ids.tobytes(), 0
-            for p, end in zip(together, [*cuts.tolist(), len(data)]):
-                kept[p] = data[at:end]
-                at = end + self.width
-        for p in alone:
-            kept[p] = np.array(self._ids(p), f"<u{self.width}").tobytes()
-        for w, core, tail in split:
-            kept[w] = kept[core] + kept[tail]
-        for w, low in same:
-            kept[w] = kept[low]
+                other.append(w)
+        for held, encoded in ((plain, self._bare_ids), (other, self._ids)):
+            if held:
+                ids = np.array(encoded((b" " + _CUT + b" ").join(held)), f"<u{self.width}")
+                cuts = np.flatnonzero(ids == self.cut) * self.width
+                data, at = ids.tobytes(), 0
+                for w, end in zip(held, [*cuts.tolist(), len(data)]):
+                    kept[w] = data[at:end]
+                    at = end + self.width
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the text, packed."""
         if not text:
             return b""
-        kept, words = self.kept, text.encode("utf-8", "surrogatepass").split()
+        data = text.encode("utf-8", "surrogatepass")
+        if b"<|" not in data:  # special tokens are matched before lower-casing
+            data = _TAIL.sub(rb" \g<0>", data.lower())
+        kept, words = self.kept, data.split()
         new = set(words).difference(kept)
         if new:
-            if len(kept) + 2 * len(new) > self.limit:  # words not met since the last time are forgotten
+            if len(kept) + len(new) > self.limit:  # words not met since the last time are forgotten
                 self.older, self.kept = kept, {}
                 kept, new = self.kept, set(words)
             self._learn(new)
