@@ -48,7 +48,12 @@ def loyalty_customers(customer: DataFrame, sales_order: DataFrame, early_ids: Se
                       tiers: Sequence[tuple[int, int, str]] = TIERS,
                       exclude_location: int = EXCLUDED_LOCATION,
                       min_balance: float = MIN_BALANCE) -> DataFrame:
-    totals = customer_order_totals(customer, sales_order, exclude_location, min_balance)
+    return rank_totals(customer_order_totals(customer, sales_order, exclude_location, min_balance), early_ids, tiers)
+
+
+def rank_totals(totals: DataFrame, early_ids: Sequence[int] = (),
+                tiers: Sequence[tuple[int, int, str]] = TIERS) -> DataFrame:
+    """Tiers of the totals (customer_id, total_price_usd) and the early supporters."""
     last_rank = max(hi for _, hi, _ in tiers)
     # Rank the distinct totals, not the customers: a total shared by any number
     # of customers (or missing) is one row in the ranking task.
@@ -61,7 +66,7 @@ def loyalty_customers(customer: DataFrame, sales_order: DataFrame, early_ids: Se
         level = F.when(cond, name) if level is None else level.when(cond, name)
     ranked = (totals.join(F.broadcast(best), F.col("total_price_usd").eqNullSafe(F.col("__t")))  # last_rank rows
               .select("customer_id", level.alias("level"), F.lit(TOP_TYPE).alias("type")))
-    spark = customer.sparkSession
+    spark = totals.sparkSession
     early = (spark.createDataFrame([(int(i),) for i in early_ids], "customer_id bigint")
              .select("customer_id", F.lit(EARLY_LEVEL).alias("level"), F.lit(EARLY_TYPE).alias("type")))
     return (ranked.unionByName(early)

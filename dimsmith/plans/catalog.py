@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from dimsmith.functions.hashing import diff_hash, hash_hex, hashes_to_hex
 from dimsmith.functions.temporal import FEED_EPOCH
 from dimsmith.operators import audit_ledger, constraints, loyalty, merge, scd, star
+from dimsmith.operators import loyalty_maintained as maintained
 from dimsmith.plans import oracle
 from dimsmith.session import scratch_path
 from dimsmith.sources import feeds, sinks, testdata
@@ -25,6 +26,7 @@ from dimsmith.sources.model import (CUSTOMER_MERGE_HASHED, CUSTOMER_PAYLOAD, CUS
                                     CUSTOMER_T2N1_TYPE1, CUSTOMER_T2N1_TYPE2, DIM_CUSTOMER,
                                     LOYALTY_CUSTOMER, SOURCE_SYSTEM_CUSTOMER, SRC_CUSTOMER, STAR_SPECS,
                                     empty_table, star_specs)
+from dimsmith.streaming import change_task
 from dimsmith.streaming.incremental import incremental_history
 
 # Parameters of the catalogue queries (the source scripts' fixed ids do not
@@ -35,7 +37,7 @@ AS_OF = "2024-01-01 00:25:00"
 REPORT_DATE = "2024-01-01"
 SAMPLE_BATCH, SAMPLE_ROWS, SAMPLE_SEED = 1, 1000, 0
 PERIODIC_BATCHES, PERIODIC_ROWS = 3, 1000
-AUDIT_BATCHES, AUDIT_BUCKETS = 3, 8
+AUDIT_BATCHES, AUDIT_BUCKETS, ORDER_BATCHES = 3, 8, 3
 REPORT_YEAR, REPORT_TODAY = 2024, "2024-06-30"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -220,6 +222,15 @@ def change_feed_appended(spark, sf):
     return hashes_to_hex(merge.scd2_merge(_stored(_dim_after_base(feed)), feed, "customer_id", CUSTOMER_PAYLOAD))
 
 
+def change_feed_streamed(spark, sf):
+    """The base load and three change batches, each loaded by a bounded run of the stream."""
+    source, work = _ssc(spark, sf), scratch_path(spark, "change_stream")
+    feed = f"{work}/feed"
+    feeds.base_load(source).withColumn("__batch", F.lit(0)).write.partitionBy("__batch").parquet(feed)
+    change_task.run_intervals(source, feed, f"{work}/checkpoint", PERIODIC_BATCHES, PERIODIC_ROWS)
+    return change_task.read_feed(spark, feed)
+
+
 def scd2_merge_replay(spark, sf):
     return hashes_to_hex(merge.scd2_merge_replay(_feed(spark, sf), "customer_id", CUSTOMER_PAYLOAD))
 
@@ -230,6 +241,15 @@ def loyalty_customer(spark, sf):
     return _star(spark, sf)["loyalty_customer"]
 
 
+def loyalty_maintained(spark, sf):
+    """The loyalty table after three batches of orders, ranked from the kept candidates."""
+    t, base = testdata.star_tables(spark, sf), scratch_path(spark, "loyalty")
+    for b in range(ORDER_BATCHES):
+        batch = t["sales_order"].where(F.pmod(F.xxhash64("sales_order_id"), F.lit(ORDER_BATCHES)) == b)
+        maintained.apply_orders(spark, base, batch, t["customer"], b, buckets=8)
+    return maintained.ranking(spark, base, EARLY_IDS)
+
+
 def main_reporting(spark, sf):
     return star.main_reporting(_star(spark, sf), trust=star.trust_of(NORELY["lineitem"]))
 
@@ -454,7 +474,10 @@ def catalog() -> dict[str, Entry]:
         "scd2_merge_table": Entry(scd2_merge_table, oracle.merge_replay_sql(), "S11 stored, bucketed"),
         "change_feed_appended": Entry(change_feed_appended,
                                       oracle.appended_merge_sql(PERIODIC_BATCHES, PERIODIC_ROWS), "S6 S7 S11 F7"),
+        "change_feed_streamed": Entry(change_feed_streamed, oracle.appended_feed_sql(PERIODIC_BATCHES, PERIODIC_ROWS),
+                                      "S7 as a stream"),
         "loyalty_customer": Entry(loyalty_customer, oracle.loyalty_sql(e), "K7 A1 W6 X3 F3 F4 F6 S8 U1"),
+        "loyalty_maintained": Entry(loyalty_maintained, oracle.loyalty_sql(e), "K7 W6 maintained by order batches"),
         "main_reporting": Entry(main_reporting, oracle.main_reporting_sql(e, False), "K9 J2 J6 P2-P5 X2 F5"),
         "main_reporting_trusted": Entry(main_reporting_trusted, oracle.main_reporting_sql(e, True), "K9 J7"),
         "main_reporting_verified": Entry(main_reporting_verified, oracle.main_reporting_sql(e, False),

@@ -196,8 +196,8 @@ def merge_upsert_sql() -> str:
                  f"UNION ALL SELECT {cols} FROM chg")
 
 
-def appended_merge_sql(batches: int, n: int) -> str:
-    """The base load and the periodic batches as the feed; its newest batch merged."""
+def appended_feed_ctes(batches: int, n: int) -> list[str]:
+    """The base load and the periodic batches as the feed."""
     cols = ", ".join(CUSTOMER_COLS)
     parts = [f"SELECT {cols}, {EPOCH} AS __ldts FROM ssc WHERE customer_id % 4 = 0"]
     for b in range(1, batches + 1):
@@ -207,9 +207,17 @@ def appended_merge_sql(batches: int, n: int) -> str:
         parts.append(f"SELECT customer_id, name, address, location_id, phone, {bal} AS account_balance_usd, "
                      f"market_segment, comment, {EPOCH} + INTERVAL {10 * b} MINUTE AS __ldts FROM (SELECT * FROM ssc "
                      f"ORDER BY ((customer_id % 2147483647) * {mult}) % 2147483647, customer_id LIMIT {n}) p{b}")
-    feed = [ssc_cte(), "feed AS (\n  " + "\n  UNION ALL\n  ".join(parts) + "\n)"]
+    return [ssc_cte(), "feed AS (\n  " + "\n  UNION ALL\n  ".join(parts) + "\n)"]
+
+
+def appended_feed_sql(batches: int, n: int) -> str:
+    return with_(appended_feed_ctes(batches, n), "SELECT * FROM feed")
+
+
+def appended_merge_sql(batches: int, n: int) -> str:
+    """The appended feed's newest batch merged."""
     out = ", ".join(DIM_COLS)
-    return with_(merge_changes_ctes(feed),
+    return with_(merge_changes_ctes(appended_feed_ctes(batches, n)),
                  f"SELECT {out} FROM dim0 d WHERE NOT EXISTS (SELECT 1 FROM chg c WHERE "
                  f"c.customer_id = d.customer_id AND c.__rec_version = d.__rec_version)\n"
                  f"UNION ALL SELECT {out} FROM chg")

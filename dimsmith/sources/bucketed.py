@@ -47,7 +47,7 @@ def buckets_for(table_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
 @dataclass
 class Pointer:
     """What a table is now. ``written``: commit that last wrote a bucket, by part and bucket;
-    ``replaced``: folders that the last commit replaced."""
+    ``replaced``: folders that the last commit replaced; ``notes``: a writer's own few values."""
 
     commit: int
     keys: list[str]
@@ -57,6 +57,7 @@ class Pointer:
     appended: dict[str, int] = field(default_factory=dict)
     streams: dict[str, int] = field(default_factory=dict)
     replaced: list[str] = field(default_factory=list)
+    notes: dict[str, str | None] = field(default_factory=dict)
 
 
 class BucketedTable:
@@ -140,8 +141,9 @@ class Commit:
         held = self.new.written.setdefault(part, {})
         there = {n.partition("=")[2] for n in sinks.list_names(self.table.spark, folder) if n.startswith(f"{BUCKET}=")}
         for b in map(str, buckets):
-            if b in held:
-                self.new.replaced.append(self.table._folder(part, held.pop(b), b))
+            before = held.pop(b, self.new.commit)
+            if before != self.new.commit:
+                self.new.replaced.append(self.table._folder(part, before, b))
             if b in there:
                 held[b] = self.new.commit
         return self
@@ -160,10 +162,23 @@ class Commit:
         paths = [self.table._folder(part, self.new.commit, b) for b in held]
         return self.table.spark.read.schema(schema).parquet(*paths) if paths else None
 
+    def all(self, part: str) -> DataFrame | None:
+        """All rows of a rewritten part as this commit leaves them, before it is published."""
+        held = self.new.written.get(part, {})
+        paths = [self.table._folder(part, c, b) for b, c in held.items()]
+        if not paths:
+            return None
+        schema = T.StructType.fromJson(json.loads(self.new.schemas[part]))
+        return self.table.spark.read.schema(schema).parquet(*paths)
+
     def stream(self, name: str, batch: int) -> Commit:
         self.new.streams[name] = batch
         return self
 
+    def note(self, name: str, value: str | None) -> Commit:
+        self.new.notes[name] = value
+        return self
+
     def publish(self) -> None:
         table, spark = self.table, self.table.spark
         for part, last in self.new.appended.items():

@@ -205,6 +205,28 @@ def test_change_task_appends_numbered_batches(spark):
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
 
 
+def test_streamed_intervals_resume_and_repeat(spark, monkeypatch):
+    """A run that dies half-way loads its own batch when it is resumed, once."""
+    from dimsmith.streaming import change_task
+    src, work = catalog._ssc(spark, SF01), scratch_path(spark, "test-intervals")
+    path, state = f"{work}/feed", f"{work}/checkpoint"
+    change_task.run_intervals(src, path, state, 1, n=40)
+    with monkeypatch.context() as m:
+        write = change_task.load_interval
+
+        def half(*args, **options):
+            write(*args, **options)                      # written, but the run doesn't get to its end
+            raise RuntimeError("died")
+        m.setattr(change_task, "load_interval", half)
+        with pytest.raises(Exception, match="died"):
+            change_task.run_intervals(src, path, state, 1, n=40)
+    change_task.run_intervals(src, path, state, 2, n=40)
+    want = [tuple(r) for b in (1, 2, 3) for r in feeds.periodic_batch(src, b, n=40).collect()]
+    got = change_task.read_feed(spark, path).select(*feeds.periodic_batch(src, 1, n=1).columns)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert sorted(r[0] for r in spark.read.parquet(path).select("__batch").distinct().collect()) == [1, 2, 3]
+
+
 def test_periodic_batches_sample_anew(spark):
     """Two runs share about n * n / N keys; a repeated run shares all."""
     src = catalog._ssc(spark, SF01)
