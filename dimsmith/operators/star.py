@@ -241,6 +241,25 @@ def report_by_customer_region(view: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("line_count")))
 
 
+def create_reporting_function(spark, star: dict[str, DataFrame], name: str = "reporting") -> None:
+    """The reporting view as a SQL table function ``name(trusted, first, last)``.
+
+    ``trusted`` chooses between declared and untrusted keys, the dates bound
+    ``ship_date``. Arguments are constants to the optimizer: the branch that was
+    not chosen vanishes, unread joins of the chosen one do, and the dates reach
+    the scan.
+    """
+    views = {}
+    for trust in ("declared", "none"):
+        views[trust] = f"{name}_{trust}_keys"
+        main_reporting(star, trust=trust).createOrReplaceTempView(views[trust])
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spark.table(views["declared"]).schema)
+    dated = "ship_date BETWEEN first AND last"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(trusted BOOLEAN, first DATE, last DATE) RETURNS TABLE({columns}) "
+              f"RETURN SELECT * FROM {views['declared']} WHERE trusted AND {dated} "
+              f"UNION ALL SELECT * FROM {views['none']} WHERE NOT trusted AND {dated}")
+
+
 def eager_region_report(star: dict[str, DataFrame], trust: str = "declared") -> DataFrame:
     """The customer-region report with the sums taken before the joins.
 

@@ -9,6 +9,8 @@ engines can be compared value by value.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -21,7 +23,7 @@ from dimsmith.operators import audit_ledger, constraints, loyalty, merge, scd, s
 from dimsmith.operators import loyalty_maintained as maintained
 from dimsmith.plans import oracle
 from dimsmith.session import scratch_path
-from dimsmith.sources import feeds, sinks, testdata
+from dimsmith.sources import declared, feeds, sinks, snapshots, testdata
 from dimsmith.sources.model import (CUSTOMER_MERGE_HASHED, CUSTOMER_PAYLOAD, CUSTOMER_T2_TRACKED,
                                     CUSTOMER_T2N1_TYPE1, CUSTOMER_T2N1_TYPE2, DIM_CUSTOMER,
                                     LOYALTY_CUSTOMER, SOURCE_SYSTEM_CUSTOMER, SRC_CUSTOMER, STAR_SPECS,
@@ -37,6 +39,11 @@ AS_OF = "2024-01-01 00:25:00"
 REPORT_DATE = "2024-01-01"
 SAMPLE_BATCH, SAMPLE_ROWS, SAMPLE_SEED = 1, 1000, 0
 PERIODIC_BATCHES, PERIODIC_ROWS = 3, 1000
+SHIP_FIRST, SHIP_LAST = "1995-01-01", "1996-12-31"
+RANGE_WIDTH, ALTERED, DROPPED, REPEATED = 100, 236, 1004, 332
+# SQL constants of the dimension's defaults: open, first version, no overwritten columns.
+DIM_DEFAULTS = {"__to_dts": "TIMESTAMP_NTZ'9999-12-31 00:00:00'", "__rec_version": "1L", "__is_latest": "true",
+                "__t1diff_hash": f"X'{hashlib.sha1(b'*null*').hexdigest()}'"}
 AUDIT_BATCHES, AUDIT_BUCKETS, ORDER_BATCHES = 3, 8, 3
 REPORT_YEAR, REPORT_TODAY = 2024, "2024-06-30"
 
@@ -94,6 +101,16 @@ def diff_hash_customer(spark, sf):
         hash_hex(diff_hash(CUSTOMER_MERGE_HASHED)).alias("merge_hash"))
 
 
+def snapshot_changed_ranges(spark, sf):
+    """A copy in which rows were altered, dropped and repeated: the key ranges whose digests tell."""
+    base = src_customer_base(spark, sf)
+    copy = sinks.snapshot_copy(base, scratch_path(spark, "snapshot"))
+    k = F.col("customer_id")
+    altered = copy.withColumn("phone", F.when(k % ALTERED == 0, "altered").otherwise(F.col("phone"))).where(
+        (k % DROPPED != 0) | (k % ALTERED == 0))
+    return snapshots.changed_ranges(base, altered.unionByName(altered.where(k % REPEATED == 0)), "customer_id", RANGE_WIDTH)
+
+
 def snapshot_copy(spark, sf):
     return sinks.snapshot_copy(src_customer_base(spark, sf), scratch_path(spark, "snapshot"))
 
@@ -174,6 +191,17 @@ def _dim_after_base(feed):
     return merge.merge_upsert(empty, changes, ["customer_id", "__rec_version"])
 
 
+def dim_customer_declared(spark, sf):
+    """The base load inserted into a declared table without the columns that have defaults."""
+    name = f"dim_customer_{uuid.uuid4().hex[:8]}"
+    declared.create_table(spark, DIM_CUSTOMER, name, scratch_path(spark, name), DIM_DEFAULTS)
+    feed = _feed(spark, sf)
+    base = feed.where(F.col("__ldts") == F.lit(FEED_EPOCH).cast("timestamp_ntz"))
+    staged = merge.stage_batch(base, "customer_id", CUSTOMER_PAYLOAD).drop(*DIM_DEFAULTS)
+    declared.insert(staged, DIM_CUSTOMER, name)
+    return hashes_to_hex(spark.table(name))
+
+
 def _stored(df):
     """Stand-in for a table written to the shared folder: a reliable checkpoint
     (the feed and the dimension are tables in practice, not recomputed plans)."""
@@ -276,6 +304,22 @@ def ship_mode_view_sql(spark, sf):
                      "CAST(sum(quantity) AS DECIMAL(38,2)) AS quantity FROM main_reporting_v GROUP BY 1, 2")
 
 
+def _ship_mode_function(spark, sf, trusted):
+    name = f"reporting_{uuid.uuid4().hex[:8]}"
+    star.create_reporting_function(spark, _star(spark, sf), name)
+    return spark.sql(f"SELECT ship_mode, CAST(sum(quantity) AS DECIMAL(38,2)) AS quantity "
+                     f"FROM {name}({trusted}, DATE'{SHIP_FIRST}', DATE'{SHIP_LAST}') GROUP BY ship_mode")
+
+
+def ship_mode_function(spark, sf):
+    """The view as a table function of trust and dates, trusted."""
+    return _ship_mode_function(spark, sf, True)
+
+
+def ship_mode_function_norely(spark, sf):
+    return _ship_mode_function(spark, sf, False)
+
+
 def ship_mode_report(spark, sf):
     return star.ship_mode_report(star.main_reporting(_star(spark, sf), trust=star.trust_of(RELY["lineitem"])),
                                  REPORT_DATE)
@@ -485,6 +529,13 @@ def catalog() -> dict[str, Entry]:
         "region_report_verified_columns": Entry(region_report_verified_columns, oracle.region_report_sql(e, False),
                                                 "K9 J7 verified, column-driven"),
         "ship_mode_view_sql": Entry(ship_mode_view_sql, oracle.ship_mode_sql(e, True), "S9 K10"),
+        "ship_mode_function": Entry(ship_mode_function, oracle.ship_mode_between_sql(e, True, SHIP_FIRST, SHIP_LAST),
+                                    "S9 with arguments, J7"),
+        "ship_mode_function_norely": Entry(ship_mode_function_norely,
+                                           oracle.ship_mode_between_sql(e, False, SHIP_FIRST, SHIP_LAST), "S9 control"),
+        "dim_customer_declared": Entry(dim_customer_declared, oracle.dim_base_sql(), "S4 C1 C7 in the catalogue"),
+        "snapshot_changed_ranges": Entry(
+            snapshot_changed_ranges, oracle.changed_ranges_sql(RANGE_WIDTH, ALTERED, DROPPED, REPEATED), "S5 K1 digests"),
         "join_methods_year": Entry(join_methods_year, oracle.join_methods_year_sql(REPORT_YEAR, REPORT_TODAY),
                                    "F10 X14 J10"),
         "ship_mode_report": Entry(ship_mode_report, oracle.ship_mode_sql(e, True), "K10 J7 A2"),

@@ -315,6 +315,25 @@ def ship_mode_sql(early_ids: Sequence[int], trusted: bool, as_of: str = "2024-01
     return with_(view_ctes(early_ids, False), f"{agg} FROM mart GROUP BY ship_mode")
 
 
+def ship_mode_between_sql(early_ids: Sequence[int], trusted: bool, first: str, last: str) -> str:
+    agg = "SELECT ship_mode, CAST(sum(quantity) AS DECIMAL(38,2)) AS quantity"
+    ctes, table = (star_ctes(["lineitem"]), "m_lineitem") if trusted else (view_ctes(early_ids, False), "mart")
+    return with_(ctes, f"{agg} FROM {table} WHERE ship_date BETWEEN DATE '{first}' AND DATE '{last}' GROUP BY ship_mode")
+
+
+def dim_base_sql() -> str:
+    return with_(merge_changes_ctes(), f"SELECT {', '.join(DIM_COLS)} FROM dim0")
+
+
+def changed_ranges_sql(width: int, altered: int, dropped: int, repeated: int) -> str:
+    """Ranges of base-load customers that hold an altered, dropped or repeated row."""
+    base = [ssc_cte(), "b AS (SELECT customer_id AS k, customer_id // %d AS r FROM ssc WHERE customer_id %% 4 = 0)" % width]
+    return with_(base, (
+        f"SELECT CAST(r AS BIGINT) AS range, count(*) AS left_rows, CAST(count(*) - count(*) FILTER (k % {dropped} = 0 AND k % {altered} <> 0) "
+        f"+ count(*) FILTER (k % {repeated} = 0 AND NOT (k % {dropped} = 0 AND k % {altered} <> 0)) AS BIGINT) AS right_rows FROM b GROUP BY r "
+        f"HAVING count(*) FILTER (k % {altered} = 0 OR k % {dropped} = 0 OR k % {repeated} = 0) > 0"))
+
+
 def region_report_sql(early_ids: Sequence[int], trusted: bool) -> str:
     agg = ("SELECT customer_region_id, CAST(sum(quantity) AS DECIMAL(38,2)) AS quantity, "
            "CAST(sum(extended_price_usd) AS DECIMAL(38,2)) AS extended_price_usd, "
