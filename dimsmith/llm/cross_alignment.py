@@ -28,13 +28,14 @@ looked at; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import os
 import posixpath
 import re
 import uuid
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,7 +49,9 @@ from .common import byte_letters, partitions, read_input, shared_folder, stored,
 
 # File names of the contract.
 FIRST_FILE, SECOND_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-KEPT_BYTES = 64 << 20    # of the units a worker remembers, twice
+RANKS_FILE = "byte_bpe_50k.tiktoken"  # the first vocabulary as ranks
+KEPT_BYTES = 128 << 20   # of the units a worker remembers, twice
+TOGETHER_CHARS = 1 << 18  # of texts whose new units are encoded together
 JOINED_CHARS = 1 << 14   # units encoded in one call
 BIG_GROUP = 1 << 16      # pair occurrences of a group that are counted, not spelled out
 SHARD_PAIRS = 1 << 19
@@ -61,9 +64,20 @@ _WIDE = re.compile(r"\s | \s")
 _CLEAN = re.compile(r"\S(?:.*\S)?", re.S)
 
 
-def tokenizer_paths() -> tuple[str, str]:
+Paths = tuple[str, str, str | None]
+# The pattern before the merges of the rank file; a fixed value of byte-level vocabularies.
+_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Characters whose classes are the same in every edition of Unicode.
+_PLAIN = re.compile(r"[ -~À-ÖØ-öø-ÿ]*")
+# Marks after a letter: both tokenizers cut between them.
+_MARKED = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)", re.S)
+_CROSSING = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ][.,;:!?]")
+
+
+def tokenizer_paths() -> Paths:
+    """Files of both tokenizers, and of the first one's ranks (or None)."""
     import public_tokenizers
-    return public_tokenizers.path(FIRST_FILE), public_tokenizers.path(SECOND_FILE)
+    return tuple(public_tokenizers.path(f) for f in (FIRST_FILE, SECOND_FILE, RANKS_FILE))
 
 
 def units(text: str) -> list[str]:
@@ -95,13 +109,19 @@ class Chunk:
 class Aligner:
     """Two tokenizer files side by side; a pair is ``first id << 32 | second id``."""
 
-    def __init__(self, first: str, second: str):
+    def __init__(self, first: str, second: str, ranks: str | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task a core
         import sentencepiece
         from tokenizers import Tokenizer
         self.first = Tokenizer.from_file(first)
         self.first.encode_special_tokens = True
         self.second = sentencepiece.SentencePieceProcessor(model_file=second)
+        self.plain = None  # the first tokenizer from its ranks: the same ids in less time
+        if ranks:
+            import tiktoken
+            with open(ranks, "rb") as f:
+                merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.plain = tiktoken.Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=merges, special_tokens={})
         letters = byte_letters()
         vocab = self.first.get_vocab(with_added_tokens=True)
         self.a_bytes = [b""] * (max(vocab.values()) + 1)
@@ -112,17 +132,28 @@ class Aligner:
             piece = self.second.id_to_piece(k)
             if MARK in piece.lstrip(MARK):
                 raise ValueError("a piece crosses into the next word")
+            if self.second.is_byte(k) + self.second.is_control(k) + self.second.is_unknown(k) == 0 and _CROSSING.search(piece):
+                raise ValueError("a piece crosses from a letter to a mark")
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.second.is_byte(k) else
                                 b"" if self.second.is_control(k) else piece.replace(MARK, " ").encode())
         self.a_len, self.b_len = (np.array([*map(len, x)], np.int64) for x in (self.a_bytes, self.b_bytes))
         self.names = [str(k) for k in range(max(len(self.a_bytes), len(self.b_bytes)))]
 
-    def chunks(self, held: list[str], texts: bool = True) -> Iterator[Chunk]:
-        """The units' alignments; units whose bytes a tokenizer doesn't give back are left out."""
+    def chunks(self, held: list[str | bytes], texts: bool = True) -> Iterator[Chunk]:
+        """The units' alignments; units whose bytes a tokenizer doesn't give back are left out.
+
+        Bytes among them are marks that follow a letter."""
         run: list[int] = []
         size = 0
-        for k, u in enumerate(held):
-            if _CLEAN.fullmatch(u) and MARK not in u:
+        if self.plain:  # units of plain characters first, so that they are encoded together
+            order = sorted(range(len(held)), key=lambda k: isinstance(held[k], bytes) or _PLAIN.fullmatch(held[k]) is None)
+        else:
+            order = range(len(held))
+        for k in order:
+            u = held[k]
+            if isinstance(u, bytes):
+                yield self._marks(k, u.decode())
+            elif _CLEAN.fullmatch(u) and MARK not in u:
                 run.append(k)
                 size += len(u)
                 if size > JOINED_CHARS:
@@ -132,12 +163,24 @@ class Aligner:
                 yield from self._encoded(held, [k], texts)
         yield from self._encoded(held, run, texts)
 
+    def _marks(self, k: int, marks: str) -> Chunk:
+        """Marks after a letter: what is left of a word without its only letter."""
+        (whole,) = self._encoded(["x" + marks], [0], True)
+        (letter,) = self._encoded(["x"], [0], True)
+        times = whole.times - np.isin(whole.pairs, letter.pairs)
+        keep = times > 0
+        groups = whole.groups[0].partition(";")[2]
+        return Chunk([k], whole.tokens - letter.tokens, whole.pairs[keep], times[keep], np.array([0, keep.sum()]), [groups])
+
     def _encoded(self, held: list[str], run: list[int], texts: bool) -> Iterator[Chunk]:
         if not run:
             return
         units_ = [held[k] for k in run]
         text = " ".join(units_)
-        a = self.first.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        if self.plain and _PLAIN.fullmatch(text):
+            a = self.plain.encode_ordinary(" " + text)
+        else:
+            a = self.first.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
         b = self.second.encode(text, num_threads=1)  # it puts the first space itself
         data = (" " + text).encode("utf-8", "surrogatepass")
         if b"".join(map(self.a_bytes.__getitem__, a)) == data == b"".join(map(self.b_bytes.__getitem__, b)):
@@ -186,10 +229,13 @@ class Aligner:
 
 
 class Remembered:
-    """What was worked out of the units met last; about twice ``limit`` bytes at most, and a text's own."""
+    """What was worked out of the units met last; about twice ``limit`` bytes at most, and a text's own.
 
-    def __init__(self, work, limit: int = KEPT_BYTES):
-        self.work, self.limit, self.size = work, limit, 0
+    Results of a unit that ends in marks are put together by ``add`` from those
+    of the word and of the marks."""
+
+    def __init__(self, work, add, limit: int = KEPT_BYTES):
+        self.work, self.add, self.limit, self.size = work, add, limit, 0
         self.kept: dict[str, object] = {}
         self.older: dict[str, object] = {}
 
@@ -201,20 +247,55 @@ class Remembered:
             new = wanted
         if new:
             kept, older = self.kept, self.older
-            kept.update((u, older[u]) for u in new if u in older)
-            fresh = [u for u in new if u not in older]
-            kept.update(dict.fromkeys(fresh))
-            for k, value, size in self.work(fresh):
-                kept[fresh[k]] = value
+            parts, fresh = [], set()
+            for u in new:
+                if u in older:
+                    kept[u] = older[u]
+                    continue
+                cut = _MARKED.fullmatch(u) if u[-1:] in ".,;:!?" and _CLEAN.fullmatch(u) and MARK not in u else None
+                if cut:
+                    parts.append((u, cut[1], cut[2].encode()))
+                    fresh.update(parts[-1][1:])
+                else:
+                    fresh.add(u)
+            todo = []
+            for u in fresh.difference(kept):
+                if u in older:
+                    kept[u] = older[u]
+                else:
+                    todo.append(u)
+            kept.update(dict.fromkeys(todo))
+            for k, value, size in self.work(todo):
+                kept[todo[k]] = value
                 self.size += size
-            self.size += sum(map(len, new)) + 200 * len(new)
+            for u, word, marks in parts:
+                kept[u] = None if kept[word] is None else self.add(kept[word], kept[marks])
+            self.size += sum(map(len, new)) + 250 * len(new)
         return self.kept
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+def _held(known: Remembered, texts: Iterable[str | None]) -> Iterator[tuple[list[str], dict]]:
+    """(units, results that have them) of each text; those of several texts are worked out together."""
+    held, size = [], 0
+    for text in texts:
+        held.append(units(text))
+        size += len(text or "")
+        if size > TOGETHER_CHARS:
+            yield from _all_of(known, held)
+            held, size = [], 0
+    yield from _all_of(known, held)
+
+
+def _all_of(known: Remembered, held: list[list[str]]) -> Iterator[tuple[list[str], dict]]:
+    found = known.hold(set().union(*held))
+    for wanted in held:
+        yield wanted, found
 
 
-def aligner(paths: tuple[str, str]) -> Aligner:
+_ALIGNERS: dict[Paths, Aligner] = {}
+
+
+def aligner(paths: Paths) -> Aligner:
     """One a worker process."""
     if paths not in _ALIGNERS:
         _ALIGNERS[paths] = Aligner(*paths)
@@ -321,7 +402,7 @@ def _by_shard(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[list[np.
         yield now, held
 
 
-def _first_pass(it: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterator[pa.RecordBatch]:
+def _first_pass(it: Iterator[pa.RecordBatch], paths: Paths) -> Iterator[pa.RecordBatch]:
     """Distinct pairs of each document, added up as long as they fit."""
     def work(fresh: list[str]) -> Iterator[tuple[int, bytes, int]]:
         for chunk in aligner(paths).chunks(fresh, texts=False):
@@ -329,7 +410,7 @@ def _first_pass(it: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterato
             for k, start, end in zip(chunk.members, cut, cut[1:]):
                 yield k, data[start:end], end - start
 
-    known = Remembered(work)
+    known = Remembered(work, bytes.__add__)
     part = TaskContext.get().partitionId()
     held: list[np.ndarray] = []
     size = 0
@@ -346,26 +427,23 @@ def _first_pass(it: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterato
     def give() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts), pa.array(np.full(len(pairs), part, np.int32))],
                                           names=["pair", "n", "part"])
-    for batch in it:
-        for text in batch.column(0):
-            wanted = set(units(text.as_py()))
-            found = known.hold(wanted)
-            parts = [found[u] for u in wanted]
-            if not parts or None in parts:
-                continue
-            held.append(np.unique(np.frombuffer(b"".join(parts), np.int64)))
-            size += len(held[-1])
-            if size > PARTIAL_PAIRS:
-                add_up()
-                if len(pairs) > PARTIAL_PAIRS:
-                    yield give()
-                    pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for wanted, found in _held(known, (t.as_py() for batch in it for t in batch.column(0))):
+        parts = [found[u] for u in set(wanted)]
+        if not parts or None in parts:
+            continue
+        held.append(np.unique(np.frombuffer(b"".join(parts), np.int64)))
+        size += len(held[-1])
+        if size > PARTIAL_PAIRS:
+            add_up()
+            if len(pairs) > PARTIAL_PAIRS:
+                yield give()
+                pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if held or len(pairs):
         add_up()
         yield give()
 
 
-def build_index(docs: DataFrame, text_col: str = "text", paths: tuple[str, str] | None = None,
+def build_index(docs: DataFrame, text_col: str = "text", paths: Paths | None = None,
                 shard_pairs: int = SHARD_PAIRS) -> list[str]:
     """Files of the shards, in order: every linked pair of the corpus with its number of documents.
 
@@ -480,7 +558,7 @@ def shard_numbers(shards: int):
 _OUT = ("n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 
-def _second_pass(it: Iterator[pa.RecordBatch], paths: tuple[str, str], files: list[str]) -> Iterator[pa.RecordBatch]:
+def _second_pass(it: Iterator[pa.RecordBatch], paths: Paths, files: list[str]) -> Iterator[pa.RecordBatch]:
     counts = Counts(files, shard_numbers(len(files)))
 
     def work(fresh: list[str]) -> Iterator[tuple[int, tuple[bytes, str], int]]:
@@ -493,12 +571,10 @@ def _second_pass(it: Iterator[pa.RecordBatch], paths: tuple[str, str], files: li
             for place, (k, groups) in enumerate(zip(chunk.members, chunk.groups)):
                 yield k, (data[place * 56:place * 56 + 56], groups), 56 + len(groups)
 
-    known = Remembered(work)
+    known = Remembered(work, lambda a, b: (a[0] + b[0], f"{a[1]};{b[1]}"))
     for batch in it:
         rows = []
-        for text in batch.column(1):
-            wanted = units(text.as_py())
-            found = known.hold(set(wanted))
+        for wanted, found in _held(known, (t.as_py() for t in batch.column(1))):
             parts = [found[u] for u in wanted]
             if not parts or None in parts:
                 rows.append((0, 0, 0, 0, 0, 0, ""))
@@ -514,7 +590,7 @@ def _second_pass(it: Iterator[pa.RecordBatch], paths: tuple[str, str], files: li
 
 
 def align(docs: DataFrame, files: list[str], id_col: str = "doc_id", text_col: str = "text",
-          paths: tuple[str, str] | None = None) -> DataFrame:
+          paths: Paths | None = None) -> DataFrame:
     """One row a document: tokens, groups, links, links of highest count, counts added up, digest of the groups."""
     paths = paths or tokenizer_paths()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
