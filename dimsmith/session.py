@@ -62,13 +62,15 @@ def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only if unset."""
+    """Return the shared checkpoint folder; a local one only where it is unset and Spark runs in one machine."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="dimsmith-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
