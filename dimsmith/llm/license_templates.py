@@ -40,9 +40,12 @@ _BSD_TWO = (" <<var 1>> redistributions of source code must retain the above cop
             "the following disclaimer <<var 12>> <<var 1>> redistributions in binary form must reproduce the above copyright "
             "notice this list of conditions and the following disclaimer in the documentation and or other materials "
             "provided with the distribution")
-_BSD_NAMES = (" <<var 1>> <<opt>>neither the name<</opt>> <<opt>>neither the names<</opt>> <<opt>>the name<</opt>> "
-              "<<opt>>the names<</opt>> <<var 20>> may <<opt>>not<</opt>> be used to endorse or promote products derived "
-              "from this software without specific prior written permission")
+# The endorsement clause forbids in one of these wordings; each is a template of its own, so that none of the words
+# that carry the sense is optional.
+_BSD_PROMOTE = " used to endorse or promote products derived from this software without specific prior written permission"
+_BSD_NAMES = tuple(f" <<var 1>> {forbids}{_BSD_PROMOTE}" for forbids in (
+    "neither the name <<var 20>> may be", "neither the names <<var 20>> may be",
+    "the name <<var 20>> may not be", "the names <<var 20>> may not be"))
 _BSD_ADVERT = (" <<var 1>> all advertising materials mentioning features or use of this software must display the following "
                "acknowledgement <<var 30>>")
 _BSD_END = (" this software is provided <<var 10>> as is and any express or implied warranties including but not limited to "
@@ -80,8 +83,8 @@ TEMPLATES = (
      "this software"),
     ("bsd", "excerpt", _BSD_OPEN),
     ("bsd-2", "text", _BSD_OPEN + _BSD_TWO + _BSD_END),
-    ("bsd-3", "text", _BSD_OPEN + _BSD_TWO + _BSD_NAMES + _BSD_END),
-    ("bsd-4", "text", _BSD_OPEN + _BSD_TWO + _BSD_ADVERT + _BSD_NAMES + _BSD_END),
+    *[("bsd-3", "text", _BSD_OPEN + _BSD_TWO + names + _BSD_END) for names in _BSD_NAMES],
+    *[("bsd-4", "text", _BSD_OPEN + _BSD_TWO + _BSD_ADVERT + names + _BSD_END) for names in _BSD_NAMES],
     ("apache-2", "notice",
      "licensed under the apache license <<opt>>version<</opt>> 2 0 the license you may not use this file except in "
      "compliance with the license"),

@@ -91,6 +91,8 @@ SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PRO
 LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
 CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
 SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+# Fixed values above: wording of the public licences.
+MAY_NOT = NAMES.replace("Neither the name", "The name").replace(" nor the names of its contributors may be", " may not be")
 OWN_CLAUSE = "The Software shall be used for Good, not Evil.\n"
 CC = "Creative Commons Attribution"
 
@@ -101,6 +103,11 @@ CC = "Creative Commons Attribution"
     (ISC, {"isc"}, 1.0), (ISC.replace("SPECIAL", "OTHER"), {"isc"}, 0.6),
     (BSD_TWO + BSD_END, {"bsd", "bsd-2"}, 1.0), (BSD_TWO + NAMES + BSD_END, {"bsd", "bsd-3"}, 1.0),
     (BSD_TWO + ADVERT + NAMES + BSD_END, {"bsd", "bsd-4"}, 1.0), (BSD_TWO + OWN_CLAUSE + BSD_END, {"bsd"}, 0.6),
+    (BSD_TWO + MAY_NOT + BSD_END, {"bsd", "bsd-3"}, 1.0), (BSD_TWO + ADVERT + MAY_NOT + BSD_END, {"bsd", "bsd-4"}, 1.0),
+    (BSD_TWO + MAY_NOT.replace("may not", "may") + BSD_END, {"bsd"}, 0.6),                  # endorsement is allowed
+    (BSD_TWO + NAMES.replace("Neither the name", "The name") + BSD_END, {"bsd"}, 0.6),      # so it is here
+    (BSD_TWO + "may be used to endorse or promote products derived from this software without specific prior written "
+     "permission" + BSD_END, {"bsd"}, 0.6),
     (f"{CC}-ShareAlike 4.0 International License", {"cc-by-sa"}, 0.8),
     (f"{CC}-NonCommercial-ShareAlike 4.0 International License", {"cc-by-nc"}, 0.8),
     (f"{CC} 3.0 Unported License", {"cc-by"}, 0.8), (f"{CC}-NoDerivatives 4.0 International License", set(), 0.0),
