@@ -4,8 +4,8 @@ A text is cut into clauses and words. The lexicon transducer maps words to
 symbols: I (insult), H (threat), Y (target), N (negation), R (reported speech),
 o (other). Three more transducers rewrite the symbols of a clause in turn:
 
-1. negation: an N opens ``NEGATION_REACH`` words in which I becomes n;
-2. reported speech: an R opens the rest of its clause, in which I becomes r;
+1. negation: an N opens ``NEGATION_REACH`` words in which I becomes n and H becomes h;
+2. reported speech: an R opens the rest of its clause, in which I becomes r and H becomes q;
 3. target: Y within ``TARGET_REACH`` words of a plain I or H makes it T or K.
 
 Each final symbol has a weight; a clause's score is the sum of the weights it
@@ -58,7 +58,6 @@ NEGATION_REACH = 3
 TARGET_REACH = 4
 STEMS = (4, 5, 6, 7, 8)
 LEARN_ROWS = 20_000
-LEXICON_ROWS = 4000
 MIN_ROWS = 4
 SEED_ROWS = 4
 MIN_CONTEXTS = 3
@@ -67,9 +66,10 @@ MIN_LIFT = 2.5
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 _NEGATING, _REPORTING = frozenset(NEGATIONS), frozenset(REPORTS)
 # Final symbols that weigh, with prior weights: plain insult, at a target,
-# negated, reported, plain threat, threat at a target.
-EMITTED = "ITnrHK"
-PRIOR = np.array([3.0, 4.0, 0.5, 0.3, 0.5, 3.0])
+# negated, reported, plain threat, threat at a target, negated threat, reported threat.
+EMITTED = "ITnrHKhq"
+PRIOR = np.array([3.0, 4.0, 0.5, 0.3, 0.5, 3.0, 0.2, 0.3])
+_DENIED, _TOLD = {"I": "n", "H": "h"}, str.maketrans("IH", "rq")
 PRIOR_BIAS = -2.5
 
 
@@ -139,14 +139,14 @@ def negated(symbols: str) -> str:
     out, left = [], 0
     for s in symbols:
         left = NEGATION_REACH if s == "N" else left
-        out.append("n" if s == "I" and left > 0 else s)
+        out.append(_DENIED.get(s, s) if left > 0 else s)
         left -= s != "N"
     return "".join(out)
 
 
 def reported(symbols: str) -> str:
     head, mark, rest = symbols.partition("R")
-    return head + mark + rest.replace("I", "r") if mark else symbols
+    return head + mark + rest.translate(_TOLD) if mark else symbols
 
 
 def target(symbols: str) -> str:
@@ -198,7 +198,9 @@ def _learn_rows(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[DataFram
         part = one.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows // 2)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col("doc_id"), F.col("text")).where(F.col("text").isNotNull())
-    learned = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic")
+    # Of texts that share an id, the least in byte order is learned from.
+    learned = (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+               .select("doc_id", "text", "toxic"))
     return reliable(learned), clean / toxic
 
 
@@ -236,7 +238,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) -> Grammar
                       .groupBy("entry").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
                       .where((t >= MIN_ROWS) | F.col("entry").isin(INSULTS)))
     strong = (counts.where((t >= MIN_ROWS) & (lift >= MIN_LIFT)).select("entry", gain.alias("gain"), share.alias("share"))
-              .where(F.col("gain") >= least).orderBy(F.desc("gain"), "entry").limit(LEXICON_ROWS))
+              .where(F.col("gain") >= least))
+    # Entries of the sampled rows only, so the documented bound on rows bounds them too.
     found = {r["entry"]: (r["gain"], r["share"]) for r in strong.collect()}
 
     def contexts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,9 +11,35 @@ def test_transducers():
     assert op.negated("oNoIoooI") == "oNonoooI"
     assert op.negated("NNooooI") == "NNooooI"
     assert op.reported("IoRoIoI") == "IoRoror"
+    assert op.negated("HNooHH") == "HNoohH" and op.reported("HRoHI") == "HRoqr"
     assert op.target("YooI") == "YooT" and op.target("YoooooI") == "YoooooI" and op.target("HoY") == "KoY"
 
 
+def composed(symbols):
+    """The three transducers at once, position by position, from their definition."""
+    out = []
+    for k, s in enumerate(symbols):
+        told = "R" in symbols[:k]
+        back = symbols[max(0, k - op.NEGATION_REACH):k]
+        if s in "IH":
+            denied = "N" in back
+            if denied:
+                s = "n" if s == "I" else "h"
+            elif told:
+                s = "r" if s == "I" else "q"
+            elif "Y" in symbols[max(0, k - op.TARGET_REACH):k + op.TARGET_REACH + 1]:
+                s = "T" if s == "I" else "K"
+        out.append(s)
+    return "".join(out)
+
+
+def test_composition_equals_its_definition():
+    rnd = random.Random(2)
+    for _ in range(3000):
+        symbols = "".join(rnd.choice("IHYNRooo") for _ in range(rnd.randint(0, 14)))
+        assert op.target(op.reported(op.negated(symbols))) == composed(symbols), symbols
+
+
 def test_clauses_not_isolated_words():
     g = op.Grammar()
     plain, aimed, denied, quoted = (g.score(t) for t in (
@@ -21,6 +47,10 @@ def test_clauses_not_isolated_words():
     assert aimed > plain > denied and plain > quoted
     assert g.score("you are kind. this idiot") == g.score("this idiot") < aimed
     assert g.score("i will kill you") > g.score("how to kill a process") > g.score("hello")
+    for threat in ("kill", "hurt"):
+        said = [g.score(t) for t in (f"i will {threat} you", f"i will not {threat} you", f"he said he will {threat} you",
+                                     f"you don't {threat} them")]
+        assert said[0] > 0.5 > max(said[1:])
     assert g.score(None) == g.score("") == g.score("nothing here") < 0.5
 
 
