@@ -50,7 +50,7 @@ from .common import byte_letters, partitions, read_input, shared_folder, stored,
 # File names of the contract.
 FIRST_FILE, SECOND_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 RANKS_FILE = "byte_bpe_50k.tiktoken"  # the first vocabulary as ranks
-KEPT_BYTES = 128 << 20   # of the units a worker remembers, twice
+KEPT_BYTES = 192 << 20   # of the units a worker remembers, twice
 TOGETHER_CHARS = 1 << 18  # of texts whose new units are encoded together
 JOINED_CHARS = 1 << 14   # units encoded in one call
 BIG_GROUP = 1 << 16      # pair occurrences of a group that are counted, not spelled out
@@ -145,10 +145,10 @@ class Aligner:
         Bytes among them are marks that follow a letter."""
         run: list[int] = []
         size = 0
+        order = range(len(held))
         if self.plain:  # units of plain characters first, so that they are encoded together
-            order = sorted(range(len(held)), key=lambda k: isinstance(held[k], bytes) or _PLAIN.fullmatch(held[k]) is None)
-        else:
-            order = range(len(held))
+            plain = [isinstance(u, str) and _PLAIN.fullmatch(u) is not None for u in held]
+            order = [k for k in order if plain[k]] + [k for k in order if not plain[k]]
         for k in order:
             u = held[k]
             if isinstance(u, bytes):
@@ -561,7 +561,7 @@ _OUT = ("n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum
 def _second_pass(it: Iterator[pa.RecordBatch], paths: Paths, files: list[str]) -> Iterator[pa.RecordBatch]:
     counts = Counts(files, shard_numbers(len(files)))
 
-    def work(fresh: list[str]) -> Iterator[tuple[int, tuple[bytes, str], int]]:
+    def work(fresh: list[str]) -> Iterator[tuple[int, tuple[bytes, bytes], int]]:
         for chunk in aligner(paths).chunks(fresh):
             n, best = counts.of(chunk.pairs)
             at = chunk.cut[:-1]
@@ -569,9 +569,9 @@ def _second_pass(it: Iterator[pa.RecordBatch], paths: Paths, files: list[str]) -
             sums = [np.add.reduceat(x, at) for x in (chunk.times, chunk.times * best, chunk.times * n, (n == 0).astype(np.int64))]
             data = np.column_stack([chunk.tokens, *sums]).tobytes()
             for place, (k, groups) in enumerate(zip(chunk.members, chunk.groups)):
-                yield k, (data[place * 56:place * 56 + 56], groups), 56 + len(groups)
+                yield k, (data[place * 56:place * 56 + 56], groups.encode()), 56 + len(groups)
 
-    known = Remembered(work, lambda a, b: (a[0] + b[0], f"{a[1]};{b[1]}"))
+    known = Remembered(work, lambda a, b: (a[0] + b[0], a[1] + b";" + b[1]))
     for batch in it:
         rows = []
         for wanted, found in _held(known, (t.as_py() for t in batch.column(1))):
@@ -582,8 +582,7 @@ def _second_pass(it: Iterator[pa.RecordBatch], paths: Paths, files: list[str]) -
             *sums, unknown = np.frombuffer(b"".join([x for x, _ in parts]), np.int64).reshape(-1, 7).sum(axis=0).tolist()
             if unknown:
                 raise ValueError("a pair is not in the index")
-            groups = ";".join([x for _, x in parts])
-            rows.append((*sums, hashlib.sha256(groups.encode()).hexdigest()))
+            rows.append((*sums, hashlib.sha256(b";".join([x for _, x in parts])).hexdigest()))
         columns = [batch.column(0), *(pa.array(c) for c in zip(*rows))] if rows else [batch.column(0)] + [
             pa.array([], pa.int64())] * 6 + [pa.array([], pa.string())]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *(c.split()[0] for c in _OUT.split(", "))])
