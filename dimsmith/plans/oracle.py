@@ -1,8 +1,8 @@
 """DuckDB SQL of every catalogue query: the independent correctness oracle.
 
 The oracle reads the raw test tables (registered as views under their own
-names) and rebuilds the conformed model from the same declared source
-expressions; everything after that (feeds, hashes, windows, joins, merges,
+names) and rebuilds the conformed model by SQL of its own
+(``oracle_tables``); everything after that (feeds, hashes, windows, joins, merges,
 audits) is written here again in plain SQL, not derived from the Spark code.
 """
 
@@ -10,10 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from dimsmith.plans import oracle_tables
 from dimsmith.sources.model import (CUSTOMER_MERGE_HASHED, CUSTOMER_PAYLOAD, CUSTOMER_T2_TRACKED,
-                                    CUSTOMER_T2N1_TYPE1, CUSTOMER_T2N1_TYPE2, EVENTS_FEED,
-                                    SOURCE_SYSTEM_CUSTOMER, STAR_SPECS, TableSpec, duck_select,
-                                    duck_type)
+                                    CUSTOMER_T2N1_TYPE1, CUSTOMER_T2N1_TYPE2, STAR_SPECS, TableSpec, duck_type)
 
 HIGH = "TIMESTAMP '9999-12-31 00:00:00'"
 EPOCH = "TIMESTAMP '2024-01-01 00:00:00'"
@@ -33,11 +32,11 @@ def ts_text(c: str) -> str:
 
 def star_ctes(names: Sequence[str] | None = None) -> list[str]:
     names = names or list(STAR_SPECS)
-    return [f"m_{n} AS ({duck_select(STAR_SPECS[n])})" for n in names]
+    return [f"m_{n} AS ({oracle_tables.TABLES[n]})" for n in names]
 
 
 def ssc_cte() -> str:
-    return f"ssc AS ({duck_select(SOURCE_SYSTEM_CUSTOMER)})"
+    return f"ssc AS ({oracle_tables.SOURCE_CUSTOMER})"
 
 
 def feed_ctes(batches: int = 4) -> list[str]:
@@ -56,7 +55,7 @@ def feed_ctes(batches: int = 4) -> list[str]:
 
 
 def events_ctes() -> list[str]:
-    return [f"feed AS ({duck_select(EVENTS_FEED)})"]
+    return [f"feed AS ({oracle_tables.EVENTS})"]
 
 
 def with_(ctes: Sequence[str], body: str) -> str:
