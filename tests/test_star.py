@@ -5,6 +5,7 @@ from dimsmith.operators import loyalty, star
 from dimsmith.plans import catalog
 from dimsmith.plans.inspect import logical_joins, optimized_plan
 from dimsmith.sources import testdata
+from dimsmith.sources.model import conform
 
 from conftest import SF01
 
@@ -194,3 +195,34 @@ def test_eager_report_repeats_what_false_keys_repeat(spark, tables):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     with pytest.raises(ValueError):
         star.eager_region_report(tables, trust="none")
+
+
+def test_whole_view_conforms_its_lines_after_the_joins(spark):
+    """Below the joins lines have raw columns only, and part is met before the orders."""
+    for query in (catalog.main_reporting, catalog.main_reporting_trusted, catalog.main_reporting_verified):
+        plan = optimized_plan(query(spark, SF01))
+        below = plan[plan.index("Join LeftOuter"):]
+        assert "l_orderkey" in below and "l_shipdate" in below
+        assert not any(c in below for c in ("ship_instructions", "ship_mode", "receipt_date", "lineitem_comment"))
+        joins = [x for x in plan.splitlines() if "Join LeftOuter" in x and "l_" in x]
+        assert [k for x in joins for k in ("l_suppkey", "l_orderkey", "l_partkey") if k in x] == ["l_suppkey", "l_orderkey", "l_partkey"]
+
+
+@pytest.mark.parametrize("trust", star.TRUST_MODES)
+@pytest.mark.parametrize("small", [True, False])
+def test_lines_as_stored_give_the_rows_of_the_view(spark, tables, monkeypatch, trust, small):
+    """Missing and unknown keys, repeated dimension keys; supplier broadcast or not."""
+    if not small:
+        monkeypatch.setattr(star, "broadcast_if_small", lambda df: df)
+    spec, raw = catalog._lines(spark, SF01)
+    raw = raw.limit(300)
+    odd = raw.limit(6).selectExpr("if(l_linenumber % 2 = 0, null, -1L) as l_orderkey", "if(l_linenumber % 2 = 0, -1L, null) as l_partkey",
+                                  "cast(null as bigint) as l_suppkey", *raw.columns[3:])
+    raw = raw.unionByName(odd).unionByName(raw.limit(5)).localCheckpoint()
+    some = dict(tables, lineitem=conform(raw, spec))
+    for name in ("part", "customer", "supplier", "location"):
+        some[name] = tables[name].unionByName(tables[name].limit(20))
+    want = star.main_reporting(some, trust=trust)
+    got = star.main_reporting(some, trust=trust, lines=(spec, raw))
+    assert got.schema == want.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
