@@ -9,10 +9,9 @@ rows that it may refer to:
   rows of a key without a parent violate. A parent that arrives later heals
   them, whichever batch it comes in.
 
-Counts of batches add up, so a batch is summarised by itself (one aggregate with
-map-side partial counts over all its rules) and added to the ledger's rows of
-its keys: a ``BucketedTable``, of which only the touched buckets are read and
-written. The change of each rule's violations is the difference over those keys.
+Counts of batches add up, so a batch is added to the ledger's rows of its keys in
+one aggregate with map-side partial counts over all its rules: a
+``BucketedTable``, of which only the touched buckets are read and written. The change of each rule's violations is the difference over those keys.
 Column rules (NOT NULL, length, precision, scale) are plain counts and are added
 as they are. The report sums the changes of all batches: no table is read again.
 """
@@ -23,12 +22,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimsmith.operators.constraints import Tables, audit_columns
 from dimsmith.sources.bucketed import BucketedTable
 from dimsmith.sources.model import TableSpec
 
 LEDGER, CHANGES = "ledger", "changes"
+# Types whose text has nothing that JSON escapes.
+PLAIN = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+# Rows of a table by which a batch is tried for touching every bucket.
+FIRST_ROWS = 1000
 PRIMARY, UNIQUE, FOREIGN = "primary_key", "unique", "foreign_key"
 
 
@@ -60,28 +64,39 @@ def rules_of(specs: dict[str, TableSpec]) -> list[Rule]:
     return [Rule(n, *r) for n, r in enumerate(found)]
 
 
-def _key(columns) -> Column:
-    """The key as text, the same for owner and parent; NULL if a column is."""
-    whole = F.to_json(F.array(*[F.col(c).cast("string") for c in columns]))
+def _key(df: DataFrame, columns) -> Column:
+    """The key as text, the same for owner and parent; NULL if a column is.
+
+    A JSON list of the columns as strings. Values whose text needs no escapes
+    (all but strings and binaries) are put between the quotes as they are."""
+    plain = all(isinstance(df.schema[c].dataType, PLAIN) for c in columns)
+    texts = [F.col(c).cast("string") for c in columns]
+    if plain:
+        return F.concat(F.lit('["'), *[x for t in texts for x in (t, F.lit('","'))][:-1], F.lit('"]'))
+    whole = F.to_json(F.array(*texts))
     return F.when(F.greatest(*[F.col(c).isNull().cast("int") for c in columns], F.lit(0)) == 0, whole)
 
 
-def key_counts(tables: Tables, rules: list[Rule]) -> DataFrame:
-    """(rule, key, own, other): the summary of a batch. A table takes one pass for all its rules."""
+def key_rows(tables: Tables, rules: list[Rule]) -> DataFrame:
+    """(rule, key, own, other): a row for each key that a row has. A table takes one pass for all its rules."""
     out = None
     for name, (_, df) in tables.items():
         roles = [(r.number, r.kind, r.columns, 1, 0) for r in rules if r.table == name and (r.kind != FOREIGN or r.parent in tables)]
         roles += [(r.number, r.kind, r.parent_columns, 0, 1) for r in rules if r.kind == FOREIGN and r.parent == name]
         if not roles:
             continue
-        held = F.array(*[F.struct(F.lit(n).alias("rule"), _key(cols).alias("key"), F.lit(own).cast("bigint").alias("own"),
+        held = F.array(*[F.struct(F.lit(n).alias("rule"), _key(df, cols).alias("key"), F.lit(own).cast("bigint").alias("own"),
                                   F.lit(other).cast("bigint").alias("other"), F.lit(kind == PRIMARY).alias("nulls"))
                          for n, kind, cols, own, other in roles])
         rows = df.select(F.explode(held).alias("r")).select("r.*").where("key IS NOT NULL OR nulls").drop("nulls")
-        summary = rows.groupBy("rule", "key").agg(F.sum("own").alias("own"), F.sum("other").alias("other"))
-        out = summary if out is None else out.unionByName(summary)
-    # A rule's key may come from two tables of one batch (child and parent).
-    return out.groupBy("rule", "key").agg(F.sum("own").alias("own"), F.sum("other").alias("other"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _touched(table: BucketedTable, batch: Tables, rules: list[Rule]) -> list[int]:
+    """Buckets of the batch's keys. A few rows of each table that touch all buckets already settle it."""
+    few = table.buckets_of(key_rows({n: (spec, df.limit(FIRST_ROWS)) for n, (spec, df) in batch.items()}, rules))
+    return few if len(few) == table.pointer.buckets else table.buckets_of(key_rows(batch, rules))
 
 
 def _violations(rules: list[Rule], own: Column, other: Column) -> Column:
@@ -110,10 +125,10 @@ def audit_batch(spark: SparkSession, base: str, batch: Tables, sources: Tables,
         return
     rules = rules_of({n: spec for n, (spec, _) in batch.items()})
     commit = table.begin()
-    new = key_counts(batch, rules).checkpoint(eager=True)  # distinct keys of the batch
-    touched = table.buckets_of(new)
+    touched = _touched(table, batch, rules)
     zero = F.lit(0).cast("bigint")
-    rows = new.select("rule", "key", zero.alias("own"), zero.alias("other"), F.col("own").alias("d_own"), F.col("other").alias("d_other"))
+    # The batch's rows and the ledger's meet in one aggregate, with partial counts before its shuffle.
+    rows = key_rows(batch, rules).select("rule", "key", zero.alias("own"), zero.alias("other"), F.col("own").alias("d_own"), F.col("other").alias("d_other"))
     held = table.read(LEDGER, touched)
     if held is not None:
         rows = rows.unionByName(held.select("rule", "key", "own", "other", zero.alias("d_own"), zero.alias("d_other")))

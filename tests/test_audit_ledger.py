@@ -1,4 +1,8 @@
+from functools import reduce
+
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from dimsmith.operators import audit_ledger as op
 from dimsmith.session import scratch_path
@@ -63,3 +67,36 @@ def test_writer_that_dies_leaves_the_report(spark, monkeypatch):
         assert _found(spark, base) == before
     op.audit_batch(spark, base, *_batch(spark, [(1, "b")]), 1)
     assert _found(spark, base)["parent", "primary_key", "id"] == 2
+
+
+def test_a_batch_is_not_stored_before_it_is_added(spark, monkeypatch):
+    """Its rows go straight into the aggregate with the ledger's, whichever buckets they touch."""
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda *_, **__: (_ for _ in ()).throw(AssertionError("stored")))
+    base = scratch_path(spark, "test-ledger-direct")
+    op.audit_batch(spark, base, *_batch(spark, [(k, str(k)) for k in range(50)], [(1, 70)]), 0, buckets=16)
+    op.audit_batch(spark, base, *_batch(spark, [(70, "7")], [(1, 70)]), 1)
+    found = _found(spark, base)
+    assert found["child", "foreign_key", "id->parent"] == 0 and found["child", "primary_key", "k,id"] == 2
+    assert found["parent", "unique", "code"] == 2
+
+
+def test_buckets_that_the_first_rows_miss_are_found(spark, monkeypatch):
+    monkeypatch.setattr(op, "FIRST_ROWS", 1)
+    base = scratch_path(spark, "test-ledger-first-rows")
+    rows = [(k, str(k)) for k in range(100)]
+    op.audit_batch(spark, base, *_batch(spark, rows), 0, buckets=16)
+    op.audit_batch(spark, base, *_batch(spark, rows), 1)
+    assert _found(spark, base)["parent", "primary_key", "id"] == 200
+    assert BucketedTable(spark, base, ["rule", "key"]).read("ledger").count() == 300   # key, code, parent of child
+
+
+def test_keys_of_every_type_are_a_json_list_of_texts(spark):
+    """Plain or escaped, the text is that of ledgers written before."""
+    df = spark.sql("""SELECT * FROM VALUES (1L, 2S, 1.50BD, DATE'2024-01-02', TIMESTAMP_NTZ'2024-01-02 03:04:05.1', true, 'a"b\\\\c', 1.5D),
+                      (NULL, 2S, NULL, NULL, NULL, NULL, NULL, NULL), (-7L, 0S, -0.01BD, DATE'0001-01-01', TIMESTAMP_NTZ'1999-12-31 00:00:00', false, '","', double('nan'))
+                      AS t(a, b, c, d, e, f, g, h)""")
+    for columns in (("a",), ("a", "b"), ("c", "d", "e", "f"), ("a", "g"), ("g",), ("h", "a")):
+        whole = F.to_json(F.array(*[F.col(c).cast("string") for c in columns]))
+        want = F.when(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in columns]), whole)
+        got = df.select(op._key(df, columns).alias("got"), want.alias("want")).collect()
+        assert [r.got for r in got] == [r.want for r in got] and got[0].got and got[1].got is None
