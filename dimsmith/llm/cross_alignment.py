@@ -68,7 +68,7 @@ Paths = tuple[str, str, str | None]
 # The pattern before the merges of the rank file; a fixed value of byte-level vocabularies.
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Characters whose classes are the same in every edition of Unicode.
-_PLAIN = re.compile(r"[ -~À-ÖØ-öø-ÿ]*")
+_PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
 # Marks after a letter: both tokenizers cut between them.
 _MARKED = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)", re.S)
 _CROSSING = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ][.,;:!?]")

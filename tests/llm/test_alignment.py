@@ -118,6 +118,18 @@ def test_units_are_those_of_the_whole_text(plain, monkeypatch, limit, big):
             assert sum(n for _, n in of) == sum(len(a) * len(b) for a, b in plain.groups(text))
 
 
+def test_line_breaks_go_through_the_rank_file(plain):
+    """Units with line breaks and tabs take the fast first tokenizer, and are cut as by the plain one."""
+    known = op.aligner(op.tokenizer_paths())
+    texts = ["end.\nNext", "a\n\nb", "x\n\n\n1 y", "été,\r\nÜber", "tab\tbed", "a\t\n b", "1\n2", "it's\n'tis", "a \n b\n", "\n\n c"]
+    for u in {u for t in texts for u in op.units(t)}:
+        assert op._PLAIN.fullmatch(u)
+        assert known.plain.encode_ordinary(" " + u) == plain.a.encode(" " + u, add_special_tokens=False).ids
+    for t in texts:
+        got = [g for u in op.units(t) for c in known.chunks([u]) for g in c.groups]
+        assert ";".join(got) == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in plain.groups(t))
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
 def test_hash_is_minimal_and_perfect(n):
     rng = np.random.default_rng(n)
