@@ -34,9 +34,10 @@ import os
 import posixpath
 import re
 import uuid
-from collections import OrderedDict
-from collections.abc import Iterable, Iterator
+from collections import OrderedDict, defaultdict
+from collections.abc import Collection, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import count, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,7 @@ from .common import byte_letters, partitions, read_input, shared_folder, stored,
 FIRST_FILE, SECOND_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 RANKS_FILE = "byte_bpe_50k.tiktoken"  # the first vocabulary as ranks
 KEPT_BYTES = 192 << 20   # of the units a worker remembers, twice
-TOGETHER_CHARS = 1 << 18  # of texts whose new units are encoded together
+TOGETHER_CHARS = 1 << 22  # of texts whose units are looked up, and the new ones encoded, together
 JOINED_CHARS = 1 << 14   # units encoded in one call
 BIG_GROUP = 1 << 16      # pair occurrences of a group that are counted, not spelled out
 SHARD_PAIRS = 1 << 19
@@ -60,8 +61,7 @@ FAN_IN = 8
 BLOCK = 1 << 15
 PARTIAL_PAIRS = 1 << 20
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_WIDE = re.compile(r"\s | \s")
-_CLEAN = re.compile(r"\S(?:.*\S)?", re.S)
+_WIDE = re.compile(r" (?:\s|(?<=\s ))")  # beginning with its space, so that the search goes from space to space
 
 
 Paths = tuple[str, str, str | None]
@@ -70,8 +70,9 @@ _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 # Characters whose classes are the same in every edition of Unicode.
 _PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
 # Marks after a letter: both tokenizers cut between them.
-_MARKED = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)", re.S)
-_CROSSING = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ][.,;:!?]")
+_MARKS = ".,;:!?"
+_LETTER = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]")
+_CROSSING = re.compile(f"{_LETTER.pattern}[{_MARKS}]")
 
 
 def tokenizer_paths() -> Paths:
@@ -89,6 +90,11 @@ def units(text: str) -> list[str]:
     return text.split(" ")  # no space is next to white space, so every one is a cut
 
 
+def _clean(unit: str) -> bool:
+    """Whether a unit neither begins nor ends with white space, nor has the second tokenizer's space mark."""
+    return unit != "" and unit.strip() == unit and MARK not in unit
+
+
 @dataclass
 class Chunk:
     """The alignment of units that were encoded together.
@@ -137,31 +143,40 @@ class Aligner:
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.second.is_byte(k) else
                                 b"" if self.second.is_control(k) else piece.replace(MARK, " ").encode())
         self.a_len, self.b_len = (np.array([*map(len, x)], np.int64) for x in (self.a_bytes, self.b_bytes))
-        self.names = [str(k) for k in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        # Each id as text before "," and "|" (first ids), "," and ";" (second ids).
+        self.names = [f"{k}{end}" for n, ends in ((len(self.a_bytes), ",|"), (len(self.b_bytes), ",;"))
+                      for end in ends for k in range(n)]
+        self.name_len = np.array([*map(len, self.names)], np.int64)
 
     def chunks(self, held: list[str | bytes], texts: bool = True) -> Iterator[Chunk]:
         """The units' alignments; units whose bytes a tokenizer doesn't give back are left out.
 
         Bytes among them are marks that follow a letter."""
-        run: list[int] = []
-        size = 0
-        order = range(len(held))
-        if self.plain:  # units of plain characters first, so that they are encoded together
-            plain = [isinstance(u, str) and _PLAIN.fullmatch(u) is not None for u in held]
-            order = [k for k in order if plain[k]] + [k for k in order if not plain[k]]
-        for k in order:
-            u = held[k]
+        plain, other = [], []
+        for k, u in enumerate(held):
             if isinstance(u, bytes):
                 yield self._marks(k, u.decode())
-            elif _CLEAN.fullmatch(u) and MARK not in u:
+            else:
+                (plain if u.isascii() or _PLAIN.fullmatch(u) else other).append(k)
+        for which in (plain, other):  # units of plain characters are encoded together
+            run, size = [], 0
+            for k in which:
                 run.append(k)
-                size += len(u)
+                size += len(held[k])
                 if size > JOINED_CHARS:
-                    yield from self._encoded(held, run, texts)
+                    yield from self._run(held, run, texts)
                     run, size = [], 0
-            else:  # next to another unit its ends might be cut in another way
+            yield from self._run(held, run, texts)
+
+    def _run(self, held: list[str], run: list[int], texts: bool) -> Iterator[Chunk]:
+        text = " ".join([held[k] for k in run])
+        if not text[:1].isspace() and not text[-1:].isspace() and MARK not in text and not _WIDE.search(text):
+            yield from self._encoded(held, run, texts)  # no unit begins or ends with white space
+            return
+        yield from self._encoded(held, [k for k in run if _clean(held[k])], texts)
+        for k in run:
+            if not _clean(held[k]):  # next to another unit its ends might be cut in another way
                 yield from self._encoded(held, [k], texts)
-        yield from self._encoded(held, run, texts)
 
     def _marks(self, k: int, marks: str) -> Chunk:
         """Marks after a letter: what is left of a word without its only letter."""
@@ -184,7 +199,9 @@ class Aligner:
         b = self.second.encode(text, num_threads=1)  # it puts the first space itself
         data = (" " + text).encode("utf-8", "surrogatepass")
         if b"".join(map(self.a_bytes.__getitem__, a)) == data == b"".join(map(self.b_bytes.__getitem__, b)):
-            ends = np.cumsum([len(u.encode("utf-8", "surrogatepass")) + 1 for u in units_])
+            ends = np.append(np.flatnonzero(np.frombuffer(data, np.uint8) == 32)[1:], len(data))
+            if len(ends) != len(run):  # spaces within units
+                ends = np.cumsum([len(u.encode("utf-8", "surrogatepass")) + 1 for u in units_])
             yield self._grouped(run, a, b, ends, texts)
         elif len(run) > 1:
             for k in run:
@@ -193,39 +210,58 @@ class Aligner:
     def _grouped(self, run: list[int], a: list[int], b: list[int], unit_ends: np.ndarray, texts: bool) -> Chunk:
         a_ids, b_ids = np.array(a, np.int64), np.array(b, np.int64)
         a_ends, b_ends = np.cumsum(self.a_len[a_ids]), np.cumsum(self.b_len[b_ids])
-        common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+        both = np.zeros(a_ends[-1] + 1, np.int8)
+        both[a_ends] = 1
+        both[b_ends] += 1
+        common = np.flatnonzero(both == 2)
+        before = np.cumsum(both == 2)
+        before[common] -= 1
+        a_group, b_group, unit = before[a_ends], before[b_ends], np.searchsorted(unit_ends, common)
         n_a, n_b = (np.bincount(g, minlength=len(common)) for g in (a_group, b_group))
         a_from, b_from = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
-        unit = np.searchsorted(unit_ends, common)
         big = n_a * n_b > BIG_GROUP
         spread = np.where(big, 0, n_b)[a_group]
         place = np.arange(spread.sum()) - np.repeat(np.cumsum(spread) - spread, spread)
-        pairs = [np.repeat(a_ids << 32, spread) | b_ids[np.repeat(b_from[a_group], spread) + place]]
-        of, times = [np.repeat(unit[a_group], spread)], [np.ones(len(pairs[0]), np.int64)]
-        for g in np.flatnonzero(big):
-            x, xn = np.unique(a_ids[a_from[g]:a_from[g] + n_a[g]], return_counts=True)
-            y, yn = np.unique(b_ids[b_from[g]:b_from[g] + n_b[g]], return_counts=True)
-            pairs.append(((x << 32)[:, None] | y).ravel())
-            times.append((xn[:, None] * yn).ravel())
-            of.append(np.full(len(pairs[-1]), unit[g]))
-        pair, owner, time = (np.concatenate(x) for x in (pairs, of, times))
-        order = np.lexsort((pair, owner))
-        pair, owner, time = pair[order], owner[order], time[order]
-        new = np.ones(len(pair), bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1])
-        at = np.flatnonzero(new)
-        pair, owner, time = pair[at], owner[at], np.add.reduceat(time, at)
+        # A pair and its unit as one number: the vocabularies' sizes multiplied are below 2 ** 32.
+        key = np.repeat((unit[a_group] * len(self.a_len) + a_ids) * len(self.b_len), spread) + b_ids[
+            np.repeat(b_from[a_group], spread) + place]
+        key, time = _counted(key)
+        if big.any():
+            keys, times = [key], [time]
+            for g in np.flatnonzero(big):
+                x, xn = np.unique(a_ids[a_from[g]:a_from[g] + n_a[g]], return_counts=True)
+                y, yn = np.unique(b_ids[b_from[g]:b_from[g] + n_b[g]], return_counts=True)
+                keys.append((((unit[g] * len(self.a_len) + x) * len(self.b_len))[:, None] + y).ravel())
+                times.append((xn[:, None] * yn).ravel())
+            key, at = np.unique(np.concatenate(keys), return_inverse=True)
+            time = np.zeros(len(key), np.int64)
+            np.add.at(time, at, np.concatenate(times))
+        first, second = np.divmod(key, len(self.b_len))
+        owner, first = np.divmod(first, len(self.a_len))
         cut = np.searchsorted(owner, np.arange(len(unit_ends) + 1))
         tokens = np.stack([np.bincount(unit, n, len(run)).astype(np.int64) for n in (n_a, n_b, np.ones(len(unit)))], axis=1)
-        names, groups = self.names, []
-        if texts:
-            lists = [[] for _ in run]
-            for u, p, n, q, m in zip(unit.tolist(), a_from.tolist(), n_a.tolist(), b_from.tolist(), n_b.tolist()):
-                lists[u].append((names[a[p]] if n == 1 else ",".join([names[x] for x in a[p:p + n]])) + "|" +
-                                (names[b[q]] if m == 1 else ",".join([names[x] for x in b[q:q + m]])))
-            groups = [";".join(x) for x in lists]
-        return Chunk(run, tokens, pair, time, cut, groups)
+        groups = self._texts(a_ids, b_ids, a_group, b_group, n_a, a_from, b_from, unit, len(run)) if texts else []
+        return Chunk(run, tokens, first << 32 | second, time, cut, groups)
+
+    def _texts(self, a_ids, b_ids, a_group, b_group, n_a, a_from, b_from, unit, n: int) -> list[str]:
+        """The groups of each unit, ``a1,a2|b1;a3|b2,b3``: first ids before second ids, group by group."""
+        a_last, b_last = (np.append(g[1:] != g[:-1], True) for g in (a_group, b_group))
+        a_at = np.arange(len(a_ids)) + b_from[a_group]
+        b_at = np.arange(len(b_ids)) + (a_from + n_a)[b_group]
+        names = np.empty(len(a_ids) + len(b_ids), np.int64)
+        names[a_at] = a_ids + len(self.a_len) * a_last
+        names[b_at] = b_ids + 2 * len(self.a_len) + len(self.b_len) * b_last
+        whole = "".join(map(self.names.__getitem__, names.tolist()))
+        ends = np.cumsum(self.name_len[names])[b_at[b_last]]  # of the groups
+        ends = ends[np.searchsorted(unit, np.arange(n), side="right") - 1].tolist()
+        return [whole[start:end - 1] for start, end in zip([0, *ends], ends)]
+
+
+def _counted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers in order, and how often each occurs."""
+    x = np.sort(x)
+    at = np.flatnonzero(np.append(True, x[1:] != x[:-1])[:len(x)])
+    return x[at], np.diff(at, append=len(x))
 
 
 class Remembered:
@@ -239,57 +275,56 @@ class Remembered:
         self.kept: dict[str, object] = {}
         self.older: dict[str, object] = {}
 
-    def hold(self, wanted: set[str]) -> dict[str, object]:
+    def hold(self, wanted: Collection[str]) -> dict[str, object]:
         """Results that have all ``wanted`` units; None of a unit without alignment. Valid until the next call."""
-        new = wanted.difference(self.kept)
+        new = set(filterfalse(self.kept.__contains__, wanted))
         if new and self.size > self.limit:
             self.older, self.kept, self.size = self.kept, {}, 0
-            new = wanted
+            new = set(wanted)
         if new:
             kept, older = self.kept, self.older
-            parts, fresh = [], set()
-            for u in new:
-                if u in older:
-                    kept[u] = older[u]
-                    continue
-                cut = _MARKED.fullmatch(u) if u[-1:] in ".,;:!?" and _CLEAN.fullmatch(u) and MARK not in u else None
-                if cut:
-                    parts.append((u, cut[1], cut[2].encode()))
-                    fresh.update(parts[-1][1:])
-                else:
-                    fresh.add(u)
+            if older:
+                kept.update({u: older[u] for u in new if u in older})
+            marked = [u for u in new if u[-1:] in _MARKS and u not in kept]
+            parts = []
+            for u in marked:
+                word = u.rstrip(_MARKS)
+                if _LETTER.fullmatch(word[-1:]) and _clean(u):
+                    parts.append((u, word, u[len(word):].encode()))
+            fresh = new.difference([u for u, _, _ in parts]).union(*[x[1:] for x in parts])
             todo = []
-            for u in fresh.difference(kept):
+            for u in filterfalse(kept.__contains__, fresh):
                 if u in older:
                     kept[u] = older[u]
                 else:
                     todo.append(u)
-            kept.update(dict.fromkeys(todo))
+            found = [None] * len(todo)
             for k, value, size in self.work(todo):
-                kept[todo[k]] = value
+                found[k] = value
                 self.size += size
+            kept.update(zip(todo, found))
             for u, word, marks in parts:
                 kept[u] = None if kept[word] is None else self.add(kept[word], kept[marks])
             self.size += sum(map(len, new)) + 250 * len(new)
         return self.kept
 
 
-def _held(known: Remembered, texts: Iterable[str | None]) -> Iterator[tuple[list[str], dict]]:
-    """(units, results that have them) of each text; those of several texts are worked out together."""
-    held, size = [], 0
+def _held(known: Remembered, texts: Iterable[str | None]) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """(results of the distinct units of several texts, the units of each text as places in that list)."""
+    number, held, size = defaultdict(count().__next__), [], 0
     for text in texts:
-        held.append(units(text))
+        found = units(text)
+        held.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
         size += len(text or "")
         if size > TOGETHER_CHARS:
-            yield from _all_of(known, held)
-            held, size = [], 0
-    yield from _all_of(known, held)
+            yield _results(known, number), held
+            number, held, size = defaultdict(count().__next__), [], 0
+    if held:
+        yield _results(known, number), held
 
 
-def _all_of(known: Remembered, held: list[list[str]]) -> Iterator[tuple[list[str], dict]]:
-    found = known.hold(set().union(*held))
-    for wanted in held:
-        yield wanted, found
+def _results(known: Remembered, wanted: dict[str, int]) -> list:
+    return [*map(known.hold(wanted).__getitem__, wanted)]
 
 
 _ALIGNERS: dict[Paths, Aligner] = {}
@@ -402,6 +437,23 @@ def _by_shard(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[list[np.
         yield now, held
 
 
+def _documents_of(found: list[bytes | None], texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of several texts, and how many of the texts have each."""
+    there = np.array([x is not None for x in found], bool)
+    pairs, pair = np.unique(np.frombuffer(b"".join(filter(None, found)), np.int64), return_inverse=True)
+    n = np.array([len(x or b"") >> 3 for x in found], np.int64)
+    start = np.cumsum(n) - n
+    counts = np.zeros(len(pairs), np.int64)
+    for wanted in texts:
+        if not there[wanted].all():
+            continue
+        of = np.unique(wanted)
+        many = n[of]
+        counts[pair[np.repeat(start[of] - np.cumsum(many) + many, many) + np.arange(many.sum())]] += 1  # once a pair
+    had = counts > 0
+    return pairs[had], counts[had]
+
+
 def _first_pass(it: Iterator[pa.RecordBatch], paths: Paths) -> Iterator[pa.RecordBatch]:
     """Distinct pairs of each document, added up as long as they fit."""
     def work(fresh: list[str]) -> Iterator[tuple[int, bytes, int]]:
@@ -412,27 +464,24 @@ def _first_pass(it: Iterator[pa.RecordBatch], paths: Paths) -> Iterator[pa.Recor
 
     known = Remembered(work, bytes.__add__)
     part = TaskContext.get().partitionId()
-    held: list[np.ndarray] = []
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
     pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add_up() -> None:
         nonlocal held, size, pairs, counts
-        every = np.concatenate([pairs, *held])
+        every, weights = (np.concatenate(x) for x in zip((pairs, counts), *held))
         pairs, at = np.unique(every, return_inverse=True)
-        weight = np.concatenate([counts, np.ones(len(every) - len(counts), np.int64)])
-        counts = np.bincount(at, weight, len(pairs)).astype(np.int64)
+        counts = np.zeros(len(pairs), np.int64)
+        np.add.at(counts, at, weights)
         held, size = [], 0
 
     def give() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts), pa.array(np.full(len(pairs), part, np.int32))],
                                           names=["pair", "n", "part"])
-    for wanted, found in _held(known, (t.as_py() for batch in it for t in batch.column(0))):
-        parts = [found[u] for u in set(wanted)]
-        if not parts or None in parts:
-            continue
-        held.append(np.unique(np.frombuffer(b"".join(parts), np.int64)))
-        size += len(held[-1])
+    for found, texts in _held(known, (t.as_py() for batch in it for t in batch.column(0))):
+        held.append(_documents_of(found, texts))
+        size += len(held[-1][0])
         if size > PARTIAL_PAIRS:
             add_up()
             if len(pairs) > PARTIAL_PAIRS:
@@ -561,7 +610,7 @@ _OUT = ("n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum
 def _second_pass(it: Iterator[pa.RecordBatch], paths: Paths, files: list[str]) -> Iterator[pa.RecordBatch]:
     counts = Counts(files, shard_numbers(len(files)))
 
-    def work(fresh: list[str]) -> Iterator[tuple[int, tuple[bytes, bytes], int]]:
+    def work(fresh: list[str]) -> Iterator[tuple[int, tuple[bytes, str], int]]:
         for chunk in aligner(paths).chunks(fresh):
             n, best = counts.of(chunk.pairs)
             at = chunk.cut[:-1]
@@ -569,20 +618,26 @@ def _second_pass(it: Iterator[pa.RecordBatch], paths: Paths, files: list[str]) -
             sums = [np.add.reduceat(x, at) for x in (chunk.times, chunk.times * best, chunk.times * n, (n == 0).astype(np.int64))]
             data = np.column_stack([chunk.tokens, *sums]).tobytes()
             for place, (k, groups) in enumerate(zip(chunk.members, chunk.groups)):
-                yield k, (data[place * 56:place * 56 + 56], groups.encode()), 56 + len(groups)
+                yield k, (data[place * 56:place * 56 + 56], groups), 56 + len(groups)
 
-    known = Remembered(work, lambda a, b: (a[0] + b[0], a[1] + b";" + b[1]))
+    known = Remembered(work, lambda a, b: (a[0] + b[0], f"{a[1]};{b[1]}"))
     for batch in it:
         rows = []
-        for wanted, found in _held(known, (t.as_py() for t in batch.column(1))):
-            parts = [found[u] for u in wanted]
-            if not parts or None in parts:
-                rows.append((0, 0, 0, 0, 0, 0, ""))
-                continue
-            *sums, unknown = np.frombuffer(b"".join([x for x, _ in parts]), np.int64).reshape(-1, 7).sum(axis=0).tolist()
-            if unknown:
-                raise ValueError("a pair is not in the index")
-            rows.append((*sums, hashlib.sha256(b";".join([x for _, x in parts])).hexdigest()))
+        for found, texts in _held(known, (t.as_py() for t in batch.column(1))):
+            there = np.array([x is not None for x in found], bool)
+            data, groups = zip(*[x or (bytes(56), "") for x in found]) if found else ((), ())
+            sums = np.frombuffer(b"".join(data), np.int64).reshape(-1, 7)  # a unit that was put together has two rows
+            if len(sums) > len(data):
+                sums = np.add.reduceat(sums, np.cumsum([0, *map(len, data[:-1])]) // 56)
+            for wanted in texts:
+                if not len(wanted) or not there[wanted].all():
+                    rows.append((0, 0, 0, 0, 0, 0, ""))
+                    continue
+                *totals, unknown = sums[wanted].sum(axis=0).tolist()
+                if unknown:
+                    raise ValueError("a pair is not in the index")
+                text = ";".join(map(groups.__getitem__, wanted.tolist()))
+                rows.append((*totals, hashlib.sha256(text.encode()).hexdigest()))
         columns = [batch.column(0), *(pa.array(c) for c in zip(*rows))] if rows else [batch.column(0)] + [
             pa.array([], pa.int64())] * 6 + [pa.array([], pa.string())]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *(c.split()[0] for c in _OUT.split(", "))])

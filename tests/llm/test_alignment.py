@@ -130,6 +130,39 @@ def test_line_breaks_go_through_the_rank_file(plain):
         assert ";".join(got) == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in plain.groups(t))
 
 
+@pytest.mark.parametrize("together", [1, 40, 1 << 22])
+def test_units_of_several_texts_are_looked_up_once(monkeypatch, together):
+    """A unit that many texts have is looked up once for all of them; each text keeps its units in order."""
+    monkeypatch.setattr(op, "TOGETHER_CHARS", together)
+    texts = ["to be or not to be", None, "to be, to be", "", "a  b\n c", "not to be,"]
+    known = op.Remembered(lambda fresh: ((k, str(u), 1) for k, u in enumerate(fresh)), lambda a, b: f"{a}/{b}")
+    seen = []
+    for found, places in op._held(known, texts):
+        assert len(set(found)) == len(found)
+        seen += [[found[k] for k in wanted] for wanted in places]
+    assert [[x.split("/")[0] for x in units] for units in seen] == [
+        ["to", "be", "or", "not", "to", "be"], [], ["to", "be", "to", "be"], [], ["a  b\n c"], ["not", "to", "be"]]
+
+
+def test_pairs_count_once_a_text():
+    """A pair of several units, or of a unit met twice, counts once; a text with a unit without alignment has none."""
+    found = [np.array(x, np.int64).tobytes() if x else None for x in ([5, 7], [7, 9, 7], None, [11])]
+    texts = [np.array(x, np.int64) for x in ([0, 1, 0], [1, 1], [3, 2], [], [0])]
+    pairs, counts = op._documents_of(found, texts)
+    assert dict(zip(pairs.tolist(), counts.tolist())) == {5: 2, 7: 3, 9: 2}
+    assert [len(x) for x in op._documents_of([], [np.zeros(0, np.int64)])] == [0, 0]
+
+
+def test_units_with_inner_and_outer_space_in_one_run(plain):
+    """Units of all kinds in one call: those with white space at an end are encoded apart, the others together."""
+    known = op.aligner(op.tokenizer_paths())
+    held = ["one", "a  b", " lead", "trail\t", "x \n y", "été", "日本", "mark ▁", "\n", "two,,", "=" * 90]
+    got = {k: g for c in known.chunks(held) for k, g in zip(c.members, c.groups)}
+    want = {k: ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in plain.groups(u)) for k, u in enumerate(held)}
+    assert got == {k: x for k, x in want.items() if x}
+    assert 7 not in got
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
 def test_hash_is_minimal_and_perfect(n):
     rng = np.random.default_rng(n)
