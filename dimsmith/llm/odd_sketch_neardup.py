@@ -158,6 +158,15 @@ def _signed(it: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]
             names=["doc_id", "text_hash", "n_shingles", "node", "bands", "sketch"])
 
 
+def _gathered(df: DataFrame) -> DataFrame:
+    """``df`` stored in as few files as its size asks for, not in one of each task that made it.
+
+    Without Hadoop's native library each file on a local path starts child processes
+    (chmod), which share the executor's whole memory until they run.
+    """
+    return stored(df.hint("rebalance"))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -198,7 +207,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
     texts = _texts(docs, nodes, members.select("node").distinct(), id_col, text_col)
     blocks = members.join(texts, "node").select("a", "slot", "lead", "node", "text")
     dealt = blocks.repartition(partitions(docs.sparkSession), "a", "slot").sortWithinPartitions("a", "slot", F.desc("lead"))
-    return stored(dealt.mapInArrow(lambda it: _confirm(it, size, percent), "a binary, b binary"))
+    return _gathered(dealt.mapInArrow(lambda it: _confirm(it, size, percent), "a binary, b binary"))
 
 
 def _runs(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
@@ -350,11 +359,11 @@ def _rest(cells: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text
     keys, n = ["cell", "i", "j"], partitions(spark)
     meet = first.unionByName(second).select(*keys, "outside", *tail)
     dealt = meet.repartition(n, *keys).sortWithinPartitions(*keys)
-    left = stored(dealt.mapInArrow(lambda it: _touching(it, percent), meet.schema))
+    left = _gathered(dealt.mapInArrow(lambda it: _touching(it, percent), meet.schema))
     texts = _texts(docs, nodes, left.select("node").distinct(), id_col, text_col)
     full = left.join(texts, "node").select(*keys, "outside", *tail, "text")
     dealt = full.repartition(n, *keys).sortWithinPartitions(*keys, "node")
-    return stored(dealt.mapInArrow(lambda it: _joining(it, size, percent), "a binary, b binary"))
+    return _gathered(dealt.mapInArrow(lambda it: _joining(it, size, percent), "a binary, b binary"))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
@@ -369,7 +378,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
         F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     spread = nodes.select("node", F.posexplode("bands").alias("band", "cell"))
     shared = spread.groupBy("cell").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    cells = stored(salted_join(spread, shared, "cell", "node"))
+    cells = _gathered(salted_join(spread, shared, "cell", "node"))
     args = (nodes, docs, id_col, text_col, size, percent)
     links = confirmed(_forest(cells.where(F.col("band") < FOREST_BANDS), nodes, percent), *args)
     roots = stored(connected(links, stored))

@@ -103,3 +103,22 @@ def test_one_word_apart_at_the_exact_limit():
 def test_result_does_not_depend_on_partitions(hard):
     one, many = (Counter(map(tuple, op.neardups(d).collect())) for d in (hard.coalesce(1), hard.repartition(7, F.rand(1))))
     assert one == many
+
+
+@pytest.mark.parametrize("confirmed", [True, False])
+def test_few_rows_are_stored_in_few_files(session, monkeypatch, confirmed):
+    """The passes over full sets run in many tasks; their few rows are not stored in a file a task."""
+    monkeypatch.setattr(op, "FOREST_BANDS", op.FOREST_BANDS if confirmed else 0)
+    kept = []
+    name = "confirmed" if confirmed else "_rest"
+    made = getattr(op, name)
+    monkeypatch.setattr(op, name, lambda *args: kept.append(made(*args)) or kept[-1])
+    rows = _families(5)
+    before = session.conf.get("spark.sql.shuffle.partitions")
+    session.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = op.neardups(session.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        session.conf.set("spark.sql.shuffle.partitions", before)
+    assert bag(map(tuple, got)) == bag(expected(rows))
+    assert kept[0].count() and len(kept[0].inputFiles()) <= 2
